@@ -27,37 +27,37 @@ def register(name: str):
 # ---------------------------------------------------------------- gold tables
 @register("dim_date")
 def q_dim_date(spark, sf_dir):
-    return lake.gold(spark, sf_dir).dim_date
+    return lake.gold(spark, sf_dir, shared=False).dim_date
 
 
 @register("dim_city")
 def q_dim_city(spark, sf_dir):
-    return lake.gold(spark, sf_dir).dim_city
+    return lake.gold(spark, sf_dir, shared=False).dim_city
 
 
 @register("dim_course")
 def q_dim_course(spark, sf_dir):
-    return lake.gold(spark, sf_dir).dim_course
+    return lake.gold(spark, sf_dir, shared=False).dim_course
 
 
 @register("dim_student")
 def q_dim_student(spark, sf_dir):
-    return lake.gold(spark, sf_dir).dim_student
+    return lake.gold(spark, sf_dir, shared=False).dim_student
 
 
 @register("fact_student_daily")
 def q_fact_student_daily(spark, sf_dir):
-    return lake.gold(spark, sf_dir).fact_student_daily
+    return lake.gold(spark, sf_dir, shared=False).fact_student_daily
 
 
 @register("mv_paid_students_daily")
 def q_mv_paid(spark, sf_dir):
-    return lake.gold(spark, sf_dir).mv_paid_students_daily
+    return lake.gold(spark, sf_dir, shared=False).mv_paid_students_daily
 
 
 @register("fact_course_enrollment_event")
 def q_fact_enrol(spark, sf_dir):
-    return lake.gold(spark, sf_dir).fact_course_enrollment_event
+    return lake.gold(spark, sf_dir, shared=False).fact_course_enrollment_event
 
 
 @register("mv_course_enrollment_region_daily")

@@ -13,7 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orelake.functions import (alias_path, city_normalized, city_part, date_key, event_key,
+from orelake.functions import (city_normalized, city_part, date_key, event_key,
                                parse_ts, py_strip, region_part, surrogate_key)
 from orelake.operators import latest_by_key
 
@@ -22,6 +22,10 @@ COURSE_ID_KEYS = ["courseId", "course_id", "id", "_id"]
 ENROLLED_AT_KEYS = ["enrolledAt", "enrolled_at", "createdAt", "created_at"]
 END_AT_KEYS = ["endAt", "end_at", "expiresAt", "expires_at"]
 ACCESS_TYPE_KEYS = ["accessType", "access_type", "type"]
+# Every alias as a text field: one JSON parse per element reads them all
+# (a number or object value arrives as its JSON text, like a path lookup).
+ELEMENT_SCHEMA = "struct<" + ", ".join(
+    f"`{k}`: string" for k in COURSE_ID_KEYS + ENROLLED_AT_KEYS + END_AT_KEYS + ACCESS_TYPE_KEYS) + ">"
 
 
 def _ts(v) -> Column:
@@ -134,13 +138,14 @@ def fact_course_enrollment_event(silver: DataFrame, as_of, run_ts) -> DataFrame:
     keyed = with_date_key(silver).select(
         "date_key", F.md5(city_normalized("city")).alias("city_key"),
         F.col("entity_id").cast("string").alias("student_id"),
-        F.explode("enrolled_courses").alias("course_json"))
+        F.explode(F.transform("enrolled_courses", lambda x: F.from_json(x, ELEMENT_SCHEMA))).alias("e"))
+    first = lambda keys: F.coalesce(*[F.col(f"e.{k}") for k in keys])
     norm = keyed.select(
         "date_key", "city_key", "student_id",
-        F.nullif(F.trim(alias_path("course_json", *COURSE_ID_KEYS)), F.lit("")).alias("course_id"),
-        parse_ts(alias_path("course_json", *ENROLLED_AT_KEYS)).alias("event_time"),
-        parse_ts(alias_path("course_json", *END_AT_KEYS)).alias("end_at"),
-        F.nullif(F.trim(alias_path("course_json", *ACCESS_TYPE_KEYS)), F.lit("")).alias("access_type"),
+        F.nullif(F.trim(first(COURSE_ID_KEYS)), F.lit("")).alias("course_id"),
+        parse_ts(first(ENROLLED_AT_KEYS)).alias("event_time"),
+        parse_ts(first(END_AT_KEYS)).alias("end_at"),
+        F.nullif(F.trim(first(ACCESS_TYPE_KEYS)), F.lit("")).alias("access_type"),
     ).filter(F.col("course_id").isNotNull() & (F.col("course_id") != ""))
     events = norm.select(
         event_key("student_id", "course_id", "event_time", "date_key").alias("event_id"),

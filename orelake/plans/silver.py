@@ -88,15 +88,20 @@ def split_clean_quarantine(std: DataFrame, bronze_file_path, run_ts,
     then newest ingest, then the larger bronze batch id (a total order).
     Quarantine rows keep the whole row as JSON, the failed check names, and
     the lineage of the file they came from.
+
+    Plan note: the check is folded into the de-duplication order (passing
+    rows first) and filtered after the window.  A plain filter before the
+    window would be pushed down to the scan with every parsing expression
+    copied into it; this way each row is parsed once, after the shuffle.
     """
     checks = quality_checks(std)
     bad = F.lit(False)
     for c in checks.values():
         bad = bad | c
     flagged = std.withColumn("__bad", bad)
-    clean = latest_by_key(flagged.filter(~F.col("__bad")), [*slice_cols, "entity_id"],
-                          ["updated_at", "_ingested_ts", "bronze_batch_id"])
-    clean = clean.select(*SILVER_STUDENT_COLUMNS)
+    best = latest_by_key(flagged, [*slice_cols, "entity_id"],
+                         [F.col("__bad").asc(), "updated_at", "_ingested_ts", "bronze_batch_id"])
+    clean = best.filter(~F.col("__bad")).select(*SILVER_STUDENT_COLUMNS)
     reason = F.concat_ws(",", *[F.when(checks[name], F.lit(name)) for name in QUALITY_CHECKS])
     payload_cols = [c for c in std.columns if c != "_ingested_ts"]
     quarantine = flagged.filter(F.col("__bad")).select(

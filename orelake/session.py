@@ -47,6 +47,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/orelake/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_READERS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
-    """Read one provided Parquet table."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one provided (read-only) Parquet table.
+
+    The reader DataFrame is kept per session and path: listing the files and
+    reading the footers is paid once, not once per query.  DataFrames are
+    immutable plans, so sharing the reader is safe.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _READERS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _READERS[key] = df
+    return df

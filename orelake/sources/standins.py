@@ -34,6 +34,17 @@ def _mod(col: str, n: int):
     return F.pmod(F.col(col), F.lit(n)) == 0
 
 
+def keyed_scan(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """Scan a table hash-partitioned on the key its first join / grouping uses.
+
+    This is the shuffle that join needs anyway (the planner then adds no
+    second exchange); it also spreads the per-row work of the stand-in
+    rules over all tasks when the input is a few large files.
+    """
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return table(spark, sf_dir, name).repartition(n, key)
+
+
 def _enrolments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enrolment array per order: one element per ``'A'`` line of that order.
 
@@ -41,7 +52,7 @@ def _enrolments(spark: SparkSession, sf_dir: str) -> DataFrame:
     (``collect_list`` with partial aggregation), the group being the lines of
     one order.
     """
-    li = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "A")
+    li = keyed_scan(spark, sf_dir, "lineitem", "l_orderkey").filter(F.col("l_returnflag") == "A")
     pk = F.col("l_partkey").cast("string")
     alias_row = _mod("l_linenumber", 4)
     element = F.struct(
@@ -58,7 +69,7 @@ def _enrolments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def student_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Student document versions (typed like the store returns them: mixed encodings)."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    o = keyed_scan(spark, sf_dir, "orders", "o_orderkey").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
