@@ -129,3 +129,123 @@ def q_kpi_map(spark, sf_dir):
 def q_gold_metrics(spark, sf_dir):
     g = lake.gold(spark, sf_dir)
     return kpi.run_metrics(g.fact_student_daily, g.mv_paid_students_daily, g.fact_course_enrollment_event)
+
+
+# ---------------------------------------------------------------- silver
+SILVER_CLEAN_OUT = ["entity_id", "account_id", "full_name", "phone_number", "city", "education_level",
+                    "account_status", "technique", "is_contacted", "enrolled_courses_count", "is_paid_student",
+                    "created_at", "updated_at", "bronze_batch_id", "silver_batch_id", "processed_at",
+                    "_operation", "_source", "_table_name", "_partition_key", "_checksum"]
+
+
+@register("silver_students_clean")
+def q_silver_clean(spark, sf_dir):
+    clean, _ = lake.silver_students(spark, sf_dir)
+    return clean.select(*SILVER_CLEAN_OUT)
+
+
+@register("silver_students_quarantine")
+def q_silver_quarantine(spark, sf_dir):
+    _, quarantine = lake.silver_students(spark, sf_dir)
+    return quarantine.select(
+        F.get_json_object("raw_payload", "$.entity_id").alias("entity_id"),
+        F.get_json_object("raw_payload", "$.bronze_batch_id").alias("bronze_batch_id"),
+        "quarantine_reason", "source_table", "bronze_file_path", "quarantined_at", "_partition_key")
+
+
+@register("silver_courses")
+def q_silver_courses(spark, sf_dir):
+    return lake.silver_courses(spark, sf_dir)
+
+
+@register("silver_metrics")
+def q_silver_metrics(spark, sf_dir):
+    clean, quarantine = lake.silver_students(spark, sf_dir)
+    return silver_metrics(clean, quarantine, lake.silver_courses(spark, sf_dir))
+
+
+def silver_metrics(clean, quarantine, courses):
+    """Run metrics per day: clean / quarantined students, clean courses, totals (AGG-11, SNK-13)."""
+    zero = F.lit(0).cast("long")
+    parts = [
+        clean.select(F.col("_partition_key").alias("ds"), F.lit(1).alias("sc"), zero.alias("sq"), zero.alias("cc")),
+        quarantine.select(F.col("_partition_key").alias("ds"), zero.alias("sc"), F.lit(1).alias("sq"), zero.alias("cc")),
+        courses.select(F.col("ingest_ds").alias("ds"), zero.alias("sc"), zero.alias("sq"), F.lit(1).alias("cc")),
+    ]
+    stacked = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    agg = stacked.groupBy("ds").agg(F.sum("sc").cast("long").alias("students_clean_count"),
+                                    F.sum("sq").cast("long").alias("students_quarantine_count"),
+                                    F.sum("cc").cast("long").alias("courses_clean_count"))
+    return agg.select("ds", "students_clean_count", "students_quarantine_count", "courses_clean_count",
+                      (F.col("students_clean_count") + F.col("courses_clean_count")).alias("total_clean_count"),
+                      F.col("students_quarantine_count").alias("total_quarantine_count"))
+
+
+# ---------------------------------------------------------------- bronze
+BRONZE_WATERMARK = "1998-01-01 00:00:00"
+COURSE_CURSOR_KEY = 100
+
+
+def _cursor_docs(spark, sf_dir):
+    from orelake.functions import parse_ts, unify_extended
+    from orelake.sources import student_documents
+    docs = student_documents(spark, sf_dir)
+    return docs.select("doc_seq", unify_extended("_id", "$oid").alias("entity_id"),
+                       parse_ts(unify_extended("updatedAt", "$date")).alias("updated_ts"))
+
+
+@register("bronze_incremental")
+def q_bronze_incremental(spark, sf_dir):
+    from orelake.operators import incremental_scan
+    return incremental_scan(_cursor_docs(spark, sf_dir), "updated_ts", BRONZE_WATERMARK, tie="doc_seq", limit=1000)
+
+
+@register("bronze_bootstrap")
+def q_bronze_bootstrap(spark, sf_dir):
+    from orelake.operators import incremental_scan
+    return incremental_scan(_cursor_docs(spark, sf_dir), "updated_ts", None, tie="doc_seq", limit=1000)
+
+
+@register("bronze_next_watermark")
+def q_bronze_next_watermark(spark, sf_dir):
+    from orelake.operators import incremental_scan, next_watermark
+    batch = incremental_scan(_cursor_docs(spark, sf_dir), "updated_ts", BRONZE_WATERMARK, tie="doc_seq", limit=1000)
+    return next_watermark(batch, "updated_ts", BRONZE_WATERMARK, tie="doc_seq")
+
+
+@register("bronze_cursor_drain")
+def q_bronze_cursor_drain(spark, sf_dir):
+    from orelake.streaming.producer import course_change_events, valid_cursor
+    from orelake.operators import incremental_scan
+    from orelake.sources import course_documents
+    docs = course_documents(spark, sf_dir)
+    cursor = f"{COURSE_CURSOR_KEY:024x}"
+    after = incremental_scan(docs, "_id", cursor if valid_cursor(cursor) else None, tie="_id", limit=None)
+    return course_change_events(after, lake.RUN_TS, name_field="course_name")
+
+
+@register("bronze_email_lookup")
+def q_bronze_email(spark, sf_dir):
+    from orelake.operators import lookup_email
+    from orelake.plans.bronze import normalize_documents
+    from orelake.sources import student_documents, user_documents
+    docs = normalize_documents(student_documents(spark, sf_dir).select("doc_seq", "_id", "userId"))
+    return lookup_email(docs, user_documents(spark, sf_dir)).select("doc_seq", "userId", "email")
+
+
+BRONZE_STAMPED_OUT = ["doc_seq", "_id", "userId", "status", "phone", "name", "city", "educationLevel",
+                      "isContacted", "enrolledChapters", "boughtBooks", "createdAt", "updatedAt", "__v",
+                      "_operation", "_source", "_ingested_at", "_batch_id", "_table_name", "_partition_key",
+                      "_quality_flags"]
+
+
+@register("bronze_stamped")
+def q_bronze_stamped(spark, sf_dir):
+    from orelake.plans.bronze import bronze_students
+    return bronze_students(spark, sf_dir).select(*BRONZE_STAMPED_OUT)
+
+
+@register("bronze_batch_metadata")
+def q_bronze_batch_metadata(spark, sf_dir):
+    from orelake.plans.bronze import batch_metadata, bronze_students
+    return batch_metadata(bronze_students(spark, sf_dir))

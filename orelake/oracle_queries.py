@@ -83,3 +83,106 @@ SELECT coalesce(f.date_key, e.date_key) AS date_key, coalesce(f.student_total_co
        coalesce(e.n, 0) AS student_course_enrollments
 FROM f FULL JOIN e ON f.date_key = e.date_key"""),
 }
+
+_ISO3 = "strftime({x}, '%Y-%m-%dT%H:%M:%S.%gZ')"
+_ISO0 = "strftime({x}, '%Y-%m-%dT%H:%M:%SZ')"
+_ISO6 = "strftime({x}, '%Y-%m-%dT%H:%M:%S.%fZ')"
+_UPD_TS = ("CASE WHEN o_orderkey % 29 = 0 THEN NULL WHEN o_orderkey % 37 = 0 THEN date_trunc('second', upd_raw) "
+           "ELSE upd_raw END")
+_ENTITY = ("CASE WHEN o_orderkey % 101 = 0 THEN NULL WHEN o_orderkey % 103 = 0 THEN '  ' "
+           "ELSE CAST(o_custkey AS VARCHAR) END")
+_CURSOR_DOCS = f"""
+, cursor_docs AS (
+  SELECT o_orderkey AS doc_seq, {_ENTITY} AS entity_id, {_UPD_TS} AS updated_ts FROM doc
+), inc_batch AS (
+  SELECT * FROM cursor_docs WHERE updated_ts > TIMESTAMP '1998-01-01 00:00:00'
+  ORDER BY updated_ts, doc_seq LIMIT 1000
+)
+"""
+_USERS = """
+, users AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS oid,
+         CASE WHEN c_custkey % 3 = 0 THEN 'acct-' || c_custkey END AS uid,
+         CASE WHEN c_custkey % 7 = 0 THEN '  ' WHEN c_custkey % 5 = 0 THEN NULL
+              ELSE replace(lower(c_name), '#', '.') || '@example.com' END AS email,
+         CASE WHEN c_custkey % 5 = 0 THEN 'alt.' || c_custkey || '@example.org' END AS mail
+  FROM customer
+), ue AS (
+  SELECT oid, uid, trim(CASE WHEN email IS NULL OR email = '' THEN mail ELSE email END) AS e FROM users
+), emap AS (
+  SELECT k, min(e) AS email
+  FROM (SELECT uid AS k, e FROM ue UNION ALL SELECT oid AS k, e FROM ue)
+  WHERE k IS NOT NULL AND k <> '' AND e IS NOT NULL AND e <> ''
+  GROUP BY k
+)
+"""
+
+ORACLE.update({
+    "silver_students_clean": q(f"""
+SELECT entity_id, account_id, full_name, phone_number, city, education_level, account_status, technique,
+       is_contacted, enrolled_courses_count, is_paid_student, created_at, updated_at, bronze_batch_id,
+       'silver-0001' AS silver_batch_id, {RUN_TS} AS processed_at, 'UPSERT' AS _operation, 'watermark' AS _source,
+       'students' AS _table_name, _partition_key, CAST(NULL AS VARCHAR) AS _checksum
+FROM clean"""),
+    "silver_students_quarantine": q(f"""
+SELECT entity_id, bronze_batch_id, quarantine_reason, 'students' AS source_table,
+       'bronze/students/' || _partition_key AS bronze_file_path, {RUN_TS} AS quarantined_at, _partition_key
+FROM quarantine"""),
+    "silver_courses": q("SELECT course_id, course_name, created_at, updated_at, ingest_ds FROM silver_courses"),
+    "silver_metrics": q("""
+SELECT ds, CAST(sum(sc) AS BIGINT) AS students_clean_count, CAST(sum(sq) AS BIGINT) AS students_quarantine_count,
+       CAST(sum(cc) AS BIGINT) AS courses_clean_count, CAST(sum(sc) + sum(cc) AS BIGINT) AS total_clean_count,
+       CAST(sum(sq) AS BIGINT) AS total_quarantine_count
+FROM (SELECT _partition_key AS ds, 1 AS sc, 0 AS sq, 0 AS cc FROM clean
+      UNION ALL SELECT _partition_key, 0, 1, 0 FROM quarantine
+      UNION ALL SELECT ingest_ds, 0, 0, 1 FROM silver_courses)
+GROUP BY ds"""),
+    "bronze_incremental": q(_CURSOR_DOCS + "SELECT * FROM inc_batch"),
+    "bronze_bootstrap": q(_CURSOR_DOCS + "SELECT * FROM cursor_docs ORDER BY updated_ts NULLS FIRST, doc_seq LIMIT 1000"),
+    "bronze_next_watermark": q(_CURSOR_DOCS + """
+SELECT coalesce(max(updated_ts), TIMESTAMP '1998-01-01 00:00:00') AS watermark,
+       (SELECT doc_seq FROM inc_batch WHERE updated_ts IS NOT NULL ORDER BY updated_ts DESC, doc_seq DESC LIMIT 1)
+         AS watermark_tie,
+       CAST(count(*) AS BIGINT) AS batch_rows
+FROM inc_batch WHERE updated_ts IS NOT NULL"""),
+    "bronze_cursor_drain": q(f"""
+SELECT md5(lpad(lower(hex(p_partkey)), 24, '0') || '|' || '2024-02-01 00:00:00') AS event_id,
+       {RUN_TS} AS event_time, lpad(lower(hex(p_partkey)), 24, '0') AS course_id, p_name AS course_name,
+       'upsert' AS event_type, '2023-12-31 00:00:00' AS created_at, '' AS updated_at
+FROM part WHERE lpad(lower(hex(p_partkey)), 24, '0') > lpad(lower(hex(100)), 24, '0')"""),
+    "bronze_email_lookup": q(_USERS + """
+SELECT s.o_orderkey AS doc_seq, s.account_id AS userId, m.email
+FROM std0 s LEFT JOIN emap m ON m.k = trim(s.account_id)"""),
+    "bronze_stamped": q(f"""
+SELECT o_orderkey AS doc_seq,
+       {_ENTITY} AS _id,
+       CASE WHEN o_custkey % 19 = 0 THEN NULL WHEN o_custkey % 3 = 0 THEN 'acct-' || o_custkey
+            ELSE CAST(o_custkey AS VARCHAR) END AS userId,
+       CASE o_orderstatus WHEN 'F' THEN 'Active' WHEN 'O' THEN ' INACTIVE ' END AS status,
+       CASE WHEN o_custkey % 7 = 0 THEN 'n/a'
+            ELSE '+216 ' || c_nationkey || '-' || lpad(CAST(o_custkey % 1000 AS VARCHAR), 3, '0') END AS phone,
+       replace(lower(c_name), '#', '''s ') AS name,
+       CASE WHEN o_custkey % 13 = 0 THEN NULL WHEN o_custkey % 11 = 0 THEN '  ' || lower(n_name)
+            WHEN o_custkey % 17 = 0 THEN r_name || ', ' || n_name || ', Old'
+            WHEN o_custkey % 23 = 0 THEN '' ELSE r_name || ', ' || n_name END AS city,
+       c_mktsegment AS educationLevel,
+       CASE o_orderpriority WHEN '1-URGENT' THEN 'true' WHEN '2-HIGH' THEN 'Yes' WHEN '3-MEDIUM' THEN ' y '
+            WHEN '4-NOT SPECIFIED' THEN '0' END AS isContacted,
+       '[]' AS enrolledChapters, CAST(NULL AS VARCHAR) AS boughtBooks,
+       CASE WHEN o_orderkey % 31 = 0 THEN 'bad' ELSE {_ISO3.format(x="o_orderdate - INTERVAL 30 DAY")} END AS createdAt,
+       CASE WHEN o_orderkey % 29 = 0 THEN '' WHEN o_orderkey % 37 = 0 THEN {_ISO0.format(x="date_trunc('second', upd_raw)")}
+            ELSE {_ISO3.format(x="upd_raw")} END AS updatedAt,
+       0 AS __v, 'UPSERT' AS _operation, 'watermark' AS _source,
+       CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE {_ISO6.format(x="o_orderdate + INTERVAL 26 HOUR")} END AS _ingested_at,
+       'batch-' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS _batch_id, 'students' AS _table_name,
+       strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS _partition_key,
+       '{{"has_null_pk":' || CASE WHEN o_orderkey % 101 = 0 THEN 'true' ELSE 'false' END
+         || ',"has_missing_updated_at":' || CASE WHEN o_orderkey % 29 = 0 THEN 'true' ELSE 'false' END || '}}'
+         AS _quality_flags
+FROM doc"""),
+    "bronze_batch_metadata": q("""
+SELECT 'students' AS collection, strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS partition,
+       CAST(count(*) AS BIGINT) AS record_count, 1 AS file_count, 'PASSED_7_POINT_GATE' AS quality_status,
+       'watermark' AS source
+FROM doc GROUP BY 2"""),
+})

@@ -71,3 +71,27 @@ def bronze_students(spark: SparkSession, sf_dir: str, with_email: bool = False,
         out = lookup_email(out, user_documents(spark, sf_dir))
     out = stamp_bronze(out, F.col("batch_id"), "students", F.col("ingest_ds"), F.col("ingested_at"))
     return out.drop("ingest_ds", "ingested_at", "batch_id")
+
+
+def batch_metadata(bronze: DataFrame, slice_col: str = "_partition_key") -> DataFrame:
+    """Side-car per batch (slice): record count, file count, gate status.
+
+    One aggregate pass; an empty slice reports ``EMPTY_BATCH``.
+    """
+    agg = bronze.groupBy(F.col(slice_col).alias("partition")).agg(
+        F.count(F.lit(1)).alias("record_count"),
+        F.first("_table_name", ignorenulls=True).alias("collection"),
+        F.first("_source", ignorenulls=True).alias("source"))
+    return agg.select(
+        "collection", "partition", "record_count",
+        F.when(F.col("record_count") > 0, 1).otherwise(0).alias("file_count"),
+        F.when(F.col("record_count") > 0, F.lit("PASSED_7_POINT_GATE")).otherwise(F.lit("EMPTY_BATCH")).alias("quality_status"),
+        "source")
+
+
+def file_sizes(spark: SparkSession, path: str, slice_col: str) -> DataFrame:
+    """Bytes and files per partition of a written Parquet layer (from file metadata)."""
+    files = spark.read.parquet(path).select(F.col(slice_col), F.col("_metadata.file_path").alias("file_path"),
+                                            F.col("_metadata.file_size").alias("file_size")).distinct()
+    return files.groupBy(slice_col).agg(F.count(F.lit(1)).alias("file_count"),
+                                        F.sum("file_size").cast("long").alias("total_size_bytes"))

@@ -31,13 +31,13 @@ def read_jsonl_tolerant(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def read_extended_json(spark: SparkSession, path: str, schema, id_col: str = "_id",
-                       date_cols: tuple[str, ...] = ()) -> DataFrame:
-    """Multi-line JSON arrays whose ids / dates may be plain or ``$oid`` / ``$date`` wrapped.
+                       date_cols: tuple[str, ...] = (), multi_line: bool = True) -> DataFrame:
+    """JSON (arrays per file, or JSON lines) whose ids / dates may be plain or ``$oid`` / ``$date`` wrapped.
 
     Mixed fields are read as text (an object arrives as its JSON text) and
     unified to the plain value.
     """
-    df = spark.read.schema(schema).option("multiLine", True).json(path)
+    df = spark.read.schema(schema).option("multiLine", multi_line).json(path)
     out = df.withColumn(id_col, unify_extended(F.col(id_col), "$oid"))
     for c in date_cols:
         out = out.withColumn(c, unify_extended(F.col(c), "$date"))

@@ -143,12 +143,17 @@ def user_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def course_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Course collection: one course per part."""
+    """Course collection: one course per part, with a 24-hex object id (ordered like the key)."""
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    return p.select(F.col("p_partkey").cast("string").alias("_id"), F.col("p_name").alias("course_name"),
+    return p.select(object_id("p_partkey").alias("_id"), F.col("p_name").alias("course_name"),
                     F.lit(COURSE_BOOTSTRAP_TS).alias("created_at"), F.lit(None).cast("string").alias("updated_at"))
 
 
+def object_id(col: str):
+    """24-hex-digit document id of a non-negative integer key; text order equals key order."""
+    return F.lpad(F.lower(F.hex(F.col(col).cast("long"))), 24, "0")
+
+
 def course_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Course events as the topic delivers them (bronze stream rows before ingest stamping).
 
