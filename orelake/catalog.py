@@ -249,3 +249,63 @@ def q_bronze_stamped(spark, sf_dir):
 def q_bronze_batch_metadata(spark, sf_dir):
     from orelake.plans.bronze import batch_metadata, bronze_students
     return batch_metadata(bronze_students(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- streaming
+def _land_course_events(spark, sf_dir, root: str, redeliver: bool = False) -> str:
+    """Course events as a topic would hold them, landed as JSON-line files in arrival order.
+
+    One write per arrival week (file modification times follow the week);
+    with ``redeliver`` every update event is published again (fresh event id)
+    in the following week's file, the way an at-least-once producer repeats.
+    """
+    from orelake.sources import course_events
+    ev = course_events(spark, sf_dir).drop("_ingested_at", "ingest_ds")
+    week = F.when(F.col("event_id").startswith("boot-"), F.lit(-1)).otherwise(
+        F.floor(F.datediff(F.to_date(F.substring("event_time", 1, 10)), F.lit("2024-01-01")) / 7).cast("int"))
+    ev = ev.withColumn("arrival", week)
+    if redeliver:
+        again = (ev.filter(~F.col("event_id").startswith("boot-"))
+                   .withColumn("event_id", F.concat(F.lit("re-"), F.col("event_id")))
+                   .withColumn("arrival", F.col("arrival") + 1))
+        ev = ev.unionByName(again)
+    weeks = [r["arrival"] for r in ev.select("arrival").distinct().orderBy("arrival").collect()]
+    for w in weeks:  # a handful of arrival weeks, each written as one batch of files
+        ev.filter(F.col("arrival") == w).drop("arrival").write.mode("append").json(root)
+    return root
+
+
+@register("stream_course_events")
+def q_stream_course_events(spark, sf_dir):
+    from orelake.session import scratch_path
+    from orelake.streaming.course_feed import BRONZE_EVENT_SCHEMA, stream_to_bronze
+    src = _land_course_events(spark, sf_dir, scratch_path(spark, "topic"))
+    out, ckpt = scratch_path(spark, "bronze_stream"), scratch_path(spark, "ckpt")
+    stream_to_bronze(spark, src, out, ckpt, options={"maxFilesPerTrigger": 8},
+                     ingest_time_col="event_time").awaitTermination()
+    bronze = spark.read.schema(BRONZE_EVENT_SCHEMA + ", ingest_date string").json(out)
+    return bronze.select("event_id", "course_id", "course_name", "title", "_offset", "_ingested_at", "ingest_date")
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    from orelake.session import scratch_path
+    from orelake.streaming.course_feed import dedupe_stream
+    src = _land_course_events(spark, sf_dir, scratch_path(spark, "topic"), redeliver=True)
+    out, ckpt = scratch_path(spark, "dedup"), scratch_path(spark, "ckpt")
+    dedupe_stream(spark, src, out, ckpt, delay="7 days", options={"maxFilesPerTrigger": 8}).awaitTermination()
+    return spark.read.parquet(out).select("course_id", "course_name", "title", "updated_at", "_offset")
+
+
+@register("stream_upsert_courses")
+def q_stream_upsert(spark, sf_dir):
+    from orelake.session import scratch_path
+    from orelake.sinks import read_current
+    from orelake.streaming.course_feed import dim_course_from_state, stream_to_bronze, upsert_stream
+    src = _land_course_events(spark, sf_dir, scratch_path(spark, "topic"), redeliver=True)
+    bronze, table_root = scratch_path(spark, "bronze_stream"), scratch_path(spark, "course_state")
+    stream_to_bronze(spark, src, bronze, scratch_path(spark, "ckpt"), ingest_time_col="event_time",
+                     options={"maxFilesPerTrigger": 8}).awaitTermination()
+    upsert_stream(spark, bronze, table_root, scratch_path(spark, "ckpt"),
+                  options={"maxFilesPerTrigger": 4}).awaitTermination()
+    return dim_course_from_state(read_current(spark, table_root), lake.RUN_TS)

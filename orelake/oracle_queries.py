@@ -186,3 +186,26 @@ SELECT 'students' AS collection, strftime(date_trunc('month', o_orderdate), '%Y-
        'watermark' AS source
 FROM doc GROUP BY 2"""),
 })
+
+_EVENTS = f"""
+, ev_all AS (
+  SELECT 'boot-' || p_partkey AS event_id, CAST(p_partkey AS VARCHAR) AS course_id, p_name AS course_name,
+         CAST(NULL AS VARCHAR) AS title, CAST(p_partkey AS BIGINT) AS _offset,
+         '2023-12-31T00:00:00.000000Z' AS _ingested_at, '2023-12-31' AS ingest_date, '' AS updated_at
+  FROM part
+  UNION ALL
+  SELECT 'ev-' || e.event_id,
+         CASE WHEN e.event_type = 'error' THEN ' ' ELSE json_extract_string(e.props, '$.k') END,
+         CASE WHEN e.event_type <> 'click' THEN coalesce(p.p_name, 'course') || ' (' || e.event_type || ')' END,
+         CASE WHEN e.event_type = 'click' THEN coalesce(p.p_name, 'course') || ' (' || e.event_type || ')' END,
+         CAST(e.event_id AS BIGINT), {_ISO6.format(x="e.ts")}, strftime(e.ts, '%Y-%m-%d'), {_ISO6.format(x="e.ts")}
+  FROM events e LEFT JOIN part p ON p.p_partkey = CAST(json_extract_string(e.props, '$.k') AS BIGINT)
+)
+"""
+
+ORACLE.update({
+    "stream_course_events": q(_EVENTS + "SELECT event_id, course_id, course_name, title, _offset, _ingested_at, "
+                                        "ingest_date FROM ev_all"),
+    "stream_dedup": q(_EVENTS + "SELECT course_id, course_name, title, updated_at, _offset FROM ev_all"),
+    "stream_upsert_courses": q("SELECT course_key, course_id, course_name, created_at FROM dim_course"),
+})
