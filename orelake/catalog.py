@@ -309,3 +309,160 @@ def q_stream_upsert(spark, sf_dir):
     upsert_stream(spark, bronze, table_root, scratch_path(spark, "ckpt"),
                   options={"maxFilesPerTrigger": 4}).awaitTermination()
     return dim_course_from_state(read_current(spark, table_root), lake.RUN_TS)
+
+
+# ---------------------------------------------------------------- health checks
+BUSINESS_COLS = ["_id", "userId", "status", "phone", "name", "city", "educationLevel", "isContacted",
+                 "enrolledCourses", "enrolledChapters", "boughtBooks", "createdAt", "updatedAt"]
+RETENTION_AS_OF = "2024-02-01"
+
+
+def _bronze_with_checksum(spark, sf_dir):
+    from orelake.operators.health import row_checksum
+    from orelake.plans.bronze import bronze_students
+    return bronze_students(spark, sf_dir).withColumn("_checksum", row_checksum(BUSINESS_COLS))
+
+
+@register("row_checksum")
+def q_row_checksum(spark, sf_dir):
+    return _bronze_with_checksum(spark, sf_dir).select("doc_seq", "_batch_id", "_checksum")
+
+
+@register("dedupe_checksum")
+def q_dedupe_checksum(spark, sf_dir):
+    """A batch delivered twice (every tenth document again, later) collapses to one copy."""
+    from orelake.operators.health import dedupe_on
+    b = _bronze_with_checksum(spark, sf_dir)
+    again = b.filter(F.pmod("doc_seq", F.lit(10)) == 0).withColumn("_ingested_at", F.lit("2030-01-01T00:00:00Z"))
+    return dedupe_on(b.unionByName(again), ["_batch_id", "_checksum"]).select("doc_seq", "_batch_id")
+
+
+@register("missing_partitions")
+def q_missing_partitions(spark, sf_dir):
+    from orelake.functions import parse_ts
+    from orelake.operators.health import missing_partitions
+    from orelake.plans.bronze import bronze_students
+    days = bronze_students(spark, sf_dir).select(parse_ts("_ingested_at").alias("ingest_day"))
+    return missing_partitions(days, "ingest_day")
+
+
+def _written_layers(spark, sf_dir):
+    from orelake.plans.bronze import bronze_students
+    from orelake.session import scratch_path
+    from orelake.sinks import write_layer
+    from orelake.sources import course_events
+    students, courses = scratch_path(spark, "bronze_students"), scratch_path(spark, "bronze_courses")
+    write_layer(bronze_students(spark, sf_dir), students, ["_partition_key"])
+    write_layer(course_events(spark, sf_dir), courses, ["ingest_ds"])
+    return spark.read.parquet(students), spark.read.parquet(courses)
+
+
+def _file_stats(spark, sf_dir):
+    from orelake.operators.health import file_stats
+    s, c = _written_layers(spark, sf_dir)
+    return file_stats(s, "students").unionByName(file_stats(c, "courses"))
+
+
+@register("file_counts")
+def q_file_counts(spark, sf_dir):
+    from orelake.operators.health import file_counts
+    return file_counts(_file_stats(spark, sf_dir))
+
+
+@register("file_size_anomaly")
+def q_file_size_anomaly(spark, sf_dir):
+    from orelake.operators.health import file_size_anomalies
+    return file_size_anomalies(_file_stats(spark, sf_dir))
+
+
+@register("retention_tier")
+def q_retention_tier(spark, sf_dir):
+    from orelake.operators.health import retention_tier
+    from orelake.plans.bronze import bronze_students
+    from orelake.sources import course_events
+    parts = (bronze_students(spark, sf_dir).select(F.lit("students").alias("collection"),
+                                                    F.col("_partition_key").alias("ds"))
+             .unionByName(course_events(spark, sf_dir).select(F.lit("courses").alias("collection"),
+                                                               F.col("ingest_ds").alias("ds")))
+             .distinct())
+    return retention_tier(parts, "ds", RETENTION_AS_OF)
+
+
+# ---------------------------------------------------------------- table maintenance and file readers
+UPSERT_SPLIT_DS = "1998-01-01"
+
+
+@register("upsert_dim")
+def q_upsert_dim(spark, sf_dir):
+    """dim_student loaded in two runs (earlier slices, then later ones) by keyed upsert into versions."""
+    from orelake.plans import gold as G
+    from orelake.session import scratch_path
+    from orelake.sinks import merge_upsert, read_current, write_version
+    clean, _ = lake.silver_students(spark, sf_dir)
+    root = scratch_path(spark, "dim_student")
+    first = G.dim_student(clean.filter(F.col("_partition_key") < UPSERT_SPLIT_DS), lake.RUN_TS)
+    write_version(merge_upsert(read_current(spark, root), first, ["student_key"]), root)
+    second = G.dim_student(clean.filter(F.col("_partition_key") >= UPSERT_SPLIT_DS), lake.RUN_TS)
+    write_version(merge_upsert(read_current(spark, root), second, ["student_key"]), root)
+    return read_current(spark, root)
+
+
+@register("replace_partition")
+def q_replace_partition(spark, sf_dir):
+    """Daily fact written for all days, later days re-run: replaced in place, nothing doubled."""
+    from orelake.session import scratch_path
+    from orelake.sinks import replace_partition
+    g = lake.gold(spark, sf_dir)
+    path = scratch_path(spark, "fact_student_daily")
+    replace_partition(g.fact_student_daily, path, "date_key")
+    rerun = lake.gold(spark, sf_dir).fact_student_daily.filter(F.col("date_key") >= 19980101)
+    replace_partition(rerun, path, "date_key")
+    out = spark.read.parquet(path)
+    return out.select("date_key", "city_key", "student_total_count", "student_paid_count", "paid_rate", "load_ts")
+
+
+@register("table_roundtrip")
+def q_table_roundtrip(spark, sf_dir):
+    """Bronze written as a partitioned layer, read back, every slice checked present, batch side-cars."""
+    from orelake.plans.bronze import batch_metadata
+    from orelake.sources import require_rows
+    students, _ = _written_layers(spark, sf_dir)
+    require_rows(students, "bronze students")
+    return batch_metadata(students)
+
+
+@register("jsonl_tolerant_scan")
+def q_jsonl_tolerant(spark, sf_dir):
+    """Course events as JSON lines with blank and truncated lines mixed in; the scan skips both."""
+    from orelake.session import scratch_path
+    from orelake.sources import course_events, read_jsonl_tolerant
+    from orelake.streaming.course_feed import EVENT_SCHEMA
+    ev = course_events(spark, sf_dir).drop("_ingested_at", "ingest_ds")
+    line = F.to_json(F.struct(*ev.columns))
+    lines = ev.select(line.alias("value"))
+    broken = ev.filter(F.pmod("_offset", F.lit(10)) == 0).select(F.substring(line, 1, 25).alias("value"))
+    blank = ev.filter(F.pmod("_offset", F.lit(25)) == 0).select(F.lit("   ").alias("value"))
+    path = scratch_path(spark, "events_jsonl")
+    lines.unionByName(broken).unionByName(blank).write.text(path)
+    return read_jsonl_tolerant(spark, path, EVENT_SCHEMA).select("event_id", "course_id", "course_name", "title",
+                                                                 "_offset")
+
+
+@register("extended_json_scan")
+def q_extended_json(spark, sf_dir):
+    """Student documents as JSON lines where ids / dates are plain or ``$oid`` / ``$date`` objects."""
+    from orelake.session import scratch_path
+    from orelake.sources import read_extended_json, student_documents
+    docs = student_documents(spark, sf_dir)
+
+    def value(c):
+        return (F.when(F.col(c).isNull(), F.lit("null"))
+                 .when(F.col(c).startswith("{"), F.col(c))
+                 .otherwise(F.concat(F.lit('"'), F.col(c), F.lit('"'))))
+    line = F.concat(F.lit('{"doc_seq": '), F.col("doc_seq").cast("string"), F.lit(', "_id": '), value("_id"),
+                    F.lit(', "createdAt": '), value("createdAt"), F.lit(', "updatedAt": '), value("updatedAt"),
+                    F.lit("}"))
+    path = scratch_path(spark, "students_json")
+    docs.select(line.alias("value")).write.text(path)
+    schema = "doc_seq long, _id string, createdAt string, updatedAt string"
+    return read_extended_json(spark, path, schema, date_cols=("createdAt", "updatedAt"), multi_line=False)

@@ -209,3 +209,36 @@ ORACLE.update({
     "stream_dedup": q(_EVENTS + "SELECT course_id, course_name, title, updated_at, _offset FROM ev_all"),
     "stream_upsert_courses": q("SELECT course_key, course_id, course_name, created_at FROM dim_course"),
 })
+
+ORACLE.update({
+    "dedupe_checksum": q("SELECT o_orderkey AS doc_seq, 'batch-' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') "
+                         "AS _batch_id FROM doc"),
+    "missing_partitions": q("""
+, present AS (SELECT DISTINCT CAST(ingested_ts AS DATE) AS ds FROM doc WHERE ingested_ts IS NOT NULL)
+SELECT CAST(g.ds AS DATE) AS ds
+FROM (SELECT unnest(generate_series(min(ds), max(ds), INTERVAL 1 DAY)) AS ds FROM present) g
+WHERE CAST(g.ds AS DATE) NOT IN (SELECT ds FROM present)"""),
+    "retention_tier": q("""
+, parts AS (
+  SELECT DISTINCT 'students' AS collection, strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS ds FROM doc
+  UNION
+  SELECT DISTINCT 'courses', ingest_date FROM (SELECT '2023-12-31' AS ingest_date UNION ALL
+                                              SELECT strftime(ts, '%Y-%m-%d') FROM events)
+)
+SELECT collection, ds, CAST(DATE '2024-02-01' - CAST(ds AS DATE) AS INTEGER) AS age_days,
+       CASE WHEN DATE '2024-02-01' - CAST(ds AS DATE) <= 30 THEN 'hot'
+            WHEN DATE '2024-02-01' - CAST(ds AS DATE) <= 90 THEN 'warm'
+            WHEN DATE '2024-02-01' - CAST(ds AS DATE) <= 365 THEN 'cold' ELSE 'delete' END AS tier,
+       DATE '2024-02-01' - CAST(ds AS DATE) > 40 AS stale_in_hot
+FROM parts"""),
+    "upsert_dim": ORACLE["dim_student"],
+    "replace_partition": ORACLE["fact_student_daily"],
+    "table_roundtrip": ORACLE["bronze_batch_metadata"],
+    "jsonl_tolerant_scan": q(_EVENTS + "SELECT event_id, course_id, course_name, title, _offset FROM ev_all"),
+    "extended_json_scan": q(f"""
+SELECT o_orderkey AS doc_seq, {_ENTITY} AS _id,
+       CASE WHEN o_orderkey % 31 = 0 THEN 'bad' ELSE {_ISO3.format(x="o_orderdate - INTERVAL 30 DAY")} END AS createdAt,
+       CASE WHEN o_orderkey % 29 = 0 THEN '' WHEN o_orderkey % 37 = 0 THEN {_ISO0.format(x="date_trunc('second', upd_raw)")}
+            ELSE {_ISO3.format(x="upd_raw")} END AS updatedAt
+FROM doc"""),
+})

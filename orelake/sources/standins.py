@@ -64,7 +64,9 @@ def _enrolments(spark: SparkSession, sf_dir: str) -> DataFrame:
                F.when(F.col("l_linestatus") == "F", F.lit("full")).otherwise(F.lit("trial"))).alias("accessType"),
         F.array().cast("array<string>").alias("progress"),
     )
-    return li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(element).alias("courses"))
+    # sorted: the array content must not depend on the order rows arrive in
+    return li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.array_sort(F.collect_list(element)).alias("courses"))
 
 
 def student_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
