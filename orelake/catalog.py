@@ -270,8 +270,9 @@ def _land_course_events(spark, sf_dir, root: str, redeliver: bool = False) -> st
                    .withColumn("arrival", F.col("arrival") + 1))
         ev = ev.unionByName(again)
     weeks = [r["arrival"] for r in ev.select("arrival").distinct().orderBy("arrival").collect()]
-    for w in weeks:  # a handful of arrival weeks, each written as one batch of files
-        ev.filter(F.col("arrival") == w).drop("arrival").write.mode("append").json(root)
+    from orelake.streaming.producer import publish_events
+    for w in weeks:  # a handful of arrival weeks, each published as one batch of files
+        publish_events(ev.filter(F.col("arrival") == w).drop("arrival"), root)
     return root
 
 

@@ -35,3 +35,14 @@ def course_change_events(docs: DataFrame, event_time, name_field: str = "course_
         F.coalesce(pick("created_at", "createdAt"), F.lit("")).alias("created_at"),
         F.coalesce(pick("updated_at", "updatedAt"), F.lit("")).alias("updated_at"),
     )
+
+
+def publish_events(events: DataFrame, target: str, fmt: str = "json", options: dict | None = None) -> None:
+    """Publish events: ``to_json(struct(*))`` as the record value to a topic (``fmt="kafka"``,
+    ``target`` = topic), or as JSON lines appended to a landing folder."""
+    if fmt == "kafka":
+        (events.select(F.col("course_id").cast("string").alias("key"),
+                       F.to_json(F.struct(*events.columns)).alias("value"))
+         .write.format("kafka").option("topic", target).options(**(options or {})).save())
+    else:
+        events.write.mode("append").options(**(options or {})).json(target)
