@@ -35,6 +35,9 @@ def main() -> None:
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("orelake-bench")
              .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.shuffle.partitions", cpus).config("spark.driver.memory", "16g")
+             # AQE merges small shuffle partitions down to this size; the default (1 MB) leaves
+             # CPU-heavy text parsing of a few-MB shuffle on one or two tasks.
+             .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     if not spark.conf.get("spark.checkpoint.dir", None):

@@ -33,4 +33,6 @@ def alias_path(json_col, *fields: str) -> Column:
 def unify_extended(col, wrapper: str) -> Column:
     """Plain value or its extended-JSON wrapper (``{"$oid": ..}``, ``{"$date": ..}``) -> text."""
     c = _c(col)
-    return F.coalesce(F.get_json_object(c, f"$['{wrapper}']"), c)
+    # only text that can be a JSON object is parsed; plain values pass through untouched
+    maybe_object = F.ltrim(c).startswith("{")
+    return F.coalesce(F.when(maybe_object, F.get_json_object(c, f"$['{wrapper}']")), c)

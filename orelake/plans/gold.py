@@ -59,9 +59,14 @@ def dim_city(silver: DataFrame, run_ts) -> DataFrame:
         _ts(run_ts).alias("created_at"))
 
 
-def dim_course(silver_courses: DataFrame, run_ts, order: tuple[str, ...] = ("ingest_ds",)) -> DataFrame:
-    """One row per course id; a later slice replaces an earlier one (upsert by key)."""
-    latest = latest_by_key(silver_courses, ["course_id"], list(order) + ["updated_at", "course_name"])
+def dim_course(silver_courses: DataFrame, run_ts, order: tuple[str, ...] = ("ingest_ds",),
+               unique: bool = False) -> DataFrame:
+    """One row per course id; a later slice replaces an earlier one (upsert by key).
+
+    ``unique=True``: the input already holds one row per course.
+    """
+    latest = silver_courses if unique else latest_by_key(
+        silver_courses, ["course_id"], list(order) + ["updated_at", "course_name"])
     return latest.select(
         surrogate_key("course_id").alias("course_key"), "course_id",
         F.coalesce("course_name", F.lit("UNKNOWN")).alias("course_name"),

@@ -6,7 +6,7 @@ the latest-day filter, sort and top-k stay inside the plan.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orelake.functions import percent_text, region_key
@@ -95,12 +95,17 @@ def region_map(fact: DataFrame, dates: DataFrame, cities: DataFrame, boundaries:
 def top_courses_latest(mart: DataFrame, dates: DataFrame, k: int = 12) -> DataFrame:
     """KPI-8: the ``k`` largest (region, course) enrolments of the latest day.
 
-    Ties are broken by course name, region and course key, so the top-k is
-    deterministic; ``orderBy().limit(k)`` plans as a per-task top-k.
+    One pass: sorted by day (newest first), count, course name, region and
+    course key, the first ``k`` rows hold the latest day's top-k first;
+    ``orderBy().limit(k)`` plans as a per-task top-k.  The rows of earlier
+    days that fill the remaining places are dropped with a window over the
+    ``k`` result rows (bounded by ``k``, not by the data).
     """
     j = mart.join(dates.select("date_key", "date_value"), "date_key")
-    last = keep_latest(j, "date_value")
-    return last.orderBy(F.col("enrolled_students_count").desc(), "course_name", "region_name", "course_key").limit(k) \
+    top = j.orderBy(F.col("date_value").desc(), F.col("enrolled_students_count").desc(), "course_name",
+                    "region_name", "course_key").limit(k)
+    newest = F.max("date_value").over(Window.partitionBy())
+    return top.withColumn("__newest", newest).filter(F.col("date_value") == F.col("__newest")) \
         .select("date_value", "region_name", "course_key", "course_name", "enrolled_students_count")
 
 

@@ -31,17 +31,42 @@ def bronze_path_of(slice_col: str = "_partition_key"):
     return F.concat(F.lit(BRONZE_ROOT + "/"), F.col(slice_col))
 
 
+_PLANS: dict = {}
+
+
+def _memo(kind: str, spark: SparkSession, sf_dir: str, build):
+    """Keep built (lazy, unexecuted) plans per session and input folder.
+
+    Only the plan objects are shared, never data: each action still runs
+    from the scans.  Saves re-analysing the deep stand-in / silver plans.
+    """
+    key = (kind, id(spark), sf_dir)
+    hit = _PLANS.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, build())
+        _PLANS[key] = hit
+    return hit[1]
+
+
 def silver_students(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(clean, quarantine) silver student tables of every day slice."""
     prepare_session(spark)
-    std = standardize_students(bronze_students(spark, sf_dir), RUN_TS, SILVER_BATCH_ID)
-    return split_clean_quarantine(std, bronze_path_of(), RUN_TS)
+
+    def build():
+        std = standardize_students(bronze_students(spark, sf_dir), RUN_TS, SILVER_BATCH_ID)
+        return split_clean_quarantine(std, bronze_path_of(), RUN_TS)
+    return _memo("silver_students", spark, sf_dir, build)
 
 
 def silver_courses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver courses: the last event per course in each ingest day."""
     prepare_session(spark)
-    return standardize_courses(course_events(spark, sf_dir), "ingest_ds")
+    return _memo("silver_courses", spark, sf_dir,
+                 lambda: standardize_courses(course_events(spark, sf_dir), "ingest_ds"))
+
+
+# Silver columns the gold facts and the city / date dimensions read.
+CORE_COLUMNS = ["_partition_key", "entity_id", "city", "is_paid_student", "enrolled_courses"]
 
 
 class Lake:
@@ -58,8 +83,20 @@ class Lake:
 
     @cached_property
     def silver_clean(self) -> DataFrame:
+        """The full silver student table (profile columns for ``dim_student``)."""
         clean, _ = silver_students(self.spark, self.sf_dir)
-        return materialize(clean, "silver_students") if self.shared else clean
+        return clean
+
+    @cached_property
+    def silver_core(self) -> DataFrame:
+        """The silver columns the facts and city / date dimensions need.
+
+        Shared: written once to the checkpoint folder, so the fact, the
+        dimensions and the enrolment fact of one plan read it instead of each
+        recomputing silver; only these columns are computed for it.
+        """
+        core = self.silver_clean.select(*CORE_COLUMNS)
+        return materialize(core, "silver_core") if self.shared else core
 
     @cached_property
     def silver_courses(self) -> DataFrame:
@@ -67,15 +104,18 @@ class Lake:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return G.dim_date(self.silver_clean)
+        return G.dim_date(self.silver_core)
 
     @cached_property
     def dim_city(self) -> DataFrame:
-        return G.dim_city(self.silver_clean, RUN_TS)
+        return G.dim_city(self.silver_core, RUN_TS)
 
     @cached_property
     def dim_course(self) -> DataFrame:
-        return G.dim_course(self.silver_courses, RUN_TS)
+        # one newest-wins pass over all events equals "last per day, then latest day":
+        # the ingest day is the date of the ingest time that orders the events.
+        latest = standardize_courses(course_events(self.spark, self.sf_dir), None)
+        return G.dim_course(latest, RUN_TS, order=(), unique=True)
 
     @cached_property
     def dim_student(self) -> DataFrame:
@@ -83,7 +123,7 @@ class Lake:
 
     @cached_property
     def fact_student_daily(self) -> DataFrame:
-        return G.fact_student_daily(self.silver_clean, RUN_TS)
+        return G.fact_student_daily(self.silver_core, RUN_TS)
 
     @cached_property
     def mv_paid_students_daily(self) -> DataFrame:
@@ -91,7 +131,7 @@ class Lake:
 
     @cached_property
     def fact_course_enrollment_event(self) -> DataFrame:
-        return G.fact_course_enrollment_event(self.silver_clean, AS_OF, RUN_TS)
+        return G.fact_course_enrollment_event(self.silver_core, AS_OF, RUN_TS)
 
     @cached_property
     def mv_course_enrollment_region_daily(self) -> DataFrame:

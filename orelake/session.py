@@ -64,3 +64,16 @@ def table(spark: SparkSession, sf_dir: str, name: str):
         df = spark.read.parquet(path)
         _READERS[key] = df
     return df
+
+
+def spread(df):
+    """Round-robin an input that arrives in fewer partitions than the cluster has cores.
+
+    A large table is already read by many tasks and is returned unchanged; a
+    one-file table would otherwise run every per-row expression of its
+    first stage in a single task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 <= cores:
+        return df.repartition(cores)
+    return df

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orelake.functions import iso_z
-from orelake.session import table
+from orelake.session import spread, table
 
 # First day used as the ingest time of the course bootstrap.
 COURSE_BOOTSTRAP_TS = "2023-12-31 00:00:00"
@@ -166,7 +166,7 @@ def course_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     visible in the result.  ``_offset`` orders events within one ingest time.
     """
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    boot = part.select(
+    boot = spread(part).select(
         F.concat(F.lit("boot-"), F.col("p_partkey").cast("string")).alias("event_id"),
         F.lit(COURSE_BOOTSTRAP_TS + "Z").alias("event_time"),
         F.col("p_partkey").cast("string").alias("course_id"),
@@ -178,7 +178,7 @@ def course_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(COURSE_BOOTSTRAP_TS + "Z").alias("_ingested_at"),
         F.col("p_partkey").cast("long").alias("_offset"),
     )
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "props")
+    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "props"))
     k = F.get_json_object("props", "$.k")
     ev = ev.join(part, k.cast("long") == F.col("p_partkey"), "left")
     name = F.concat_ws(" ", F.coalesce("p_name", F.lit("course")), F.concat(F.lit("("), F.col("event_type"), F.lit(")")))
