@@ -122,7 +122,7 @@ def q_kpi_top(spark, sf_dir):
 
 @register("kpi_access_mix")
 def q_kpi_access(spark, sf_dir):
-    return kpi.access_mix(lake.gold(spark, sf_dir).fact_course_enrollment_event)
+    return kpi.access_mix(lake.gold(spark, sf_dir, shared=False).fact_course_enrollment_event)
 
 
 @register("kpi_region_map")
@@ -230,6 +230,18 @@ def q_bronze_cursor_drain(spark, sf_dir):
     return course_change_events(after, lake.RUN_TS, name_field="course_name")
 
 
+@register("bronze_cursor_poll")
+def q_bronze_cursor_poll(spark, sf_dir):
+    """One poll of the course collection: the next 50 documents after the stored id cursor."""
+    from orelake.operators import incremental_scan
+    from orelake.sources import course_documents
+    from orelake.streaming.producer import course_change_events, valid_cursor
+    cursor = f"{COURSE_CURSOR_KEY:024x}"
+    batch = incremental_scan(course_documents(spark, sf_dir), "_id", cursor if valid_cursor(cursor) else None,
+                             tie="_id", limit=50)
+    return course_change_events(batch, lake.RUN_TS, name_field="course_name")
+
+
 @register("bronze_email_lookup")
 def q_bronze_email(spark, sf_dir):
     from orelake.operators import lookup_email

@@ -242,3 +242,5 @@ SELECT o_orderkey AS doc_seq, {_ENTITY} AS _id,
             ELSE {_ISO3.format(x="upd_raw")} END AS updatedAt
 FROM doc"""),
 })
+
+ORACLE["bronze_cursor_poll"] = ORACLE["bronze_cursor_drain"] + " ORDER BY course_id LIMIT 50"
