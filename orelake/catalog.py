@@ -326,7 +326,7 @@ def q_stream_upsert(spark, sf_dir):
     stream_to_bronze(spark, src, bronze, scratch_path(spark, "ckpt"), ingest_time_col="event_time",
                      options={"maxFilesPerTrigger": 8}).awaitTermination()
     upsert_stream(spark, bronze, table_root, scratch_path(spark, "ckpt"),
-                  options={"maxFilesPerTrigger": 4}).awaitTermination()
+                  options={"maxFilesPerTrigger": 16}).awaitTermination()
     return dim_course_from_state(read_current(spark, table_root), lake.RUN_TS)
 
 
