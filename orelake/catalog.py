@@ -300,7 +300,7 @@ def q_stream_course_events(spark, sf_dir):
     from orelake.streaming.course_feed import BRONZE_EVENT_SCHEMA, stream_to_bronze
     src = _land_course_events(spark, sf_dir, scratch_path(spark, "topic"))
     out, ckpt = scratch_path(spark, "bronze_stream"), scratch_path(spark, "ckpt")
-    stream_to_bronze(spark, src, out, ckpt, options={"maxFilesPerTrigger": 8},
+    stream_to_bronze(spark, src, out, ckpt, options={"maxFilesPerTrigger": 32},
                      ingest_time_col="event_time").awaitTermination()
     bronze = spark.read.schema(BRONZE_EVENT_SCHEMA + ", ingest_date string").json(out)
     return bronze.select("event_id", "course_id", "course_name", "title", "_offset", "_ingested_at", "ingest_date")
@@ -324,7 +324,7 @@ def q_stream_upsert(spark, sf_dir):
     src = _land_course_events(spark, sf_dir, scratch_path(spark, "topic"), redeliver=True)
     bronze, table_root = scratch_path(spark, "bronze_stream"), scratch_path(spark, "course_state")
     stream_to_bronze(spark, src, bronze, scratch_path(spark, "ckpt"), ingest_time_col="event_time",
-                     options={"maxFilesPerTrigger": 8}).awaitTermination()
+                     options={"maxFilesPerTrigger": 1000}).awaitTermination()
     upsert_stream(spark, bronze, table_root, scratch_path(spark, "ckpt"),
                   options={"maxFilesPerTrigger": 16}).awaitTermination()
     return dim_course_from_state(read_current(spark, table_root), lake.RUN_TS)

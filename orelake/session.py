@@ -34,11 +34,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - no SparkContext on a remote (Connect) session
+            root = None
     if not root:
         root = tempfile.mkdtemp(prefix="orelake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:  # noqa: BLE001
+            pass
     return root.rstrip("/")
 
 
@@ -73,7 +79,11 @@ def spread(df):
     one-file table would otherwise run every per-row expression of its
     first stage in a single task.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 <= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - remote (Connect) session: leave the input as it is
+        return df
+    if parts * 2 <= cores:
         return df.repartition(cores)
     return df
