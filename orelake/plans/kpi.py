@@ -76,15 +76,26 @@ def region_rank_latest(fact: DataFrame, dates: DataFrame, cities: DataFrame) ->
     return last.orderBy(F.col("paid_rate_pct").desc(), F.col("region_name"))
 
 
-def region_map(fact: DataFrame, dates: DataFrame, cities: DataFrame, boundaries: DataFrame,
-               name_col: str = "shape_name") -> DataFrame:
+# The part of a boundary feature collection the map join reads.
+FEATURES_SCHEMA = "struct<features: array<struct<properties: struct<shapeName: string>>>>"
+
+
+def boundary_features(collections: DataFrame, json_col: str = "geojson") -> DataFrame:
+    """Feature collections (JSON text) -> one row per feature with its ``shape_name``."""
+    parsed = collections.select(F.from_json(F.col(json_col), FEATURES_SCHEMA).alias("fc"))
+    return parsed.select(F.explode("fc.features").alias("f")).select(F.col("f.properties.shapeName").alias("shape_name"))
+
+
+def region_map(fact: DataFrame, dates: DataFrame, cities: DataFrame, collections: DataFrame) -> DataFrame:
     """KPI-7: latest-day region KPIs matched to boundary features by normalised name.
 
-    ``boundaries`` has one row per boundary feature; regions without a
-    feature are kept (``has_boundary`` false).
+    ``collections`` holds boundary feature collections as JSON text; their
+    features are exploded and keyed like the region names.  Regions without
+    a feature are kept (``has_boundary`` false).
     """
     last = keep_latest(region_daily_paid(fact, dates, cities), "date_value")
-    feats = boundaries.select(region_key(name_col).alias("region_key"), F.col(name_col).alias("shape_name"))
+    feats = boundary_features(collections)
+    feats = feats.select(region_key("shape_name").alias("region_key"), "shape_name")
     feats = feats.groupBy("region_key").agg(F.min("shape_name").alias("shape_name"))
     keyed = last.withColumn("region_key", region_key("region_name"))
     out = keyed.join(feats, "region_key", "left")

@@ -145,12 +145,15 @@ def gold(spark: SparkSession, sf_dir: str, shared: bool = True) -> Lake:
 
 
 def region_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boundary features, one per region (stand-in for a GeoJSON feature list).
+    """Boundary feature collections (GeoJSON-like text), one per region row.
 
-    ``shape_name`` is written the way boundary files spell names
+    ``shapeName`` is written the way boundary files spell names
     (``Middle-East``), so matching needs the region-key normalisation.
     """
     from orelake.functions import capitalize_first
     from orelake.session import table
     r = table(spark, sf_dir, "region")
-    return r.select(capitalize_first(F.replace(F.lower("r_name"), F.lit(" "), F.lit("-"))).alias("shape_name"))
+    name = capitalize_first(F.replace(F.lower("r_name"), F.lit(" "), F.lit("-")))
+    feature = F.struct(F.lit("Feature").alias("type"), F.struct(name.alias("shapeName")).alias("properties"))
+    doc = F.struct(F.lit("FeatureCollection").alias("type"), F.array(feature).alias("features"))
+    return r.select(F.to_json(doc).alias("geojson"))

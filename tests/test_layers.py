@@ -96,3 +96,20 @@ def test_invariants_on_stand_in_tables(spark):
     daily = fact.groupBy("date_key").agg(F.sum("student_total_count").alias("n"))
     assert sorted(regions.collect()) == sorted(daily.collect())
     assert g.dim_student.count() == g.dim_student.select("student_key").distinct().count()
+
+
+def test_region_map_matches_boundary_names(spark):
+    import datetime as dt2
+    from orelake.plans import kpi
+    fact = spark.createDataFrame([(20240101, "k1", 10, 5), (20240101, "k2", 4, 1), (20231201, "k1", 3, 3)],
+                                 "date_key int, city_key string, student_total_count long, student_paid_count long")
+    dates = spark.createDataFrame([(20240101, dt2.date(2024, 1, 1)), (20231201, dt2.date(2023, 12, 1))],
+                                  "date_key int, date_value date")
+    cities = spark.createDataFrame([("k1", "MIDDLE EAST"), ("k2", "UNKNOWN")], "city_key string, region_name string")
+    geo = spark.createDataFrame(
+        [('{"type":"FeatureCollection","features":[{"properties":{"shapeName":"Middle-East"}},'
+          '{"properties":{"shapeName":"Sidi_Bou\'Zid"}}]}',)], "geojson string")
+    rows = {r.region_name: r for r in kpi.region_map(fact, dates, cities, geo).collect()}
+    assert set(rows) == {"MIDDLE EAST", "UNKNOWN"}
+    assert rows["MIDDLE EAST"].has_boundary and rows["MIDDLE EAST"].shape_name == "Middle-East"
+    assert rows["MIDDLE EAST"].paid_rate_pct == 50.0 and not rows["UNKNOWN"].has_boundary
