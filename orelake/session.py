@@ -72,12 +72,13 @@ def table(spark: SparkSession, sf_dir: str, name: str):
     return df
 
 
-def spread(df):
-    """Round-robin an input that arrives in fewer partitions than the cluster has cores.
+def spread(df, key: str | None = None):
+    """Spread an input that arrives in fewer partitions than the cluster has cores.
 
     A large table is already read by many tasks and is returned unchanged; a
     one-file table would otherwise run every per-row expression of its
-    first stage in a single task.
+    first stage in a single task.  With ``key`` the rows are hash-partitioned
+    on it (deterministic without the local sort a round-robin needs).
     """
     try:
         cores = df.sparkSession.sparkContext.defaultParallelism
@@ -85,5 +86,5 @@ def spread(df):
     except Exception:  # noqa: BLE001 - remote (Connect) session: leave the input as it is
         return df
     if parts * 2 <= cores:
-        return df.repartition(cores)
+        return df.repartition(cores, key) if key else df.repartition(cores)
     return df

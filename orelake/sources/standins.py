@@ -168,7 +168,7 @@ def course_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     visible in the result.  ``_offset`` orders events within one ingest time.
     """
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    boot = spread(part).select(
+    boot = spread(part, "p_partkey").select(
         F.concat(F.lit("boot-"), F.col("p_partkey").cast("string")).alias("event_id"),
         F.lit(COURSE_BOOTSTRAP_TS + "Z").alias("event_time"),
         F.col("p_partkey").cast("string").alias("course_id"),
@@ -180,7 +180,7 @@ def course_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(COURSE_BOOTSTRAP_TS + "Z").alias("_ingested_at"),
         F.col("p_partkey").cast("long").alias("_offset"),
     )
-    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "props"))
+    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "props"), "event_id")
     k = F.get_json_object("props", "$.k")
     ev = ev.join(part, k.cast("long") == F.col("p_partkey"), "left")
     name = F.concat_ws(" ", F.coalesce("p_name", F.lit("course")), F.concat(F.lit("("), F.col("event_type"), F.lit(")")))
