@@ -18,7 +18,7 @@ def bronze(spark, rows):
 
 
 def row(_id, created="2024-01-01T00:00:00Z", updated="2024-01-02T00:00:00Z", ingested="2024-01-03T00:00:00Z",
-        batch="b1", courses="[]", city="Tunis, Ariana"):
+        batch="b1", courses="[]", city="North, Harbor"):
     return (_id, "u", "o'neil", "+216 20-1", city, " ACTIVE ", "yes", courses, created, updated, ingested, batch,
             "2024-01-03", "UPSERT", "watermark")
 
@@ -108,7 +108,7 @@ def test_region_map_matches_boundary_names(spark):
     cities = spark.createDataFrame([("k1", "MIDDLE EAST"), ("k2", "UNKNOWN")], "city_key string, region_name string")
     geo = spark.createDataFrame(
         [('{"type":"FeatureCollection","features":[{"properties":{"shapeName":"Middle-East"}},'
-          '{"properties":{"shapeName":"Sidi_Bou\'Zid"}}]}',)], "geojson string")
+          '{"properties":{"shapeName":"Port_Saint\'Anne"}}]}',)], "geojson string")
     rows = {r.region_name: r for r in kpi.region_map(fact, dates, cities, geo).collect()}
     assert set(rows) == {"MIDDLE EAST", "UNKNOWN"}
     assert rows["MIDDLE EAST"].has_boundary and rows["MIDDLE EAST"].shape_name == "Middle-East"
