@@ -4,8 +4,9 @@ Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_QUERIES (comma list, default: the headline set).  Each query is run to
 completion with a ``noop`` write (every column computed, nothing shipped to
 the driver); time includes planning.  One untimed warm-up pass over the same
-queries runs first (warm JVM, as the baseline figures were taken); every
-timed query recomputes its data from the Parquet tables.
+queries runs first (warm JVM, as the baseline figures were taken), then
+``BENCH_PASSES`` (default 3) timed passes; each query reports its median.
+Every timed run recomputes its data from the Parquet tables.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import tempfile
 import time
@@ -49,11 +51,14 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n in QUERIES]
     for name in names:  # warm-up pass (JIT, class loading, file listing)
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    times = {}
-    for name in names:
-        t0 = time.time()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.time() - t0, 3)
+    passes = int(os.environ.get("BENCH_PASSES", "3"))
+    runs: dict[str, list[float]] = {name: [] for name in names}
+    for _ in range(passes):
+        for name in names:
+            t0 = time.time()
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            runs[name].append(time.time() - t0)
+    times = {name: round(statistics.median(v), 3) for name, v in runs.items()}
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf}))
     spark.stop()
