@@ -34,3 +34,26 @@ def test_run_day_idempotent_and_incremental(spark, tmp_root):
     assert ds.count() == ds.select("student_key").distinct().count()
     meta = spark.read.json(f"{tmp_root}/gold/_metrics")
     assert meta.count() == 2
+
+
+def test_run_day_with_course_events(spark, tmp_root):
+    from orelake.session import scratch_path
+    from orelake.sources import course_events
+    from orelake.streaming.course_feed import stream_to_bronze
+    from orelake.streaming.producer import publish_events
+    topic, bronze = scratch_path(spark, "topic"), scratch_path(spark, "bronze_events")
+    publish_events(course_events(spark, SF_SMALL).drop("_ingested_at", "ingest_ds"), topic)
+    stream_to_bronze(spark, topic, bronze, scratch_path(spark, "ckpt"), ingest_time_col="event_time").awaitTermination()
+    inputs = DayInputs(students=student_documents(spark, SF_SMALL), users=user_documents(spark, SF_SMALL),
+                       course_events_dir=bronze, tie_col="doc_seq")
+    run_day(spark, "2024-01-05", tmp_root, inputs, as_of=AS_OF, run_ts=TS1, batch_size=300)
+    g = read_gold(spark, tmp_root)
+    courses = g["dim_course"]
+    day_events = spark.read.json(bronze).filter(F.col("ingest_date") == "2024-01-05")
+    expected = day_events.filter(F.trim("course_id") != "").select("course_id").distinct().count()
+    assert courses.count() == expected > 0
+    assert courses.count() == courses.select("course_key").distinct().count()
+    mart = g["mv_course_enrollment_region_daily"]
+    assert mart.count() > 0
+    named = mart.filter(F.col("course_name") != "UNKNOWN").count()
+    assert 0 < named <= mart.count()
