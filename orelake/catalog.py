@@ -1,7 +1,7 @@
 """Registered queries: name -> callable(spark, sf_dir) -> DataFrame.
 
 Each one reads the provided tables and runs over all of their rows; the
-matching DuckDB statement is in ``orelake.oracle``.
+matching DuckDB statement is in ``orelake.oracle_queries`` (shared CTEs in ``orelake.oracle``).
 """
 
 from __future__ import annotations

@@ -7,13 +7,13 @@ the ``as_of`` instant are fixed parameters, so every result is repeatable.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orelake.plans.bronze import bronze_students
-from functools import cached_property
-
 from orelake.plans import gold as G
+from orelake.plans.bronze import bronze_students
 from orelake.plans.silver import split_clean_quarantine, standardize_courses, standardize_students
 from orelake.session import prepare_session
 from orelake.sinks import materialize
@@ -72,10 +72,11 @@ CORE_COLUMNS = ["_partition_key", "entity_id", "city", "is_paid_student", "enrol
 class Lake:
     """Silver and gold tables over the provided tables, built on first use.
 
-    With ``shared=True`` the silver student table is written once to the
-    shared checkpoint folder and every gold table reads it back, as the
-    layered pipeline stores silver; a plan that needs silver once can keep
-    it inline (``shared=False``).
+    With ``shared=True`` the silver columns the facts and the city / date
+    dimensions need are written once to the shared checkpoint folder and
+    those tables read them back (the layered pipeline stores silver too);
+    a plan with a single consumer keeps silver inline (``shared=False``),
+    so column pruning reaches the source scans.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, shared: bool = True):
