@@ -99,3 +99,23 @@ def test_health_checks(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2)], "x string, y int")
     sums = df.select(health.row_checksum(["x", "y"]).alias("c")).distinct().count()
     assert sums == 2
+
+
+def test_extended_json_array_files(spark, tmp_root):
+    import json
+    import os
+    from orelake.sources import read_extended_json, read_jsonl_tolerant
+    os.makedirs(f"{tmp_root}/seed")
+    docs = [{"_id": "plain-1", "createdAt": "2024-01-01T00:00:00Z", "name": "a"},
+            {"_id": {"$oid": "65a0c0ffee0000000000beef"}, "createdAt": {"$date": "2024-01-02T00:00:00.000Z"}, "name": "b"}]
+    with open(f"{tmp_root}/seed/students.json", "w", encoding="utf-8") as fh:
+        json.dump(docs, fh, indent=2)
+    df = read_extended_json(spark, f"{tmp_root}/seed", "_id string, createdAt string, name string",
+                            date_cols=("createdAt",))
+    got = sorted((r._id, r.createdAt, r.name) for r in df.collect())
+    assert got == [("65a0c0ffee0000000000beef", "2024-01-02T00:00:00.000Z", "b"),
+                   ("plain-1", "2024-01-01T00:00:00Z", "a")]
+    os.makedirs(f"{tmp_root}/lines")
+    with open(f"{tmp_root}/lines/a.jsonl", "w", encoding="utf-8") as fh:
+        fh.write('{"a": 1}\n\n{"a": \n   \n{"a": 2}\n')
+    assert sorted(r.a for r in read_jsonl_tolerant(spark, f"{tmp_root}/lines", "a int").collect()) == [1, 2]
