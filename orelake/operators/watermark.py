@@ -15,7 +15,8 @@ def incremental_scan(src: DataFrame, wm_col: str, wm=None, tie: str = "_id",
       ``wm`` but with a larger tie value are kept too, so a batch limit never
       strands rows that share the boundary value.
     * ``until`` optionally bounds the scan from above (inclusive).
-    * ``limit`` is the batch size; ``None`` drains everything after the cursor.
+    * ``limit`` is the batch size; ``None`` drains everything after the cursor
+      (unordered: the order only decides which rows fill a limited batch).
 
     Filter first, then ``orderBy().limit()`` -> ``TakeOrderedAndProject``: each
     task keeps only its ``limit`` best rows, so the batch limit never sorts
@@ -30,8 +31,11 @@ def incremental_scan(src: DataFrame, wm_col: str, wm=None, tie: str = "_id",
         out = out.filter(cond)
     if until is not None:
         out = out.filter(F.col(wm_col) <= F.lit(until))
+    if limit is None:
+        # a full drain needs no order: sorting everything would only cost a range shuffle
+        return out
     out = out.orderBy(F.col(wm_col).asc_nulls_first(), F.col(tie).asc_nulls_first())
-    return out.limit(limit) if limit is not None else out
+    return out.limit(limit)
 
 
 def next_watermark(batch: DataFrame, wm_col: str, old=None, tie: str = "_id") -> DataFrame:

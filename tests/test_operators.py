@@ -38,10 +38,12 @@ def test_incremental_scan_cursor_and_ties(spark):
     nxt = next_watermark(incremental_scan(df, "u", t(2020, 1, 1), tie="id", limit=2), "u", t(2020, 1, 1), tie="id").first()
     assert (nxt.watermark, nxt.watermark_tie, nxt.batch_rows) == (t(2020, 1, 2), "b", 2)
     # resuming from (2020-01-02, b) does not strand row c that shares the boundary value
-    rest = [r.id for r in incremental_scan(df, "u", nxt.watermark, tie="id", limit=None, tie_wm=nxt.watermark_tie).collect()]
+    rest = sorted(r.id for r in incremental_scan(df, "u", nxt.watermark, tie="id", limit=None, tie_wm=nxt.watermark_tie).collect())
     assert rest == ["c", "d"]
-    upto = [r.id for r in incremental_scan(df, "u", t(2020, 1, 1), tie="id", limit=None, until=t(2020, 1, 2)).collect()]
+    upto = sorted(r.id for r in incremental_scan(df, "u", t(2020, 1, 1), tie="id", limit=None, until=t(2020, 1, 2)).collect())
     assert upto == ["a", "b", "c"]
+    drain_plan = incremental_scan(df, "u", t(2020, 1, 1), tie="id", limit=None)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in drain_plan.lower()
 
 
 def test_next_watermark_empty_batch_keeps_old(spark):
