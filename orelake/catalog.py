@@ -159,6 +159,17 @@ def q_silver_quarantine(spark, sf_dir):
         "quarantine_reason", "source_table", "bronze_file_path", "quarantined_at", "_partition_key")
 
 
+@register("silver_title_case")
+def q_silver_title_case(spark, sf_dir):
+    """The text rules alone (FN-3..5): name title-cased after a strip, city capitalised then stripped."""
+    from orelake.functions import capitalize_first, py_strip, title_case
+    from orelake.plans.bronze import bronze_students
+    b = bronze_students(spark, sf_dir)
+    return b.select("doc_seq", title_case(py_strip("name")).alias("full_name"),
+                    py_strip(capitalize_first("city")).alias("city"),
+                    py_strip(F.lower("status")).alias("account_status"))
+
+
 @register("silver_courses")
 def q_silver_courses(spark, sf_dir):
     return lake.silver_courses(spark, sf_dir)
@@ -263,6 +274,18 @@ def q_bronze_stamped(spark, sf_dir):
     return bronze_students(spark, sf_dir).select(*BRONZE_STAMPED_OUT)
 
 
+@register("bronze_file_sizes")
+def q_bronze_file_sizes(spark, sf_dir):
+    """Bytes and files per day of the written bronze layer (AGG-12 sizes; rows-only check)."""
+    from orelake.plans.bronze import file_sizes
+    from orelake.plans.bronze import bronze_students
+    from orelake.session import scratch_path
+    from orelake.sinks import write_layer
+    path = scratch_path(spark, "bronze_students")
+    write_layer(bronze_students(spark, sf_dir), path, ["_partition_key"])
+    return file_sizes(spark, path, "_partition_key")
+
+
 @register("bronze_batch_metadata")
 def q_bronze_batch_metadata(spark, sf_dir):
     from orelake.plans.bronze import batch_metadata, bronze_students

@@ -244,3 +244,9 @@ FROM doc"""),
 })
 
 ORACLE["bronze_cursor_poll"] = ORACLE["bronze_cursor_drain"] + " ORDER BY course_id LIMIT 50"
+
+ORACLE["silver_title_case"] = q(f"""
+SELECT o_orderkey AS doc_seq, full_name,
+       CASE WHEN o_custkey % 13 = 0 THEN NULL ELSE city END AS city,
+       account_status
+FROM std0""")
