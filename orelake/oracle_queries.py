@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from orelake.oracle import AS_OF, RUN_TS, q  # noqa: F401
+from orelake.oracle import RUN_TS, q
 
 _RKEY = "coalesce(replace(replace(replace(replace(upper(trim({x})), '-', ''), '_', ''), '''', ''), ' ', ''), '')"
 

@@ -10,10 +10,6 @@ from orelake.functions import iso_z, unify_extended
 from orelake.operators import lookup_email
 from orelake.sources import student_documents, user_documents
 
-PROVENANCE = ["_operation", "_source", "_ingested_at", "_batch_id", "_table_name",
-              "_partition_key", "_quality_flags"]
-
-
 def _lit(v) -> Column:
     return v if isinstance(v, Column) else F.lit(v)
 

@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orelake.functions import (city_normalized, city_part, date_key, event_key,
-                               parse_ts, py_strip, region_part, surrogate_key)
-from orelake.operators import latest_by_key  # noqa: F401  (re-exported for the streaming merge)
+                               parse_ts, region_part, surrogate_key)
+from orelake.operators import latest_by_key
 
 # Alternative keys of one enrolment element, in priority order.
 COURSE_ID_KEYS = ["courseId", "course_id", "id", "_id"]

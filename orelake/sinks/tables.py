@@ -6,7 +6,6 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from orelake.operators import latest_by_key
 from orelake.session import scratch_path
