@@ -34,6 +34,7 @@ class DayInputs:
     users: DataFrame | None = None
     course_events_dir: str | None = None
     tie_col: str = "_id"
+    carry_email: bool = False
 
 
 def _paths(root: str) -> dict[str, str]:
@@ -77,12 +78,14 @@ def bronze_ingest(spark: SparkSession, inputs: DayInputs, ds: str, root: str, ru
     return written
 
 
-def silver_day(spark: SparkSession, ds: str, root: str, run_ts: str, course_events_dir: str | None = None) -> None:
+def silver_day(spark: SparkSession, ds: str, root: str, run_ts: str, course_events_dir: str | None = None,
+               carry_email: bool = False) -> None:
     """Bronze partition of ``ds`` -> silver clean (replaced) + quarantine; bronze course events of ``ds`` -> silver courses."""
     p = _paths(root)
     bronze = read_partition(spark, p["bronze/students"], "_partition_key", ds)
     require_rows(bronze, f"bronze students {ds}")
-    std = standardize_students(bronze, run_ts, str(uuid.uuid4()))
+    std = standardize_students(bronze, run_ts, str(uuid.uuid4()),
+                               carry_email=carry_email and "email" in bronze.columns)
     clean, quarantine = split_clean_quarantine(std, f"{p['bronze/students']}/_partition_key={ds}", run_ts)
     replace_partition(clean, p["silver/students"], "_partition_key")
     replace_partition(quarantine, p["silver/quarantine"], "_partition_key")
@@ -144,7 +147,7 @@ def run_day(spark: SparkSession, ds: str, root: str, inputs: DayInputs, as_of: s
     """Bronze ingest, silver and gold for one day; returns the gold run metrics."""
     prepare_session(spark)
     bronze_ingest(spark, inputs, ds, root, run_ts, batch_size)
-    silver_day(spark, ds, root, run_ts, inputs.course_events_dir)
+    silver_day(spark, ds, root, run_ts, inputs.course_events_dir, inputs.carry_email)
     return gold_day(spark, ds, root, as_of, run_ts)
 
 

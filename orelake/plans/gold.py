@@ -78,7 +78,8 @@ def dim_student(silver: DataFrame, run_ts) -> DataFrame:
 
     Later slices replace earlier ones; inside a slice the newest
     ``updated_at`` wins, then ``processed_at``, then the batch id.
-    E-mail stays NULL: personal data is kept in bronze only.
+    E-mail stays NULL (personal data is kept in bronze) unless silver
+    carries it (``carry_email`` in the silver step).
     """
     latest = latest_by_key(silver, ["entity_id"],
                            ["_partition_key", "updated_at", "processed_at", "bronze_batch_id"])
@@ -88,7 +89,7 @@ def dim_student(silver: DataFrame, run_ts) -> DataFrame:
         F.col("entity_id").cast("string").alias("student_id"),
         F.col("account_id").cast("string").alias("account_id"),
         F.col("full_name").cast("string").alias("full_name"),
-        F.lit(None).cast("string").alias("email"),
+        (F.col("email").cast("string") if "email" in silver.columns else F.lit(None).cast("string")).alias("email"),
         F.col("phone_number").cast("string").alias("phone_number"),
         F.md5(norm).alias("city_key"),
         city_part(norm).alias("city_name"),

@@ -31,10 +31,12 @@ def col_or_default(df: DataFrame, name: str, default=None, dtype: str = "string"
     return F.col(name) if name in df.columns else F.lit(default).cast(dtype)
 
 
-def standardize_students(bronze: DataFrame, run_ts, silver_batch_id, table_name: str = "students") -> DataFrame:
+def standardize_students(bronze: DataFrame, run_ts, silver_batch_id, table_name: str = "students",
+                         carry_email: bool = False) -> DataFrame:
     """Bronze student rows -> standardised columns (no rows dropped).
 
     Keeps ``_ingested_ts`` (parsed ingest time) for the de-duplication order.
+    The looked-up e-mail stays in bronze unless ``carry_email`` is set.
     """
     g = lambda n, d=None, t="string": col_or_default(bronze, n, d, t)
     ingested = parse_ts(g("_ingested_at"))
@@ -68,6 +70,7 @@ def standardize_students(bronze: DataFrame, run_ts, silver_batch_id, table_name:
         g("_partition_key").alias("_partition_key"),
         g("_checksum").alias("_checksum"),
         ingested.alias("_ingested_ts"),
+        *([py_strip(g("email")).alias("email")] if carry_email else []),
     )
 
 
@@ -101,7 +104,8 @@ def split_clean_quarantine(std: DataFrame, bronze_file_path, run_ts,
     flagged = std.withColumn("__bad", bad)
     best = latest_by_key(flagged, [*slice_cols, "entity_id"],
                          [F.col("__bad").asc(), "updated_at", "_ingested_ts", "bronze_batch_id"])
-    clean = best.filter(~F.col("__bad")).select(*SILVER_STUDENT_COLUMNS)
+    extra = ["email"] if "email" in std.columns else []
+    clean = best.filter(~F.col("__bad")).select(*SILVER_STUDENT_COLUMNS, *extra)
     reason = F.concat_ws(",", *[F.when(checks[name], F.lit(name)) for name in QUALITY_CHECKS])
     payload_cols = [c for c in std.columns if c != "_ingested_ts"]
     quarantine = flagged.filter(F.col("__bad")).select(

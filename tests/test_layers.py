@@ -113,3 +113,14 @@ def test_region_map_matches_boundary_names(spark):
     assert set(rows) == {"MIDDLE EAST", "UNKNOWN"}
     assert rows["MIDDLE EAST"].has_boundary and rows["MIDDLE EAST"].shape_name == "Middle-East"
     assert rows["MIDDLE EAST"].paid_rate_pct == 50.0 and not rows["UNKNOWN"].has_boundary
+
+
+def test_carry_email_option(spark):
+    rows = [row("a"), row("b")]
+    df = bronze(spark, rows).withColumn("email", F.when(F.col("_id") == "a", F.lit(" a@x.org ")))
+    for carry, expected in [(False, {"a": None, "b": None}), (True, {"a": "a@x.org", "b": None})]:
+        std = standardize_students(df, "2024-02-01 00:00:00", "s", carry_email=carry)
+        clean, _ = split_clean_quarantine(std, "p", "2024-02-01 00:00:00")
+        assert ("email" in clean.columns) == carry
+        got = {r.student_id: r.email for r in G.dim_student(clean, "2024-02-01 00:00:00").collect()}
+        assert got == expected
