@@ -20,6 +20,7 @@ from orelake.plans import gold as G
 from orelake.plans import kpi
 from orelake.plans.bronze import batch_metadata, normalize_documents, stamp_bronze
 from orelake.plans.silver import split_clean_quarantine, standardize_courses, standardize_students
+from orelake.schemas import conform, empty_table
 from orelake.session import prepare_session
 from orelake.sinks import (merge_upsert, read_current, replace_partition, write_json_record, write_layer,
                            write_version)
@@ -111,29 +112,32 @@ def gold_day(spark: SparkSession, ds: str, root: str, as_of: str, run_ts: str) -
     p = _paths(root)
     silver = read_partition(spark, p["silver/students"], "_partition_key", ds)
     require_rows(silver, f"silver students {ds}")
-    _upsert(spark, p["gold/dim_date"], G.dim_date(silver), ["date_key"])
-    cities = _upsert(spark, p["gold/dim_city"], G.dim_city(silver, run_ts), ["city_key"])
+    _upsert(spark, p["gold/dim_date"], conform(G.dim_date(silver), "dim_date"), ["date_key"])
+    cities = _upsert(spark, p["gold/dim_city"], conform(G.dim_city(silver, run_ts), "dim_city"), ["city_key"])
     try:
         courses_slice = read_partition(spark, p["silver/courses"], "ingest_ds", ds)
         has_courses = require_rows(courses_slice, f"silver courses {ds}", required=False)
     except Exception:  # noqa: BLE001 - no course layer yet: warn-and-skip, as the source does
         has_courses = False
     if has_courses:
-        courses = _upsert(spark, p["gold/dim_course"], G.dim_course(courses_slice, run_ts), ["course_key"])
+        courses = _upsert(spark, p["gold/dim_course"], conform(G.dim_course(courses_slice, run_ts), "dim_course"),
+                          ["course_key"])
     else:
         courses = read_current(spark, p["gold/dim_course"])
-    _upsert(spark, p["gold/dim_student"], G.dim_student(silver, run_ts), ["student_key"])
-    fact = G.fact_student_daily(silver, run_ts)
+    _upsert(spark, p["gold/dim_student"], conform(G.dim_student(silver, run_ts), "dim_student"), ["student_key"])
+    fact = conform(G.fact_student_daily(silver, run_ts), "fact_student_daily")
     replace_partition(fact, p["gold/fact_student_daily"], "date_key")
     key = int(ds.replace("-", ""))
     fact_day = read_partition(spark, p["gold/fact_student_daily"], "date_key", key)
-    replace_partition(G.mv_paid_students_daily(fact_day, run_ts), p["gold/mv_paid_students_daily"], "date_key")
-    replace_partition(G.fact_course_enrollment_event(silver, as_of, run_ts), p["gold/fact_course_enrollment_event"],
-                      "date_key")
+    replace_partition(conform(G.mv_paid_students_daily(fact_day, run_ts), "mv_paid_students_daily"),
+                      p["gold/mv_paid_students_daily"], "date_key")
+    replace_partition(conform(G.fact_course_enrollment_event(silver, as_of, run_ts), "fact_course_enrollment_event"),
+                      p["gold/fact_course_enrollment_event"], "date_key")
     enrol_day = read_partition(spark, p["gold/fact_course_enrollment_event"], "date_key", key)
     if courses is None:
-        courses = spark.createDataFrame([], "course_key string, course_name string")
-    replace_partition(G.mv_course_enrollment_region_daily(enrol_day, cities, courses, run_ts),
+        courses = empty_table(spark, "dim_course")
+    mart = G.mv_course_enrollment_region_daily(enrol_day, cities, courses, run_ts)
+    replace_partition(conform(mart, "mv_course_enrollment_region_daily"),
                       p["gold/mv_course_enrollment_region_daily"], "date_key")
     mv_day = read_partition(spark, p["gold/mv_paid_students_daily"], "date_key", key)
     metrics = kpi.run_metrics(fact_day, mv_day, enrol_day).withColumn("ds", F.lit(ds))
