@@ -63,3 +63,18 @@ def test_decode_topic_records(spark):
                                  "value binary, topic string, partition int, offset long")
     r = decode_topic_records(recs).first()
     assert (r.event_id, r.course_id, r._topic, r._partition, r._offset) == ("e1", "c1", "t", 3, 17)
+
+
+def test_processing_time_trigger_tails_new_files(spark, tmp_root):
+    src, out, ckpt = f"{tmp_root}/src", f"{tmp_root}/bronze", f"{tmp_root}/ckpt"
+    _land(src, "a.json", [json.dumps(_event(1, "c1", "A", "2024-01-01T10:00:00Z", 1))])
+    q = stream_to_bronze(spark, src, out, ckpt, trigger={"processingTime": "1 second"}, ingest_time_col="event_time")
+    try:
+        q.processAllAvailable()
+        _land(src, "b.json", [json.dumps(_event(2, "c2", "B", "2024-01-02T10:00:00Z", 2))])
+        q.processAllAvailable()
+        assert q.isActive
+    finally:
+        q.stop()
+    got = sorted(r.event_id for r in spark.read.schema(BRONZE_EVENT_SCHEMA + ", ingest_date string").json(out).collect())
+    assert got == ["e1", "e2"]
