@@ -115,7 +115,8 @@ class Lake:
     def dim_course(self) -> DataFrame:
         # one newest-wins pass over all events equals "last per day, then latest day":
         # the ingest day is the date of the ingest time that orders the events.
-        latest = standardize_courses(course_events(self.spark, self.sf_dir), None)
+        latest = _memo("courses_latest", self.spark, self.sf_dir,
+                       lambda: standardize_courses(course_events(self.spark, self.sf_dir), None))
         return G.dim_course(latest, RUN_TS, order=(), unique=True)
 
     @cached_property
