@@ -132,7 +132,7 @@ def mv_paid_students_daily(fact: DataFrame, refreshed_at) -> DataFrame:
                        _ts(refreshed_at).alias("refreshed_at"))
 
 
-def fact_course_enrollment_event(silver: DataFrame, as_of, run_ts) -> DataFrame:
+def fact_course_enrollment_event(silver: DataFrame, as_of, run_ts, dedupe: bool = True) -> DataFrame:
     """One row per (day, enrolment) from the students' enrolment lists.
 
     The list is exploded (inner: empty or missing lists give no rows); each
@@ -140,6 +140,9 @@ def fact_course_enrollment_event(silver: DataFrame, as_of, run_ts) -> DataFrame:
     ``md5(student|course|time)``, unique per day (a repeat inside one day
     keeps the element that expires last).  ``is_active`` compares the end
     time with the explicit ``as_of`` instant, so results are repeatable.
+
+    ``dedupe=False`` leaves repeated keys in (for consumers that count
+    distinct students, where a repeat can never change the result).
     """
     keyed = with_date_key(silver).select(
         "_partition_key", "entity_id", "date_key", F.md5(city_normalized("city")).alias("city_key"),
@@ -164,6 +167,8 @@ def fact_course_enrollment_event(silver: DataFrame, as_of, run_ts) -> DataFrame:
     # enrolment key come from one document.  Keying the de-duplication by (slice, student,
     # event) is therefore the same as by (day, event), and silver's own partitioning on
     # (slice, student) already satisfies it: no extra shuffle when silver is computed inline.
+    if not dedupe:
+        return events.drop("_partition_key", "entity_id")
     unique = latest_by_key(events, ["_partition_key", "entity_id", "event_id"], ["end_at", "access_type"])
     return unique.drop("_partition_key", "entity_id")
 
