@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,7 +62,7 @@ def slices(batch: pa.RecordBatch, column: int, limit: int = SEGMENT) -> Iterator
     col = batch.column(column)
     if not len(col):
         return
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(col), 0), dtype=np.int64)
+    sizes = np.asarray(pc.fill_null(pc.binary_length(col), 0), dtype=np.int64)
     start, total = 0, 0
     for i, n in enumerate(sizes):
         if i > start and total + n > limit:
@@ -147,15 +150,13 @@ def running_total(df: DataFrame, group: list[str], order: list[str], size: Colum
     rows = df.withColumn(b, F.pmod(F.xxhash64(*key), F.lit(buckets))).withColumn(s, size.cast("long"))
     inner = W.partitionBy(*group, b).orderBy(*key).rowsBetween(W.unboundedPreceding, -1)
     outer = W.partitionBy(*group).orderBy(b).rowsBetween(W.unboundedPreceding, -1)
-    total = (rows.groupBy(*group, b).agg(F.sum(s).alias(s))
-             .withColumn(f"{name}__before", F.coalesce(F.sum(s).over(outer), F.lit(0))).drop(s))
-    same = [rows[c].eqNullSafe(total[c]) for c in [*group, b]]
-    on = same[0]
-    for c in same[1:]:
-        on = on & c
-    out = (rows.join(total, on, "left").select(*[rows[c] for c in rows.columns], total[f"{name}__before"])
-           .withColumn(name, F.col(f"{name}__before") + F.coalesce(F.sum(s).over(inner), F.lit(0))))
-    return out.drop(b, s, f"{name}__before")
+    before, keys = f"{name}__before", [*group, b]
+    total = (rows.groupBy(*keys).agg(F.sum(s).alias(s))
+             .select(*[F.col(c).alias(f"{c}__key") for c in keys], F.coalesce(F.sum(s).over(outer), F.lit(0)).alias(before)))
+    on = [F.col(c).eqNullSafe(F.col(f"{c}__key")) for c in keys]
+    out = (rows.join(total, reduce(and_, on), "left")
+           .withColumn(name, F.col(before) + F.coalesce(F.sum(s).over(inner), F.lit(0))))
+    return out.select(*df.columns, name)
 
 
 def struct_type(**fields: T.DataType) -> T.StructType:

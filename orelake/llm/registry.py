@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orelake.llm import sql
 from orelake.llm.common import table
+from orelake.llm.packing import pack_documents
 from orelake.llm.quality_rules import quality_rules
 from orelake.llm.secret_scan import secret_scan
+from orelake.llm.token_counts import token_counts
 
 
 def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +27,14 @@ def op3_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op5_large_item_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op8_pretoken_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
 def _shipped(query):
     """The query, with the package sent to the Python workers where their search path lacks it."""
     @wraps(query)
@@ -45,7 +55,7 @@ def _shipped(query):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op2_compression_bands, op3_markov_secrets)
+    own = (op2_compression_bands, op3_markov_secrets, op5_large_item_packing, op8_pretoken_counts)
     return {f.__name__: _shipped(f) for f in own}
 
 
