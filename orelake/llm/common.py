@@ -20,6 +20,8 @@ SEGMENT = 1 << 20  # bytes hashed at once
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32  # A-Z
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orelake.llm import sql
 from orelake.llm.common import table
+from orelake.llm.importance import importance_resample
+from orelake.llm.mixing import mix_sources
 from orelake.llm.packing import pack_documents
 from orelake.llm.quality_rules import quality_rules
 from orelake.llm.secret_scan import secret_scan
@@ -27,6 +29,10 @@ def op3_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op4_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
 def op5_large_item_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -35,6 +41,10 @@ def op8_pretoken_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def _shipped(query):
     """The query, with the package sent to the Python workers where their search path lacks it."""
     @wraps(query)
@@ -55,7 +65,8 @@ def _shipped(query):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op2_compression_bands, op3_markov_secrets, op5_large_item_packing, op8_pretoken_counts)
+    own = (op2_compression_bands, op3_markov_secrets, op4_pfair_mix, op5_large_item_packing, op8_pretoken_counts,
+           op10_importance_resampling)
     return {f.__name__: _shipped(f) for f in own}
 
 
