@@ -18,6 +18,7 @@ from orelake.llm.mixing import mix_sources
 from orelake.llm.packing import pack_documents
 from orelake.llm.quality_rules import quality_rules
 from orelake.llm.secret_scan import secret_scan
+from orelake.llm.substring_dedup import kept_digest, remove_repeats
 from orelake.llm.token_counts import token_counts
 
 
@@ -41,6 +42,10 @@ def op8_pretoken_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op9_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kept_digest(remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -66,7 +71,7 @@ def _shipped(query):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op2_compression_bands, op3_markov_secrets, op4_pfair_mix, op5_large_item_packing, op8_pretoken_counts,
-           op10_importance_resampling)
+           op9_superkmer_dedup,           op10_importance_resampling)
     return {f.__name__: _shipped(f) for f in own}
 
 

@@ -1 +1,38 @@
-ORACLE: dict[str, str] = {}
+"""DuckDB SQL for the queries that SQL can express, over the same tables."""
+
+from __future__ import annotations
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+OP1 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS c FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.c, d.c) AS BIGINT) AS score
+  FROM v q JOIN v d ON q.vec_id <> d.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scores)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 5
+"""
+
+OP9 = rf"""
+WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13)),
+first AS (SELECT g, min(doc_id) AS m FROM win GROUP BY g),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j
+  FROM (SELECT win.doc_id, i FROM win JOIN first USING (g) WHERE win.doc_id > m)),
+every AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS j FROM w),
+kept AS (
+  SELECT e.doc_id, string_agg(word, ' ' ORDER BY e.j) AS t
+  FROM every e LEFT JOIN gone g ON e.doc_id = g.doc_id AND e.j = g.j WHERE g.j IS NULL GROUP BY e.doc_id),
+n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {"op9_superkmer_dedup": OP9}
