@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from orelake.llm import sql
 from orelake.llm.common import table
 from orelake.llm.importance import importance_resample
+from orelake.llm.lm_scoring import lm_score
 from orelake.llm.mixing import mix_sources
 from orelake.llm.packing import pack_documents
 from orelake.llm.quality_rules import quality_rules
@@ -38,6 +39,10 @@ def op5_large_item_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score(table(spark, sf_dir, "documents"))
+
+
 def op8_pretoken_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
@@ -70,7 +75,8 @@ def _shipped(query):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op2_compression_bands, op3_markov_secrets, op4_pfair_mix, op5_large_item_packing, op8_pretoken_counts,
+    own = (op2_compression_bands, op3_markov_secrets, op4_pfair_mix, op5_large_item_packing,
+           op7_deleted_interpolation, op8_pretoken_counts,
            op9_superkmer_dedup,           op10_importance_resampling)
     return {f.__name__: _shipped(f) for f in own}
 
