@@ -16,9 +16,12 @@ from pyspark.sql import functions as F
 from orelake.llm.common import running_total, slices, stored, texts
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-# Characters on which lower case, white space and normal form are plain; other texts go to the library whole.
-_PLAIN = re.compile(r"[\t-\r\x20-\x7e¡-įı-ɏ]*")
-_CACHED = 250_000  # entries of a cache generation
+# Characters on which lower case, white space, normal form and the classes below are plain; texts with others go
+# to the library whole.
+_PLAIN = re.compile(r"[\t-\r\x20-\x7e¡-±´-¸º»¿-įı-ɏ]*")
+# Fixed value: where the vocabulary's tokenizer cuts a word without white space.
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
+_CACHED = 400_000  # entries of a cache generation
 
 
 def default_vocabulary() -> str:
@@ -38,27 +41,51 @@ def _tokenizer(path: str):
 class WordIds:
     """Token ids as little-endian bytes, remembered by white-space word.
 
-    Right for tokenizers that drop white space and split at it, so a text's
-    ids are its words' ids in a row.  Two generations of a bounded cache keep
-    frequent words at hand.  Texts with special-token strings or characters
-    outside the plain set are encoded whole by the library.
+    Right for tokenizers that drop white space and cut at it, so a text's ids
+    are its words' ids in a row.  Two generations of a bounded cache keep
+    frequent words at hand; the parts of new words are encoded together and
+    told apart by the mark on the last token of a part.  Texts with
+    special-token strings or characters outside the plain set are encoded
+    whole by the library.
     """
 
     def __init__(self, path: str):
         self.library = _tokenizer(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.parts = re.compile(r"[^\W_]+|[\W_]+")
+        vocabulary = self.library.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _learn(self, missing: list[str]) -> None:
-        known = self.old
-        new = [w for w in missing if w not in known]
+    def _encode_parts(self, new: list[str]) -> list[bytes]:
+        ids = np.array(self.library.encode(" ".join(new), add_special_tokens=False).ids, dtype="<u4")
+        end = np.flatnonzero(self.last[ids]) + 1
+        if len(end) != len(new):
+            return [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch_fast(new, add_special_tokens=False)]
+        raw, end = ids.tobytes(), (4 * end).tolist()
+        return list(map(raw.__getitem__, map(slice, [0, *end[:-1]], end)))
+
+    def _learn(self, missing: set[str]) -> None:
+        known, young, new, cut = self.old, self.young, [], []
         for w in missing:
             if w in known:
-                self.young[w] = known[w]
-        for w, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False) if new else []):
-            self.young[w] = np.array(e.ids, dtype="<u4").tobytes()
+                young[w] = known[w]
+            elif w.isalpha():
+                new.append(w)
+            else:
+                cut.append(w)
+        lists = list(map(_PARTS.findall, cut))
+        parts = {p for c in lists for p in c}.difference(young, new)
+        for p in parts:
+            if p in known:
+                young[p] = known[p]
+            else:
+                new.append(p)
+        if new:
+            young.update(zip(new, self._encode_parts(new)))
+        for w, c in zip(cut, lists):
+            young[w] = b"".join([young[p] for p in c])
 
     def encode(self, texts_: list[str]) -> list[bytes]:
         """The ids of each text, four bytes each."""
@@ -76,7 +103,7 @@ class WordIds:
             if len(self.young) + len(missing) > _CACHED:
                 self.old, self.young = self.young, {}
                 missing = need
-            self._learn(sorted(missing))
+            self._learn(missing)
         get = self.young.__getitem__
         return [np.array(self.library.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() if w is None
                 else b"".join(map(get, w)) for t, w in zip(texts_, split)]
