@@ -16,6 +16,7 @@ from orelake.llm.common import table
 from orelake.llm.importance import importance_resample
 from orelake.llm.lm_scoring import lm_score
 from orelake.llm.mixing import mix_sources
+from orelake.llm.near_dedup import near_duplicates
 from orelake.llm.packing import pack_documents
 from orelake.llm.quality_rules import quality_rules
 from orelake.llm.secret_scan import secret_scan
@@ -39,6 +40,10 @@ def op5_large_item_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score(table(spark, sf_dir, "documents"))
 
@@ -76,7 +81,7 @@ def _shipped(query):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op2_compression_bands, op3_markov_secrets, op4_pfair_mix, op5_large_item_packing,
-           op7_deleted_interpolation, op8_pretoken_counts,
+           op6_order_minhash, op7_deleted_interpolation, op8_pretoken_counts,
            op9_superkmer_dedup,           op10_importance_resampling)
     return {f.__name__: _shipped(f) for f in own}
 
