@@ -6,8 +6,8 @@ _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 OP1 = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS c FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS c FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 scores AS (
   SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.c, d.c) AS BIGINT) AS score
   FROM v q JOIN v d ON q.vec_id <> d.vec_id WHERE q.vec_id % 50 = 0),
@@ -35,4 +35,4 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n.n, 0) AS BI
 FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op9_superkmer_dedup": OP9}
+ORACLE: dict[str, str] = {"op1_voronoi_knn": OP1, "op9_superkmer_dedup": OP9}
