@@ -177,25 +177,11 @@ def q_silver_courses(spark, sf_dir):
 
 @register("silver_metrics")
 def q_silver_metrics(spark, sf_dir):
-    clean, quarantine = lake.silver_students(spark, sf_dir)
-    return silver_metrics(clean, quarantine, lake.silver_courses(spark, sf_dir))
-
-
-def silver_metrics(clean, quarantine, courses):
-    """Run metrics per day: clean / quarantined students, clean courses, totals (AGG-11, SNK-13)."""
-    zero = F.lit(0).cast("long")
-    parts = [
-        clean.select(F.col("_partition_key").alias("ds"), F.lit(1).alias("sc"), zero.alias("sq"), zero.alias("cc")),
-        quarantine.select(F.col("_partition_key").alias("ds"), zero.alias("sc"), F.lit(1).alias("sq"), zero.alias("cc")),
-        courses.select(F.col("ingest_ds").alias("ds"), zero.alias("sc"), zero.alias("sq"), F.lit(1).alias("cc")),
-    ]
-    stacked = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    agg = stacked.groupBy("ds").agg(F.sum("sc").cast("long").alias("students_clean_count"),
-                                    F.sum("sq").cast("long").alias("students_quarantine_count"),
-                                    F.sum("cc").cast("long").alias("courses_clean_count"))
-    return agg.select("ds", "students_clean_count", "students_quarantine_count", "courses_clean_count",
-                      (F.col("students_clean_count") + F.col("courses_clean_count")).alias("total_clean_count"),
-                      F.col("students_quarantine_count").alias("total_quarantine_count"))
+    from orelake.plans.silver import run_counts, silver_metrics
+    students = run_counts(lake.standardized(spark, sf_dir)).withColumnRenamed("_partition_key", "ds")
+    courses = lake.silver_courses(spark, sf_dir).groupBy(F.col("ingest_ds").alias("ds")).agg(
+        F.count(F.lit(1)).alias("courses_clean_count"))
+    return silver_metrics(students, courses)
 
 
 # ---------------------------------------------------------------- bronze
@@ -238,7 +224,7 @@ def q_bronze_cursor_drain(spark, sf_dir):
     docs = course_documents(spark, sf_dir)
     cursor = f"{COURSE_CURSOR_KEY:024x}"
     after = incremental_scan(docs, "_id", cursor if valid_cursor(cursor) else None, tie="_id", limit=None)
-    return course_change_events(after, lake.RUN_TS, name_field="course_name")
+    return course_change_events(after, lake.RUN_TS)
 
 
 @register("bronze_cursor_poll")
@@ -250,7 +236,40 @@ def q_bronze_cursor_poll(spark, sf_dir):
     cursor = f"{COURSE_CURSOR_KEY:024x}"
     batch = incremental_scan(course_documents(spark, sf_dir), "_id", cursor if valid_cursor(cursor) else None,
                              tie="_id", limit=50)
-    return course_change_events(batch, lake.RUN_TS, name_field="course_name")
+    return course_change_events(batch, lake.RUN_TS)
+
+
+@register("bronze_drain")
+def q_bronze_drain(spark, sf_dir):
+    """All documents, dated and undated, drained in several commits with a stored cursor; then a run with nothing new."""
+    from orelake.plans.daily import DayInputs, bronze_ingest
+    from orelake.session import scratch_path
+    from orelake.sources import student_documents
+    docs = student_documents(spark, sf_dir)
+    root = scratch_path(spark, "drain")
+    inputs = DayInputs(students=docs, tie_col="doc_seq")
+    step = -(-docs.count() // 3)
+    bronze_ingest(spark, inputs, "2024-03-01", root, lake.RUN_TS, batch_size=step)
+    bronze_ingest(spark, inputs, "2024-03-02", root, lake.RUN_TS)
+    bronze = spark.read.parquet(f"{root}/bronze/students")
+    return bronze.select("doc_seq", "_id", "updatedAt", "_partition_key")
+
+
+@register("course_publish")
+def q_course_publish(spark, sf_dir):
+    """Course collection -> topic by a stored id cursor: the first half, then the rest, then nothing."""
+    from orelake.session import scratch_path
+    from orelake.sources import course_documents
+    from orelake.streaming.producer import publish_courses
+    docs = course_documents(spark, sf_dir)
+    topic, state = scratch_path(spark, "topic"), scratch_path(spark, "cursor")
+    half = f"{-(-docs.count() // 2):024x}"
+    publish_courses(spark, docs.filter(F.col("_id") <= half), topic, state, lake.RUN_TS)
+    for _ in range(2):
+        publish_courses(spark, docs, topic, state, lake.RUN_TS)
+    out = spark.read.schema("event_id string, event_time string, course_id string, course_name string, "
+                            "event_type string").json(topic)
+    return out.select("event_id", "course_id", "course_name", "event_type")
 
 
 @register("bronze_email_lookup")
@@ -274,16 +293,31 @@ def q_bronze_stamped(spark, sf_dir):
     return bronze_students(spark, sf_dir).select(*BRONZE_STAMPED_OUT)
 
 
+def _listed_and_read(spark, path, name):
+    """Per value of a column: rows, and whether the files listed are those the rows come from, with their bytes."""
+    from orelake.operators.health import list_files
+    listed = list_files(spark, path)
+    rows = spark.read.parquet(path).select(F.col(name), F.col("_metadata.file_path").alias("file_path"),
+                                           F.col("_metadata.file_size").alias("read_size"))
+    files = rows.groupBy(name, "file_path").agg(F.count(F.lit(1)).alias("n"), F.max("read_size").alias("read_size"))
+    both = listed.select(F.regexp_replace("file_path", "^file:/+", "/").alias("f"), "file_size").join(
+        files.select(name, "n", "read_size", F.regexp_replace("file_path", "^file:/+", "/").alias("f")), "f", "full")
+    return both.groupBy(name).agg(F.sum("n").cast("long").alias("record_count"),
+                                  F.min(F.coalesce(F.col("file_size") == F.col("read_size"), F.lit(False))).alias("files_match"))
+
+
 @register("bronze_file_sizes")
 def q_bronze_file_sizes(spark, sf_dir):
-    """Bytes and files per day of the written bronze layer (AGG-12 sizes; rows-only check)."""
-    from orelake.plans.bronze import file_sizes
-    from orelake.plans.bronze import bronze_students
+    """Files and bytes per day of the written bronze layer (AGG-12), checked against the rows read back."""
+    from orelake.plans.bronze import bronze_students, file_sizes
     from orelake.session import scratch_path
     from orelake.sinks import write_layer
     path = scratch_path(spark, "bronze_students")
     write_layer(bronze_students(spark, sf_dir), path, ["_partition_key"])
-    return file_sizes(spark, path, "_partition_key")
+    sizes = file_sizes(spark, path, "_partition_key").select(
+        "_partition_key", (F.col("file_count") > 0).alias("has_files"), (F.col("total_size_bytes") > 0).alias("has_bytes"))
+    checked = _listed_and_read(spark, path, "_partition_key").withColumn("_partition_key", F.col("_partition_key").cast("string"))
+    return checked.join(sizes, "_partition_key", "full")
 
 
 @register("bronze_batch_metadata")
@@ -294,27 +328,27 @@ def q_bronze_batch_metadata(spark, sf_dir):
 
 # ---------------------------------------------------------------- streaming
 def _land_course_events(spark, sf_dir, root: str, redeliver: bool = False) -> str:
-    """Course events as a topic would hold them, landed as JSON-line files in arrival order.
+    """Course events as a topic would hold them: JSON lines, one sub-folder per arrival week, in one write.
 
-    One write per arrival week (file modification times follow the week);
-    with ``redeliver`` every update event is published again (fresh event id)
-    in the following week's file, the way an at-least-once producer repeats.
+    With ``redeliver`` every update event is published again (fresh event id)
+    a week later, the way an at-least-once producer repeats, and the first
+    delivery of every 97th event comes ten weeks late.  Returns the glob of
+    the landed folders.
     """
     from orelake.sources import course_events
+    from orelake.streaming.producer import publish_events
     ev = course_events(spark, sf_dir).drop("_ingested_at", "ingest_ds")
-    week = F.when(F.col("event_id").startswith("boot-"), F.lit(-1)).otherwise(
-        F.floor(F.datediff(F.to_date(F.substring("event_time", 1, 10)), F.lit("2024-01-01")) / 7).cast("int"))
-    ev = ev.withColumn("arrival", week)
+    boot = F.col("event_id").startswith("boot-")
+    week = F.floor(F.datediff(F.to_date(F.substring("event_time", 1, 10)), F.lit("2024-01-01")) / 7).cast("int")
+    ev = ev.withColumn("arrival", F.when(boot, F.lit(-1)).otherwise(week))
     if redeliver:
-        again = (ev.filter(~F.col("event_id").startswith("boot-"))
-                   .withColumn("event_id", F.concat(F.lit("re-"), F.col("event_id")))
+        late = ~boot & (F.pmod("_offset", F.lit(97)) == 0)
+        ev = ev.withColumn("arrival", F.col("arrival") + F.when(late, 10).otherwise(0))
+        again = (ev.filter(~boot).withColumn("event_id", F.concat(F.lit("re-"), F.col("event_id")))
                    .withColumn("arrival", F.col("arrival") + 1))
         ev = ev.unionByName(again)
-    weeks = [r["arrival"] for r in ev.select("arrival").distinct().orderBy("arrival").collect()]
-    from orelake.streaming.producer import publish_events
-    for w in weeks:  # a handful of arrival weeks, each published as one batch of files
-        publish_events(ev.filter(F.col("arrival") == w).drop("arrival"), root)
-    return root
+    publish_events(ev, root, partition_by=("arrival",))
+    return f"{root}/*"
 
 
 @register("stream_course_events")
@@ -335,12 +369,11 @@ def q_stream_dedup(spark, sf_dir):
     from orelake.streaming.course_feed import dedupe_stream
     src = _land_course_events(spark, sf_dir, scratch_path(spark, "topic"), redeliver=True)
     out, ckpt = scratch_path(spark, "dedup"), scratch_path(spark, "ckpt")
-    dedupe_stream(spark, src, out, ckpt, delay="7 days", options={"maxFilesPerTrigger": 8}).awaitTermination()
+    dedupe_stream(spark, src, out, ckpt, options={"maxFilesPerTrigger": 32}).awaitTermination()
     return spark.read.parquet(out).select("course_id", "course_name", "title", "updated_at", "_offset")
 
 
-@register("stream_upsert_courses")
-def q_stream_upsert(spark, sf_dir):
+def _upsert_courses(spark, sf_dir, files_a_batch: int):
     from orelake.session import scratch_path
     from orelake.sinks import read_current
     from orelake.streaming.course_feed import dim_course_from_state, stream_to_bronze, upsert_stream
@@ -349,34 +382,49 @@ def q_stream_upsert(spark, sf_dir):
     stream_to_bronze(spark, src, bronze, scratch_path(spark, "ckpt"), ingest_time_col="event_time",
                      options={"maxFilesPerTrigger": 1000}).awaitTermination()
     upsert_stream(spark, bronze, table_root, scratch_path(spark, "ckpt"),
-                  options={"maxFilesPerTrigger": 16}).awaitTermination()
+                  options={"maxFilesPerTrigger": files_a_batch}).awaitTermination()
     return dim_course_from_state(read_current(spark, table_root), lake.RUN_TS)
 
 
+@register("stream_upsert_courses")
+def q_stream_upsert(spark, sf_dir):
+    return _upsert_courses(spark, sf_dir, 64)
+
+
+@register("stream_upsert_courses_other_cut")
+def q_stream_upsert_other(spark, sf_dir):
+    """The same stream cut into other micro-batches: the same dimension."""
+    return _upsert_courses(spark, sf_dir, 150)
+
+
 # ---------------------------------------------------------------- health checks
 BUSINESS_COLS = ["_id", "userId", "status", "phone", "name", "city", "educationLevel", "isContacted",
                  "enrolledCourses", "enrolledChapters", "boughtBooks", "createdAt", "updatedAt"]
 RETENTION_AS_OF = "2024-02-01"
 
 
-def _bronze_with_checksum(spark, sf_dir):
-    from orelake.operators.health import row_checksum
-    from orelake.plans.bronze import bronze_students
-    return bronze_students(spark, sf_dir).withColumn("_checksum", row_checksum(BUSINESS_COLS))
+CHECKSUM_COLS = ["_id", "userId", "status", "phone", "city", "createdAt", "updatedAt"]
 
 
 @register("row_checksum")
 def q_row_checksum(spark, sf_dir):
-    return _bronze_with_checksum(spark, sf_dir).select("doc_seq", "_batch_id", "_checksum")
+    from orelake.operators.health import row_checksum
+    from orelake.plans.bronze import bronze_students
+    return bronze_students(spark, sf_dir).select("doc_seq", row_checksum(CHECKSUM_COLS).alias("_checksum"))
 
 
 @register("dedupe_checksum")
 def q_dedupe_checksum(spark, sf_dir):
-    """A batch delivered twice (every tenth document again, later) collapses to one copy."""
-    from orelake.operators.health import dedupe_on
-    b = _bronze_with_checksum(spark, sf_dir)
-    again = b.filter(F.pmod("doc_seq", F.lit(10)) == 0).withColumn("_ingested_at", F.lit("2030-01-01T00:00:00Z"))
-    return dedupe_on(b.unionByName(again), ["_batch_id", "_checksum"]).select("doc_seq", "_batch_id")
+    """A slice's batch delivered twice: repeats (every tenth document) collapse, changed ones (every 15th) stay."""
+    from orelake.operators.health import dedupe_on, row_checksum
+    from orelake.plans.bronze import bronze_students
+    b = bronze_students(spark, sf_dir).withColumn("_batch_id", F.concat(F.lit("slice-"), F.col("_partition_key")))
+    later = F.lit("2030-01-01T00:00:00Z")
+    again = b.filter(F.pmod("doc_seq", F.lit(10)) == 0).withColumn("_ingested_at", later)
+    changed = b.filter(F.pmod("doc_seq", F.lit(15)) == 0).withColumns({"_ingested_at": later, "status": F.lit("Changed")})
+    rows = b.unionByName(again).unionByName(changed)
+    rows = rows.withColumn("_checksum", row_checksum(["doc_seq", *BUSINESS_COLS]))
+    return dedupe_on(rows, ["_batch_id", "_checksum"]).select("doc_seq", "_batch_id", "status")
 
 
 @register("missing_partitions")
@@ -389,6 +437,7 @@ def q_missing_partitions(spark, sf_dir):
 
 
 def _written_layers(spark, sf_dir):
+    """(path of written bronze students, path of written course events)."""
     from orelake.plans.bronze import bronze_students
     from orelake.session import scratch_path
     from orelake.sinks import write_layer
@@ -396,25 +445,41 @@ def _written_layers(spark, sf_dir):
     students, courses = scratch_path(spark, "bronze_students"), scratch_path(spark, "bronze_courses")
     write_layer(bronze_students(spark, sf_dir), students, ["_partition_key"])
     write_layer(course_events(spark, sf_dir), courses, ["ingest_ds"])
-    return spark.read.parquet(students), spark.read.parquet(courses)
-
-
-def _file_stats(spark, sf_dir):
-    from orelake.operators.health import file_stats
-    s, c = _written_layers(spark, sf_dir)
-    return file_stats(s, "students").unionByName(file_stats(c, "courses"))
+    return students, courses
 
 
 @register("file_counts")
 def q_file_counts(spark, sf_dir):
-    from orelake.operators.health import file_counts
-    return file_counts(_file_stats(spark, sf_dir))
+    """Files and bytes per collection from the listing, beside the rows that are read from those files."""
+    from orelake.operators.health import file_counts, file_stats
+    paths = dict(zip(("students", "courses"), _written_layers(spark, sf_dir)))
+    parts = [file_counts(file_stats(spark, p, c)).join(_rows_of(spark, p, c), "collection") for c, p in paths.items()]
+    return parts[0].unionByName(parts[1]).select(
+        "collection", "record_count", (F.col("file_count") == F.col("files_read")).alias("files_match"),
+        (F.col("total_size_bytes") == F.col("bytes_read")).alias("bytes_match"))
+
+
+def _rows_of(spark, path, collection):
+    """Rows of a written table, with the number and bytes of the files they are read from."""
+    files = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("f")).agg(
+        F.max("_metadata.file_size").alias("size"), F.count(F.lit(1)).alias("n"))
+    return files.agg(F.sum("n").cast("long").alias("record_count"), F.count("f").alias("files_read"),
+                     F.sum("size").cast("long").alias("bytes_read")).withColumn("collection", F.lit(collection))
 
 
 @register("file_size_anomaly")
 def q_file_size_anomaly(spark, sf_dir):
-    from orelake.operators.health import file_size_anomalies
-    return file_size_anomalies(_file_stats(spark, sf_dir))
+    """Every listed file is judged; the flags follow the two limits, told from the extremes of each collection."""
+    from orelake.operators.health import LARGE_FILE_BYTES, LARGE_FILE_FACTOR, file_size_anomalies, file_stats
+    students, courses = _written_layers(spark, sf_dir)
+    files = file_stats(spark, students, "students").unionByName(file_stats(spark, courses, "courses"))
+    judged = file_size_anomalies(files).groupBy("collection").agg(
+        F.count("file_path").alias("judged"), F.max("is_anomaly").alias("any"),
+        F.max("file_size").alias("largest"), F.avg("file_size").alias("mean"))
+    n = files.groupBy("collection").agg(F.count("file_path").alias("listed"))
+    rule = (F.col("largest") > LARGE_FILE_BYTES) | (F.col("largest") > LARGE_FILE_FACTOR * F.col("mean"))
+    return judged.join(n, "collection").select("collection", (F.col("judged") == F.col("listed")).alias("all_judged"),
+                                               (F.col("any") == rule).alias("flags_follow_limits"))
 
 
 @register("retention_tier")
@@ -436,39 +501,69 @@ UPSERT_SPLIT_DS = "1998-01-01"
 
 @register("upsert_dim")
 def q_upsert_dim(spark, sf_dir):
-    """dim_student loaded in two runs (earlier slices, then later ones) by keyed upsert into versions."""
+    """dim_student loaded in two runs (earlier slices, then later ones) by keyed upsert into bucketed versions."""
     from orelake.plans import gold as G
     from orelake.session import scratch_path
-    from orelake.sinks import merge_upsert, read_current, write_version
-    clean, _ = lake.silver_students(spark, sf_dir)
+    from orelake.sinks import materialize, read_current, upsert
+    clean = materialize(lake.silver_students(spark, sf_dir)[0], "silver")
     root = scratch_path(spark, "dim_student")
-    first = G.dim_student(clean.filter(F.col("_partition_key") < UPSERT_SPLIT_DS), lake.RUN_TS)
-    write_version(merge_upsert(read_current(spark, root), first, ["student_key"]), root)
-    second = G.dim_student(clean.filter(F.col("_partition_key") >= UPSERT_SPLIT_DS), lake.RUN_TS)
-    write_version(merge_upsert(read_current(spark, root), second, ["student_key"]), root)
+    for part in (F.col("_partition_key") < UPSERT_SPLIT_DS, F.col("_partition_key") >= UPSERT_SPLIT_DS):
+        upsert(spark, root, G.dim_student(clean.filter(part), lake.RUN_TS), ["student_key"])
     return read_current(spark, root)
 
 
 @register("replace_partition")
 def q_replace_partition(spark, sf_dir):
-    """Daily fact written for all days, later days re-run: replaced in place, nothing doubled."""
+    """Daily fact written for all days, later days re-run with one of them empty now: replaced in place, nothing left over."""
     from orelake.session import scratch_path
     from orelake.sinks import replace_partition
-    g = lake.gold(spark, sf_dir)
+    fact = lake.gold(spark, sf_dir).fact_student_daily
     path = scratch_path(spark, "fact_student_daily")
-    replace_partition(g.fact_student_daily, path, "date_key")
-    rerun = lake.gold(spark, sf_dir).fact_student_daily.filter(F.col("date_key") >= 19980101)
-    replace_partition(rerun, path, "date_key")
+    replace_partition(fact, path, "date_key")
+    rerun = fact.filter((F.col("date_key") >= 19980101) & (F.col("date_key") != EMPTIED_DAY))
+    replace_partition(rerun, path, "date_key", [EMPTIED_DAY])
     out = spark.read.parquet(path)
     return out.select("date_key", "city_key", "student_total_count", "student_paid_count", "paid_rate", "load_ts")
 
 
+EMPTIED_DAY = 19980301
+DAY_RUN_DS = "2024-01-05"
+
+
+@register("day_run")
+def q_day_run(spark, sf_dir):
+    """One day end to end on a shared folder: all documents as one slice; every layer is read back and counted."""
+    from orelake.plans.daily import DayInputs, read_gold, run_day
+    from orelake.session import scratch_path
+    from orelake.sources import course_events, read_partition, student_documents, user_documents
+    root, events = scratch_path(spark, "day"), scratch_path(spark, "events")
+    course_events(spark, sf_dir).withColumnRenamed("ingest_ds", "ingest_date").write.partitionBy("ingest_date").json(events)
+    run_day(spark, DAY_RUN_DS, root, DayInputs(students=student_documents(spark, sf_dir), users=user_documents(spark, sf_dir),
+            course_events_dir=events, tie_col="doc_seq"), as_of=lake.AS_OF, run_ts=lake.RUN_TS)
+    g = read_gold(spark, root)
+
+    def rows(layer, df):
+        return df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(layer).alias("layer"), "row_count")
+    parts = [rows(layer, read_partition(spark, f"{root}/{layer}", part, DAY_RUN_DS)) for layer, part in (
+        ("bronze/students", "_partition_key"), ("silver/students", "_partition_key"),
+        ("silver/quarantine", "_partition_key"), ("silver/courses", "ingest_ds"))]
+    parts += [rows(f"gold/{n}", g[n]) for n in ("dim_date", "dim_city", "dim_course", "dim_student", "fact_student_daily",
+                                                "mv_paid_students_daily")]
+    meta = spark.read.json(f"{root}/bronze/_meta/students").select(F.lit("sidecar").alias("layer"), F.col("record_count").alias("row_count"))
+    silver = spark.read.json(f"{root}/silver/_metrics").select(F.lit("silver metrics").alias("layer"), F.col("total_clean_count").alias("row_count"))
+    gold_ = spark.read.json(f"{root}/gold/_metrics").select(F.lit("gold metrics").alias("layer"), F.col("student_total_count").alias("row_count"))
+    out = meta.unionByName(silver).unionByName(gold_)
+    for p in parts:
+        out = out.unionByName(p)
+    return out
+
+
 @register("table_roundtrip")
 def q_table_roundtrip(spark, sf_dir):
     """Bronze written as a partitioned layer, read back, every slice checked present, batch side-cars."""
     from orelake.plans.bronze import batch_metadata
     from orelake.sources import require_rows
-    students, _ = _written_layers(spark, sf_dir)
+    students = spark.read.parquet(_written_layers(spark, sf_dir)[0])
     require_rows(students, "bronze students")
     return batch_metadata(students)
 

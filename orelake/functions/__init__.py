@@ -7,7 +7,7 @@ from orelake.functions.text import (
     title_case,
     truthy,
 )
-from orelake.functions.nested import alias_path, nested_to_list, unify_extended
+from orelake.functions.nested import nested_to_list, unify_extended
 from orelake.functions.keys import (
     city_normalized,
     city_part,
@@ -20,7 +20,7 @@ from orelake.functions.keys import (
 from orelake.functions.timefmt import iso_z, parse_ts, percent_text
 
 __all__ = [
-    "alias_path", "capitalize_first", "city_normalized", "city_part", "date_key",
+    "capitalize_first", "city_normalized", "city_part", "date_key",
     "digits_only", "event_key", "iso_z", "nested_to_list", "parse_ts", "percent_text",
     "py_strip", "region_key", "region_part", "surrogate_key", "title_case", "truthy",
     "unify_extended",

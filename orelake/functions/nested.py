@@ -17,19 +17,18 @@ def nested_to_list(col) -> Column:
 
     A JSON list gives its elements, a JSON object gives a one-element list,
     anything else (NULL, blank, broken or scalar text) gives an empty list.
+    The whole text must be one strict JSON value: it is parsed as the first
+    element of a list whose second, empty element must come out unharmed, so
+    single quotes, text after the value or several values are rejected.
     """
-    text = py_strip(_c(col))
-    as_list = F.when(text.startswith("["), F.from_json(text, "array<string>"))
-    as_object = F.when(text.startswith("{") & F.try_parse_json(text).isNotNull(), F.array(text))
+    text, strict = py_strip(_c(col)), {"allowSingleQuotes": "false"}
+    lists = F.from_json(F.concat(F.lit("["), text, F.lit(",[]]")), "array<array<string>>", strict)
+    objects = F.from_json(F.concat(F.lit("["), text, F.lit(",{}]")), "array<string>", strict)
+    as_list = F.when(text.startswith("[") & (F.size(lists) == 2) & (F.size(F.get(lists, F.lit(1))) == 0), F.get(lists, F.lit(0)))
+    as_object = F.when(text.startswith("{") & (F.size(objects) == 2) & (F.get(objects, F.lit(1)) == "{}"), F.array(text))
     return F.coalesce(as_list, as_object, F.array().cast("array<string>"))
 
 
-def alias_path(json_col, *fields: str) -> Column:
-    """First non-NULL value among several alternative keys of a JSON object."""
-    c = _c(json_col)
-    return F.coalesce(*[F.get_json_object(c, f"$.{name}") for name in fields])
-
-
 def unify_extended(col, wrapper: str) -> Column:
     """Plain value or its extended-JSON wrapper (``{"$oid": ..}``, ``{"$date": ..}``) -> text."""
     c = _c(col)

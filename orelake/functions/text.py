@@ -21,22 +21,26 @@ def py_strip(col) -> Column:
     return F.btrim(_c(col), F.lit(WHITESPACE))
 
 
+# Letters and symbols that have a case; any other character starts a new word.
+_CASED = r"\p{Lu}\p{Ll}\p{Lt}\p{IsUppercase}\p{IsLowercase}"
+
+
 def title_case(col) -> Column:
-    """Upper-case the first letter of every run of letters, lower-case the rest.
+    """Title-case the first of every run of cased characters, lower-case the rest.
 
-    Word boundaries are any non-letter, so ``o'neil-smith 3rd`` becomes
-    ``O'Neil-Smith 3Rd`` (``initcap`` alone only splits on blanks).  A blank
-    is put after every non-letter, ``initcap`` applied, and exactly that
+    Word boundaries are all characters without case, so ``o'neil-smith 3rd``
+    becomes ``O'Neil-Smith 3Rd`` (``initcap`` alone only splits on blanks).  A
+    blank is put after every one of them, ``initcap`` applied, and exactly that
     blank removed again: three code-generated string functions, no lambda.
     """
-    spaced = F.regexp_replace(_c(col), r"(\P{L})", "$1 ")
-    return F.regexp_replace(F.initcap(spaced), r"(\P{L}) ", "$1")
+    spaced = F.regexp_replace(_c(col), f"([^{_CASED}])", "$1 ")
+    return F.regexp_replace(F.initcap(spaced), f"([^{_CASED}]) ", "$1")
 
 
 def capitalize_first(col) -> Column:
-    """First character upper case, all others lower case."""
+    """First character title-cased, all others lower case."""
     c = _c(col)
-    return F.concat(F.upper(F.left(c, F.lit(1))), F.lower(F.substring(c, 2, 1 << 30)))
+    return F.concat(F.initcap(F.left(c, F.lit(1))), F.lower(F.substring(c, 2, 1 << 30)))
 
 
 def digits_only(col) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Retention tiers by partition age in days (upper bounds, inclusive).
@@ -40,17 +40,21 @@ def missing_partitions(present: DataFrame, day_col: str, start=None, end=None) -
     return expected.join(days, "ds", "left_anti")
 
 
-def file_stats(df: DataFrame, collection: str) -> DataFrame:
-    """One row per data file of a written table: collection, path, size (from file metadata)."""
-    files = df.select(F.col("_metadata.file_path").alias("file_path"),
-                      F.col("_metadata.file_size").alias("file_size"))
-    return files.groupBy("file_path").agg(F.max("file_size").alias("file_size")).select(
-        F.lit(collection).alias("collection"), "file_path", "file_size")
+def list_files(spark: SparkSession, path: str, pattern: str = "part-*") -> DataFrame:
+    """One row per data file below ``path``: file_path, file_size.  Lists files only; no content is read."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", pattern).load(path))
+    return files.select(F.col("path").alias("file_path"), F.col("length").alias("file_size"))
+
+
+def file_stats(spark: SparkSession, path: str, collection: str) -> DataFrame:
+    """One row per data file of a written table: collection, path, size."""
+    return list_files(spark, path).select(F.lit(collection).alias("collection"), "file_path", "file_size")
 
 
 def file_counts(files: DataFrame) -> DataFrame:
     """Files and bytes per collection."""
-    return files.groupBy("collection").agg(F.countDistinct("file_path").alias("file_count"),
+    return files.groupBy("collection").agg(F.count("file_path").alias("file_count"),
                                            F.sum("file_size").cast("long").alias("total_size_bytes"))
 
 

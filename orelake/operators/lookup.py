@@ -8,16 +8,14 @@ from pyspark.sql import functions as F
 from orelake.functions import py_strip
 
 
-def email_by_key(users: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+def email_by_key(users: DataFrame) -> DataFrame:
     """``(key, email)`` map from users, keyed by both ``userId`` and ``_id``.
 
     ``email`` is used when it is non-empty text, else ``mail``; the chosen
     value is stripped and dropped if blank.  The two key columns are stacked
     (UNION ALL) instead of joining on ``a = x OR b = x``, which would plan
-    as a nested-loop join.  ``wanted`` (one ``lookup_key`` column) restricts
-    the map to the keys a batch references, by a ``left_semi`` join, before
-    aggregating.  A key claimed by several users keeps the smallest address:
-    an aggregate with map-side combine, safe for hot keys.
+    as a nested-loop join.  A key claimed by several users keeps the smallest
+    address: an aggregate with map-side combine, safe for hot keys.
     """
     raw = F.when(F.col("email").isNull() | (F.col("email") == ""), F.col("mail")).otherwise(F.col("email"))
     cols = set(users.columns)
@@ -29,25 +27,17 @@ def email_by_key(users: DataFrame, wanted: DataFrame | None = None) -> DataFrame
                         F.col("_id").cast("string").alias("oid"),
                         py_strip(raw.cast("string")).alias("email"))
     base = base.filter(F.col("email").isNotNull() & (F.col("email") != ""))
-    stacked = base.select(F.col("uid").alias("lookup_key"), "email").unionByName(
-        base.select(F.col("oid").alias("lookup_key"), "email"))
+    stacked = base.select(F.explode(F.array("uid", "oid")).alias("lookup_key"), "email")
     stacked = stacked.filter(F.col("lookup_key").isNotNull() & (F.col("lookup_key") != ""))
-    if wanted is not None:
-        stacked = stacked.join(wanted.select("lookup_key"), "lookup_key", "left_semi")
     return stacked.groupBy("lookup_key").agg(F.min("email").alias("email"))
 
 
-def lookup_email(students: DataFrame, users: DataFrame, key_col: str = "userId",
-                 restrict: bool = True) -> DataFrame:
+def lookup_email(students: DataFrame, users: DataFrame, key_col: str = "userId") -> DataFrame:
     """Left join: every student row kept, ``email`` added where the stripped key matches.
 
-    With ``restrict`` only users whose ``userId`` or ``_id`` is referenced by
-    the students are read into the map (the key set is a distinct, column-
-    pruned projection of the batch; Spark broadcasts it when small).
+    One pass over each side: the stacked users are joined once to the students.
     """
     keyed = students.withColumn("__lookup_key", py_strip(F.col(key_col).cast("string")))
-    wanted = keyed.select(F.col("__lookup_key").alias("lookup_key")).filter(F.col("lookup_key").isNotNull()).distinct() \
-        if restrict else None
-    emails = email_by_key(users, wanted)
+    emails = email_by_key(users)
     out = keyed.join(emails, keyed["__lookup_key"] == emails["lookup_key"], "left")
     return out.drop("__lookup_key", "lookup_key")

@@ -2,40 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def incremental_scan(src: DataFrame, wm_col: str, wm=None, tie: str = "_id",
-                     limit: int | None = 1000, tie_wm=None, until=None) -> DataFrame:
+class Cursor(NamedTuple):
+    """Where a scan stands: the last ``(watermark, tie)`` read, and the last tie among rows without a watermark.
+
+    All values are text, so no driver time zone can shift them.
+    """
+
+    watermark: str | None = None
+    tie: str | None = None
+    null_tie: str | None = None
+
+
+def _typed(value, src: DataFrame, name: str) -> Column:
+    """A cursor value as a literal of its column's type; times go by their wall-clock text."""
+    if isinstance(value, (dt.datetime, dt.date)):
+        value = value.isoformat(sep=" ") if isinstance(value, dt.datetime) else value.isoformat()
+    return F.lit(value).cast(src.schema[name].dataType)
+
+
+def incremental_scan(src: DataFrame, wm_col: str, wm=None, tie: str = "_id", limit: int | None = None,
+                     tie_wm=None, until=None, null_tie=None, nulls: bool = False) -> DataFrame:
     """Rows strictly after the cursor ``(wm, tie_wm)`` in ``(wm_col, tie)`` order.
 
-    * ``wm is None``: bootstrap, no filter (NULL cursor values sort first).
+    * ``wm is None``: no lower bound, unless ``null_tie`` is set; NULL cursor
+      values sort first.
     * ``tie_wm is None``: plain ``wm_col > wm``.  Otherwise rows equal to
       ``wm`` but with a larger tie value are kept too, so a batch limit never
       strands rows that share the boundary value.
+    * ``nulls`` (or ``null_tie``): rows with a NULL cursor value have a cursor
+      of their own, their tie value: those after ``null_tie`` (all, if NULL)
+      are read as well, so late ones are found and none is read twice.
     * ``until`` optionally bounds the scan from above (inclusive).
-    * ``limit`` is the batch size; ``None`` drains everything after the cursor
-      (unordered: the order only decides which rows fill a limited batch).
+    * ``limit`` cuts the scan into batches; ``None`` drains everything after
+      the cursor (unordered: the order only decides which rows fill a batch).
 
     Filter first, then ``orderBy().limit()`` -> ``TakeOrderedAndProject``: each
     task keeps only its ``limit`` best rows, so the batch limit never sorts
     the whole source.
     """
-    out = src
-    if wm is not None:
-        c, w = F.col(wm_col), F.lit(wm)
-        cond = c > w
-        if tie_wm is not None:
-            cond = cond | ((c == w) & (F.col(tie) > F.lit(tie_wm)))
-        out = out.filter(cond)
+    out, c, t = src, F.col(wm_col), F.col(tie)
+    newer = F.lit(True) if wm is None else c > _typed(wm, src, wm_col)
+    if wm is not None and tie_wm is not None:
+        newer = newer | ((c == _typed(wm, src, wm_col)) & (t > _typed(tie_wm, src, tie)))
     if until is not None:
-        out = out.filter(F.col(wm_col) <= F.lit(until))
+        newer = newer & (c <= _typed(until, src, wm_col))
+    if nulls or null_tie is not None or wm is None:
+        fresh = F.lit(True) if null_tie is None else t > _typed(null_tie, src, tie)
+        blank = c.isNull() & fresh if until is None else F.lit(False)
+        out = out.filter((c.isNotNull() & newer) | blank)
+    else:
+        out = out.filter(newer)
     if limit is None:
         # a full drain needs no order: sorting everything would only cost a range shuffle
         return out
-    out = out.orderBy(F.col(wm_col).asc_nulls_first(), F.col(tie).asc_nulls_first())
-    return out.limit(limit)
+    return out.orderBy(c.asc_nulls_first(), t.asc_nulls_first()).limit(limit)
 
 
 def next_watermark(batch: DataFrame, wm_col: str, old=None, tie: str = "_id") -> DataFrame:
@@ -48,8 +75,19 @@ def next_watermark(batch: DataFrame, wm_col: str, old=None, tie: str = "_id") ->
     best = batch.filter(F.col(wm_col).isNotNull()).agg(
         F.max(F.struct(F.col(wm_col).alias("wm"), F.col(tie).alias("tie"))).alias("m"),
         F.count(F.lit(1)).alias("batch_rows"))
-    old_col = F.lit(old).cast(batch.schema[wm_col].dataType)
+    old_col = _typed(old, batch, wm_col)
     return best.select(
         F.coalesce(F.col("m.wm"), old_col).alias("watermark"),
         F.col("m.tie").alias("watermark_tie"),
         F.col("batch_rows"))
+
+
+def advance(batch: DataFrame, wm_col: str, tie: str, old: Cursor) -> tuple[Cursor, int]:
+    """(cursor after the batch, rows in it), from one global aggregate; values come back as text."""
+    c, t = F.col(wm_col), F.col(tie)
+    r = batch.agg(F.max(F.when(c.isNotNull(), F.struct(c.alias("wm"), t.alias("tie")))).alias("m"),
+                  F.max(F.when(c.isNull(), t)).alias("n"), F.count(F.lit(1)).alias("rows")).select(
+        F.col("m.wm").cast("string").alias("wm"), F.col("m.tie").cast("string").alias("tie"),
+        F.col("n").cast("string").alias("null_tie"), "rows").first()
+    moved = (r["wm"], r["tie"]) if r["wm"] is not None else (old.watermark, old.tie)
+    return Cursor(*moved, r["null_tie"] if r["null_tie"] is not None else old.null_tie), r["rows"]

@@ -12,15 +12,13 @@ ORACLE: dict[str, str] = {
     "dim_course": q("SELECT course_key, course_id, course_name, created_at FROM dim_course"),
     "dim_student": q(f"""
 SELECT md5(entity_id) AS student_key, entity_id AS student_id, account_id, full_name,
-       CAST(NULL AS VARCHAR) AS email, phone_number, md5(city_normalized) AS city_key,
-       CASE WHEN strpos(city_normalized, ',') > 0 THEN trim(split_part(city_normalized, ',', 2)) ELSE city_normalized END AS city_name,
-       CASE WHEN strpos(city_normalized, ',') > 0 THEN trim(split_part(city_normalized, ',', 1)) ELSE city_normalized END AS region_name,
+       CAST(NULL AS VARCHAR) AS email, phone_number, md5(place) AS city_key, place_city AS city_name, place_region AS region_name,
        education_level, account_status, is_contacted, is_paid_student, enrolled_courses_count,
        created_at, updated_at, {RUN_TS} AS processed_at, bronze_batch_id AS source_batch_id,
        _partition_key AS last_partition_key, coalesce(lower(account_status), '') = 'active' AS is_active,
        {RUN_TS} AS load_ts
 FROM (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY _partition_key DESC, updated_at DESC NULLS LAST,
-                                   bronze_batch_id DESC) AS rn2 FROM cityn) WHERE rn2 = 1
+                                   bronze_batch_id DESC) AS rn2 FROM clean) WHERE rn2 = 1
 """),
     "fact_student_daily": q("SELECT date_key, city_key, student_total_count, student_paid_count, paid_rate, load_ts "
                             "FROM fact_student_daily"),
@@ -33,9 +31,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY _partition_ke
     "kpi_daily_paid": q("SELECT * FROM daily ORDER BY date_value"),
     "kpi_unpaid_region_daily": q("""
 SELECT date_value, region_name, total_students, paid_students, total_students - paid_students AS unpaid_students,
-       paid_rate_pct,
-       CASE WHEN total_students = 0 THEN 0.0
-            ELSE 100.0 * CAST(total_students - paid_students AS DOUBLE) / CAST(total_students AS DOUBLE) END AS unpaid_rate_pct
+       paid_rate_pct, (total_students - paid_students) * 1e2 / total_students AS unpaid_rate_pct
 FROM region_daily"""),
     "kpi_latest_tiles": q("""
 SELECT * EXCLUDE (h), CAST(h // 100 AS VARCHAR) || '.' || lpad(CAST(h % 100 AS VARCHAR), 2, '0') || '%' AS paid_rate_text
@@ -182,7 +178,7 @@ SELECT o_orderkey AS doc_seq,
 FROM doc"""),
     "bronze_batch_metadata": q("""
 SELECT 'students' AS collection, strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS partition,
-       CAST(count(*) AS BIGINT) AS record_count, 1 AS file_count, 'PASSED_7_POINT_GATE' AS quality_status,
+       CAST(count(*) AS BIGINT) AS record_count, 'PASSED_7_POINT_GATE' AS quality_status,
        'watermark' AS source
 FROM doc GROUP BY 2"""),
 })
@@ -198,7 +194,8 @@ _EVENTS = f"""
          CASE WHEN e.event_type = 'error' THEN ' ' ELSE json_extract_string(e.props, '$.k') END,
          CASE WHEN e.event_type <> 'click' THEN coalesce(p.p_name, 'course') || ' (' || e.event_type || ')' END,
          CASE WHEN e.event_type = 'click' THEN coalesce(p.p_name, 'course') || ' (' || e.event_type || ')' END,
-         CAST(e.event_id AS BIGINT), {_ISO6.format(x="e.ts")}, strftime(e.ts, '%Y-%m-%d'), {_ISO6.format(x="e.ts")}
+         CAST(e.event_id AS BIGINT), {_ISO6.format(x="e.ts")}, strftime(e.ts, '%Y-%m-%d'),
+         {_ISO6.format(x="(CASE WHEN e.event_id % 7 = 0 THEN e.ts - INTERVAL 10 DAY ELSE e.ts END)")}
   FROM events e LEFT JOIN part p ON p.p_partkey = CAST(json_extract_string(e.props, '$.k') AS BIGINT)
 )
 """
@@ -211,8 +208,10 @@ ORACLE.update({
 })
 
 ORACLE.update({
-    "dedupe_checksum": q("SELECT o_orderkey AS doc_seq, 'batch-' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') "
-                         "AS _batch_id FROM doc"),
+    "dedupe_checksum": q("""
+, d AS (SELECT o_orderkey AS doc_seq, 'slice-' || strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS _batch_id,
+               CASE o_orderstatus WHEN 'F' THEN 'Active' WHEN 'O' THEN ' INACTIVE ' END AS status FROM doc)
+SELECT * FROM d UNION ALL SELECT doc_seq, _batch_id, 'Changed' FROM d WHERE doc_seq % 15 = 0"""),
     "missing_partitions": q("""
 , present AS (SELECT DISTINCT CAST(ingested_ts AS DATE) AS ds FROM doc WHERE ingested_ts IS NOT NULL)
 SELECT CAST(g.ds AS DATE) AS ds
@@ -232,7 +231,7 @@ SELECT collection, ds, CAST(DATE '2024-02-01' - CAST(ds AS DATE) AS INTEGER) AS
        DATE '2024-02-01' - CAST(ds AS DATE) > 40 AS stale_in_hot
 FROM parts"""),
     "upsert_dim": ORACLE["dim_student"],
-    "replace_partition": ORACLE["fact_student_daily"],
+    "replace_partition": ORACLE["fact_student_daily"] + " WHERE date_key <> 19980301",
     "table_roundtrip": ORACLE["bronze_batch_metadata"],
     "jsonl_tolerant_scan": q(_EVENTS + "SELECT event_id, course_id, course_name, title, _offset FROM ev_all"),
     "extended_json_scan": q(f"""
@@ -250,3 +249,49 @@ SELECT o_orderkey AS doc_seq, full_name,
        CASE WHEN o_custkey % 13 = 0 THEN NULL ELSE city END AS city,
        account_status
 FROM std0""")
+
+# CRC-32 in bit arithmetic: the table of one-byte remainders from its rule, then one step per byte.
+_CRC_STEP = ("CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END")
+_JSON = " || ',' || ".join(f"'\"{name}\":' || coalesce('\"' || {name} || '\"', 'null')" for name in
+                           ("_id", "userId", "status", "phone", "city", "createdAt", "updatedAt"))
+ORACLE.update({
+    "row_checksum": f"""
+WITH RECURSIVE steps AS (
+  SELECT b, b AS a, 0 AS k FROM (SELECT unnest(range(256)) AS b)
+  UNION ALL SELECT b, {_CRC_STEP}, k + 1 FROM steps WHERE k < 8
+), crc AS (SELECT list(a ORDER BY b) AS t FROM steps WHERE k = 8),
+rows AS (SELECT doc_seq, '{{' || {_JSON} || '}}' AS j FROM ({ORACLE["bronze_stamped"]}))
+SELECT doc_seq, lpad(lower(to_hex(xor(list_reduce(
+         [x::BIGINT FOR x IN list_prepend(4294967295, [ascii(c)::BIGINT FOR c IN regexp_extract_all(j, '(?s).')])],
+         lambda a, b: xor(a // 256, t[xor(a % 256, b) + 1])), 4294967295))), 8, '0') AS _checksum
+FROM rows, crc""",
+    "bronze_file_sizes": q("""
+SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS _partition_key, CAST(count(*) AS BIGINT) AS record_count,
+       true AS files_match, true AS has_files, true AS has_bytes
+FROM doc GROUP BY 1"""),
+    "file_counts": q("""
+SELECT 'students' AS collection, CAST(count(*) AS BIGINT) AS record_count, true AS files_match, true AS bytes_match FROM doc
+UNION ALL SELECT 'courses', CAST((SELECT count(*) FROM part) + (SELECT count(*) FROM events) AS BIGINT), true, true"""),
+    "file_size_anomaly": """
+SELECT unnest(['students', 'courses']) AS collection, true AS all_judged, true AS flags_follow_limits""",
+    "bronze_drain": q(f"""
+SELECT o_orderkey AS doc_seq, {_ENTITY} AS _id,
+       CASE WHEN o_orderkey % 29 = 0 THEN '' WHEN o_orderkey % 37 = 0 THEN {_ISO0.format(x="date_trunc('second', upd_raw)")}
+            ELSE {_ISO3.format(x="upd_raw")} END AS updatedAt, DATE '2024-03-01' AS _partition_key
+FROM doc"""),
+    "course_publish": q("""
+SELECT md5(lpad(lower(hex(p_partkey)), 24, '0') || '|' || '2024-02-01 00:00:00') AS event_id,
+       lpad(lower(hex(p_partkey)), 24, '0') AS course_id, p_name AS course_name, 'upsert' AS event_type
+FROM part"""),
+    "stream_upsert_courses_other_cut": ORACLE["stream_upsert_courses"],
+    "day_run": q("""
+, good AS (SELECT DISTINCT entity_id, place FROM std WHERE NOT missing_pk)
+SELECT 'bronze/students' AS layer, count(*) AS row_count FROM doc
+UNION ALL SELECT 'sidecar', count(*) FROM doc
+UNION ALL SELECT 'silver/quarantine', count(*) FROM std WHERE missing_pk
+UNION ALL SELECT unnest(['silver/students', 'gold/dim_student', 'gold metrics']), count(*) FROM good
+UNION ALL SELECT 'silver metrics', (SELECT count(*) FROM good) + (SELECT count(*) FROM silver_courses WHERE ingest_ds = '2024-01-05')
+UNION ALL SELECT unnest(['silver/courses', 'gold/dim_course']), count(*) FROM silver_courses WHERE ingest_ds = '2024-01-05'
+UNION ALL SELECT unnest(['gold/dim_city', 'gold/fact_student_daily', 'gold/mv_paid_students_daily']), count(DISTINCT place) FROM good
+UNION ALL SELECT 'gold/dim_date', 1"""),
+})

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from orelake.functions import iso_z, unify_extended
 from orelake.operators import lookup_email
+from orelake.operators.health import list_files
 from orelake.sources import student_documents, user_documents
 
 def _lit(v) -> Column:
@@ -26,7 +27,7 @@ def normalize_documents(docs: DataFrame, id_col: str = "_id",
         elif name in date_cols and isinstance(dtype, T.StringType):
             c = unify_extended(c, "$date")
         elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-            c = iso_z(c)
+            c = iso_z(c, 6)
         elif isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
             c = F.to_json(c)
         out.append(c.alias(name))
@@ -70,24 +71,40 @@ def bronze_students(spark: SparkSession, sf_dir: str, with_email: bool = False,
 
 
 def batch_metadata(bronze: DataFrame, slice_col: str = "_partition_key") -> DataFrame:
-    """Side-car per batch (slice): record count, file count, gate status.
-
-    One aggregate pass; an empty slice reports ``EMPTY_BATCH``.
-    """
+    """Side-car counts per slice: record count and gate status, in one aggregate pass."""
     agg = bronze.groupBy(F.col(slice_col).alias("partition")).agg(
         F.count(F.lit(1)).alias("record_count"),
         F.first("_table_name", ignorenulls=True).alias("collection"),
         F.first("_source", ignorenulls=True).alias("source"))
-    return agg.select(
-        "collection", "partition", "record_count",
-        F.when(F.col("record_count") > 0, 1).otherwise(0).alias("file_count"),
-        F.when(F.col("record_count") > 0, F.lit("PASSED_7_POINT_GATE")).otherwise(F.lit("EMPTY_BATCH")).alias("quality_status"),
-        "source")
+    return agg.select("collection", "partition", "record_count", gate_status("record_count").alias("quality_status"), "source")
+
+
+def gate_status(count) -> Column:
+    """The two states of a batch's gate."""
+    return F.when(F.col(count) > 0, F.lit("PASSED_7_POINT_GATE")).otherwise(F.lit("EMPTY_BATCH"))
+
+
+def batch_sidecar(batch: DataFrame, collection: str, ds: str, batch_id: str, ingested_at: str,
+                  files: DataFrame | None = None, source: str = "watermark") -> DataFrame:
+    """The one-row side-car of a batch: counts, files and bytes written, status; an empty batch has a row too.
+
+    ``files`` lists the files of the batch (file_path, file_size).
+    """
+    zero = F.lit(0).cast("long")
+    parts = batch.agg(F.count(F.lit(1)).alias("r")).select("r", zero.alias("f"), zero.alias("b"))
+    if files is not None:
+        parts = parts.unionByName(files.agg(F.count(F.lit(1)).alias("f"), F.coalesce(F.sum("file_size"), zero).alias("b"))
+                                  .select(zero.alias("r"), "f", "b"))
+    n = parts.agg(F.sum("r").alias("record_count"), F.sum("f").alias("file_count"), F.sum("b").alias("total_size_bytes"))
+    return n.select(F.lit(batch_id).alias("batch_id"), F.lit(collection).alias("collection"), F.lit(ds).alias("partition"),
+                    "record_count", "file_count", "total_size_bytes",
+                    gate_status("record_count").alias("quality_status"), F.lit(ingested_at).alias("ingested_at"),
+                    F.lit(source).alias("source"))
 
 
 def file_sizes(spark: SparkSession, path: str, slice_col: str) -> DataFrame:
-    """Bytes and files per partition of a written Parquet layer (from file metadata)."""
-    files = spark.read.parquet(path).select(F.col(slice_col), F.col("_metadata.file_path").alias("file_path"),
-                                            F.col("_metadata.file_size").alias("file_size")).distinct()
+    """Files, bytes per partition of a written Parquet layer, from one row per file."""
+    files = list_files(spark, path).withColumn(
+        slice_col, F.regexp_extract("file_path", f"/{slice_col}=([^/]*)/", 1))
     return files.groupBy(slice_col).agg(F.count(F.lit(1)).alias("file_count"),
                                         F.sum("file_size").cast("long").alias("total_size_bytes"))

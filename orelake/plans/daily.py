@@ -3,7 +3,8 @@
 ``run_day`` is the Spark form of the nightly batch: every step is a
 DataFrame plan, hand-over between steps is partitioned Parquet in ``root``
 (a shared folder), dimensions are versioned keyed upserts and facts replace
-exactly the day's partition, so re-running a day is idempotent.
+exactly the day's partition (cleared, if the day is empty now), so re-running
+a day is idempotent.
 """
 
 from __future__ import annotations
@@ -11,22 +12,29 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orelake.functions import iso_z, parse_ts, unify_extended
-from orelake.operators import incremental_scan, lookup_email, next_watermark
+from orelake.operators import Cursor, advance, incremental_scan, lookup_email
+from orelake.operators.health import list_files
 from orelake.plans import gold as G
 from orelake.plans import kpi
-from orelake.plans.bronze import batch_metadata, normalize_documents, stamp_bronze
-from orelake.plans.silver import split_clean_quarantine, standardize_courses, standardize_students
-from orelake.schemas import conform, empty_table
+from orelake.plans.bronze import batch_sidecar, normalize_documents, stamp_bronze
+from orelake.plans.silver import (silver_day_metrics, split_clean_quarantine, standardize_courses,
+                                  standardize_students)
+from orelake.schemas import conform, empty_table, schema
 from orelake.session import prepare_session
-from orelake.sinks import (merge_upsert, read_current, replace_partition, write_json_record, write_layer,
-                           write_version)
+from orelake.sinks import (materialize, read_current, replace_partition, table_exists, upsert, write_json_record,
+                           write_layer, write_version)
 from orelake.sources import read_partition, require_rows
 
 
+FACTS = ["fact_student_daily", "mv_paid_students_daily", "fact_course_enrollment_event",
+         "mv_course_enrollment_region_daily"]
+
+
 @dataclass
 class DayInputs:
     """Sources of one run: the student collection, the users, and the bronze course-event folder."""
@@ -43,68 +51,114 @@ def _paths(root: str) -> dict[str, str]:
     names = ["bronze/students", "bronze/_state/students", "bronze/_meta/students", "silver/students",
              "silver/quarantine", "silver/courses", "gold/dim_date", "gold/dim_city", "gold/dim_course",
              "gold/dim_student", "gold/fact_student_daily", "gold/mv_paid_students_daily",
-             "gold/fact_course_enrollment_event", "gold/mv_course_enrollment_region_daily", "gold/_metrics"]
+             "gold/fact_course_enrollment_event", "gold/mv_course_enrollment_region_daily", "gold/_metrics",
+             "silver/_metrics"]
     return {n: f"{r}/{n}" for n in names}
 
 
-def bronze_ingest(spark: SparkSession, inputs: DayInputs, ds: str, root: str, run_ts: str,
-                  batch_size: int | None = 1000, batch_id: str | None = None) -> DataFrame:
-    """Scan past the stored cursor, add e-mails, stamp, append to the day's bronze partition.
+def _cursor_time(students: DataFrame) -> Column:
+    """``updatedAt`` as a zone-less time: typed columns as they are, text parsed value by value."""
+    if isinstance(students.schema["updatedAt"].dataType, (T.TimestampType, T.TimestampNTZType)):
+        return F.col("updatedAt").cast("timestamp_ntz")
+    return parse_ts(unify_extended("updatedAt", "$date"))
+
 
-    The cursor ``(updatedAt, tie)`` is saved only after the data is written;
-    the side-car reports the batch.  Returns the batch as written.
+def read_cursor(spark: SparkSession, root: str) -> Cursor:
+    """The stored bronze cursor; the empty cursor only where none was ever stored."""
+    state = read_current(spark, _paths(root)["bronze/_state/students"])
+    row = state.select("watermark", "watermark_tie", "null_tie").first() if state is not None else None
+    return Cursor(*row) if row is not None else Cursor()
+
+
+def bronze_ingest(spark: SparkSession, inputs: DayInputs, ds: str, root: str, run_ts: str,
+                  batch_size: int | None = None, batch_id: str | None = None) -> DataFrame:
+    """Drain everything after the stored cursor into the day's bronze partition, e-mails and stamps added.
+
+    One commit, or several of ``batch_size`` documents until none are left.
+    Each commit writes its rows, then its side-car (an empty run has one, too),
+    then the cursor: ``(updatedAt, tie)`` of the dated documents and the tie of
+    the undated ones, all as text.  A run cut short between rows and cursor
+    reads these documents again under a new batch id, and silver keeps one
+    row per student.  Returns the rows of this run.
     """
     p = _paths(root)
     batch_id = batch_id or str(uuid.uuid4())
-    state = read_current(spark, p["bronze/_state/students"])
-    wm = tie = None
-    if state is not None:
-        row = state.first()
-        wm, tie = (row["watermark"], row["watermark_tie"]) if row is not None else (None, None)
-    src = inputs.students.withColumn("__wm", parse_ts(unify_extended("updatedAt", "$date")))
+    ingested_at = iso_z(F.lit(run_ts).cast("timestamp"), 6)
+    src = inputs.students.withColumn("__wm", _cursor_time(inputs.students))
     src = src.withColumn("__tie", F.col(inputs.tie_col).cast("string"))
-    batch = incremental_scan(src, "__wm", wm, tie="__tie", limit=batch_size, tie_wm=tie)
-    docs = normalize_documents(batch.drop("__wm", "__tie"))
-    if inputs.users is not None:
-        docs = lookup_email(docs, inputs.users)
-    stamped = stamp_bronze(docs, batch_id, "students", ds, iso_z(F.lit(run_ts).cast("timestamp"), 6))
-    write_layer(stamped, p["bronze/students"], ["_partition_key"])
-    written = read_partition(spark, p["bronze/students"], "_partition_key", ds).filter(F.col("_batch_id") == batch_id)
-    cursor = written.select(parse_ts(F.col("updatedAt")).alias("__wm"), F.col(inputs.tie_col).cast("string").alias("__tie"))
-    new_state = next_watermark(cursor, "__wm", wm, tie="__tie")
-    if new_state.first()["batch_rows"] > 0:
-        write_version(new_state, p["bronze/_state/students"])
-    write_json_record(batch_metadata(written).withColumn("batch_id", F.lit(batch_id)),
-                      f"{p['bronze/_meta/students']}/ds={ds}/batch={batch_id}")
-    return written
+    out, names = f"{p['bronze/students']}/_partition_key={ds}", []
+    while True:
+        cursor = read_cursor(spark, root)
+        batch = materialize(incremental_scan(src, "__wm", cursor.watermark, tie="__tie", limit=batch_size,
+                                             tie_wm=cursor.tie, null_tie=cursor.null_tie, nulls=True), "bronze_batch")
+        moved, n = advance(batch, "__wm", "__tie", cursor)
+        if n == 0 and names:
+            break
+        name = f"{batch_id}-{len(names):06d}"
+        names.append(name)
+        docs = normalize_documents(batch.drop("__wm", "__tie"))
+        if inputs.users is not None:
+            docs = lookup_email(docs, inputs.users)
+        stamped = stamp_bronze(docs, name, "students", ds, ingested_at)
+        files = None
+        if n:
+            before = list_files(spark, out) if table_exists(spark, out) else None
+            before = materialize(before, "files") if before is not None else None
+            write_layer(stamped, p["bronze/students"], ["_partition_key"])
+            files = list_files(spark, out)
+            files = files.join(before, "file_path", "left_anti").select("file_path", "file_size") if before is not None else files
+        sidecar = batch_sidecar(batch, "students", ds, name, run_ts.replace(" ", "T") + "Z", files)
+        write_json_record(sidecar, f"{p['bronze/_meta/students']}/ds={ds}/batch={name}")
+        if n:
+            state = spark.range(1).select(*[F.lit(v).cast("string").alias(k) for k, v in
+                                            zip(("watermark", "watermark_tie", "null_tie"), moved)],
+                                          F.lit(run_ts).alias("lastPipeline"))
+            write_version(state, p["bronze/_state/students"])
+        if batch_size is None or n < batch_size:
+            break
+    if not table_exists(spark, p["bronze/students"]):
+        return empty_like(stamped)
+    written = read_partition(spark, p["bronze/students"], "_partition_key", ds, schema=stamped.schema)
+    return written.filter(F.col("_batch_id").isin(names))
+
+
+def empty_like(df: DataFrame) -> DataFrame:
+    return df.sparkSession.createDataFrame([], df.schema)
 
 
 def silver_day(spark: SparkSession, ds: str, root: str, run_ts: str, course_events_dir: str | None = None,
-               carry_email: bool = False) -> None:
-    """Bronze partition of ``ds`` -> silver clean (replaced) + quarantine; bronze course events of ``ds`` -> silver courses."""
+               carry_email: bool = False) -> DataFrame:
+    """Bronze partition of ``ds`` -> silver clean and quarantine (replaced); course events of ``ds`` -> silver courses.
+
+    Writes and returns the day's silver metrics.  A layer that has no rows for
+    the day any more is cleared.
+    """
     p = _paths(root)
     bronze = read_partition(spark, p["bronze/students"], "_partition_key", ds)
     require_rows(bronze, f"bronze students {ds}")
     std = standardize_students(bronze, run_ts, str(uuid.uuid4()),
                                carry_email=carry_email and "email" in bronze.columns)
     clean, quarantine = split_clean_quarantine(std, f"{p['bronze/students']}/_partition_key={ds}", run_ts)
-    replace_partition(clean, p["silver/students"], "_partition_key")
-    replace_partition(quarantine, p["silver/quarantine"], "_partition_key")
+    replace_partition(clean, p["silver/students"], "_partition_key", [ds])
+    replace_partition(quarantine, p["silver/quarantine"], "_partition_key", [ds])
     if course_events_dir:
         ev = spark.read.schema("event_id string, event_time string, course_id string, course_name string, "
                                "title string, event_type string, created_at string, updated_at string, "
                                "_topic string, _partition int, _offset long, _ingested_at string, "
                                "ingest_date string").json(course_events_dir)
         day = ev.filter(F.col("ingest_date") == ds)
-        if require_rows(day, f"course events {ds}", required=False):
-            replace_partition(standardize_courses(day.withColumnRenamed("ingest_date", "ingest_ds"), "ingest_ds"),
-                              p["silver/courses"], "ingest_ds")
+        replace_partition(standardize_courses(day.withColumnRenamed("ingest_date", "ingest_ds"), "ingest_ds"),
+                          p["silver/courses"], "ingest_ds", [ds])
 
-
-def _upsert(spark: SparkSession, path: str, updates: DataFrame, keys: list[str]) -> DataFrame:
-    merged = merge_upsert(read_current(spark, path), updates, keys)
-    write_version(merged, path)
-    return read_current(spark, path)
+    def count(name: str, part: str) -> DataFrame | None:
+        if not table_exists(spark, f"{p[name]}/{part}={ds}"):
+            return None
+        return read_partition(spark, p[name], part, ds)
+    metrics = silver_day_metrics(spark, ds, count("silver/students", "_partition_key"),
+                                 count("silver/quarantine", "_partition_key"), count("silver/courses", "ingest_ds"))
+    metrics = metrics.withColumn("generated_at", F.lit(run_ts))
+    write_json_record(metrics, f"{p['silver/_metrics']}/ds={ds}")
+    return metrics
 
 
 def gold_day(spark: SparkSession, ds: str, root: str, as_of: str, run_ts: str) -> dict:
@@ -112,34 +166,28 @@ def gold_day(spark: SparkSession, ds: str, root: str, as_of: str, run_ts: str) -
     p = _paths(root)
     silver = read_partition(spark, p["silver/students"], "_partition_key", ds)
     require_rows(silver, f"silver students {ds}")
-    _upsert(spark, p["gold/dim_date"], conform(G.dim_date(silver), "dim_date"), ["date_key"])
-    cities = _upsert(spark, p["gold/dim_city"], conform(G.dim_city(silver, run_ts), "dim_city"), ["city_key"])
-    try:
-        courses_slice = read_partition(spark, p["silver/courses"], "ingest_ds", ds)
-        has_courses = require_rows(courses_slice, f"silver courses {ds}", required=False)
-    except Exception:  # noqa: BLE001 - no course layer yet: warn-and-skip, as the source does
-        has_courses = False
-    if has_courses:
-        courses = _upsert(spark, p["gold/dim_course"], conform(G.dim_course(courses_slice, run_ts), "dim_course"),
-                          ["course_key"])
-    else:
-        courses = read_current(spark, p["gold/dim_course"])
-    _upsert(spark, p["gold/dim_student"], conform(G.dim_student(silver, run_ts), "dim_student"), ["student_key"])
+    upsert(spark, p["gold/dim_date"], conform(G.dim_date(silver), "dim_date"), ["date_key"])
+    cities = upsert(spark, p["gold/dim_city"], conform(G.dim_city(silver, run_ts), "dim_city"), ["city_key"])
+    courses = read_current(spark, p["gold/dim_course"])
+    if table_exists(spark, f"{p['silver/courses']}/ingest_ds={ds}"):
+        slice_ = read_partition(spark, p["silver/courses"], "ingest_ds", ds)
+        courses = upsert(spark, p["gold/dim_course"], conform(G.dim_course(slice_, run_ts), "dim_course"), ["course_key"])
+    upsert(spark, p["gold/dim_student"], conform(G.dim_student(silver, run_ts), "dim_student"), ["student_key"])
     fact = conform(G.fact_student_daily(silver, run_ts), "fact_student_daily")
-    replace_partition(fact, p["gold/fact_student_daily"], "date_key")
     key = int(ds.replace("-", ""))
-    fact_day = read_partition(spark, p["gold/fact_student_daily"], "date_key", key)
+    replace_partition(fact, p["gold/fact_student_daily"], "date_key", [key])
+    fact_day = read_fact(spark, root, "fact_student_daily").filter(F.col("date_key") == key)
     replace_partition(conform(G.mv_paid_students_daily(fact_day, run_ts), "mv_paid_students_daily"),
-                      p["gold/mv_paid_students_daily"], "date_key")
+                      p["gold/mv_paid_students_daily"], "date_key", [key])
     replace_partition(conform(G.fact_course_enrollment_event(silver, as_of, run_ts), "fact_course_enrollment_event"),
-                      p["gold/fact_course_enrollment_event"], "date_key")
-    enrol_day = read_partition(spark, p["gold/fact_course_enrollment_event"], "date_key", key)
+                      p["gold/fact_course_enrollment_event"], "date_key", [key])
+    enrol_day = read_fact(spark, root, "fact_course_enrollment_event").filter(F.col("date_key") == key)
     if courses is None:
         courses = empty_table(spark, "dim_course")
     mart = G.mv_course_enrollment_region_daily(enrol_day, cities, courses, run_ts)
     replace_partition(conform(mart, "mv_course_enrollment_region_daily"),
-                      p["gold/mv_course_enrollment_region_daily"], "date_key")
-    mv_day = read_partition(spark, p["gold/mv_paid_students_daily"], "date_key", key)
+                      p["gold/mv_course_enrollment_region_daily"], "date_key", [key])
+    mv_day = read_fact(spark, root, "mv_paid_students_daily").filter(F.col("date_key") == key)
     metrics = kpi.run_metrics(fact_day, mv_day, enrol_day).withColumn("ds", F.lit(ds))
     write_json_record(metrics, f"{p['gold/_metrics']}/ds={ds}")
     row = metrics.first()
@@ -147,7 +195,7 @@ def gold_day(spark: SparkSession, ds: str, root: str, as_of: str, run_ts: str) -
 
 
 def run_day(spark: SparkSession, ds: str, root: str, inputs: DayInputs, as_of: str, run_ts: str,
-            batch_size: int | None = 1000) -> dict:
+            batch_size: int | None = None) -> dict:
     """Bronze ingest, silver and gold for one day; returns the gold run metrics."""
     prepare_session(spark)
     bronze_ingest(spark, inputs, ds, root, run_ts, batch_size)
@@ -155,18 +203,20 @@ def run_day(spark: SparkSession, ds: str, root: str, inputs: DayInputs, as_of: s
     return gold_day(spark, ds, root, as_of, run_ts)
 
 
+def read_fact(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A stored fact or mart with its fixed schema; empty where it was never written, any other failure raises."""
+    path = _paths(root)[f"gold/{name}"]
+    if not table_exists(spark, path):
+        return empty_table(spark, name)
+    return conform(spark.read.schema(schema(name)).parquet(path), name)
+
+
 def read_gold(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The stored gold tables (dimensions at their current version, facts as partitioned tables)."""
+    """The stored gold tables: dimensions at their current version, facts as partitioned tables.
+
+    Tables never written are left out; a table that cannot be read raises.
+    """
     p = _paths(root)
-    out = {}
-    for name in ["dim_date", "dim_city", "dim_course", "dim_student"]:
-        df = read_current(spark, p[f"gold/{name}"])
-        if df is not None:
-            out[name] = df
-    for name in ["fact_student_daily", "mv_paid_students_daily", "fact_course_enrollment_event",
-                 "mv_course_enrollment_region_daily"]:
-        try:
-            out[name] = spark.read.parquet(p[f"gold/{name}"])
-        except Exception:  # noqa: BLE001 - table not written yet
-            pass
-    return out
+    dims = {n: read_current(spark, p[f"gold/{n}"]) for n in ("dim_date", "dim_city", "dim_course", "dim_student")}
+    facts = {n: read_fact(spark, root, n) for n in FACTS if table_exists(spark, p[f"gold/{n}"])}
+    return {n: df for n, df in dims.items() if df is not None} | facts

@@ -8,8 +8,6 @@ the daily run (see ``orelake.plans.daily``).
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -189,34 +187,3 @@ def mv_course_enrollment_region_daily(enrol: DataFrame, cities: DataFrame, cours
                     "course_key", F.coalesce("course_name", F.lit("UNKNOWN")).alias("course_name")).agg(
         F.countDistinct("student_id").alias("enrolled_students_count"))
     return agg.withColumn("refreshed_at", _ts(refreshed_at))
-
-
-class Gold(NamedTuple):
-    """The gold tables of one build, as DataFrames."""
-
-    dim_date: DataFrame
-    dim_city: DataFrame
-    dim_course: DataFrame
-    dim_student: DataFrame
-    fact_student_daily: DataFrame
-    mv_paid_students_daily: DataFrame
-    fact_course_enrollment_event: DataFrame
-    mv_course_enrollment_region_daily: DataFrame
-
-
-def build_gold(silver_clean: DataFrame, silver_courses: DataFrame, as_of, run_ts) -> Gold:
-    """All gold tables from the silver student and course tables (lazy)."""
-    cities = dim_city(silver_clean, run_ts)
-    courses = dim_course(silver_courses, run_ts)
-    fact = fact_student_daily(silver_clean, run_ts)
-    enrol = fact_course_enrollment_event(silver_clean, as_of, run_ts)
-    return Gold(
-        dim_date=dim_date(silver_clean),
-        dim_city=cities,
-        dim_course=courses,
-        dim_student=dim_student(silver_clean, run_ts),
-        fact_student_daily=fact,
-        mv_paid_students_daily=mv_paid_students_daily(fact, run_ts),
-        fact_course_enrollment_event=enrol,
-        mv_course_enrollment_region_daily=mv_course_enrollment_region_daily(enrol, cities, courses, run_ts),
-    )

@@ -64,15 +64,25 @@ def access_mix(enrol: DataFrame) -> DataFrame:
         F.countDistinct("student_id").alias("students_count")).orderBy(F.col("events_count").desc())
 
 
+def newest_day(rows: DataFrame, dates: DataFrame) -> DataFrame:
+    """Rows of the newest ``date_key`` that ``dates`` knows.
+
+    The day is found first, from the key column alone, and the rows are
+    filtered by it before anything is aggregated: a semi-join on the key with
+    a one-row side prunes the partitions of a stored table.
+    """
+    return keep_latest(rows.join(dates.select("date_key"), "date_key", "left_semi"), "date_key")
+
+
 def latest_tiles(fact: DataFrame, dates: DataFrame) -> DataFrame:
     """KPI-5: the latest day's totals, with the paid rate also as ``12.34%`` text."""
-    last = keep_latest(daily_paid(fact, dates), "date_value")
+    last = daily_paid(newest_day(fact, dates), dates)
     return last.withColumn("paid_rate_text", percent_text(F.col("paid_students"), F.col("total_students")))
 
 
 def region_rank_latest(fact: DataFrame, dates: DataFrame, cities: DataFrame) -> DataFrame:
     """KPI-6: regions of the latest day, best paid rate first."""
-    last = keep_latest(region_daily_paid(fact, dates, cities), "date_value")
+    last = region_daily_paid(newest_day(fact, dates), dates, cities)
     return last.orderBy(F.col("paid_rate_pct").desc(), F.col("region_name"))
 
 
@@ -93,7 +103,7 @@ def region_map(fact: DataFrame, dates: DataFrame, cities: DataFrame, collections
     features are exploded and keyed like the region names.  Regions without
     a feature are kept (``has_boundary`` false).
     """
-    last = keep_latest(region_daily_paid(fact, dates, cities), "date_value")
+    last = region_daily_paid(newest_day(fact, dates), dates, cities)
     feats = boundary_features(collections)
     feats = feats.select(region_key("shape_name").alias("region_key"), "shape_name")
     feats = feats.groupBy("region_key").agg(F.min("shape_name").alias("shape_name"))
@@ -129,17 +139,20 @@ def region_table(fact: DataFrame, dates: DataFrame, cities: DataFrame) -> DataFr
 def run_metrics(fact: DataFrame, mv_paid: DataFrame, enrol: DataFrame) -> DataFrame:
     """KPI-10: per day: student and paid totals, unweighted mean city paid rate, enrolments.
 
-    Three aggregates by ``date_key`` joined on the key (full outer, so a day
-    with only one of them still shows, with zeros).
+    The three inputs are stacked and aggregated once by ``date_key`` (a day
+    with only one of them still shows, with zeros); enrolments are counted
+    per task before they are stacked.
     """
-    f = fact.groupBy("date_key").agg(F.sum("student_total_count").cast("long").alias("student_total_count"),
-                                     F.sum("student_paid_count").cast("long").alias("student_paid_count"))
-    m = mv_paid.groupBy("date_key").agg(F.avg("paid_rate").alias("avg_paid_rate"))
-    e = enrol.groupBy("date_key").agg(F.count(F.lit(1)).alias("student_course_enrollments"))
-    j = f.join(m, "date_key", "full").join(e, "date_key", "full")
-    return j.select(
-        "date_key",
-        F.coalesce("student_total_count", F.lit(0)).cast("long").alias("student_total_count"),
-        F.coalesce("student_paid_count", F.lit(0)).cast("long").alias("student_paid_count"),
-        F.round(F.coalesce("avg_paid_rate", F.lit(0.0)), 9).alias("avg_paid_rate"),
-        F.coalesce("student_course_enrollments", F.lit(0)).cast("long").alias("student_course_enrollments"))
+    names = ["student_total_count", "student_paid_count", "paid_rate", "enrolments"]
+    none = {"student_total_count": "long", "student_paid_count": "long", "paid_rate": "double", "enrolments": "long"}
+
+    def rows(df: DataFrame, *own: str) -> DataFrame:
+        return df.select("date_key", *[F.col(n) if n in own else F.lit(None).cast(none[n]).alias(n) for n in names])
+    counted = enrol.groupBy("date_key").agg(F.count(F.lit(1)).alias("enrolments"))
+    stacked = (rows(fact, "student_total_count", "student_paid_count").unionByName(rows(mv_paid, "paid_rate"))
+               .unionByName(rows(counted, "enrolments")))
+    total = lambda n: F.coalesce(F.sum(n), F.lit(0)).cast("long")
+    return stacked.groupBy("date_key").agg(
+        total("student_total_count").alias("student_total_count"), total("student_paid_count").alias("student_paid_count"),
+        F.round(F.coalesce(F.avg("paid_rate"), F.lit(0.0)), 9).alias("avg_paid_rate"),
+        total("enrolments").alias("student_course_enrollments"))

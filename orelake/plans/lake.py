@@ -31,38 +31,21 @@ def bronze_path_of(slice_col: str = "_partition_key"):
     return F.concat(F.lit(BRONZE_ROOT + "/"), F.col(slice_col))
 
 
-_PLANS: dict = {}
-
-
-def _memo(kind: str, spark: SparkSession, sf_dir: str, build):
-    """Keep built (lazy, unexecuted) plans per session and input folder.
-
-    Only the plan objects are shared, never data: each action still runs
-    from the scans.  Saves re-analysing the deep stand-in / silver plans.
-    """
-    key = (kind, id(spark), sf_dir)
-    hit = _PLANS.get(key)
-    if hit is None or hit[0] is not spark:
-        hit = (spark, build())
-        _PLANS[key] = hit
-    return hit[1]
+def standardized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Standardised student rows of every day slice, before the split."""
+    prepare_session(spark)
+    return standardize_students(bronze_students(spark, sf_dir), RUN_TS, SILVER_BATCH_ID)
 
 
 def silver_students(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(clean, quarantine) silver student tables of every day slice."""
-    prepare_session(spark)
-
-    def build():
-        std = standardize_students(bronze_students(spark, sf_dir), RUN_TS, SILVER_BATCH_ID)
-        return split_clean_quarantine(std, bronze_path_of(), RUN_TS)
-    return _memo("silver_students", spark, sf_dir, build)
+    return split_clean_quarantine(standardized(spark, sf_dir), bronze_path_of(), RUN_TS)
 
 
 def silver_courses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver courses: the last event per course in each ingest day."""
     prepare_session(spark)
-    return _memo("silver_courses", spark, sf_dir,
-                 lambda: standardize_courses(course_events(spark, sf_dir), "ingest_ds"))
+    return standardize_courses(course_events(spark, sf_dir), "ingest_ds")
 
 
 # Silver columns the gold facts and the city / date dimensions read.
@@ -115,8 +98,7 @@ class Lake:
     def dim_course(self) -> DataFrame:
         # one newest-wins pass over all events equals "last per day, then latest day":
         # the ingest day is the date of the ingest time that orders the events.
-        latest = _memo("courses_latest", self.spark, self.sf_dir,
-                       lambda: standardize_courses(course_events(self.spark, self.sf_dir), None))
+        latest = standardize_courses(course_events(self.spark, self.sf_dir), None)
         return G.dim_course(latest, RUN_TS, order=(), unique=True)
 
     @cached_property

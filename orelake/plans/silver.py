@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orelake.functions import (capitalize_first, digits_only, nested_to_list, parse_ts,
@@ -77,7 +77,7 @@ def standardize_students(bronze: DataFrame, run_ts, silver_batch_id, table_name:
 def quality_checks(std: DataFrame) -> dict[str, Column]:
     """The hard-fail predicates of one standardised row."""
     return {
-        "missing_pk": F.col("entity_id").isNull() | (F.trim(F.col("entity_id")) == ""),
+        "missing_pk": F.col("entity_id").isNull() | (py_strip(F.col("entity_id")) == ""),
         "bad_created_at": F.col("created_at").isNull(),
         "bad_updated_at": F.col("updated_at").isNull(),
     }
@@ -119,12 +119,52 @@ def split_clean_quarantine(std: DataFrame, bronze_file_path, run_ts,
     return clean, quarantine
 
 
-def standardize_courses(events: DataFrame, slice_col: str | None = "ingest_ds") -> DataFrame:
+def run_counts(std: DataFrame, slice_cols: tuple[str, ...] = ("_partition_key",)) -> DataFrame:
+    """Clean and quarantined rows per slice, in one pass over the standardised rows.
+
+    A slice's clean rows are its distinct entities with a passing row, so two
+    aggregates with partial sums replace the de-duplication window.
+    """
+    bad = F.lit(False)
+    for c in quality_checks(std).values():
+        bad = bad | c
+    each = std.groupBy(*slice_cols, "entity_id").agg(
+        F.max(F.when(bad, 0).otherwise(1)).alias("clean"), F.sum(F.when(bad, 1).otherwise(0)).alias("bad"))
+    return each.groupBy(*slice_cols).agg(F.sum("clean").cast("long").alias("students_clean_count"),
+                                         F.sum("bad").cast("long").alias("students_quarantine_count"))
+
+
+def silver_metrics(students: DataFrame, courses: DataFrame) -> DataFrame:
+    """Run metrics per day: clean / quarantined students, clean courses, totals (AGG-11, SNK-13).
+
+    ``students``: ds and the counts of :func:`run_counts`; ``courses``: ds and courses_clean_count.
+    """
+    names = ["students_clean_count", "students_quarantine_count", "courses_clean_count"]
+    both = students.unionByName(courses, allowMissingColumns=True)
+    agg = both.groupBy("ds").agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in names])
+    return agg.select("ds", *names,
+                      (F.col("students_clean_count") + F.col("courses_clean_count")).alias("total_clean_count"),
+                      F.col("students_quarantine_count").alias("total_quarantine_count"))
+
+
+def silver_day_metrics(spark: SparkSession, ds: str, clean: DataFrame | None, quarantine: DataFrame | None,
+                       courses: DataFrame | None) -> DataFrame:
+    """The metrics of one day from its written layers; a layer not written counts 0."""
+    def rows(df: DataFrame | None, name: str) -> DataFrame:
+        n = spark.range(0) if df is None else df
+        return n.agg(F.count(F.lit(1)).alias(name)).select(F.lit(ds).alias("ds"), name)
+    students = rows(clean, "students_clean_count").unionByName(
+        rows(quarantine, "students_quarantine_count"), allowMissingColumns=True)
+    return silver_metrics(students, rows(courses, "courses_clean_count"))
+
+
+def standardize_courses(events: DataFrame, slice_col: str | None = "ingest_ds", keep_order: bool = False) -> DataFrame:
     """Bronze course events -> one row per course (and slice): the last delivered wins.
 
     Id from ``course_id`` else ``_id``; name from ``course_name``, ``title``
     or ``name``.  Rows without an id are dropped.  "Last" is the explicit
-    delivery order ``(_ingested_at, _offset)``, as file order is not defined.
+    delivery order ``(_ingested_at, _offset)``, as file order is not defined;
+    ``keep_order`` leaves it in as ``_ingested_ts`` and ``_offset``.
     """
     g = lambda n: col_or_default(events, n)
     cid = F.nullif(py_strip(F.coalesce(g("course_id"), g("_id"))), F.lit(""))
@@ -140,4 +180,4 @@ def standardize_courses(events: DataFrame, slice_col: str | None = "ingest_ds")
         keys = [slice_col, "course_id"]
     out = events.select(*cols).filter(F.col("course_id").isNotNull())
     out = latest_by_key(out, keys, ["_ingested_ts", "_offset"])
-    return out.drop("_ingested_ts", "_offset")
+    return out if keep_order else out.drop("_ingested_ts", "_offset")

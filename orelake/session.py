@@ -5,86 +5,53 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
-
-# Settings that change results (time zone) or plans (AQE).  Runtime SQL
-# confs only, so they are safe on a session someone else created.
-_RUNTIME_CONF = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-}
+from pyspark.sql import DataFrame, SparkSession
 
 
 def prepare_session(spark: SparkSession) -> SparkSession:
-    """Pin the runtime settings every plan in this package assumes."""
-    for key, value in _RUNTIME_CONF.items():
-        if spark.conf.get(key, None) != value:
-            spark.conf.set(key, value)
+    """Set the session's time zone to UTC, the one setting that results depend on.
+
+    It stays set: timestamps are rendered when a returned DataFrame is run,
+    after this call.  Planner settings are left to the caller.
+    """
+    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of the JVM, for listing and deleting whole folders in any store."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir`` (or set on the context).
 
-    On a cluster this must already be set to a shared file system.  Only when
-    it is unset (local tests) a fresh temporary folder is created and
-    registered, so that ``DataFrame.checkpoint()`` works as well.
+    On a cluster it must be set.  In local mode, where driver and executors
+    are one process, a temporary folder is set when there is none.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        try:
-            root = spark.sparkContext.getCheckpointDir()
-        except Exception:  # noqa: BLE001 - no SparkContext on a remote (Connect) session
-            root = None
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="orelake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:  # noqa: BLE001
-            pass
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="orelake-ckpt-"))
+        root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique folder below the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/orelake/{name}-{uuid.uuid4().hex[:12]}"
-
-
-_READERS: dict = {}
+    """A new, unique folder below the shared checkpoint root.
 
+    All scratch folders of an application are in one folder, which is deleted
+    when the application ends.
+    """
+    own = f"{checkpoint_root(spark)}/orelake-{spark.sparkContext.applicationId}"
+    fs, path = hadoop_path(spark, own)
+    fs.deleteOnExit(path)
+    return f"{own}/{name}-{uuid.uuid4().hex[:12]}"
 
-def table(spark: SparkSession, sf_dir: str, name: str):
-    """Read one provided (read-only) Parquet table.
 
-    The reader DataFrame is kept per session and path: listing the files and
-    reading the footers is paid once, not once per query.  DataFrames are
-    immutable plans, so sharing the reader is safe.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _READERS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _READERS[key] = df
-    return df
-
-
-def spread(df, key: str | None = None):
-    """Spread an input that arrives in fewer partitions than the cluster has cores.
-
-    A large table is already read by many tasks and is returned unchanged; a
-    one-file table would otherwise run every per-row expression of its
-    first stage in a single task.  With ``key`` the rows are hash-partitioned
-    on it (deterministic without the local sort a round-robin needs).
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - remote (Connect) session: leave the input as it is
-        return df
-    if parts * 2 <= cores:
-        return df.repartition(cores, key) if key else df.repartition(cores)
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one provided Parquet table, as it is now."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

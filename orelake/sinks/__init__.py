@@ -3,6 +3,9 @@
 from orelake.sinks.tables import (
     materialize,
     merge_upsert,
+    table_exists,
+    upsert,
+    vacuum,
     read_current,
     replace_partition,
     write_json_record,
@@ -10,5 +13,5 @@ from orelake.sinks.tables import (
     write_version,
 )
 
-__all__ = ["materialize", "merge_upsert", "read_current", "replace_partition",
+__all__ = ["table_exists", "upsert", "vacuum", "materialize", "merge_upsert", "read_current", "replace_partition",
            "write_json_record", "write_layer", "write_version"]

@@ -1,14 +1,20 @@
-"""Parquet tables without a table format: layers, partition replace, versioned upsert."""
+"""Parquet tables without a table format: layers, partition replace, bucketed keyed upsert."""
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from orelake.operators import latest_by_key
-from orelake.session import scratch_path
+from orelake.session import hadoop_path, scratch_path
+
+BUCKET = "bucket__"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -17,10 +23,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage (a lost executor re-reads files instead of recomputing
     the whole chain) and lets several consumers share one computation; the
     read keeps column pruning and filter push-down, unlike an RDD checkpoint.
+    The copy goes with the application's scratch folder.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "append") -> None:
@@ -31,48 +38,157 @@ def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode
     w.parquet(path)
 
 
-def replace_partition(df: DataFrame, path: str, part_col: str | Sequence[str]) -> None:
-    """Delete-then-insert of exactly the partitions present in ``df`` (dynamic overwrite).
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything is stored at ``path``."""
+    fs, p = hadoop_path(spark, path)
+    return fs.exists(p)
+
 
-    Other partitions stay untouched, so re-running a day is idempotent.
+def replace_partition(df: DataFrame, path: str, part_col: str | Sequence[str], values: Sequence = ()) -> None:
+    """Delete-then-insert of the partitions present in ``df`` and of those named in ``values``.
+
+    Present partitions are swapped by a dynamic overwrite; a named one (value
+    of a single ``part_col``) without rows in ``df`` is cleared, so a re-run
+    that is empty now leaves nothing behind.  Other partitions stay untouched.
+    Rows per named value are counted during the write, not by a second pass.
     """
     cols = [part_col] if isinstance(part_col, str) else list(part_col)
+    if values and len(cols) != 1:
+        raise ValueError("values name partitions of a single column")
+    seen = Observation()
+    if values:
+        df = df.observe(seen, *[F.count(F.when(F.col(cols[0]) == F.lit(v), 1)).alias(f"n{i}") for i, v in enumerate(values)])
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .option("compression", "snappy").partitionBy(*cols).parquet(path))
+    for i, v in enumerate(values):
+        if seen.get[f"n{i}"] == 0:
+            fs, p = hadoop_path(df.sparkSession, f"{path.rstrip('/')}/{cols[0]}={v}")
+            fs.delete(p, True)
+
+
+def _current(spark: SparkSession, root: str) -> tuple[int, dict] | None:
+    """(number, manifest) of the newest pointer; ``None`` only where there is no pointer folder."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
+            "pathGlobFilter", "part-*").load(f"{root.rstrip('/')}/_pointers")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    newest = files.select("path", "content").orderBy(F.desc("path")).first()
+    if newest is None:
+        raise ValueError(f"pointer folder without a pointer: {root}")
+    try:
+        manifest = json.loads(bytes(newest["content"]))
+        return int(manifest["number"]), manifest
+    except (ValueError, KeyError, TypeError) as e:
+        raise ValueError(f"unreadable table pointer {newest['path']}") from e
 
 
-def _pointer(root: str) -> str:
-    return f"{root.rstrip('/')}/_current"
+def _point(spark: SparkSession, root: str, manifest: dict) -> None:
+    """Write pointer ``number``; fails if another writer has taken the number."""
+    path = f"{root.rstrip('/')}/_pointers/{manifest['number']:012d}"
+    spark.range(1).select(F.lit(json.dumps(manifest)).alias("value")).coalesce(1).write.mode("errorifexists").text(path)
 
 
 def read_current(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
-    """The current version of a versioned table, or ``None`` if it has none yet."""
-    try:
-        ptr = spark.read.json(_pointer(root)).select("version").first()
-    except Exception:  # noqa: BLE001 - no pointer written yet
-        return None
-    if ptr is None:
+    """The current version of a versioned table, or ``None`` if it has none yet.
+
+    Only a missing pointer folder means "none yet"; an unreadable pointer or
+    version raises.
+    """
+    found = _current(spark, root)
+    if found is None:
         return None
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(f"{root.rstrip('/')}/{ptr['version']}")
+    manifest = found[1]
+    own = schema or StructType.fromJson(manifest["schema"])
+    paths = sorted(f"{root.rstrip('/')}/{p}" for p in set(manifest["parts"].values()))
+    return spark.read.schema(own).parquet(*paths)
 
 
 def write_version(df: DataFrame, root: str) -> str:
-    """Write ``df`` as a new version directory, then switch the pointer to it.
+    """Write ``df`` as a new version, then point to it.
 
-    Readers see the old or the new version, never a half-written one; the
-    pointer is a one-row JSON file written after the data commit.
+    Pointers are numbered and never overwritten, so a crash at any moment
+    leaves the version before it current; readers see the old or the new one.
     """
-    version = f"v-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").option("compression", "snappy").parquet(f"{root.rstrip('/')}/{version}")
     spark = df.sparkSession
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").json(_pointer(root))
-    return version
+    found = _current(spark, root)
+    number = 1 if found is None else found[0] + 1
+    name = f"v-{number:012d}-{uuid.uuid4().hex}"
+    df.write.option("compression", "snappy").parquet(f"{root.rstrip('/')}/{name}")
+    _point(spark, root, {"number": number, "parts": {"all": name}, "schema": df.schema.jsonValue()})
+    vacuum(spark, root)
+    return name
+
+
+def upsert(spark: SparkSession, root: str, updates: DataFrame, keys: Sequence[str],
+           order: Sequence[Column | str] = (), buckets: int = 32) -> DataFrame:
+    """Keyed upsert into a versioned table that is split into ``buckets`` by the hash of its keys.
+
+    Only buckets with an update are read and rewritten; the manifest keeps
+    pointing to the others' files.  The touched buckets (at most ``buckets``
+    numbers) are all that the driver sees.  No updates leave the table as it
+    is, or make an empty first version.
+    """
+    upd = latest_by_key(updates, list(keys), list(order)) if order else updates
+    columns = upd.columns
+    upd = upd.withColumn(BUCKET, F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int"))
+    upd = materialize(upd, "updates")
+    found = _current(spark, root)
+    parts = dict(found[1]["parts"]) if found else {}
+    if found and (parts.keys() == {"all"} or found[1].get("buckets") != buckets):
+        raise ValueError(f"table {root} is not split into {buckets} buckets")
+    touched = sorted(r[0] for r in upd.select(BUCKET).distinct().collect())
+    if found and not touched:
+        return read_current(spark, root)
+    number = 1 if found is None else found[0] + 1
+    name = f"v-{number:012d}-{uuid.uuid4().hex}"
+    old = [f"{root.rstrip('/')}/{parts[str(b)]}" for b in touched if str(b) in parts]
+    out = upd
+    if old:
+        kept = spark.read.schema(StructType.fromJson(found[1]["schema"])).parquet(*old).withColumn(
+            BUCKET, F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int"))
+        out = kept.join(upd.select(*keys), list(keys), "left_anti").select(*columns, BUCKET).unionByName(upd)
+    if touched:
+        out.repartition(BUCKET).write.option("compression", "snappy").partitionBy(BUCKET).parquet(f"{root.rstrip('/')}/{name}")
+    else:
+        out.drop(BUCKET).write.parquet(f"{root.rstrip('/')}/{name}")
+    parts |= {str(b): f"{name}/{BUCKET}={b}" for b in touched} if touched else {"-": name}
+    _point(spark, root, {"number": number, "buckets": buckets, "parts": parts, "schema": upd.drop(BUCKET).schema.jsonValue()})
+    vacuum(spark, root)
+    return read_current(spark, root)
+
+
+def vacuum(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Delete version folders (or their buckets) that none of the last ``keep`` pointers names.
+
+    Versions above the newest pointer belong to a writer under way and stay.
+    """
+    base = root.rstrip("/")
+    fs, p = hadoop_path(spark, f"{base}/_pointers")
+    names = sorted(s.getPath().getName() for s in fs.listStatus(p))
+    last = spark.read.text([f"{base}/_pointers/{n}" for n in names[-keep:]]).collect()
+    used = {x for r in last for x in json.loads(r["value"])["parts"].values()}
+    fs, p = hadoop_path(spark, base)
+    for s in fs.listStatus(p):
+        name = s.getPath().getName()
+        if not name.startswith("v-") or name[2:14] > names[-1]:
+            continue
+        if name in used:
+            continue
+        inner = {x.split("/", 1)[1] for x in used if x.startswith(f"{name}/")}
+        if not inner:
+            fs.delete(s.getPath(), True)
+            continue
+        for b in fs.listStatus(s.getPath()):
+            if b.isDirectory() and b.getPath().getName() not in inner:
+                fs.delete(b.getPath(), True)
 
 
 def merge_upsert(target: DataFrame | None, updates: DataFrame, keys: Sequence[str],
                  order: Sequence[Column | str] = ()) -> DataFrame:
-    """``INSERT OR REPLACE`` by key: target rows whose key is updated are replaced.
+    """``INSERT OR REPLACE`` by key, as a plan: target rows whose key is updated are replaced.
 
     Updates are first reduced to one row per key (``order``, newest first;
     without an order the updates must already be unique).  ``left_anti``

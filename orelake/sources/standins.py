@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orelake.functions import iso_z
-from orelake.session import spread, table
+from orelake.session import table
 
 # First day used as the ingest time of the course bootstrap.
 COURSE_BOOTSTRAP_TS = "2023-12-31 00:00:00"
@@ -34,17 +34,6 @@ def _mod(col: str, n: int):
     return F.pmod(F.col(col), F.lit(n)) == 0
 
 
-def keyed_scan(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """Scan a table hash-partitioned on the key its first join / grouping uses.
-
-    This is the shuffle that join needs anyway (the planner then adds no
-    second exchange); it also spreads the per-row work of the stand-in
-    rules over all tasks when the input is a few large files.
-    """
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return table(spark, sf_dir, name).repartition(n, key)
-
-
 def _enrolments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enrolment array per order: one element per ``'A'`` line of that order.
 
@@ -52,7 +41,7 @@ def _enrolments(spark: SparkSession, sf_dir: str) -> DataFrame:
     (``collect_list`` with partial aggregation), the group being the lines of
     one order.
     """
-    li = keyed_scan(spark, sf_dir, "lineitem", "l_orderkey").filter(F.col("l_returnflag") == "A")
+    li = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "A")
     pk = F.col("l_partkey").cast("string")
     alias_row = _mod("l_linenumber", 4)
     element = F.struct(
@@ -71,13 +60,12 @@ def _enrolments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def student_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Student document versions (typed like the store returns them: mixed encodings)."""
-    o = keyed_scan(spark, sf_dir, "orders", "o_orderkey").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
-    # Enrolments first: both sides are hash-partitioned on the order key, so this
-    # join adds no exchange; customer (and the tiny geography) come after it.
+    # Plain joins: the planner's own exchanges may be coalesced, and split where a key is hot.
     base = (o.join(_enrolments(spark, sf_dir), "o_orderkey", "left")
              .join(c, F.col("o_custkey") == F.col("c_custkey"))
              .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))
@@ -168,7 +156,7 @@ def course_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     visible in the result.  ``_offset`` orders events within one ingest time.
     """
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    boot = spread(part, "p_partkey").select(
+    boot = part.select(
         F.concat(F.lit("boot-"), F.col("p_partkey").cast("string")).alias("event_id"),
         F.lit(COURSE_BOOTSTRAP_TS + "Z").alias("event_time"),
         F.col("p_partkey").cast("string").alias("course_id"),
@@ -180,7 +168,7 @@ def course_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(COURSE_BOOTSTRAP_TS + "Z").alias("_ingested_at"),
         F.col("p_partkey").cast("long").alias("_offset"),
     )
-    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "props"), "event_id")
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "props")
     k = F.get_json_object("props", "$.k")
     ev = ev.join(part, k.cast("long") == F.col("p_partkey"), "left")
     name = F.concat_ws(" ", F.coalesce("p_name", F.lit("course")), F.concat(F.lit("("), F.col("event_type"), F.lit(")")))
@@ -192,7 +180,8 @@ def course_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "click", name).alias("title"),
         F.lit("upsert").alias("event_type"),
         F.lit(COURSE_BOOTSTRAP_TS).alias("created_at"),
-        iso_z("ts", 6).alias("updated_at"),
+        # every seventh update reports an older change time than it is delivered with
+        iso_z(F.when(_mod("event_id", 7), F.col("ts") - F.expr("INTERVAL 10 DAYS")).otherwise(F.col("ts")), 6).alias("updated_at"),
         iso_z("ts", 6).alias("_ingested_at"),
         F.col("event_id").cast("long").alias("_offset"),
     )

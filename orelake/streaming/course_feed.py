@@ -5,10 +5,10 @@
   the file sink).  ``fmt="kafka"`` reads a topic where the connector is on
   the class path; ``decode_topic_records`` turns its records into events.
 * ``dedupe_stream``: repeated deliveries dropped by ``(course_id,
-  updated_at)`` within an event-time watermark (bounded state).
+  updated_at)`` against the keys already written; late first deliveries stay.
 * ``upsert_stream``: ``foreachBatch`` -> silver courses of the micro-batch ->
-  newest-wins merge into a versioned ``dim_course`` (a replayed batch gives
-  the same table).
+  last-delivered-wins merge into a versioned course state (a replayed batch
+  gives the same table).
 """
 
 from __future__ import annotations
@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from orelake.functions import iso_z, parse_ts  # noqa: F401
+from orelake.functions import iso_z, parse_ts
 from orelake.plans import gold as G
 from orelake.plans.silver import standardize_courses
-from orelake.sinks import read_current, write_version
+from orelake.sinks import materialize, read_current, table_exists, upsert
 
 # Schema of one course event as published on the topic.
 EVENT_SCHEMA = ("event_id string, event_time string, course_id string, course_name string, title string, "
@@ -70,46 +70,71 @@ def stream_to_bronze(spark: SparkSession, source: str, out: str, checkpoint: str
     return _trigger(writer, trigger).start(out)
 
 
-def dedupe_stream(spark: SparkSession, source: str, out: str, checkpoint: str, delay: str = "7 days",
+def dedupe_stream(spark: SparkSession, source: str, out: str, checkpoint: str,
                   options: dict | None = None, trigger: dict | None = None) -> StreamingQuery:
-    """Drop repeated deliveries: same ``(course_id, updated_at)`` within ``delay`` of event time.
-
-    Each publish gets a fresh ``event_id``, so the id cannot detect repeats;
-    the watermark bounds the de-duplication state.
+    """Drop repeated deliveries: the first of each ``(course_id, updated_at)`` is kept, however late it comes.
+
+    Each publish gets a fresh ``event_id``, so the id cannot detect repeats.
+    The keys seen are the output itself: a micro-batch is reduced to one row
+    per key, those written by earlier batches are taken out by an anti-join
+    on the two key columns, and the rest goes to the folder of its batch
+    number.  A replayed batch overwrites its own folder.  No event-time bound
+    applies, so nothing is dropped as late and no state is held in memory.
     """
     events = read_event_stream(spark, "json", source, options)
-    keyed = events.withColumn("event_ts", F.col("event_time").try_cast("timestamp"))
-    unique = keyed.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(["course_id", "updated_at"])
-    writer = (unique.drop("event_ts").writeStream.format("parquet")
-              .option("checkpointLocation", checkpoint).outputMode("append"))
-    return _trigger(writer, trigger).start(out)
+    keys = ["course_id", "updated_at"]
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        own = batch.sparkSession
+        unique = batch.dropDuplicates(keys)
+        if batch_id and table_exists(own, out):
+            seen = (own.read.schema(EVENT_SCHEMA + ", batch long").parquet(out)
+                    .filter(F.col("batch") < batch_id).select(*[F.col(k).alias(f"seen_{k}") for k in keys]))
+            same = [F.col(k).eqNullSafe(F.col(f"seen_{k}")) for k in keys]
+            unique = unique.join(seen, same[0] & same[1], "left_anti")
+        unique.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch={batch_id}")
+
+    writer = events.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    return _trigger(writer, trigger).start()
+
+
+# The merged course state; the last two columns are the delivery order.
+STATE_COLUMNS = ["course_id", "course_name", "created_at", "updated_at", "_ingested_ts", "_offset"]
 
 
 def merge_courses(current: DataFrame | None, bronze_batch: DataFrame) -> DataFrame:
-    """Newest-wins merge of one bronze micro-batch into the course state.
+    """Last-delivered-wins merge of one bronze micro-batch into the course state.
 
-    The batch is reduced to its silver courses (last delivery per course and
-    ingest day), stacked with the current state and reduced again per
-    course: a later ingest day wins, then a later update.  The result does
-    not depend on batch order, so a replayed batch changes nothing.
+    Batch and state are stacked and reduced per course by the delivery order
+    ``(_ingested_at, _offset)``, which the state carries.  The maximum of an
+    order does not depend on how the stream is cut into batches or on their
+    sequence, so a replayed batch changes nothing.
     """
-    fresh = standardize_courses(bronze_batch, "ingest_date").select(
-        "course_id", "course_name", "updated_at", F.col("ingest_date").alias("ingest_ds"))
+    fresh = standardize_courses(bronze_batch, None, keep_order=True).select(*STATE_COLUMNS)
     if current is not None:
-        fresh = current.select("course_id", "course_name", "updated_at", "ingest_ds").unionByName(fresh)
-    return G.latest_by_key(fresh, ["course_id"], ["ingest_ds", "updated_at", "course_name"])
+        fresh = current.select(*STATE_COLUMNS).unionByName(fresh)
+    return G.latest_by_key(fresh, ["course_id"], ["_ingested_ts", "_offset", "updated_at", "course_name"])
 
 
 def upsert_stream(spark: SparkSession, bronze_dir: str, table_root: str, checkpoint: str,
                   options: dict | None = None, trigger: dict | None = None) -> StreamingQuery:
-    """Bronze course events (stream) -> ``foreachBatch`` merge into a versioned course table."""
+    """Bronze course events (stream) -> ``foreachBatch`` merge into a versioned course table.
+
+    Only the buckets of the courses in a micro-batch are rewritten.
+    """
     options = dict(options or {})
     events = (spark.readStream.format("json").schema(BRONZE_EVENT_SCHEMA + ", ingest_date string")
               .options(**options).load(bronze_dir))
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        merged = merge_courses(read_current(batch.sparkSession, table_root), batch)
-        write_version(merged, table_root)
+        own = batch.sparkSession
+        fresh = materialize(merge_courses(None, batch), "courses")
+        state = read_current(own, table_root)
+        if state is not None:
+            touched = state.join(fresh.select("course_id"), "course_id", "left_semi").select(*STATE_COLUMNS)
+            fresh = G.latest_by_key(touched.unionByName(fresh), ["course_id"],
+                                    ["_ingested_ts", "_offset", "updated_at", "course_name"])
+        upsert(own, table_root, fresh, ["course_id"])
 
     writer = events.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return _trigger(writer, trigger).start()
