@@ -117,22 +117,27 @@ def labelled_samples(docs: DataFrame, least: int = 12, bound: int = 20_000, seed
     return parts[0].unionByName(parts[1]).select("run", "random")
 
 
-def train(samples: DataFrame, least: int = 16, margin: float = 0.35, smooth: float = 0.5) -> MarkovPair:
+def train(samples: DataFrame, least: int = 16, margin: float = 0.35, smooth: float = 0.5, prior: float = 60.0) -> MarkovPair:
     """Fit both first-order models from (run, random) rows.
 
     Counts of (class, previous character, character) are made by Spark; at
-    most 2 x 69 x 68 of them reach the driver.  Add-``smooth`` estimates keep
-    unseen transitions finite; without samples of a class its model is flat.
+    most 2 x 69 x 68 of them reach the driver.  A transition's estimate leans
+    on its character's add-``smooth`` frequency with the weight of ``prior``
+    observations, so rare and unseen ones stay sound; without samples of a
+    class its model is flat.
     """
     step = F.expr("transform(sequence(1, length(run)), i -> "
                   "struct(if(i = 1, '', substring(run, i - 1, 1)) AS before, substring(run, i, 1) AS now))")
     counts = (samples.filter("length(run) > 0").select("random", F.inline(step))
               .groupBy("random", "before", "now").count().collect())
-    table = np.full((2, _SIZE, _SIZE), smooth)
+    table = np.zeros((2, _SIZE, _SIZE))
     for r in counts:
         if r["now"] in _CODE:
             table[int(r["random"]), _CODE.get(r["before"], 0), _CODE[r["now"]]] += r["count"]
-    logs = np.log(table[:, :, 1:]) - np.log(table[:, :, 1:].sum(axis=2, keepdims=True))
+    table = table[:, :, 1:]
+    single = table.sum(axis=1, keepdims=True) + smooth
+    table = table + prior * single / single.sum(axis=2, keepdims=True)
+    logs = np.log(table) - np.log(table.sum(axis=2, keepdims=True))
     ratio = np.zeros((_SIZE, _SIZE))
     ratio[:, 1:] = logs[1] - logs[0]
     return MarkovPair(tuple(float(x) for x in ratio.ravel()), least, margin)
