@@ -262,7 +262,9 @@ def _classes(rows: DataFrame, conf: OrderMinHash) -> DataFrame:
     forest = _dealt(buckets, "key", "size", conf.together, "sketch").mapInArrow(_forest(conf.agree), "a long, b long")
     family = components(forest)
     sizes = family.groupBy("label").agg(F.count("node").alias("size"))
-    members = (family.join(sizes, "label").join(rows.select(F.col("row").alias("node"), zipped(F.col("text")).alias("z")), "node")
+    # Texts are always dealt by row for this join, whatever the number of members: shuffles then follow the input.
+    members = (family.join(sizes, "label").hint("merge")
+               .join(rows.select(F.col("row").alias("node"), zipped(F.col("text")).alias("z")), "node")
                .select("label", "size", F.col("node").alias("rep"), "z"))
     links = _dealt(members, "label", "size", conf.together, "z").mapInArrow(_verify(conf.similarity), "a long, b long")
     classes = components(links).select(F.col("node").alias("rep"), "label")
