@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orelake.functions import percent_text, region_key
-from orelake.operators import keep_latest
 
 
 def _pct(num: Column, den: Column) -> Column:
@@ -67,11 +66,12 @@ def access_mix(enrol: DataFrame) -> DataFrame:
 def newest_day(rows: DataFrame, dates: DataFrame) -> DataFrame:
     """Rows of the newest ``date_key`` that ``dates`` knows.
 
-    The day is found first, from the key column alone, and the rows are
-    filtered by it before anything is aggregated: a semi-join on the key with
-    a one-row side prunes the partitions of a stored table.
+    The day is found first, from the key column alone (one number comes back),
+    and the rows are filtered by it as a constant before anything is
+    aggregated: of a stored table only that partition is read.
     """
-    return keep_latest(rows.join(dates.select("date_key"), "date_key", "left_semi"), "date_key")
+    day = rows.join(dates.select("date_key"), "date_key", "left_semi").agg(F.max("date_key")).first()[0]
+    return rows.filter(F.col("date_key") == F.lit(day).cast("int"))
 
 
 def latest_tiles(fact: DataFrame, dates: DataFrame) -> DataFrame:

@@ -6,7 +6,6 @@ import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -66,23 +65,41 @@ def replace_partition(df: DataFrame, path: str, part_col: str | Sequence[str], v
             fs.delete(p, True)
 
 
-def _current(spark: SparkSession, root: str) -> tuple[int, dict] | None:
-    """(number, manifest) of the newest pointer; ``None`` only where there is no pointer folder."""
-    try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
-            "pathGlobFilter", "part-*").load(f"{root.rstrip('/')}/_pointers")
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    newest = files.select("path", "content").orderBy(F.desc("path")).first()
-    if newest is None:
-        raise ValueError(f"pointer folder without a pointer: {root}")
+def _pointers(spark: SparkSession, root: str) -> list[str]:
+    """Names of the pointer folders, oldest first; none only where there is no pointer folder at all."""
+    fs, p = hadoop_path(spark, f"{root.rstrip('/')}/_pointers")
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def _committed(spark: SparkSession, root: str, name: str) -> bool:
+    fs, p = hadoop_path(spark, f"{root.rstrip('/')}/_pointers/{name}/_SUCCESS")
+    return fs.exists(p)
+
+
+def _manifest(spark: SparkSession, root: str, name: str) -> dict:
+    row = spark.read.text(f"{root.rstrip('/')}/_pointers/{name}").first()
     try:
-        manifest = json.loads(bytes(newest["content"]))
-        return int(manifest["number"]), manifest
+        manifest = json.loads(row["value"])
+        manifest["parts"], manifest["schema"]
+        return manifest
     except (ValueError, KeyError, TypeError) as e:
-        raise ValueError(f"unreadable table pointer {newest['path']}") from e
+        raise ValueError(f"unreadable table pointer {root}/_pointers/{name}") from e
+
+
+def _current(spark: SparkSession, root: str) -> tuple[int, dict] | None:
+    """(highest number taken, newest committed manifest); ``None`` only where no pointer was ever committed.
+
+    A pointer cut short while it was written has no success mark and does not
+    count; a committed one that cannot be read raises.
+    """
+    names = _pointers(spark, root)
+    newest = next((n for n in reversed(names) if _committed(spark, root, n)), None)
+    return None if newest is None else (int(names[-1]), _manifest(spark, root, newest))
+
+
+def _next(spark: SparkSession, root: str) -> int:
+    names = _pointers(spark, root)
+    return int(names[-1]) + 1 if names else 1
 
 
 def _point(spark: SparkSession, root: str, manifest: dict) -> None:
@@ -113,8 +130,8 @@ def write_version(df: DataFrame, root: str) -> str:
     leaves the version before it current; readers see the old or the new one.
     """
     spark = df.sparkSession
-    found = _current(spark, root)
-    number = 1 if found is None else found[0] + 1
+    _current(spark, root)  # an unreadable table is not written over
+    number = _next(spark, root)
     name = f"v-{number:012d}-{uuid.uuid4().hex}"
     df.write.option("compression", "snappy").parquet(f"{root.rstrip('/')}/{name}")
     _point(spark, root, {"number": number, "parts": {"all": name}, "schema": df.schema.jsonValue()})
@@ -142,7 +159,7 @@ def upsert(spark: SparkSession, root: str, updates: DataFrame, keys: Sequence[st
     touched = sorted(r[0] for r in upd.select(BUCKET).distinct().collect())
     if found and not touched:
         return read_current(spark, root)
-    number = 1 if found is None else found[0] + 1
+    number = _next(spark, root)
     name = f"v-{number:012d}-{uuid.uuid4().hex}"
     old = [f"{root.rstrip('/')}/{parts[str(b)]}" for b in touched if str(b) in parts]
     out = upd
@@ -166,10 +183,8 @@ def vacuum(spark: SparkSession, root: str, keep: int = 2) -> None:
     Versions above the newest pointer belong to a writer under way and stay.
     """
     base = root.rstrip("/")
-    fs, p = hadoop_path(spark, f"{base}/_pointers")
-    names = sorted(s.getPath().getName() for s in fs.listStatus(p))
-    last = spark.read.text([f"{base}/_pointers/{n}" for n in names[-keep:]]).collect()
-    used = {x for r in last for x in json.loads(r["value"])["parts"].values()}
+    names = [n for n in _pointers(spark, base) if _committed(spark, base, n)]
+    used = {x for n in names[-keep:] for x in _manifest(spark, base, n)["parts"].values()}
     fs, p = hadoop_path(spark, base)
     for s in fs.listStatus(p):
         name = s.getPath().getName()

@@ -1,39 +1,134 @@
-"""The daily run with real writes: first day, idempotent re-run of silver/gold, next day."""
+"""The daily run with real writes: drained cursor, idempotent re-runs, emptied days, side-cars."""
 
+import datetime as dt
+import os
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
-from orelake.plans.daily import DayInputs, gold_day, read_gold, run_day, silver_day
+from orelake.plans.daily import DayInputs, bronze_ingest, gold_day, read_cursor, read_gold, run_day, silver_day
+from orelake.sinks import read_current
 from orelake.sources import student_documents, user_documents
 from tests.conftest import SF_SMALL
 
 AS_OF, TS1, TS2 = "1999-01-01 00:00:00", "2024-03-02 02:00:00", "2024-03-03 02:00:00"
+DAY1, DAY2 = "2024-03-01", "2024-03-02"
+
+
+@pytest.fixture(params=["UTC", "America/New_York", "Asia/Tokyo"])
+def driver_zone(request):
+    old = os.environ.get("TZ")
+    os.environ["TZ"] = request.param
+    time.tzset()
+    yield request.param
+    if old is None:
+        del os.environ["TZ"]
+    else:
+        os.environ["TZ"] = old
+    time.tzset()
+
+
+def ids(spark, root):
+    return sorted(r._id for r in spark.read.parquet(f"{root}/bronze/students").select("_id").collect())
+
+
+def test_drain_in_commits_under_any_driver_zone(spark, tmp_root, driver_zone):
+    """Undated documents more than a commit holds, equal times, microseconds: all read once, late ones found later."""
+    rows = [(f"n{i}", None) for i in range(5)] + [(f"d{i}", f"2024-01-01T{i:02d}:00:00Z") for i in range(10, 20)]
+    rows += [(f"t{i}", "2024-01-01T12:00:00Z") for i in range(4)] + [("u1", "2024-01-01T12:00:00.123456Z"), ("bad", "soon")]
+    docs = spark.createDataFrame(rows, "_id string, updatedAt string")
+    bronze_ingest(spark, DayInputs(docs), DAY1, tmp_root, TS1, batch_size=3)
+    assert ids(spark, tmp_root) == sorted(r[0] for r in rows)
+    late = rows + [("p0", None), ("d20", "2024-01-01T19:00:00.000001Z"), ("d9", "2024-01-01T09:00:00Z")]
+    got = bronze_ingest(spark, DayInputs(spark.createDataFrame(late, "_id string, updatedAt string")), DAY2, tmp_root, TS2)
+    assert sorted(r._id for r in got.collect()) == ["d20", "p0"]
+    assert ids(spark, tmp_root) == sorted([r[0] for r in rows] + ["d20", "p0"])
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+def test_typed_times_with_microseconds(spark, tmp_root, driver_zone, kind):
+    docs = spark.sql(f"SELECT * FROM VALUES ('a', CAST('2024-01-01 10:00:00.123456' AS {kind})), "
+                     f"('b', CAST('2024-01-01 10:00:00.123457' AS {kind})), ('c', CAST(NULL AS {kind})) AS t(_id, updatedAt)")
+    one = bronze_ingest(spark, DayInputs(docs.filter("_id <> 'b'")), DAY1, tmp_root, TS1)
+    assert {r._id: r.updatedAt for r in one.collect()} == {"a": "2024-01-01T10:00:00.123456Z", "c": None}
+    assert read_cursor(spark, tmp_root).watermark == "2024-01-01 10:00:00.123456"
+    two = bronze_ingest(spark, DayInputs(docs), DAY2, tmp_root, TS2)
+    assert [r._id for r in two.collect()] == ["b"]
+
+
+def test_sidecars_count_files_bytes_and_empty_batches(spark, tmp_root):
+    docs = spark.createDataFrame([(f"d{i}", f"2024-01-01T10:00:{i:02d}Z") for i in range(9)], "_id string, updatedAt string").repartition(3)
+    bronze_ingest(spark, DayInputs(docs), DAY1, tmp_root, TS1)
+    bronze_ingest(spark, DayInputs(docs), DAY1, tmp_root, TS2)
+    full, none = sorted(spark.read.json(f"{tmp_root}/bronze/_meta/students").collect(), key=lambda r: -r.record_count)
+    files = spark.read.format("binaryFile").load(f"{tmp_root}/bronze/students/_partition_key={DAY1}")
+    n, size = files.agg(F.count("path"), F.sum("length")).first()
+    assert (full.record_count, full.file_count, full.total_size_bytes, full.quality_status) == (9, n, size, "PASSED_7_POINT_GATE")
+    assert (none.record_count, none.file_count, none.total_size_bytes, none.quality_status) == (0, 0, 0, "EMPTY_BATCH")
+    assert full.ingested_at == "2024-03-02T02:00:00Z" and full.partition == DAY1
+
+
+def test_nothing_to_ingest_at_all(spark, tmp_root):
+    docs = spark.createDataFrame([], "_id string, updatedAt string")
+    assert bronze_ingest(spark, DayInputs(docs), DAY1, tmp_root, TS1).count() == 0
+    assert spark.read.json(f"{tmp_root}/bronze/_meta/students").first().quality_status == "EMPTY_BATCH"
 
 
 def test_run_day_idempotent_and_incremental(spark, tmp_root):
     docs = student_documents(spark, SF_SMALL)
-    inputs = DayInputs(students=docs, users=user_documents(spark, SF_SMALL), tie_col="doc_seq")
-    m1 = run_day(spark, "2024-03-01", tmp_root, inputs, as_of=AS_OF, run_ts=TS1, batch_size=400)
+    first = DayInputs(students=docs.filter("doc_seq % 3 > 0"), users=user_documents(spark, SF_SMALL), tie_col="doc_seq")
+    m1 = run_day(spark, DAY1, tmp_root, first, as_of=AS_OF, run_ts=TS1)
     assert m1["student_total_count"] > 0
     snap = lambda name: sorted(read_gold(spark, tmp_root)[name].drop("load_ts", "refreshed_at").collect())
     fact1, mart1, dims1 = snap("fact_student_daily"), snap("mv_course_enrollment_region_daily"), snap("dim_student")
     # re-running silver and gold of the same day replaces, never doubles
-    silver_day(spark, "2024-03-01", tmp_root, TS1)
-    gold_day(spark, "2024-03-01", tmp_root, AS_OF, TS1)
+    silver_day(spark, DAY1, tmp_root, TS1)
+    gold_day(spark, DAY1, tmp_root, AS_OF, TS1)
     assert snap("fact_student_daily") == fact1
     assert snap("mv_course_enrollment_region_daily") == mart1
     assert snap("dim_student") == dims1
-    # the next day takes the next batch after the stored cursor
-    run_day(spark, "2024-03-02", tmp_root, inputs, as_of=AS_OF, run_ts=TS2, batch_size=400)
+    silver = spark.read.json(f"{tmp_root}/silver/_metrics").first()
+    assert silver.students_clean_count == m1["student_total_count"] and silver.students_quarantine_count > 0
+    # the next day takes what is newer than the stored cursor, and undated documents not seen yet
+    newer = docs.withColumn("updatedAt", F.regexp_replace("updatedAt", "(19|20)[0-9]{2}-", "2031-"))
+    run_day(spark, DAY2, tmp_root, DayInputs(newer, user_documents(spark, SF_SMALL), tie_col="doc_seq"), as_of=AS_OF, run_ts=TS2)
     g = read_gold(spark, tmp_root)
     assert g["fact_student_daily"].select("date_key").distinct().count() == 2
     bronze = spark.read.parquet(f"{tmp_root}/bronze/students")
-    assert bronze.count() == 800
-    assert bronze.select("doc_seq").distinct().count() == 800       # no document ingested twice
+    assert bronze.filter(F.col("_partition_key") == DAY1).count() == docs.filter("doc_seq % 3 > 0").count()
     assert bronze.filter(F.col("email").isNotNull()).count() > 0
     ds = g["dim_student"]
     assert ds.count() == ds.select("student_key").distinct().count()
-    meta = spark.read.json(f"{tmp_root}/gold/_metrics")
-    assert meta.count() == 2
+    assert spark.read.json(f"{tmp_root}/gold/_metrics").count() == 2
+    assert read_current(spark, f"{tmp_root}/bronze/_state/students").first().lastPipeline == TS2
+
+
+def test_a_day_that_is_empty_now_leaves_nothing(spark, tmp_root):
+    """A corrected day without enrolments and faults clears the old facts, mart and quarantine of that day only."""
+    cols = "_id string, name string, city string, enrolledCourses string, createdAt string, updatedAt string"
+    course = '[{"courseId": "c1", "enrolledAt": "2024-01-01T00:00:00Z"}]'
+    day = lambda c, key: spark.createDataFrame(
+        [("s1", "a", "N, H", c, "2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z"),
+         (key, "b", "N, H", c, "2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z")], cols)
+    run_day(spark, DAY1, tmp_root, DayInputs(day(course, "\t")), as_of=AS_OF, run_ts=TS1)
+    later = day(course, "s9").withColumn("updatedAt", F.lit("2024-01-09T00:00:00Z"))
+    run_day(spark, DAY2, tmp_root, DayInputs(later), as_of=AS_OF, run_ts=TS2)
+    g = read_gold(spark, tmp_root)
+    assert sorted(r.date_key for r in g["fact_course_enrollment_event"].collect()) == [20240301, 20240302, 20240302]
+    assert spark.read.parquet(f"{tmp_root}/silver/quarantine").count() == 1       # the tab is no id
+    corrected = spark.read.parquet(f"{tmp_root}/bronze/students").filter(F.col("_partition_key") == DAY1).withColumns(
+        {"enrolledCourses": F.lit("[]"), "_id": F.when(F.col("_id") == "\t", "s2").otherwise(F.col("_id"))}).cache()
+    corrected.count()
+    from orelake.sinks import replace_partition
+    replace_partition(corrected, f"{tmp_root}/bronze/students", "_partition_key")
+    silver_day(spark, DAY1, tmp_root, TS2)
+    gold_day(spark, DAY1, tmp_root, AS_OF, TS2)
+    g = read_gold(spark, tmp_root)
+    assert sorted(r.date_key for r in g["fact_course_enrollment_event"].collect()) == [20240302, 20240302]
+    assert {r.date_key for r in g["mv_course_enrollment_region_daily"].collect()} == {20240302}
+    assert not os.path.exists(f"{tmp_root}/silver/quarantine/_partition_key={DAY1}")
+    assert {r.date_key: r.student_total_count for r in g["fact_student_daily"].collect()} == {20240301: 2, 20240302: 2}
 
 
 def test_run_day_with_course_events(spark, tmp_root):
@@ -46,10 +141,10 @@ def test_run_day_with_course_events(spark, tmp_root):
     stream_to_bronze(spark, topic, bronze, scratch_path(spark, "ckpt"), ingest_time_col="event_time").awaitTermination()
     inputs = DayInputs(students=student_documents(spark, SF_SMALL), users=user_documents(spark, SF_SMALL),
                        course_events_dir=bronze, tie_col="doc_seq")
-    run_day(spark, "2024-01-05", tmp_root, inputs, as_of=AS_OF, run_ts=TS1, batch_size=300)
+    run_day(spark, "2024-01-05", tmp_root, inputs, as_of=AS_OF, run_ts=TS1)
     g = read_gold(spark, tmp_root)
     courses = g["dim_course"]
-    day_events = spark.read.json(bronze).filter(F.col("ingest_date") == "2024-01-05")
+    day_events = spark.read.json(bronze).filter(F.col("ingest_date") == dt.date(2024, 1, 5))
     expected = day_events.filter(F.trim("course_id") != "").select("course_id").distinct().count()
     assert courses.count() == expected > 0
     assert courses.count() == courses.select("course_key").distinct().count()
@@ -57,3 +152,11 @@ def test_run_day_with_course_events(spark, tmp_root):
     assert mart.count() > 0
     named = mart.filter(F.col("course_name") != "UNKNOWN").count()
     assert 0 < named <= mart.count()
+
+
+def test_an_unreadable_gold_table_raises(spark, tmp_root):
+    os.makedirs(f"{tmp_root}/gold/fact_student_daily/date_key=20240101")
+    with open(f"{tmp_root}/gold/fact_student_daily/date_key=20240101/part-0.parquet", "w") as fh:
+        fh.write("not parquet")
+    with pytest.raises(Exception):
+        read_gold(spark, tmp_root)["fact_student_daily"].count()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from orelake.operators import email_by_key, incremental_scan, keep_latest, latest_by_key, lookup_email, next_watermark
 from orelake.operators import health
-from orelake.sinks import merge_upsert, read_current, write_version
+from orelake.sinks import merge_upsert, read_current, replace_partition, upsert, write_version
 
 
 def test_latest_by_key_newest_first_nulls_last(spark):
@@ -87,6 +87,100 @@ def test_merge_upsert_and_versions(spark, tmp_root):
     assert got == [(1, "a"), (2, "B"), (3, "c")]     # 'c' > 'C': newest by order wins inside the batch
 
 
+def test_undated_rows_have_a_cursor_of_their_own(spark):
+    from orelake.operators import Cursor, advance
+    t = dt.datetime
+    df = spark.createDataFrame([(None, "a"), (None, "b"), (t(2020, 1, 1, 0, 0, 0, 5), "c"), (t(2020, 1, 2), "d")], "u timestamp_ntz, id string")
+    cursor, seen = Cursor(), []
+    for _ in range(6):
+        batch = incremental_scan(df, "u", cursor.watermark, tie="id", limit=1, tie_wm=cursor.tie, null_tie=cursor.null_tie, nulls=True)
+        cursor, n = advance(batch, "u", "id", cursor)
+        seen += [r.id for r in batch.collect()] if n else []
+    assert seen == ["a", "b", "c", "d"] and cursor == Cursor("2020-01-02 00:00:00", "d", "b")
+
+
+def test_broken_pointer_raises_and_keeps_the_data(spark, tmp_root):
+    import glob
+    import pytest
+    root = f"{tmp_root}/dim"
+    write_version(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), root)
+    write_version(spark.createDataFrame([(1, "A"), (2, "B")], "k int, v string"), root)
+    newest = sorted(glob.glob(f"{root}/_pointers/*"))[-1]
+    (part,) = glob.glob(f"{newest}/part-*")
+    good = open(part).read()
+    open(part, "w").close()
+    for crc in glob.glob(f"{newest}/.part-*.crc"):
+        open(crc, "w").close()
+    with pytest.raises(Exception):
+        read_current(spark, root)
+    with pytest.raises(Exception):
+        upsert(spark, root, spark.createDataFrame([(3, "c")], "k int, v string"), ["k"])
+    import os
+    for crc in glob.glob(f"{newest}/.part-*.crc"):
+        os.remove(crc)
+    with open(part, "w") as fh:
+        fh.write(good)
+    assert sorted(map(tuple, read_current(spark, root).collect())) == [(1, "A"), (2, "B")]
+
+
+def test_crash_between_data_and_pointer_leaves_the_old_version(spark, tmp_root, monkeypatch):
+    import pytest
+    from orelake.sinks import tables
+    root = f"{tmp_root}/dim"
+    upsert(spark, root, spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), ["k"])
+    real = tables._point
+    monkeypatch.setattr(tables, "_point", lambda *a: (_ for _ in ()).throw(RuntimeError("crash")))
+    with pytest.raises(RuntimeError):
+        upsert(spark, root, spark.createDataFrame([(2, "B")], "k int, v string"), ["k"])
+    assert sorted(map(tuple, read_current(spark, root).collect())) == [(1, "a"), (2, "b")]
+    monkeypatch.setattr(tables, "_point", real)
+    upsert(spark, root, spark.createDataFrame([(2, "C")], "k int, v string"), ["k"])
+    assert sorted(map(tuple, read_current(spark, root).collect())) == [(1, "a"), (2, "C")]
+
+
+def test_upsert_rewrites_touched_buckets_only_and_removes_old_files(spark, tmp_root):
+    import glob
+    import os
+    root = f"{tmp_root}/dim"
+    rows = [(i, f"v{i}") for i in range(200)]
+    upsert(spark, root, spark.createDataFrame(rows, "k int, v string"), ["k"], buckets=8)
+    before = {f: os.path.getmtime(f) for f in glob.glob(f"{root}/v-*/*/part-*")}
+    out = upsert(spark, root, spark.createDataFrame([(5, "new"), (999, "more")], "k int, v string"), ["k"], buckets=8)
+    want = {**dict(rows), 5: "new", 999: "more"}
+    assert {r.k: r.v for r in out.collect()} == want
+    after = glob.glob(f"{root}/v-*/*/part-*")
+    assert len(set(before) & set(after)) == len(before) and 1 <= len(set(after) - set(before)) <= 2
+    for i in range(4):
+        upsert(spark, root, spark.createDataFrame([(5, f"n{i}")], "k int, v string"), ["k"], buckets=8)
+    files = glob.glob(f"{root}/v-*/*/part-*")
+    assert len(files) <= 8 + 1                       # the current buckets and the one version before
+    same = upsert(spark, root, spark.createDataFrame([], "k int, v string"), ["k"], buckets=8)
+    assert {r.k: r.v for r in same.collect()} == {**want, 5: "n3"}
+
+
+def test_replace_partition_clears_a_named_day(spark, tmp_root):
+    path = f"{tmp_root}/fact"
+    replace_partition(spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "d int, v string"), path, "d")
+    replace_partition(spark.createDataFrame([(2, "B")], "d int, v string"), path, "d", [2, 3])
+    assert sorted((r.d, r.v) for r in spark.read.parquet(path).collect()) == [(1, "a"), (2, "B")]
+
+
+def test_an_appended_table_reads_fully(spark, tmp_root):
+    from orelake.session import table
+    df = spark.range(3)
+    df.write.parquet(f"{tmp_root}/t.parquet")
+    assert table(spark, tmp_root, "t").count() == 3
+    df.write.mode("append").parquet(f"{tmp_root}/t.parquet")
+    assert table(spark, tmp_root, "t").count() == 6
+
+
+def test_file_listing_reads_no_rows(spark, tmp_root):
+    spark.range(100).repartition(4).write.parquet(f"{tmp_root}/t")
+    files = health.file_stats(spark, f"{tmp_root}/t", "t")
+    assert files.count() == 4 and "content" not in files._jdf.queryExecution().executedPlan().toString()
+    assert health.file_counts(files).first().file_count == 4
+
+
 def test_health_checks(spark):
     present = spark.createDataFrame([("2024-01-01",), ("2024-01-02",), ("2024-01-05",)], "d string")
     missing = sorted(str(r.ds) for r in health.missing_partitions(present, "d").collect())

@@ -10,7 +10,10 @@ PLAN_QUERIES = ["kpi_region_daily_paid", "kpi_course_enrollment", "kpi_top_cours
 
 
 def plan_of(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The plan that ran: adaptive plans are final only after execution."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.split("+- == Initial Plan ==")[0]
 
 
 @pytest.mark.parametrize("name", PLAN_QUERIES)
@@ -34,3 +37,50 @@ def test_partition_filter_and_pruning(spark, tmp_root):
 def test_dedupe_uses_partial_window_limit(spark):
     plan = plan_of(QUERIES["silver_students_clean"](spark, SF_SMALL))
     assert plan.count("WindowGroupLimit") >= 2
+
+
+def test_no_fixed_partition_numbers(spark):
+    for name in ("fact_student_daily", "silver_courses", "bronze_email_lookup"):
+        assert "REPARTITION_BY_NUM" not in plan_of(QUERIES[name](spark, SF_SMALL)), name
+
+
+def test_newest_day_is_pruned_before_the_aggregate(spark, tmp_root):
+    from orelake.plans import kpi
+    fact = spark.range(3000).selectExpr("CAST(20240101 + id % 20 AS INT) AS date_key", "CAST(id AS STRING) AS city_key",
+                                        "id AS student_total_count", "id AS student_paid_count")
+    fact.write.partitionBy("date_key").parquet(f"{tmp_root}/fact")
+    dates = spark.range(20).selectExpr("CAST(20240101 + id AS INT) AS date_key", "date_add(DATE'2024-01-01', CAST(id AS INT)) AS date_value")
+    plan = plan_of(kpi.latest_tiles(spark.read.parquet(f"{tmp_root}/fact"), dates))
+    assert "PartitionFilters: [isnotnull(date_key" in plan and "= 20240120)" in plan
+    assert kpi.latest_tiles(spark.read.parquet(f"{tmp_root}/fact"), dates).first().total_students == sum(range(19, 3000, 20))
+
+
+def test_run_metrics_and_lookup_shuffle_little(spark):
+    assert plan_of(QUERIES["gold_run_metrics"](spark, SF_SMALL)).count("SortMergeJoin FullOuter") == 0
+    lookup = plan_of(QUERIES["bronze_email_lookup"](spark, SF_SMALL))
+    assert lookup.count("customer.parquet") <= 2 and lookup.count("orders.parquet") <= 1
+    assert "Window" not in plan_of(QUERIES["silver_metrics"](spark, SF_SMALL).filter("students_clean_count > 0")).split("Union")[0]
+
+
+def test_a_hot_customer_is_split(spark, tmp_root):
+    """A third of the orders belong to one customer: the adaptive join splits that partition."""
+    from orelake.sources import student_documents
+    for t in ("customer", "nation", "region", "lineitem"):
+        spark.read.parquet(f"{SF_SMALL}/{t}.parquet").write.parquet(f"{tmp_root}/{t}.parquet")
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    many = orders.selectExpr("*", "explode(sequence(0, 19)) AS copy").selectExpr(
+        "o_orderkey + 10000000 * copy AS o_orderkey", "if(o_orderkey % 3 = 0, 1, o_custkey) AS o_custkey",
+        "o_orderstatus", "o_orderdate", "o_orderpriority")
+    many.write.parquet(f"{tmp_root}/orders.parquet")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        plan = plan_of(student_documents(spark, tmp_root))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in plan, plan

@@ -44,6 +44,49 @@ def test_dedupe_stream_drops_redeliveries(spark, tmp_root):
     assert sorted(r.course_id for r in spark.read.parquet(out).collect()) == ["c1", "c2"]
 
 
+def test_dedupe_stream_keeps_a_late_first_delivery(spark, tmp_root):
+    src, out, ckpt = f"{tmp_root}/src", f"{tmp_root}/out", f"{tmp_root}/ckpt"
+    late = _event(2, "c2", "Late", "2024-01-01T00:00:00Z", 2)
+    _land(src, "a.json", [json.dumps(_event(1, "c1", "A", "2024-03-01T10:00:00Z", 1))])
+    dedupe_stream(spark, src, out, ckpt).awaitTermination()
+    for name in ("b.json", "c.json"):                 # two months late, then repeated
+        _land(src, name, [json.dumps(late), json.dumps(dict(late, course_id=None))])
+        dedupe_stream(spark, src, out, ckpt).awaitTermination()
+    assert sorted(str(r.course_id) for r in spark.read.parquet(out).collect()) == ["None", "c1", "c2"]
+
+
+def test_merge_does_not_depend_on_the_cut(spark):
+    """Same-day events, the later delivery with an older or blank change time: the last delivered wins in any cut."""
+    from itertools import permutations
+
+    from orelake.streaming.course_feed import merge_courses
+    rows = [("c1", "First", "2024-01-05T00:00:00Z", "2024-01-06T01:00:00Z", 1), ("c1", "Mid", "2024-01-09T00:00:00Z", "2024-01-06T02:00:00Z", 2),
+            ("c1", "Last", "", "2024-01-06T02:00:00Z", 3)]
+    ddl = "course_id string, course_name string, updated_at string, _ingested_at string, _offset long"
+    df = lambda r: spark.createDataFrame([(*x[:5],) for x in r], ddl).selectExpr("*", "'2024-01-01' AS created_at")
+    for order in permutations(rows):
+        state = None
+        for r in order:
+            state = merge_courses(state, df([r]))
+        got = state.first()
+        assert (got.course_name, str(got.created_at)) == ("Last", "2024-01-01 00:00:00")
+    assert merge_courses(None, df(rows)).first().course_name == "Last"
+
+
+def test_publish_courses_resumes_from_the_stored_cursor(spark, tmp_root):
+    from orelake.sinks import write_version
+    from orelake.streaming.producer import publish_courses
+    topic, state = f"{tmp_root}/topic", f"{tmp_root}/cursor"
+    docs = spark.createDataFrame([(f"{i:024x}", f"n{i}" if i % 2 else None, f"t{i}") for i in range(1, 8)], "_id string, course_name string, title string")
+    assert publish_courses(spark, docs.filter("_id <= '000000000000000000000004'"), topic, state, "2024-02-01 00:00:00", batch_size=3) == 4
+    assert publish_courses(spark, docs, topic, state, "2024-02-01 00:00:00", batch_size=2) == 3
+    assert publish_courses(spark, docs, topic, state, "2024-02-01 00:00:00") == 0
+    got = {r.course_id: r.course_name for r in spark.read.json(topic).collect()}
+    assert len(got) == spark.read.json(topic).count() == 7 and got[f"{2:024x}"] == "t2" and got[f"{3:024x}"] == "n3"
+    write_version(spark.createDataFrame([("nonsense", "x")], "cursor string, published_at string"), state)
+    assert publish_courses(spark, docs, f"{tmp_root}/again", state, "2024-02-01 00:00:00") == 7
+
+
 def test_upsert_stream_is_replay_safe(spark, tmp_root):
     src, bronze, table = f"{tmp_root}/src", f"{tmp_root}/bronze", f"{tmp_root}/dim"
     _land(src, "a.json", [json.dumps(_event(1, "c1", "Old", "2024-01-01T10:00:00Z", 1)),
