@@ -16,7 +16,7 @@ from orelake.llm.common import mix, slices, texts, word_hashes
 
 GRAM = 3  # words of the grams among which a window's minimiser is chosen
 LONGEST = 64  # windows of one packed string
-HELD = 250_000  # packed strings that a task holds before it sends them
+HELD = 120_000  # packed strings that a task holds before it sends them
 LAST = (1 << 63) - 1  # stands for a null doc_id: larger than any other
 _SPAN = np.dtype([("row", "<i8"), ("start", "<i4"), ("n", "<i4")])
 
