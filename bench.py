@@ -16,7 +16,6 @@ import os
 import re
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -44,8 +43,6 @@ def main() -> None:
              .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="orelake-bench-"))
     from orelake.catalog import QUERIES
 
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n in QUERIES]
