@@ -142,14 +142,15 @@ def running_total(df: DataFrame, group: list[str], order: list[str], size: Colum
                   buckets: int = 1024) -> DataFrame:
     """Add ``name``: the sum of ``size`` over the rows of the same group that come before.
 
-    The order is (bucket of the hash of ``order``, ``order``).  One group may
+    The order is (bucket of the MD5 of ``order``, ``order``).  One group may
     hold any share of the rows: each is dealt into ``buckets`` parts, summed
     within a part by a window and across the parts by a window over at most
     ``buckets`` totals.  Ties in ``order`` must not matter to the caller.
     """
     from pyspark.sql import Window as W
     b, s, key = fresh(df, "bucket__"), fresh(df, "size__"), [F.col(c) for c in order]
-    rows = df.withColumn(b, F.pmod(F.xxhash64(*key), F.lit(buckets))).withColumn(s, size.cast("long"))
+    digest = F.md5(F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in key]))
+    rows = df.withColumn(b, F.conv(F.left(digest, F.lit(8)), 16, 10).cast("long") % buckets).withColumn(s, size.cast("long"))
     inner = W.partitionBy(*group, b).orderBy(*key).rowsBetween(W.unboundedPreceding, -1)
     outer = W.partitionBy(*group).orderBy(b).rowsBetween(W.unboundedPreceding, -1)
     before, keys = f"{name}__before", [*group, b]
