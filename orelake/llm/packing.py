@@ -21,7 +21,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PLAIN = re.compile(r"[\t-\r\x20-\x7e¡-±´-¸º»¿-įı-ɏ]*")
 # Fixed value: where the vocabulary's tokenizer cuts a word without white space.
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-_CACHED = 400_000  # entries of a cache generation
+_CACHED = 800_000  # entries of a cache generation
 
 
 def default_vocabulary() -> str:
