@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from orelake.llm.common import LOWER, mix, slices, stored, texts, word_hashes
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 20
 
 
 def _grams(part: pa.RecordBatch, column: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -30,7 +30,7 @@ def _grams(part: pa.RecordBatch, column: int, buckets: int) -> tuple[np.ndarray,
     return np.concatenate(rows), np.concatenate(found)
 
 
-def target_sample(labels: DataFrame, bound: int = 20_000, seed: int = 11) -> DataFrame:
+def target_sample(labels: DataFrame, bound: int = 100_000, seed: int = 11) -> DataFrame:
     """doc_id of at most ``bound`` documents labelled good and not toxic, by smallest seeded hash.
 
     Of several labels of one document the worst counts; null ids, null
@@ -41,9 +41,11 @@ def target_sample(labels: DataFrame, bound: int = 20_000, seed: int = 11) -> Dat
     return good.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(bound)
 
 
-def gram_models(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS, smooth: float = 0.5) -> np.ndarray:
+def gram_models(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS, smooth: float = 10.0) -> np.ndarray:
     """Log ratio target : raw of each bucket's probability.
 
+    Raw counts are scaled to the target's total before ``smooth`` is added to
+    both, so a gram too rare to be expected in the target weighs about 0.
     The raw model counts all documents, the target model those whose id is in
     ``target`` (bounded by :func:`target_sample`, hence broadcast).  A task
     sends one row per bucket it met; the driver gets ``buckets`` sums.
@@ -65,13 +67,12 @@ def gram_models(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS, smoo
 
     sums = (flagged.select("text", "is_target").mapInArrow(count, "bucket long, raw long, target long")
             .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas())
-    table = np.full((2, buckets), smooth)
+    raw, own = np.zeros(buckets), np.zeros(buckets)
     if len(sums):
         at = sums["bucket"].to_numpy()
-        table[0, at] += sums["raw"].to_numpy()
-        table[1, at] += sums["target"].to_numpy()
-    logs = np.log(table) - np.log(table.sum(axis=1, keepdims=True))
-    return logs[1] - logs[0]
+        raw[at], own[at] = sums["raw"].to_numpy(), sums["target"].to_numpy()
+    raw *= own.sum() / max(raw.sum(), 1)
+    return np.log(own + smooth) - np.log(raw + smooth)
 
 
 def log_weight(text: Column, ratio: np.ndarray) -> Column:
@@ -118,13 +119,15 @@ def top_threshold(df: DataFrame, key: str, k: int) -> float | None:
     return low
 
 
-def importance_resample(docs: DataFrame, labels: DataFrame, share: float | None = None, bound: int = 20_000,
-                        buckets: int = BUCKETS, seed: int = 11) -> DataFrame:
+def importance_resample(docs: DataFrame, labels: DataFrame, share: float | None = None, bound: int = 100_000,
+                        buckets: int = BUCKETS, seed: int = 11, length: int = 400) -> DataFrame:
     """doc_id, n_grams, log_weight, key, kept of every document.
 
-    ``key`` is the log importance weight plus Gumbel noise drawn from a hash
-    of the id, so the documents with the ``k`` largest keys are a sample
-    without replacement in proportion to the weights.  ``k`` is ``share`` of
+    ``log_weight`` is the sum over a text's grams.  ``key`` is that weight for
+    ``length`` grams (the sum times length / (grams + 20), so that long texts
+    are not favoured for their length and very short ones stay near 0) plus
+    Gumbel noise drawn from a hash of the id, so the documents with the ``k``
+    largest keys are a sample without replacement in proportion to the weights.  ``k`` is ``share`` of
     the documents; by default the share of targets among labelled documents.
     Keys equal to the ``k``-th are all kept, so repeated rows share their
     fate.  Null and empty texts weigh 0; a null id has noise of its own.
@@ -136,7 +139,7 @@ def importance_resample(docs: DataFrame, labels: DataFrame, share: float | None
         share = worst.agg(F.avg(F.when(F.expr("q = 1 AND t = 0"), 1.0).otherwise(0.0))).first()[0] or 0.0
     noise = -F.log(-F.log((F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit("gumbel"), "doc_id"), 11) + F.lit(0.5)) / F.lit(2.0 ** 53)))
     scored = texts(docs).select("doc_id", log_weight(F.col("text"), ratio).alias("w")).select("doc_id", "w.*")
-    scored = stored(scored.withColumn("key", F.col("log_weight") + noise), "weights")
+    scored = stored(scored.withColumn("key", F.col("log_weight") * F.lit(float(length)) / (F.col("n_grams") + F.lit(20)) + noise), "weights")
     least = top_threshold(scored, "key", round(share * scored.count()))
     kept = F.lit(False) if least is None else F.col("key") >= F.lit(least)
     return scored.withColumn("kept", kept)

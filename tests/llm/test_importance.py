@@ -22,7 +22,7 @@ def test_selects_documents_like_the_target(spark):
     got = {r.doc_id: r for r in importance_resample(docs, labels).collect()}
     assert sum(r.kept for r in got.values()) == 150
     assert all(got[i].kept == (i % 4 > 0) for i in got)
-    assert min(got[i].log_weight for i in got if i % 4) > max(got[i].log_weight for i in got if i % 4 == 0) + 10
+    assert min(got[i].log_weight for i in got if i % 4) > 0 > max(got[i].log_weight for i in got if i % 4 == 0)
     assert got[0].n_grams == 119
 
 
@@ -30,10 +30,9 @@ def test_log_ratio_equals_plain_counts(spark):
     docs = make(spark, [(1, "A b a"), (2, "b c")])
     target = spark.createDataFrame([(1,)], "doc_id long")
     r = gram_models(docs, target, buckets=1 << 16, smooth=0.5)
-    # raw: 5 words + 3 pairs, target: 3 + 2; "a" twice in each
-    a = math.log((2 + .5) / (5 + .5 * 65536)) - math.log((2 + .5) / (8 + .5 * 65536))
-    b = math.log((1 + .5) / (5 + .5 * 65536)) - math.log((2 + .5) / (8 + .5 * 65536))
-    assert np.isclose(r, a).any() and np.isclose(r, b).any()
+    # raw: 5 words and 3 pairs, scaled to the target's 3 and 2; "a" is there twice, "c" not in the target
+    want = {round(math.log(t + .5) - math.log(n * 5 / 8 + .5), 9) for t, n in ((2, 2), (1, 2), (0, 1), (1, 1), (0, 0))}
+    assert {round(x, 9) for x in r.tolist()} == want
 
 
 def test_gumbel_sample_follows_the_weights(spark):
