@@ -12,7 +12,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from orelake.session import scratch_path
 
@@ -160,7 +159,3 @@ def running_total(df: DataFrame, group: list[str], order: list[str], size: Colum
     out = (rows.join(total, reduce(and_, on), "left")
            .withColumn(name, F.col(before) + F.coalesce(F.sum(s).over(inner), F.lit(0))))
     return out.select(*df.columns, name)
-
-
-def struct_type(**fields: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField(k, v) for k, v in fields.items()])

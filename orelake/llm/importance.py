@@ -139,7 +139,8 @@ def importance_resample(docs: DataFrame, labels: DataFrame, share: float | None
         share = worst.agg(F.avg(F.when(F.expr("q = 1 AND t = 0"), 1.0).otherwise(0.0))).first()[0] or 0.0
     noise = -F.log(-F.log((F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit("gumbel"), "doc_id"), 11) + F.lit(0.5)) / F.lit(2.0 ** 53)))
     scored = texts(docs).select("doc_id", log_weight(F.col("text"), ratio).alias("w")).select("doc_id", "w.*")
-    scored = stored(scored.withColumn("key", F.col("log_weight") * F.lit(float(length)) / (F.col("n_grams") + F.lit(20)) + noise), "weights")
+    even = F.col("log_weight") * F.lit(float(length)) / (F.col("n_grams") + F.lit(20))
+    scored = stored(scored.withColumn("key", even + noise), "weights")
     least = top_threshold(scored, "key", round(share * scored.count()))
     kept = F.lit(False) if least is None else F.col("key") >= F.lit(least)
     return scored.withColumn("kept", kept)

@@ -179,7 +179,8 @@ def knn_join(vectors: DataFrame, is_query: Column, k: int = 5, grid: Grid = Grid
     """
     usable = F.expr("vec_id IS NOT NULL AND embedding IS NOT NULL AND NOT exists(embedding, "
                     "x -> x IS NULL OR isnan(x) OR abs(x) = double('infinity'))")
-    rows = (vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
+    rows = (vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding"),
+                           F.coalesce(is_query, F.lit(False)).alias("is_query"))
             .filter(usable).select(F.monotonically_increasing_id().alias("row"), "vec_id", "is_query", "embedding"))
     dim = max(1, rows.agg(F.max(F.size("embedding"))).first()[0] or 0)
     sample = rows.orderBy(F.xxhash64(F.lit(grid.seed), "vec_id"), "vec_id").limit(grid.pivots).select("embedding").collect()
@@ -187,7 +188,8 @@ def knn_join(vectors: DataFrame, is_query: Column, k: int = 5, grid: Grid = Grid
     for p, r in zip(pivots, sample):
         p[:len(r[0])] = np.floor(grid.scale * np.asarray(r[0], dtype=np.float64))
     pivots = np.unique(pivots, axis=0)
-    cells = stored(rows.mapInArrow(_assign(pivots, dim, grid.scale), "row long, vec_id long, is_query boolean, cell int, dist double, vec binary"), "cells")
+    cells = stored(rows.mapInArrow(_assign(pivots, dim, grid.scale), "row long, vec_id long, is_query boolean, "
+                                   "cell int, dist double, vec binary"), "cells")
     queries = cells.filter("is_query")
 
     n = len(pivots)
@@ -223,7 +225,8 @@ def knn_join(vectors: DataFrame, is_query: Column, k: int = 5, grid: Grid = Grid
     asked = queries.withColumn("grp", F.element_at(F.array(*[F.lit(int(g)) for g in group_of]), F.col("cell") + 1))
     data_parts, query_parts = _parts(copies, grid.data_together), _parts(asked, grid.queries_together)
     if not query_parts or not data_parts:
-        return cells.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0).cast("long").alias("score")).limit(0)
+        return cells.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id",
+                            F.lit(0).cast("long").alias("score")).limit(0)
     nd, nq = (_lookup({g: p.get(g, 1) for g in range(len(seeds))}) for p in (data_parts, query_parts))
 
     def every(parts: Column) -> Column:

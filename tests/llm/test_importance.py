@@ -1,8 +1,6 @@
 import math
 import random
 
-import numpy as np
-
 from orelake.llm.importance import gram_models, importance_resample, target_sample, top_threshold
 from tests.llm.helpers import empty, make, nasty, text
 
