@@ -53,11 +53,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def words(text: str | None) -> list[bytes]:
-    """Maximal runs without blank, tab, line feed, vertical tab, form feed or carriage return, as UTF-8."""
-    return text.encode().split() if text else []
-
-
 def slices(batch: pa.RecordBatch, column: int, limit: int = SEGMENT) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of ``batch`` with about ``limit`` bytes of text each, one row at least."""
     col = batch.column(column)
@@ -133,10 +128,6 @@ def word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(np.concatenate(x) for x in zip(*out))  # type: ignore[return-value]
 
 
-def text_bytes(text: str | None) -> np.ndarray:
-    return np.frombuffer((text or "").encode(), dtype=np.uint8)
-
-
 def running_total(df: DataFrame, group: list[str], order: list[str], size: Column, name: str,
                   buckets: int = 1024) -> DataFrame:
     """Add ``name``: the sum of ``size`` over the rows of the same group that come before.

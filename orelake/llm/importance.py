@@ -66,11 +66,10 @@ def gram_models(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS, smoo
                                          names=["bucket", "raw", "target"])
 
     sums = (flagged.select("text", "is_target").mapInArrow(count, "bucket long, raw long, target long")
-            .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas())
+            .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow())
     raw, own = np.zeros(buckets), np.zeros(buckets)
-    if len(sums):
-        at = sums["bucket"].to_numpy()
-        raw[at], own[at] = sums["raw"].to_numpy(), sums["target"].to_numpy()
+    at = sums["bucket"].to_numpy()
+    raw[at], own[at] = sums["raw"].to_numpy(), sums["target"].to_numpy()
     raw *= own.sum() / max(raw.sum(), 1)
     return np.log(own + smooth) - np.log(raw + smooth)
 

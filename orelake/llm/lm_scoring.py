@@ -317,10 +317,10 @@ def lm_score(docs: DataFrame, bucket_bytes: int = 4 << 20, fine: int = 20) -> Da
                      .mapInArrow(_count_tokens(distinct, total), COUNTED), "lm-counts")
     cells = (counted.filter(F.col("fold") == WEIGHING).select("n_tokens", "counts")
              .mapInArrow(_cells(max(total - weighing, 1), fine), "cell long, n long")
-             .groupBy("cell").agg(F.sum("n").alias("n")).toPandas())
-    cell = cells["cell"].to_numpy(dtype=np.int64)
+             .groupBy("cell").agg(F.sum("n").alias("n")).toArrow())
+    cell = cells["cell"].to_numpy()
     like = [np.where(x == 0, 0.0, 10.0 ** ((x - 32_768) / fine)) for x in ((cell >> 16) & 0xFFFF, cell & 0xFFFF)]
-    learned = np.column_stack((cell >> 32, *like, cells["n"].to_numpy(dtype=np.float64)))
+    learned = np.column_stack((cell >> 32, *like, cells["n"].to_numpy()))
     model = Mixture(total, distinct, learn_weights(learned, distinct))
 
     @F.arrow_udf("double")
