@@ -21,7 +21,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PLAIN = re.compile(r"[\t-\r\x20-\x7e¡-±´-¸º»¿-įı-ɏ]*")
 # Fixed value: where the vocabulary's tokenizer cuts a word without white space.
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-_CACHED = 800_000  # entries of a cache generation
+_CACHED = 400_000  # entries of a cache generation
 
 
 def default_vocabulary() -> str:
@@ -50,8 +50,13 @@ class WordIds:
     """
 
     def __init__(self, path: str):
+        from tokenizers import Tokenizer, pre_tokenizers
         self.library = _tokenizer(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        # Parts are normal already and cut where the library cuts, so only its byte mapping and merges are left to do.
+        self.merges = Tokenizer(self.library.model)
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.library.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -59,7 +64,7 @@ class WordIds:
         self.old: dict[str, bytes] = {}
 
     def _encode_parts(self, new: list[str]) -> list[bytes]:
-        ids = np.array(self.library.encode(" ".join(new), add_special_tokens=False).ids, dtype="<u4")
+        ids = np.array(self.merges.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, dtype="<u4")
         end = np.flatnonzero(self.last[ids]) + 1
         if len(end) != len(new):
             return [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch_fast(new, add_special_tokens=False)]
