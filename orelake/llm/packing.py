@@ -109,7 +109,8 @@ class WordIds:
                 self.old, self.young = self.young, {}
                 missing = need
             self._learn(missing)
-        get = self.young.__getitem__
+        near = dict(zip(need, map(self.young.__getitem__, need)))  # few words that stay close at hand for the many look-ups
+        get = near.__getitem__
         return [np.array(self.library.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() if w is None
                 else b"".join(map(get, w)) for t, w in zip(texts_, split)]
 
