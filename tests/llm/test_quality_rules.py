@@ -1,6 +1,11 @@
+import base64
+import random
+
+import pyarrow.parquet as pq
 import zstandard
 
 from orelake.llm.quality_rules import Bands, keep_good, limit, quality_rules
+from tests.conftest import SF_SMALL
 from tests.llm.helpers import empty, make, nasty, text
 
 
@@ -50,3 +55,27 @@ def test_keep_good_keeps_columns_and_empty_tables(spark):
     docs = make(spark, [(1, text(1, 300)), (2, "short")])
     assert keep_good(docs).columns == docs.columns
     assert keep_good(empty(spark)).count() == 0 and quality_rules(empty(spark)).count() == 0
+
+
+def clean(size):
+    """``size`` bytes of joined texts that are labelled good, all different, of one language."""
+    labels = pq.read_table(f"{SF_SMALL}/labels.parquet").to_pylist()
+    good = {r["doc_id"] for r in labels if r["quality"] == 1}
+    rows = pq.read_table(f"{SF_SMALL}/documents.parquet", columns=["doc_id", "text", "lang"]).to_pylist()
+    parts = {r["text"][:60]: r["text"] for r in rows
+             if r["doc_id"] in good and r["lang"] == "en" and r["text"].isascii() and len(r["text"].split()) >= 50}
+    whole = "\n".join(parts.values())
+    assert len(whole) >= size
+    return whole[:size]
+
+
+def noise(size):
+    return base64.b64encode(random.Random(1).randbytes(size))[:size].decode()
+
+
+def test_one_chunk_of_noise_is_rejected_at_production_parameters(spark):
+    good, bands = clean(30 * 4096), Bands()
+    docs = make(spark, [(1, good), (2, good[:16384] + noise(4096)), (3, good + noise(4096))])
+    got = {r.doc_id: r for r in quality_rules(docs).collect()}
+    assert {d: r.kept for d, r in got.items()} == {1: True, 2: False, 3: False}
+    assert got[2].ratio < limit(bands.low, 20480) and got[3].chunk_low < bands.chunk_low
