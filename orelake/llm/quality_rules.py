@@ -26,7 +26,9 @@ class Bands:
     about 1 % beyond what texts labelled as good reach at each length; low
     knots above 61,000 bytes come from such texts joined within a language.
     The longer a text, the more a compressor can reuse, hence the rise.
-    ``chunk_low`` / ``chunk_high`` bound every whole chunk of ``chunk`` bytes.
+    ``chunk_low`` / ``chunk_high`` bound every chunk of ``chunk`` bytes; the
+    last one ends with the text and may overlap the one before.  A text
+    shorter than a chunk is judged by the limits for its own length.
     """
 
     low: tuple[tuple[int, float], ...] = (
@@ -80,6 +82,8 @@ def _measure(text: str | None, bands: Bands, zip_: zstandard.ZstdCompressor) ->
     failed = len(w) < 50 or 100 * repeats > 50 * len(w)
     ratio = len(raw) / len(zip_.compress(raw)) if raw else 0.0
     parts = [raw[i:i + bands.chunk] for i in range(0, len(raw) - bands.chunk + 1, bands.chunk)]
+    if len(raw) > bands.chunk and len(raw) % bands.chunk:
+        parts.append(raw[-bands.chunk:])
     each = [bands.chunk / len(zip_.compress(p)) for p in parts]
     inside = limit(bands.low, len(raw)) <= ratio <= limit(bands.high, len(raw)) if raw else False
     kept = not failed and inside and all(bands.chunk_low <= r <= bands.chunk_high for r in each)

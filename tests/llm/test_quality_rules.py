@@ -79,3 +79,13 @@ def test_one_chunk_of_noise_is_rejected_at_production_parameters(spark):
     got = {r.doc_id: r for r in quality_rules(docs).collect()}
     assert {d: r.kept for d, r in got.items()} == {1: True, 2: False, 3: False}
     assert got[2].ratio < limit(bands.low, 20480) and got[3].chunk_low < bands.chunk_low
+
+
+def test_noise_or_repetition_behind_the_last_whole_chunk_is_rejected(spark):
+    good, bands = clean(30 * 4096), Bands()
+    same = "again and again the same words " * 130
+    docs = make(spark, [(1, good + good[:1000]), (2, good + noise(4000)), (3, good + same[:4000]), (4, good[:4000])])
+    got = {r.doc_id: r for r in quality_rules(docs).collect()}
+    assert {d: r.kept for d, r in got.items()} == {1: True, 2: False, 3: False, 4: True}
+    assert all(limit(bands.low, 126880) <= got[d].ratio <= limit(bands.high, 126880) for d in (2, 3))
+    assert got[2].chunk_low < bands.chunk_low and got[3].chunk_high > bands.chunk_high and got[4].chunk_low is None
