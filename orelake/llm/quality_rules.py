@@ -23,9 +23,10 @@ class Bands:
 
     ``low`` and ``high`` are (length, ratio) knots, read linearly in the
     logarithm of the length and flat beyond the ends.  They leave a margin of
-    about 1 % beyond what texts labelled as good reach at each length; low
+    about 1 % beyond what texts labelled as good reach at each length;
     knots above 61,000 bytes come from such texts joined within a language.
-    The longer a text, the more a compressor can reuse, hence the rise.
+    The longer a text, the more a compressor can reuse, hence the rise; it
+    ends at a few million bytes, which is how far this level looks back.
     ``chunk_low`` / ``chunk_high`` bound every chunk of ``chunk`` bytes; the
     last one ends with the text and may overlap the one before.  A text
     shorter than a chunk is judged by the limits for its own length.
@@ -37,7 +38,8 @@ class Bands:
         (27200, 2.225), (38400, 2.285), (54300, 2.31), (77000, 2.32), (308000, 2.345), (436000, 2.45), (2000000, 2.475))
     high: tuple[tuple[int, float], ...] = (
         (340, 1.95), (670, 1.97), (950, 2.05), (1350, 2.11), (1900, 2.19), (2700, 2.225), (3800, 2.29), (5400, 2.335),
-        (7600, 2.41), (10800, 2.45), (15400, 2.47), (21800, 2.50), (30800, 2.55), (43400, 2.60), (61000, 2.64))
+        (7600, 2.41), (10800, 2.45), (15400, 2.47), (21800, 2.50), (30800, 2.55), (43400, 2.60), (61000, 2.64),
+        (131000, 2.67), (200000, 2.70), (262000, 2.76), (500000, 2.83), (1000000, 2.87), (4000000, 2.89))
     chunk: int = 4096
     chunk_low: float = 1.92
     chunk_high: float = 2.32

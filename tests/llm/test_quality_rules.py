@@ -1,4 +1,5 @@
 import base64
+import os
 import random
 
 import pyarrow.parquet as pq
@@ -57,13 +58,13 @@ def test_keep_good_keeps_columns_and_empty_tables(spark):
     assert keep_good(empty(spark)).count() == 0 and quality_rules(empty(spark)).count() == 0
 
 
-def clean(size):
-    """``size`` bytes of joined texts that are labelled good, all different, of one language."""
-    labels = pq.read_table(f"{SF_SMALL}/labels.parquet").to_pylist()
+def clean(size, lang="en", folder=SF_SMALL):
+    """``size`` characters of joined texts that are labelled good, all different, of one language; ASCII in English."""
+    labels = pq.read_table(f"{folder}/labels.parquet").to_pylist()
     good = {r["doc_id"] for r in labels if r["quality"] == 1}
-    rows = pq.read_table(f"{SF_SMALL}/documents.parquet", columns=["doc_id", "text", "lang"]).to_pylist()
-    parts = {r["text"][:60]: r["text"] for r in rows
-             if r["doc_id"] in good and r["lang"] == "en" and r["text"].isascii() and len(r["text"].split()) >= 50}
+    rows = pq.read_table(f"{folder}/documents.parquet", columns=["doc_id", "text", "lang"]).to_pylist()
+    parts = {r["text"][:60]: r["text"] for r in rows if r["doc_id"] in good and r["lang"] == lang
+             and (r["text"].isascii() or lang != "en") and len(r["text"].split()) >= 50}
     whole = "\n".join(parts.values())
     assert len(whole) >= size
     return whole[:size]
@@ -89,3 +90,13 @@ def test_noise_or_repetition_behind_the_last_whole_chunk_is_rejected(spark):
     assert {d: r.kept for d, r in got.items()} == {1: True, 2: False, 3: False, 4: True}
     assert all(limit(bands.low, 126880) <= got[d].ratio <= limit(bands.high, 126880) for d in (2, 3))
     assert got[2].chunk_low < bands.chunk_low and got[3].chunk_high > bands.chunk_high and got[4].chunk_low is None
+
+
+def test_very_long_clean_documents_are_kept_and_repeated_ones_are_not(spark):
+    folder = os.path.join(os.path.dirname(SF_SMALL), "sf0.1")
+    rows = [(i, clean(n, lang, folder)) for i, (lang, n) in enumerate(
+        [("de", 300_000), ("de", 1_000_000), ("fr", 300_000), ("fr", 1_000_000), ("es", 300_000), ("en", 1_000_000)])]
+    rows += [(10, rows[0][1] * 2), (11, rows[5][1][:500_000] * 2)]
+    got = {r.doc_id: r for r in quality_rules(make(spark, rows)).collect()}
+    assert {d: r.kept for d, r in got.items()} == {d: d < 10 for d, _ in rows}
+    assert all(r.ratio > 2.64 for d, r in got.items())
