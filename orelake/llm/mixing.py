@@ -36,41 +36,61 @@ def _weight(weights: dict[str, float] | None) -> Column:
     return F.coalesce(F.element_at(table, F.col("key__")), F.lit(float(min(weights.values()))))
 
 
+# Blocks of source ``x`` in the first ``p`` periods, ``x.a`` being its true slots a period.  Sources of a slot or more
+# take whole steps of their running sum, which add up to the period; smaller ones are rounded at staggered phases.
+_DONE = """least(x.n, CAST(IF(x.phase IS NULL, floor({p} * (x.low + x.a) + 1e-6D) - floor({p} * x.low + 1e-6D),
+                          floor({p} * x.a + x.phase)) AS BIGINT))"""
+
+# The sources with their true slots a period, running sums and phases; arrays of one element bind a value computed once.
+_SHARES = """
+get(transform(transform(transform(array(aggregate(s, 0D, (t, x) -> t + x.w)), all_w -> transform(s, x -> x.w / all_w)),
+  w -> transform(array(coalesce(get(filter(sequence({n}L, {to}L), t -> forall(w, x -> abs(t * x - round(t * x)) < 1e-9D)), 0),
+                                {n}L)), parts -> transform(w, x -> parts * x))[0]),
+  a -> transform(s, (x, no) -> named_struct('key__', x.key__, 'n', x.n, 'a', a[no],
+    'low', aggregate(slice(a, 1, no), 0D, (t, y) -> t + IF(y < 1.001D, 0D, y)),
+    'phase', IF(a[no] < 1.001D, (size(filter(slice(a, 1, no), y -> y < 1.001D)) + 0.5D) / size(filter(a, y -> y < 1.001D)),
+                NULL)))), 0)
+"""
+
+
 def schedule(blocks: DataFrame, weights: dict[str, float] | None = None, parts: int = 1000) -> DataFrame:
     """(key__, n) rows -> one row per block: key__, block, period, slot, release, deadline.
 
-    Weights become whole shares of a period of about ``parts`` slots, at least
-    one each.  The i-th of a source's c blocks in a period of C slots is
-    released at floor(i C / c) and due by ceil((i + 1) C / c).  These windows
-    are those of an ideal fluid mix, so earliest deadline first keeps every
-    source less than one block from its share at every slot.  When a source
-    runs out, the others share the later periods in the same proportion, so
-    every block is placed once.  Periods of equal make-up share one table; at
-    most 2 x sources + 1 differ.
+    A period has the least number of slots, from ``parts`` to twice that, that
+    gives every source a whole share, or ``parts`` where there is none.  What
+    a share leaves over is carried on: after p periods a source has had p
+    times its true share, give or take less than one block, so nothing adds
+    up however long the input.  The i-th of a source's c blocks in a period
+    of C slots is released at floor(i C / c) and due by ceil((i + 1) C / c).
+    These windows are those of an ideal fluid mix, so earliest deadline first
+    keeps every source less than one block from its line between the period's
+    ends.  While all sources last, a source is thus less than one block from
+    its true share at every slot where the shares are whole, and less than
+    two otherwise; m sources of less than one slot a period are rounded one
+    by one, which may move the others by at most m blocks times their share.
+    A source that runs out is spread over its last period; the others share
+    the later periods in the same proportion, so every block is placed once.
     """
     weighted = blocks.withColumn("w", _weight(weights))
-    whole = weighted.agg(F.sum("w").alias("all_w"), F.array_sort(F.collect_list(F.struct("key__", "n", "w"))).alias("s"))
-    whole = whole.filter("size(s) > 0").select(F.expr(
-        f"transform(s, x -> named_struct('key__', x.key__, 'n', x.n, 'a', greatest(1L, CAST(round({int(parts)} * x.w / all_w) AS BIGINT))))"
-    ).alias("s"))
-    whole = whole.withColumn("starts", F.expr(
-        "array_sort(array_distinct(concat(array(0L), transform(s, x -> x.n DIV x.a), transform(s, x -> x.n DIV x.a + 1L))))"))
-    kinds = (whole.select("s", F.explode("starts").alias("start"))
-             .select("start", F.expr("transform(s, x -> least(x.a, greatest(0L, x.n - start * x.a)))").alias("counts"))
-             .withColumn("total", F.expr("aggregate(counts, 0L, (a, c) -> a + c)")).filter("total > 0"))
-    template = (kinds.repartition("start").select("start", "total", "counts", F.expr(_EDF).alias("order"))
-                .select("start", "total", "counts", F.inline("order"))
-                .select("start", "total", F.expr("counts[source_no]").alias("c"), "source_no", "i", F.col("slot").alias("step")))
-    each = (whole.select("s", "starts", F.posexplode("s").alias("source_no", "x"))
-            .select("s", "starts", "source_no", "x.*")
-            .select("*", F.explode(F.expr("sequence(0L, (n - 1L) DIV a)")).alias("period"))
-            .withColumn("start", F.expr("element_at(filter(starts, x -> x <= period), -1)"))
-            .withColumn("before", F.expr("aggregate(s, 0L, (t, x) -> t + least(x.n, period * x.a))"))
-            .select("key__", "a", "n", "source_no", "period", "start", "before"))
-    placed = each.join(template, ["start", "source_no"])
+    whole = (weighted.agg(F.array_sort(F.collect_list(F.struct("key__", "n", "w"))).alias("s")).filter("size(s) > 0")
+             .select(F.expr(_SHARES.format(n=int(parts), to=2 * int(parts) - 1)).alias("s")))
+    # The periods in which any source has a block; next to a rounded one its neighbours too, whose empty ones fall out.
+    each = (whole.select(F.explode("s").alias("x"))
+            .select("x", F.explode(F.expr("""IF(x.phase IS NULL, sequence(0L, CAST(ceil((x.n + 1) / x.a) AS BIGINT)),
+                transform(sequence(0L, x.n - 1L), i -> CAST(ceil((i + 1 - x.phase) / x.a) AS BIGINT) - 1L))""")).alias("at"))
+            .select(F.explode(F.expr("IF(x.phase IS NULL, array(at), array(at - 1L, at, at + 1L))")).alias("period"))
+            .filter("period >= 0").distinct())
+    made = (each.crossJoin(F.broadcast(whole)).withColumn("had", F.expr(f"transform(s, x -> {_DONE.format(p='period')})"))
+            .withColumn("counts", F.expr(f"transform(s, x -> {_DONE.format(p='(period + 1L)')} - {_DONE.format(p='period')})"))
+            .withColumn("total", F.expr("aggregate(counts, 0L, (a, c) -> a + c)")).filter("total > 0")
+            .withColumn("before", F.expr("aggregate(had, 0L, (a, c) -> a + c)")).repartition("period"))
+    # Outer, as no filter on the table is then made ahead of the exchange, where one task would work them all out.
+    placed = (made.select("s", "had", "counts", "total", "before", "period", F.expr(_EDF).alias("order"))
+              .select("s", "had", "counts", "total", "before", "period", F.inline_outer("order"))
+              .withColumn("c", F.expr("counts[source_no]")))
     return placed.select(
-        "key__", (F.col("period") * F.col("a") + F.col("i")).alias("block"), "period",
-        (F.col("before") + F.col("step")).alias("slot"),
+        F.expr("s[source_no].key__").alias("key__"), F.expr("had[source_no] + i").alias("block"), "period",
+        (F.col("before") + F.col("slot")).alias("slot"),
         F.expr("before + i * total DIV c").alias("release"),
         F.expr("before + ((i + 1L) * total + c - 1L) DIV c").alias("deadline"))
 

@@ -2,7 +2,7 @@ import collections
 
 import pytest
 
-from orelake.llm.mixing import mix_sources, mixed_documents
+from orelake.llm.mixing import mix_sources, mixed_documents, schedule
 from tests.llm.helpers import empty, make, nasty, text
 
 
@@ -79,3 +79,30 @@ def test_mixed_documents_keep_rows_and_come_in_order(spark):
     assert sorted(got) == sorted(d.collect())
     first = collections.Counter(r.source for r in got[:80])
     assert first["s0"] > first["s1"] and mixed_documents(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("weights,parts,below", [
+    ({"a": 2, "b": 1}, 100, 1), ({"a": 2 ** 0.5, "b": 1, "c": 3 ** 0.5}, 10, 2),
+    ({"a": 1, "b": 0.3, "c": 0.0007}, 100, 2), ({f"s{i:03}": 1 for i in range(60)}, 25, 2)])
+def test_deviation_from_true_weights_over_many_periods(spark, weights, parts, below):
+    """Against the unrounded weights, up to the period in which the first source ends."""
+    total = sum(weights.values())
+    sizes = spark.createDataFrame([(f"s:{k}", max(1, int(6000 * w / total))) for k, w in weights.items()], "key__ string, n long")
+    rows = sorted(schedule(sizes, weights, parts).collect(), key=lambda r: r.slot)
+    assert [r.slot for r in rows] == list(range(sizes.groupBy().sum("n").first()[0]))
+    count, done = collections.Counter(r.key__ for r in rows), collections.Counter()
+    last = {k: max(r.period for r in rows if r.key__ == k) for k in count}
+    end, most = min(last.values()), 0
+    assert end >= 20
+    for at, r in enumerate(rows):
+        assert r.block == done[r.key__] and r.release <= r.slot < r.deadline
+        done[r.key__] += 1
+        if r.period < end:
+            most = max([most] + [abs(done[f"s:{k}"] - (at + 1) * w / total) for k, w in weights.items()])
+    assert done == count and 0 < most < below
+
+
+def test_a_minute_weight_makes_no_empty_periods(spark):
+    sizes = spark.createDataFrame([("s:a", 300), ("s:b", 40)], "key__ string, n long")
+    rows = schedule(sizes, {"a": 1.0, "b": 1e-9}, 10).collect()
+    assert sorted(r.slot for r in rows) == list(range(340)) and min(r.slot for r in rows if r.key__ == "s:b") == 300
