@@ -10,6 +10,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,10 +19,11 @@ from orelake.llm.common import running_total, slices, stored, texts
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 # Characters on which lower case, white space, normal form and the classes below are plain; texts with others go
 # to the library whole.
-_PLAIN = re.compile(r"[\t-\r\x20-\x7e¡-±´-¸º»¿-įı-ɏ]*")
+_PLAIN = "^[\t-\r\x20-\x7e¡-±´-¸º»¿-įı-ɏ]*$"
 # Fixed value: where the vocabulary's tokenizer cuts a word without white space.
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-_CACHED = 400_000  # entries of a cache generation
+_CACHED = 500_000  # entries of a cache generation
+_PART = 8 << 20  # bytes of text encoded at once; repeated words of a part are looked up once
 
 
 def default_vocabulary() -> str:
@@ -92,27 +94,50 @@ class WordIds:
         for w, c in zip(cut, lists):
             young[w] = b"".join([young[p] for p in c])
 
-    def encode(self, texts_: list[str]) -> list[bytes]:
-        """The ids of each text, four bytes each."""
-        split: list[list[str] | None] = []
-        need: set[str] = set()
-        for t in texts_:
-            if _PLAIN.fullmatch(t) and not any(s in t for s in self.special):
-                w = t.lower().split()
-                need.update(w)
-                split.append(w)
-            else:
-                split.append(None)
-        missing = need.difference(self.young)
+    def _known(self, distinct: list[str]) -> list[bytes]:
+        missing = set(distinct).difference(self.young)
         if missing:
             if len(self.young) + len(missing) > _CACHED:
                 self.old, self.young = self.young, {}
-                missing = need
+                missing = set(distinct)
             self._learn(missing)
-        near = dict(zip(need, map(self.young.__getitem__, need)))  # few words that stay close at hand for the many look-ups
-        get = near.__getitem__
-        return [np.array(self.library.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() if w is None
-                else b"".join(map(get, w)) for t, w in zip(texts_, split)]
+        return list(map(self.young.__getitem__, distinct))
+
+    def encode_column(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids in a row, number of ids of each text) of a string column; null is the empty text.
+
+        Lower case, white space and the numbering of distinct words are
+        Arrow's work on the whole column; only distinct words become strings.
+        """
+        col = pc.fill_null(col, "")
+        plain = pc.match_substring_regex(col, _PLAIN)
+        for mark in self.special:
+            plain = pc.and_not(plain, pc.match_substring(col, mark))
+        words = pc.ascii_split_whitespace(pc.utf8_lower(pc.if_else(plain, col, "")))
+        coded = words.flatten().dictionary_encode()
+        known = self._known(coded.dictionary.to_pylist())
+        size = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        n = size[at]
+        end = np.concatenate(([0], np.cumsum(n)))
+        pool = np.frombuffer(b"".join(known), dtype="<u4")
+        shift = (np.cumsum(size) - size)[at] - end[:-1]
+        ids = pool[np.repeat(shift, n) + np.arange(end[-1])]
+        edge = end[np.asarray(words.offsets) - words.offsets[0].as_py()]
+        count = np.diff(edge)
+        odd = np.flatnonzero(~plain.to_numpy(zero_copy_only=False))
+        if len(odd):
+            found = [np.array(self.library.encode(col[i].as_py(), add_special_tokens=False).ids, dtype="<u4") for i in odd.tolist()]
+            cut = np.split(ids, edge[odd])
+            ids = np.concatenate([cut[0], *[x for pair in zip(found, cut[1:]) for x in pair]])
+            count[odd] = [len(x) for x in found]
+        return ids, count
+
+    def encode(self, texts_: list[str]) -> list[bytes]:
+        """The ids of each text, four bytes each."""
+        ids, count = self.encode_column(pa.array(texts_, pa.string()))
+        raw, end = ids.tobytes(), (4 * np.cumsum(count)).tolist()
+        return list(map(raw.__getitem__, map(slice, [0, *end[:-1]], end)))
 
 
 @cache
@@ -135,10 +160,12 @@ def tokenize_pieces(docs: DataFrame, capacity: int = 2048, vocabulary: str | Non
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _word_ids(path)
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, _PART):
                 doc, piece, start, length, crc, own = [], [], [], [], [], []
-                for d, raw in zip(part.column(0).to_pylist(), ids.encode([t or "" for t in part.column(1).to_pylist()])):
-                    raw += end
+                flat, count = ids.encode_column(part.column(1))
+                flat, to = flat.tobytes(), (4 * np.cumsum(count)).tolist()
+                for d, a, b in zip(part.column(0).to_pylist(), [0, *to[:-1]], to):
+                    raw = flat[a:b] + end
                     for i, at in enumerate(range(0, len(raw), 4 * capacity)):
                         chunk = raw[at:at + 4 * capacity]
                         doc.append(d)
