@@ -89,5 +89,62 @@ reach AS (
 SELECT doc_id, min(other) AS class_id, doc_id = min(other) AS kept FROM reach GROUP BY doc_id
 """
 
+_NEAREST = """(
+  SELECT r, arg_min(k, d * 64 + k) AS k, min(d) AS d
+  FROM (SELECT v.r, m.k, list_inner_product(v.c, v.c) - 2 * list_inner_product(v.c, m.c) + list_inner_product(m.c, m.c) AS d
+        FROM v, {m} m) GROUP BY r)"""
+_ROUND = """
+n{i} AS MATERIALIZED {near},
+m{i} AS MATERIALIZED (
+  SELECT m.k, coalesce(x.c, m.c) AS c
+  FROM {m} m LEFT JOIN (
+    SELECT k, list(floor(s / n) ORDER BY j) AS c
+    FROM (SELECT k, j, sum(x) AS s, count(*) AS n
+          FROM (SELECT k, unnest(c) AS x, unnest(range(64)) AS j FROM n{i} JOIN v USING (r)) GROUP BY k, j) GROUP BY k) x USING (k)),"""
+OP12 = """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS c FROM embeddings
+  WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+m0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, c) - 1 AS k, c
+  FROM (SELECT sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, c FROM v ORDER BY h, c LIMIT 40)),""" + "".join(
+    _ROUND.format(i=i, m=f"m{i - 1}", near=_NEAREST.format(m=f"m{i - 1}")) for i in range(1, 6)) + f"""
+near AS MATERIALIZED {_NEAREST.format(m="m5")}""" + """
+SELECT vec_id, CAST(near.k AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+       CAST(sum(d) OVER (PARTITION BY near.k) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string([CAST(x AS BIGINT) FOR x IN m5.c], ',')) AS centroid_sha256
+FROM near JOIN v USING (r) JOIN m5 ON m5.k = near.k
+"""
+
+# CRC-32 by its table: eight halvings of each byte, then one step per byte of the word.
+OP13 = r"""
+WITH crc AS (
+  SELECT [list_reduce(range(8), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)), b) FOR b IN range(256)] AS t),
+every AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+words AS (
+  SELECT r, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+  FROM (SELECT r, text FROM every UNION ALL SELECT -1, text FROM benchmark)),
+hashed AS (
+  SELECT w, xor(list_reduce([CAST('0x' || substr(hex(w), 2 * i + 1, 2) AS BIGINT) FOR i IN range(length(hex(w)) // 2)],
+                            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT w FROM words), crc),
+feature AS MATERIALIZED (SELECT r, bucket FROM words JOIN hashed USING (w)),
+counted AS (SELECT bucket, count(*) FILTER (r >= 0) AS s, count(*) FILTER (r < 0) AS t FROM feature GROUP BY bucket),
+gain AS (
+  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * ((SELECT sum(s) FROM counted) + 10000)::DOUBLE
+                                 / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM counted) + 10000)::DOUBLE))) AS g FROM counted),
+doc AS (SELECT r, count(*) AS n, sum(g) AS weight FROM feature JOIN gain USING (bucket) WHERE r >= 0 GROUP BY r),
+scored AS (
+  SELECT r, doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+         CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || left(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 8) AS BIGINT) + 0.5::DOUBLE)
+                                                         / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM every LEFT JOIN doc USING (r)),
+drawn AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS total FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CAST(drawn.rank AS BIGINT) AS rank
+FROM scored LEFT JOIN drawn ON drawn.r = scored.r AND drawn.rank <= 10 * total // 100
+"""
+
 ORACLE: dict[str, str] = {"op4_pfair_mix": OP4, "op6_order_minhash": OP6,
-                           "op1_voronoi_knn": OP1, "op9_superkmer_dedup": OP9}
+                           "op1_voronoi_knn": OP1, "op9_superkmer_dedup": OP9,
+                           "op12_threshold_clusters": OP12, "op13_ranked_resample": OP13}
