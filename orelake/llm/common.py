@@ -71,7 +71,8 @@ def slices(batch: pa.RecordBatch, column: int, limit: int = SEGMENT) -> Iterator
 _POWERS: dict[int, np.ndarray] = {}
 
 
-def _powers(n: int) -> np.ndarray:
+def powers(n: int) -> np.ndarray:
+    """At least ``n`` powers of the hash base, modulo 2^64."""
     have = _POWERS.get(0)
     if have is None or len(have) < n:
         base = np.full(max(n, 4096), _BASE, dtype=np.uint64)
@@ -100,11 +101,11 @@ def _segment_words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
         return start, end, np.empty(0, dtype=np.uint64)
     size = end - start
     with np.errstate(over="ignore"):
-        powers = _powers(int(size.max()) + 1)
+        base = powers(int(size.max()) + 1)
         at = np.arange(int(size.sum()), dtype=np.int64)
         first = np.concatenate(([0], np.cumsum(size)[:-1]))
         within = at - np.repeat(first, size)
-        value = (raw[inside[1:-1].view(bool)].astype(np.uint64) + np.uint64(1)) * powers[within]
+        value = (raw[inside[1:-1].view(bool)].astype(np.uint64) + np.uint64(1)) * base[within]
         return start, end, mix(np.add.reduceat(value, first) + size.astype(np.uint64))
 
 

@@ -18,7 +18,7 @@ SHARD = 1 << 20  # ids under one grammar at most
 SHARDS = ("file int, shard int, whole boolean, base long, n_tokens long, first_start long, doc_ids array<long>, "
           "counts array<long>, vocabulary long, width int, pairs binary, lengths binary, symbols binary")
 DOCUMENTS = "doc_id long, start long, n_tokens long, ids_crc32 long, file int, shard int"
-_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+_SLOTS = 20  # bits of the table that finds chosen pairs
 
 
 @dataclass(frozen=True)
@@ -44,18 +44,16 @@ class Grammar:
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
         """The ids of consecutive symbols: each rule is unfolded once, then copied."""
-        if not len(self.lengths):
-            return symbols
-        met = np.zeros(len(self.lengths), dtype=bool)
-        rule = symbols >= self.vocabulary
-        met[symbols[rule] - self.vocabulary] = True
+        met = np.zeros(self.vocabulary + len(self.lengths), dtype=bool)
+        met[symbols] = True
         used = np.flatnonzero(met)
-        pool = np.concatenate((np.arange(self.vocabulary, dtype=symbols.dtype), self._unfold(used.astype(symbols.dtype) + symbols.dtype.type(self.vocabulary))))
-        first = np.arange(self.vocabulary + len(self.lengths))
-        first[self.vocabulary + used] = self.vocabulary + np.cumsum(self.lengths[used]) - self.lengths[used]
-        size = self.size(symbols)
-        shift = first[symbols] - (np.cumsum(size) - size)
-        return pool[np.repeat(shift, size) + np.arange(int(size.sum()))]
+        kind = symbols.dtype
+        offset = np.concatenate(([0], np.cumsum(self.size(used)))) * kind.itemsize
+        number = np.empty(len(met), dtype=np.int32)
+        number[used] = np.arange(len(used), dtype=np.int32)
+        strings = pa.Array.from_buffers(pa.large_binary(), len(used), [None, pa.py_buffer(offset.astype(np.int64)), pa.py_buffer(self._unfold(used.astype(kind)))])
+        out = strings.take(pa.array(number[symbols]))
+        return np.frombuffer(out.buffers()[2] or b"", dtype=kind)[:int(np.frombuffer(out.buffers()[1], dtype=np.int64)[len(out)]) // kind.itemsize]
 
     def size(self, symbols: np.ndarray) -> np.ndarray:
         """Number of ids each symbol stands for."""
@@ -76,15 +74,16 @@ class Grammar:
         return self.expand(self.symbols[a:b])[skip:skip + stop - start]
 
 
-def re_pair(ids: np.ndarray, vocabulary: int, end_id: int | None = None, least: int = 8, spread: int = 64,
-            gain: float = 0.01) -> Grammar:
+def re_pair(ids: np.ndarray, vocabulary: int, end_id: int | None = None, least: int = 8, spread: int = 256,
+            gain: float = 0.03) -> Grammar:
     """Replace frequent pairs of neighbouring symbols by new symbols, again and again.
 
     A round counts all pairs, takes those with at least 1/``spread`` of the
     most frequent one's count (and ``least``), and replaces them from left to
-    right where they overlap, so frequent pairs go before rare ones.  It ends
-    when no pair occurs ``least`` times or a round at that bound saves less
-    than ``gain``.  Pairs with ``end_id`` are left alone, so documents start
+    right where they overlap, so frequent pairs go before rare ones.  Of
+    chosen pairs that meet in a slot of the look-up table one has to wait for
+    the next round.  It ends when no pair occurs ``least`` times or a round at
+    that bound saves less than ``gain``.  Pairs with ``end_id`` are left alone, so documents start
     at a symbol.  Symbols take two bytes where the vocabulary leaves room
     for rules in them, else four.
     """
@@ -132,15 +131,21 @@ def re_pair(ids: np.ndarray, vocabulary: int, end_id: int | None = None, least:
     return Grammar(vocabulary, flat, np.concatenate(lengths), a.astype(kind))
 
 
+def _slot(key: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        if key.dtype == np.uint32:
+            return (key * np.uint32(0x9E3779B1)) >> np.uint32(32 - _SLOTS)
+        return (key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOTS)
+
+
 def _occurrences(a: np.ndarray, chosen: np.ndarray, bits) -> tuple[np.ndarray, np.ndarray]:
     """(position, number in ``chosen``) of the chosen pairs, every other one where they overlap."""
     key = (a[:-1] << bits) | a[1:]
-    slot = lambda k: (k.astype(np.uint64) * _MULTIPLIER) >> np.uint64(46)
-    with np.errstate(over="ignore"):
-        may = np.zeros(1 << 18, dtype=bool)
-        may[slot(chosen)] = True
-        at = np.flatnonzero(may[slot(key)])
-    rule = np.minimum(np.searchsorted(chosen, key[at]), len(chosen) - 1)
+    table = np.full(1 << _SLOTS, -1, dtype=np.int32)
+    table[_slot(chosen)] = np.arange(len(chosen), dtype=np.int32)
+    rule = table[_slot(key)]
+    at = np.flatnonzero(rule >= 0)
+    rule = rule[at]
     same = chosen[rule] == key[at]
     at, rule = at[same], rule[same]
     n = np.arange(len(at))
@@ -182,6 +187,7 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str | None = None, end_
     place = vocabulary or default_vocabulary()
     size = max([i for i in _tokenizer(place).get_vocab().values()] + [end_id]) + 1
     kind = "<u2" if size <= 1 << 16 else "<u4"
+    end = np.array([end_id], dtype=kind).tobytes()
     blank, total, edges = _spread(docs, files)
     limits = np.array(edges, dtype=np.int64)
 
@@ -196,15 +202,10 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str | None = None, end_
         for batch in batches:
             for part in slices(batch, 1, _PART):
                 ids, count = words.encode_column(part.column(1))
-                to = np.cumsum(count)
-                ids = np.insert(ids.astype(kind), to, np.array(end_id, dtype=kind))
-                ends = (to + np.arange(1, len(to) + 1)) * ids.itemsize
-                offsets = pa.array(np.concatenate(([0], ends)), pa.int32()).buffers()[1]
-                row = part.column(2).to_numpy()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(files_of(part.column(0), row), pa.int32()), part.column(0), part.column(2),
-                     pa.Array.from_buffers(pa.binary(), len(ends), [None, offsets, pa.py_buffer(ids.tobytes())])],
-                    names=["file", "doc_id", "row", "ids"])
+                raw, to = ids.astype(kind, copy=False).tobytes(), (np.cumsum(count) * np.dtype(kind).itemsize).tolist()
+                own = pa.array([raw[a:b] + end for a, b in zip([0, *to[:-1]], to)], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(files_of(part.column(0), part.column(2).to_numpy()), pa.int32()),
+                                                  part.column(0), part.column(2), own], names=["file", "doc_id", "row", "ids"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int | None, np.ndarray]] = []

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -14,15 +13,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orelake.llm.common import running_total, slices, stored, texts
+from orelake.llm.common import mix, powers, running_total, slices, stored, texts
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 # Characters on which lower case, white space, normal form and the classes below are plain; texts with others go
 # to the library whole.
 _PLAIN = "^[\t-\r\x20-\x7e¡-±´-¸º»¿-įı-ɏ]*$"
 # Fixed value: where the vocabulary's tokenizer cuts a word without white space.
-_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-_CACHED = 500_000  # entries of a cache generation
+_CUTS = r"('s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+)"
+_KNOWN = 2_000_000  # remembered words and parts, about 40 bytes each
 _PART = 8 << 20  # bytes of text encoded at once; repeated words of a part are looked up once
 
 
@@ -40,68 +39,113 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def _hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of non-null strings, over their bytes in one go."""
+    off = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64)
+    raw = np.frombuffer(words.buffers()[2] or b"", dtype=np.uint8)[off[0]:off[-1]] if len(words) else np.empty(0, np.uint8)
+    size, first = np.diff(off), off[:-1] - off[0]
+    out, full = np.zeros(len(words), dtype=np.uint64), np.flatnonzero(size)
+    if len(full):
+        within = np.arange(len(raw)) - np.repeat(first, size)
+        with np.errstate(over="ignore"):
+            value = (raw.astype(np.uint64) + np.uint64(1)) * powers(int(size.max()) + 1)[within]
+            out[full] = mix(np.add.reduceat(value, first[full]) + size[full].astype(np.uint64))
+    return out
+
+
 class WordIds:
-    """Token ids as little-endian bytes, remembered by white-space word.
+    """Token ids of white-space words, remembered in flat columns (two bytes an id where the vocabulary allows, else four).
 
     Right for tokenizers that drop white space and cut at it, so a text's ids
-    are its words' ids in a row.  Two generations of a bounded cache keep
-    frequent words at hand; the parts of new words are encoded together and
-    told apart by the mark on the last token of a part.  Texts with
+    are its words' ids in a row.  Words are found by hash and compared; new
+    ones are cut into parts, and new parts are encoded together and told
+    apart by the mark on the last token of a part.  The memory is bounded:
+    when it is full, words not met since it was last full go.  Texts with
     special-token strings or characters outside the plain set are encoded
     whole by the library.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, known: int = _KNOWN):
         from tokenizers import Tokenizer, pre_tokenizers
-        self.library = _tokenizer(path)
+        self.library, self.known = _tokenizer(path), known
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         # Parts are normal already and cut where the library cuts, so only its byte mapping and merges are left to do.
         self.merges = Tokenizer(self.library.model)
         self.merges.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.library.get_vocab()
+        self.kind = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
         self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _encode_parts(self, new: list[str]) -> list[bytes]:
-        ids = np.array(self.merges.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, dtype="<u4")
+        self._keep(pa.array([], pa.string()), pa.array([], pa.large_binary()))
+
+    def _keep(self, words: pa.Array, ids: pa.Array) -> None:
+        self.words, self.ids, self.met = words, ids, np.zeros(len(words), dtype=bool)
+        h = _hashes(words)
+        self.number = np.argsort(h, kind="stable")
+        self.hash = h[self.number]
+
+    def _find(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(number, whether known, hash) of each word; the numbers of unknown ones mean nothing."""
+        h = _hashes(words)
+        if not len(self.words):
+            return np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=bool), h
+        at = self.number[np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)]
+        return at, pc.equal(self.words.take(pa.array(at)), words).to_numpy(zero_copy_only=False), h
+
+    def _add(self, words: pa.Array, h: np.ndarray, ids: pa.Array) -> np.ndarray:
+        """Remember distinct unknown words; their numbers."""
+        new = np.arange(len(self.words), len(self.words) + len(words))
+        order = np.argsort(h, kind="stable")
+        at = np.searchsorted(self.hash, h[order])
+        self.hash, self.number = np.insert(self.hash, at, h[order]), np.insert(self.number, at, new[order])
+        self.words, self.ids = pa.concat_arrays([self.words, words]), pa.concat_arrays([self.ids, ids])
+        self.met = np.concatenate((self.met, np.ones(len(words), dtype=bool)))
+        return new
+
+    def _encode_parts(self, parts: pa.Array) -> pa.Array:
+        names = parts.to_pylist()
+        ids = np.array(self.merges.encode_batch_fast([" ".join(names)], add_special_tokens=False)[0].ids, dtype=self.kind)
         end = np.flatnonzero(self.last[ids]) + 1
-        if len(end) != len(new):
-            return [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch_fast(new, add_special_tokens=False)]
-        raw, end = ids.tobytes(), (4 * end).tolist()
-        return list(map(raw.__getitem__, map(slice, [0, *end[:-1]], end)))
-
-    def _learn(self, missing: set[str]) -> None:
-        known, young, new, cut = self.old, self.young, [], []
-        for w in missing:
-            if w in known:
-                young[w] = known[w]
-            elif w.isalpha():
-                new.append(w)
-            else:
-                cut.append(w)
-        lists = list(map(_PARTS.findall, cut))
-        parts = {p for c in lists for p in c}.difference(young, new)
-        for p in parts:
-            if p in known:
-                young[p] = known[p]
+        if len(end) != len(names):
+            return pa.array([np.array(e.ids, dtype=self.kind).tobytes()
+                             for e in self.library.encode_batch_fast(names, add_special_tokens=False)], pa.large_binary())
+        offsets = np.concatenate(([0], end)) * self.kind.itemsize
+        return pa.Array.from_buffers(pa.large_binary(), len(names), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(ids)])
+
+    def _numbers(self, words: pa.Array, cut: bool = True) -> np.ndarray:
+        """Numbers of distinct words, new ones learnt: whole if they are parts already, else from their parts."""
+        at, known, h = self._find(words)
+        new = np.flatnonzero(~known)
+        if len(new):
+            names = words.take(pa.array(new))
+            if cut:
+                alone = pc.utf8_is_alpha(names)
+                odd = names.filter(pc.invert(alone))
+                split = pc.ascii_split_whitespace(pc.utf8_rtrim(pc.replace_substring_regex(odd, _CUTS, r"\1 "), " "))
+                coded = pa.concat_arrays([split.flatten(), names.filter(alone)]).dictionary_encode()
+                parts = self._numbers(coded.dictionary, cut=False)[coded.indices.to_numpy()]
+                taken = self.ids.take(pa.array(parts[:len(split.flatten())]))
+                edge = np.frombuffer(taken.buffers()[1], dtype=np.int64)[np.asarray(split.offsets) - split.offsets[0].as_py()]
+                ids = pa.Array.from_buffers(pa.large_binary(), len(odd), [None, pa.py_buffer(edge), taken.buffers()[2]])
+                alone = alone.to_numpy(zero_copy_only=False)
+                at[new[alone]] = parts[len(split.flatten()):]
+                rest = new[~alone]
+                at[rest], known, _ = self._find(odd)  # words that are one part are known by now
+                left = np.flatnonzero(~known)
+                at[rest[left]] = self._add(odd.take(pa.array(left)), h[rest[left]], ids.take(pa.array(left)))
             else:
-                new.append(p)
-        if new:
-            young.update(zip(new, self._encode_parts(new)))
-        for w, c in zip(cut, lists):
-            young[w] = b"".join([young[p] for p in c])
-
-    def _known(self, distinct: list[str]) -> list[bytes]:
-        missing = set(distinct).difference(self.young)
-        if missing:
-            if len(self.young) + len(missing) > _CACHED:
-                self.old, self.young = self.young, {}
-                missing = set(distinct)
-            self._learn(missing)
-        return list(map(self.young.__getitem__, distinct))
+                at[new] = self._add(names, h[new], self._encode_parts(names))
+        self.met[at] = True
+        return at
+
+    def _lookup(self, words: pa.Array) -> pa.Array:
+        """The ids of distinct words, as bytes."""
+        if len(self.words) + len(words) > self.known and len(self.words):
+            keep = pa.array(self.met if self.met.sum() <= self.known // 2 else np.zeros(len(self.met), dtype=bool))
+            self._keep(self.words.filter(keep), self.ids.filter(keep))
+        at = self._numbers(words)
+        return self.ids.take(pa.array(at))
 
     def encode_column(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids in a row, number of ids of each text) of a string column; null is the empty text.
@@ -115,19 +159,14 @@ class WordIds:
             plain = pc.and_not(plain, pc.match_substring(col, mark))
         words = pc.ascii_split_whitespace(pc.utf8_lower(pc.if_else(plain, col, "")))
         coded = words.flatten().dictionary_encode()
-        known = self._known(coded.dictionary.to_pylist())
-        size = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
-        at = coded.indices.to_numpy(zero_copy_only=False)
-        n = size[at]
-        end = np.concatenate(([0], np.cumsum(n)))
-        pool = np.frombuffer(b"".join(known), dtype="<u4")
-        shift = (np.cumsum(size) - size)[at] - end[:-1]
-        ids = pool[np.repeat(shift, n) + np.arange(end[-1])]
+        taken = self._lookup(coded.dictionary).take(coded.indices)
+        end = np.frombuffer(taken.buffers()[1], dtype=np.int64)[:len(taken) + 1] // self.kind.itemsize
+        ids = np.frombuffer(taken.buffers()[2] or b"", dtype=self.kind)[:end[-1]]
         edge = end[np.asarray(words.offsets) - words.offsets[0].as_py()]
         count = np.diff(edge)
         odd = np.flatnonzero(~plain.to_numpy(zero_copy_only=False))
         if len(odd):
-            found = [np.array(self.library.encode(col[i].as_py(), add_special_tokens=False).ids, dtype="<u4") for i in odd.tolist()]
+            found = [np.array(self.library.encode(col[i].as_py(), add_special_tokens=False).ids, dtype=self.kind) for i in odd.tolist()]
             cut = np.split(ids, edge[odd])
             ids = np.concatenate([cut[0], *[x for pair in zip(found, cut[1:]) for x in pair]])
             count[odd] = [len(x) for x in found]
@@ -136,7 +175,7 @@ class WordIds:
     def encode(self, texts_: list[str]) -> list[bytes]:
         """The ids of each text, four bytes each."""
         ids, count = self.encode_column(pa.array(texts_, pa.string()))
-        raw, end = ids.tobytes(), (4 * np.cumsum(count)).tolist()
+        raw, end = ids.astype("<u4").tobytes(), (4 * np.cumsum(count)).tolist()
         return list(map(raw.__getitem__, map(slice, [0, *end[:-1]], end)))
 
 
@@ -163,7 +202,7 @@ def tokenize_pieces(docs: DataFrame, capacity: int = 2048, vocabulary: str | Non
             for part in slices(batch, 1, _PART):
                 doc, piece, start, length, crc, own = [], [], [], [], [], []
                 flat, count = ids.encode_column(part.column(1))
-                flat, to = flat.tobytes(), (4 * np.cumsum(count)).tolist()
+                flat, to = flat.astype("<u4").tobytes(), (4 * np.cumsum(count)).tolist()
                 for d, a, b in zip(part.column(0).to_pylist(), [0, *to[:-1]], to):
                     raw = flat[a:b] + end
                     for i, at in enumerate(range(0, len(raw), 4 * capacity)):
