@@ -158,13 +158,11 @@ def silver_day_metrics(spark: SparkSession, ds: str, clean: DataFrame | None, qu
     return silver_metrics(students, rows(courses, "courses_clean_count"))
 
 
-def standardize_courses(events: DataFrame, slice_col: str | None = "ingest_ds", keep_order: bool = False) -> DataFrame:
-    """Bronze course events -> one row per course (and slice): the last delivered wins.
+def course_rows(events: DataFrame, slice_col: str | None = None) -> DataFrame:
+    """Bronze course events with typed columns and their delivery order; rows without an id are dropped.
 
     Id from ``course_id`` else ``_id``; name from ``course_name``, ``title``
-    or ``name``.  Rows without an id are dropped.  "Last" is the explicit
-    delivery order ``(_ingested_at, _offset)``, as file order is not defined;
-    ``keep_order`` leaves it in as ``_ingested_ts`` and ``_offset``.
+    or ``name``.
     """
     g = lambda n: col_or_default(events, n)
     cid = F.nullif(py_strip(F.coalesce(g("course_id"), g("_id"))), F.lit(""))
@@ -174,10 +172,16 @@ def standardize_courses(events: DataFrame, slice_col: str | None = "ingest_ds",
             parse_ts(F.coalesce(g("updated_at"), g("updatedAt"))).alias("updated_at"),
             parse_ts(g("_ingested_at")).alias("_ingested_ts"),
             col_or_default(events, "_offset", None, "long").alias("_offset")]
-    keys = ["course_id"]
-    if slice_col:
-        cols.append(F.col(slice_col))
-        keys = [slice_col, "course_id"]
-    out = events.select(*cols).filter(F.col("course_id").isNotNull())
-    out = latest_by_key(out, keys, ["_ingested_ts", "_offset"])
+    return events.select(*cols, *([F.col(slice_col)] if slice_col else [])).filter(F.col("course_id").isNotNull())
+
+
+def standardize_courses(events: DataFrame, slice_col: str | None = "ingest_ds", keep_order: bool = False) -> DataFrame:
+    """Bronze course events -> one row per course (and slice): the last delivered wins.
+
+    "Last" is the explicit delivery order ``(_ingested_at, _offset)``, as file
+    order is not defined; ``keep_order`` leaves it in as ``_ingested_ts`` and
+    ``_offset``.
+    """
+    keys = [slice_col, "course_id"] if slice_col else ["course_id"]
+    out = latest_by_key(course_rows(events, slice_col), keys, ["_ingested_ts", "_offset"])
     return out if keep_order else out.drop("_ingested_ts", "_offset")

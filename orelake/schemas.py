@@ -30,6 +30,14 @@ DDL = {
                    "quarantined_at TIMESTAMP_NTZ"),
 }
 
+# The primary key of every gold table, checked when it is written.
+KEYS = {
+    "dim_date": ["date_key"], "dim_city": ["city_key"], "dim_student": ["student_key"], "dim_course": ["course_key"],
+    "fact_student_daily": ["date_key", "city_key"], "mv_paid_students_daily": ["date_key", "city_key"],
+    "fact_course_enrollment_event": ["date_key", "event_id"],
+    "mv_course_enrollment_region_daily": ["date_key", "region_name", "course_key"],
+}
+
 
 def schema(name: str) -> T.StructType:
     """The fixed ``StructType`` of a table."""

@@ -5,28 +5,36 @@
   the file sink).  ``fmt="kafka"`` reads a topic where the connector is on
   the class path; ``decode_topic_records`` turns its records into events.
 * ``dedupe_stream``: repeated deliveries dropped by ``(course_id,
-  updated_at)`` against the keys already written; late first deliveries stay.
-* ``upsert_stream``: ``foreachBatch`` -> silver courses of the micro-batch ->
-  last-delivered-wins merge into a versioned course state (a replayed batch
-  gives the same table).
+  updated_at)`` against an index of all keys seen; late first deliveries stay.
+* ``upsert_stream``: newest state per course as streaming state -> changed
+  courses -> last-delivered-wins merge into a versioned table (a replayed
+  batch changes nothing).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from orelake.functions import iso_z, parse_ts
 from orelake.plans import gold as G
-from orelake.plans.silver import standardize_courses
-from orelake.sinks import materialize, read_current, table_exists, upsert
+from orelake.plans.silver import course_rows, standardize_courses
+from orelake.sinks import upsert
 
 # Schema of one course event as published on the topic.
 EVENT_SCHEMA = ("event_id string, event_time string, course_id string, course_name string, title string, "
                 "event_type string, created_at string, updated_at string, _topic string, _partition int, "
                 "_offset long")
 BRONZE_EVENT_SCHEMA = EVENT_SCHEMA + ", _ingested_at string"
+# Where streaming state is kept.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def decode_topic_records(records: DataFrame) -> DataFrame:
@@ -70,38 +78,54 @@ def stream_to_bronze(spark: SparkSession, source: str, out: str, checkpoint: str
     return _trigger(writer, trigger).start(out)
 
 
-def dedupe_stream(spark: SparkSession, source: str, out: str, checkpoint: str,
-                  options: dict | None = None, trigger: dict | None = None) -> StreamingQuery:
+@contextmanager
+def _state_settings(spark: SparkSession, partitions: int | None) -> Iterator[None]:
+    """State in RocksDB with change-log checkpoints, for the queries started inside; the session's own settings come back after it.
+
+    A query keeps the settings it was started with.  ``partitions`` is the
+    number of state partitions of a new checkpoint (default: the session's).
+    """
+    wanted = dict(STATE_SETTINGS) | ({"spark.sql.shuffle.partitions": str(partitions)} if partitions else {})
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def dedupe_stream(spark: SparkSession, source: str, out: str, checkpoint: str, options: dict | None = None,
+                  trigger: dict | None = None, partitions: int | None = None) -> StreamingQuery:
     """Drop repeated deliveries: the first of each ``(course_id, updated_at)`` is kept, however late it comes.
 
     Each publish gets a fresh ``event_id``, so the id cannot detect repeats.
-    The keys seen are the output itself: a micro-batch is reduced to one row
-    per key, those written by earlier batches are taken out by an anti-join
-    on the two key columns, and the rest goes to the folder of its batch
-    number.  A replayed batch overwrites its own folder.  No event-time bound
-    applies, so nothing is dropped as late and no state is held in memory.
+    The keys seen are an index on disk (RocksDB, one instance per state
+    partition, hashed by key): a micro-batch looks up its own keys and adds
+    the new ones, so its cost follows the batch and not the history, and the
+    checkpoint takes the changes only.  No event-time bound applies, so
+    nothing is dropped as late.  A micro-batch writes the folder of its
+    number; a replayed one overwrites it.
     """
-    events = read_event_stream(spark, "json", source, options)
-    keys = ["course_id", "updated_at"]
+    unique = read_event_stream(spark, "json", source, options).dropDuplicates(["course_id", "updated_at"])
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        own = batch.sparkSession
-        unique = batch.dropDuplicates(keys)
-        if batch_id and table_exists(own, out):
-            seen = (own.read.schema(EVENT_SCHEMA + ", batch long").parquet(out)
-                    .filter(F.col("batch") < batch_id).select(*[F.col(k).alias(f"seen_{k}") for k in keys]))
-            same = [F.col(k).eqNullSafe(F.col(f"seen_{k}")) for k in keys]
-            unique = unique.join(seen, same[0] & same[1], "left_anti")
-        unique.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch={batch_id}")
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch={batch_id}")
 
-    writer = events.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-    return _trigger(writer, trigger).start()
+    with _state_settings(spark, partitions):
+        writer = unique.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+        return _trigger(writer, trigger).start()
 
 
 # The merged course state; the last two columns are the delivery order.
 STATE_COLUMNS = ["course_id", "course_name", "created_at", "updated_at", "_ingested_ts", "_offset"]
 
 
+# The order in which a course's last delivery is found.
+NEWEST = ["_ingested_ts", "_offset", "updated_at", "course_name"]
+
+
 def merge_courses(current: DataFrame | None, bronze_batch: DataFrame) -> DataFrame:
     """Last-delivered-wins merge of one bronze micro-batch into the course state.
 
@@ -113,31 +137,36 @@ def merge_courses(current: DataFrame | None, bronze_batch: DataFrame) -> DataFra
     fresh = standardize_courses(bronze_batch, None, keep_order=True).select(*STATE_COLUMNS)
     if current is not None:
         fresh = current.select(*STATE_COLUMNS).unionByName(fresh)
-    return G.latest_by_key(fresh, ["course_id"], ["_ingested_ts", "_offset", "updated_at", "course_name"])
+    return G.latest_by_key(fresh, ["course_id"], NEWEST)
 
 
-def upsert_stream(spark: SparkSession, bronze_dir: str, table_root: str, checkpoint: str,
-                  options: dict | None = None, trigger: dict | None = None) -> StreamingQuery:
-    """Bronze course events (stream) -> ``foreachBatch`` merge into a versioned course table.
+def newest_courses(events: DataFrame) -> DataFrame:
+    """The last delivered state of each course, as a grouped maximum: also a streaming aggregate (update mode)."""
+    rows = course_rows(events).select(*STATE_COLUMNS)
+    rest = [c for c in STATE_COLUMNS if c not in NEWEST and c != "course_id"]
+    best = rows.groupBy("course_id").agg(F.max(F.struct(*NEWEST, *rest)).alias("best"))
+    return best.select("course_id", "best.*").select(*STATE_COLUMNS)
 
-    Only the buckets of the courses in a micro-batch are rewritten.
+
+def upsert_stream(spark: SparkSession, bronze_dir: str, table_root: str, checkpoint: str, options: dict | None = None,
+                  trigger: dict | None = None, partitions: int | None = None, keep_s: float = 3600) -> StreamingQuery:
+    """Bronze course events (stream) -> newest state per course -> versioned course table.
+
+    The newest delivery of each course is streaming state (RocksDB); a
+    micro-batch emits just the courses that changed.  They are merged into
+    the table in the same order, so late or repeated micro-batches, another
+    cut of the stream or a second feed never put back an older state, and a
+    replay rewrites no bucket.
     """
-    options = dict(options or {})
     events = (spark.readStream.format("json").schema(BRONZE_EVENT_SCHEMA + ", ingest_date string")
-              .options(**options).load(bronze_dir))
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        own = batch.sparkSession
-        fresh = materialize(merge_courses(None, batch), "courses")
-        state = read_current(own, table_root)
-        if state is not None:
-            touched = state.join(fresh.select("course_id"), "course_id", "left_semi").select(*STATE_COLUMNS)
-            fresh = G.latest_by_key(touched.unionByName(fresh), ["course_id"],
-                                    ["_ingested_ts", "_offset", "updated_at", "course_name"])
-        upsert(own, table_root, fresh, ["course_id"])
-
-    writer = events.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-    return _trigger(writer, trigger).start()
+              .options(**dict(options or {})).load(bronze_dir))
+
+    def apply(changed: DataFrame, batch_id: int) -> None:
+        upsert(changed.sparkSession, table_root, changed, ["course_id"], newest=NEWEST, keep_s=keep_s)
+
+    with _state_settings(spark, partitions):
+        writer = newest_courses(events).writeStream.outputMode("update").foreachBatch(apply).option("checkpointLocation", checkpoint)
+        return _trigger(writer, trigger).start()
 
 
 def dim_course_from_state(state: DataFrame, run_ts) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orelake.operators import incremental_scan
-from orelake.sinks import materialize, read_current, write_version
+from orelake.sinks import read_current, scratch_copy, write_version
 
 # Shape of a valid document cursor (24 hex digits).
 CURSOR_PATTERN = r"^[0-9a-fA-F]{24}$"
@@ -68,13 +68,14 @@ def publish_courses(spark: SparkSession, docs: DataFrame, target: str, state_roo
         state = read_current(spark, state_root)
         row = state.select("cursor").first() if state is not None else None
         cursor = row["cursor"] if row is not None and valid_cursor(row["cursor"]) else None
-        batch = materialize(incremental_scan(docs, "_id", cursor, tie="_id", limit=batch_size), "courses")
-        last, n = batch.agg(F.max("_id"), F.count(F.lit(1))).first()
+        with scratch_copy(incremental_scan(docs, "_id", cursor, tie="_id", limit=batch_size), "courses") as batch:
+            last, n = batch.agg(F.max("_id"), F.count(F.lit(1))).first()
+            if n:
+                publish_events(course_change_events(batch, event_time), target, fmt, options)
+        total += n
         if n:
-            publish_events(course_change_events(batch, event_time), target, fmt, options)
             if last is None:
-                return total + n
-            write_version(spark.range(1).select(F.lit(last).alias("cursor"), F.lit(str(event_time)).alias("published_at")), state_root)
-            total += n
+                return total
+            write_version(spark.createDataFrame([(last, str(event_time))], "cursor string, published_at string"), state_root)
         if batch_size is None or n < batch_size:
             return total

@@ -7,7 +7,8 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from orelake.plans.daily import DayInputs, bronze_ingest, gold_day, read_cursor, read_gold, run_day, silver_day
+from orelake.plans.daily import (DayInputs, bronze_ingest, gold_day, read_cursor, read_fact, read_gold, run_day,
+                                 silver_day)
 from orelake.sinks import read_current
 from orelake.sources import student_documents, user_documents
 from tests.conftest import SF_SMALL
@@ -155,8 +156,132 @@ def test_run_day_with_course_events(spark, tmp_root):
 
 
 def test_an_unreadable_gold_table_raises(spark, tmp_root):
-    os.makedirs(f"{tmp_root}/gold/fact_student_daily/date_key=20240101")
-    with open(f"{tmp_root}/gold/fact_student_daily/date_key=20240101/part-0.parquet", "w") as fh:
-        fh.write("not parquet")
+    import glob
+
+    from orelake.schemas import KEYS, empty_table
+    from orelake.sinks import Commit
+    name = "fact_student_daily"
+    with Commit(spark, f"{tmp_root}/gold") as c:
+        row = spark.createDataFrame([(20240101, "k")], "date_key int, city_key string")
+        c.replace(empty_table(spark, name).unionByName(row, allowMissingColumns=True), "date_key", [20240101], table=name, keys=KEYS[name])
+    assert read_gold(spark, tmp_root)[name].count() == 1
+    for f in glob.glob(f"{tmp_root}/gold/{name}/*/*/part-*"):
+        with open(f, "w") as fh:
+            fh.write("not parquet")
     with pytest.raises(Exception):
-        read_gold(spark, tmp_root)["fact_student_daily"].count()
+        read_gold(spark, tmp_root)[name].agg({"student_total_count": "sum"}).collect()
+
+
+def undated(spark, keys):
+    return DayInputs(spark.createDataFrame([(k, None) for k in keys], "_id string, updatedAt string"))
+
+
+@pytest.mark.parametrize("early,late", [(["98", "99"], ["100", "101"]), (["f81d4fae", "zz"], ["00aa", "b2c3", "F81D"])])
+def test_late_undated_documents_are_read_once(spark, tmp_root, early, late):
+    """Their ids may sort before the ones already read: an index of keys, not a largest id, tells what was read."""
+    bronze_ingest(spark, undated(spark, early), DAY1, tmp_root, TS1)
+    got = bronze_ingest(spark, undated(spark, early + late), DAY2, tmp_root, TS2, batch_size=1)
+    assert sorted(r._id for r in got.collect()) == sorted(late)
+    assert bronze_ingest(spark, undated(spark, late + early), DAY2, tmp_root, TS2).count() == 0
+    assert ids(spark, tmp_root) == sorted(early + late)
+
+
+def test_undated_documents_without_an_id(spark, tmp_root):
+    rows = [(None, None, "a"), (None, None, "b"), ("x", None, "c")]
+    docs = lambda r: DayInputs(spark.createDataFrame(r, "_id string, updatedAt string, name string"))
+    bronze_ingest(spark, docs(rows[:1]), DAY1, tmp_root, TS1)
+    bronze_ingest(spark, docs(rows), DAY1, tmp_root, TS2)
+    assert sorted(r.name for r in spark.read.parquet(f"{tmp_root}/bronze/students").collect()) == ["a", "b", "c"]
+
+
+def dated(spark, n):
+    return DayInputs(spark.createDataFrame([(f"d{i}", f"2024-01-01T10:00:{i:02d}Z") for i in range(n)] + [("u", None)],
+                                           "_id string, updatedAt string"))
+
+
+def sidecars(spark, root):
+    return sorted((r.partition, r.record_count) for r in spark.read.json(f"{root}/bronze/_meta/students").collect())
+
+
+@pytest.mark.parametrize("day", [DAY1, DAY2])
+def test_killed_between_rows_and_cursor(spark, tmp_root, monkeypatch, day):
+    """Nobody sees the rows; the repeat, for the same or the next day, with more documents by now, writes them once."""
+    from orelake.sinks import tables
+    real = tables._point
+    monkeypatch.setattr(tables, "_point", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+    with pytest.raises(RuntimeError):
+        bronze_ingest(spark, dated(spark, 5), DAY1, tmp_root, TS1)
+    monkeypatch.setattr(tables, "_point", real)
+    bronze_ingest(spark, dated(spark, 7), day, tmp_root, TS2)
+    rows = spark.read.parquet(f"{tmp_root}/bronze/students")
+    assert ids(spark, tmp_root) == sorted([f"d{i}" for i in range(7)] + ["u"])
+    assert rows.select("_batch_id", "_checksum").distinct().count() == 8 and sidecars(spark, tmp_root) == [(day, 8)]
+    assert not [d for _, ds, _ in os.walk(f"{tmp_root}/bronze/students") for d in ds if d.startswith("_attempt")]
+
+
+def test_killed_after_the_pointer(spark, tmp_root, monkeypatch):
+    """The commit stands: the next step, whichever it is, shows the rows and writes the side-car."""
+    from orelake.plans import daily
+    real = daily.finish_ingest
+    calls = []
+    monkeypatch.setattr(daily, "finish_ingest", lambda *a: calls.append(1) if not calls else (_ for _ in ()).throw(RuntimeError("killed")))
+    with pytest.raises(RuntimeError):
+        bronze_ingest(spark, dated(spark, 5), DAY1, tmp_root, TS1)
+    monkeypatch.setattr(daily, "finish_ingest", real)
+    assert bronze_ingest(spark, dated(spark, 6), DAY2, tmp_root, TS2).count() == 1
+    assert ids(spark, tmp_root) == sorted([f"d{i}" for i in range(6)] + ["u"])
+    assert sidecars(spark, tmp_root) == [(DAY1, 6), (DAY2, 1)]
+
+
+def test_two_runs_from_one_cursor(spark, tmp_root, monkeypatch):
+    from orelake.sinks import CommitConflict, tables
+    real, todo = tables._point, [1]
+
+    def point(*args):
+        if todo:
+            todo.pop()
+            bronze_ingest(spark, dated(spark, 6), DAY1, tmp_root, TS1)
+        return real(*args)
+    monkeypatch.setattr(tables, "_point", point)
+    with pytest.raises(CommitConflict):
+        bronze_ingest(spark, dated(spark, 5), DAY1, tmp_root, TS2)
+    monkeypatch.setattr(tables, "_point", real)
+    bronze_ingest(spark, dated(spark, 6), DAY2, tmp_root, TS2)
+    assert ids(spark, tmp_root) == sorted([f"d{i}" for i in range(6)] + ["u"])
+
+
+def test_a_gold_day_is_all_or_nothing(spark, tmp_root, monkeypatch):
+    """Killed after each of its writes, then before the pointer: readers keep the tables of the day before."""
+    from orelake.sinks import tables
+    cols = "_id string, name string, city string, enrolledCourses string, createdAt string, updatedAt string"
+    course = '[{"courseId": "c1", "enrolledAt": "2024-01-01T00:00:00Z"}]'
+    day = lambda k, u: DayInputs(spark.createDataFrame([(k, "a", f"N, {k}", course, "2024-01-01T00:00:00Z", u)], cols))
+    run_day(spark, DAY1, tmp_root, day("s1", "2024-01-02T00:00:00Z"), as_of=AS_OF, run_ts=TS1)
+    snap = lambda: {n: sorted(map(str, df.collect())) for n, df in read_gold(spark, tmp_root).items()}
+    before = snap()
+    bronze_ingest(spark, day("s2", "2024-01-09T00:00:00Z"), DAY2, tmp_root, TS2)
+    silver_day(spark, DAY2, tmp_root, TS2)
+    real, point = tables.Commit._stage, tables._point
+    for n in range(7):
+        left = [n]
+
+        def stage(self, *args, **kw):
+            real(self, *args, **kw)
+            if not left[0]:
+                raise RuntimeError("killed")
+            left[0] -= 1
+        monkeypatch.setattr(tables.Commit, "_stage", stage)
+        with pytest.raises(RuntimeError):
+            gold_day(spark, DAY2, tmp_root, AS_OF, TS2)
+        assert snap() == before
+    monkeypatch.setattr(tables.Commit, "_stage", real)
+    monkeypatch.setattr(tables, "_point", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+    with pytest.raises(RuntimeError):
+        gold_day(spark, DAY2, tmp_root, AS_OF, TS2)
+    monkeypatch.setattr(tables, "_point", point)
+    assert snap() == before
+    gold_day(spark, DAY2, tmp_root, AS_OF, TS2)
+    assert {len(v) for n, v in snap().items() if n != "dim_course"} == {2}
+    assert read_fact(spark, tmp_root, "fact_student_daily", [20240302]).count() == 1
+    silver = spark.read.parquet(f"{tmp_root}/silver/students")
+    assert silver.filter("_checksum IS NULL").count() == 0
