@@ -114,6 +114,21 @@ def q_kpi_course(spark, sf_dir):
     return kpi.course_enrollment(g.mv_course_enrollment_region_daily, g.dim_date)
 
 
+@register("kpi_course_reach_quarter")
+def q_course_reach_quarter(spark, sf_dir):
+    """Distinct students per quarter, region and course, merged from the daily bitmaps."""
+    bitmaps, dates = lake.course_students(spark, sf_dir)
+    out = kpi.course_reach(bitmaps, dates, [F.col("year"), F.ceil(F.col("month") / 3).cast("int")], ["region_name", "course_key"])
+    return out.withColumnsRenamed({"period_0": "year", "period_1": "quarter"})
+
+
+@register("kpi_course_reach_year")
+def q_course_reach_year(spark, sf_dir):
+    """Distinct students per year and course over all regions, merged from the daily bitmaps."""
+    out = kpi.course_reach(*lake.course_students(spark, sf_dir), [F.col("year")])
+    return out.withColumnRenamed("period_0", "year")
+
+
 @register("kpi_top_courses_latest")
 def q_kpi_top(spark, sf_dir):
     g = lake.gold(spark, sf_dir)
@@ -241,16 +256,17 @@ def q_bronze_cursor_poll(spark, sf_dir):
 
 @register("bronze_drain")
 def q_bronze_drain(spark, sf_dir):
-    """All documents, dated and undated, drained in several commits with a stored cursor; then a run with nothing new."""
+    """All documents drained in several commits; then a run that finds nothing new but late undated documents, whose ids
+    lie among those already read."""
     from orelake.plans.daily import DayInputs, bronze_ingest
     from orelake.session import scratch_path
     from orelake.sources import student_documents
     docs = student_documents(spark, sf_dir)
     root = scratch_path(spark, "drain")
-    inputs = DayInputs(students=docs, tie_col="doc_seq")
+    late = (F.col("updatedAt") == "") & (F.col("doc_seq") % 2 == 1)
     step = -(-docs.count() // 3)
-    bronze_ingest(spark, inputs, "2024-03-01", root, lake.RUN_TS, batch_size=step)
-    bronze_ingest(spark, inputs, "2024-03-02", root, lake.RUN_TS)
+    bronze_ingest(spark, DayInputs(docs.filter(~late), tie_col="doc_seq"), "2024-03-01", root, lake.RUN_TS, batch_size=step)
+    bronze_ingest(spark, DayInputs(docs, tie_col="doc_seq"), "2024-03-02", root, lake.RUN_TS)
     bronze = spark.read.parquet(f"{root}/bronze/students")
     return bronze.select("doc_seq", "_id", "updatedAt", "_partition_key")
 
@@ -436,6 +452,18 @@ def q_missing_partitions(spark, sf_dir):
     return missing_partitions(days, "ingest_day")
 
 
+@register("missing_partitions_listed")
+def q_missing_partitions_listed(spark, sf_dir):
+    """Course events written without every fifth day of a month; the gaps are told from the file listing, no row is read."""
+    from orelake.operators.health import listed_partitions, missing_partitions
+    from orelake.session import scratch_path
+    from orelake.sinks import write_layer
+    from orelake.sources import course_events
+    path = scratch_path(spark, "bronze_courses")
+    write_layer(course_events(spark, sf_dir).filter(F.dayofmonth(F.to_date("ingest_ds")) % 5 > 0), path, ["ingest_ds"])
+    return missing_partitions(listed_partitions(spark, path, "ingest_ds"), "ingest_ds")
+
+
 def _written_layers(spark, sf_dir):
     """(path of written bronze students, path of written course events)."""
     from orelake.plans.bronze import bronze_students
@@ -501,14 +529,15 @@ UPSERT_SPLIT_DS = "1998-01-01"
 
 @register("upsert_dim")
 def q_upsert_dim(spark, sf_dir):
-    """dim_student loaded in two runs (earlier slices, then later ones) by keyed upsert into bucketed versions."""
+    """dim_student by two overlapping keyed upserts: the later slices' is begun first, the earlier slices' committed first."""
     from orelake.plans import gold as G
     from orelake.session import scratch_path
-    from orelake.sinks import materialize, read_current, upsert
+    from orelake.sinks import Commit, materialize, read_current, upsert
     clean = materialize(lake.silver_students(spark, sf_dir)[0], "silver")
-    root = scratch_path(spark, "dim_student")
-    for part in (F.col("_partition_key") < UPSERT_SPLIT_DS, F.col("_partition_key") >= UPSERT_SPLIT_DS):
-        upsert(spark, root, G.dim_student(clean.filter(part), lake.RUN_TS), ["student_key"])
+    root, later = scratch_path(spark, "dim_student"), F.col("_partition_key") >= UPSERT_SPLIT_DS
+    with Commit(spark, root) as c:
+        c.upsert(G.dim_student(clean.filter(later), lake.RUN_TS), ["student_key"])
+        upsert(spark, root, G.dim_student(clean.filter(~later), lake.RUN_TS), ["student_key"])
     return read_current(spark, root)
 
 
@@ -532,7 +561,9 @@ DAY_RUN_DS = "2024-01-05"
 
 @register("day_run")
 def q_day_run(spark, sf_dir):
-    """One day end to end on a shared folder: all documents as one slice; every layer is read back and counted."""
+    """One day end to end on a shared folder: all documents as one slice; every layer is read back and counted, the
+    side-car's files and bytes are held against a listing, and the row checksums are counted."""
+    from orelake.operators.health import list_files
     from orelake.plans.daily import DayInputs, read_gold, run_day
     from orelake.session import scratch_path
     from orelake.sources import course_events, read_partition, student_documents, user_documents
@@ -552,8 +583,13 @@ def q_day_run(spark, sf_dir):
     meta = spark.read.json(f"{root}/bronze/_meta/students").select(F.lit("sidecar").alias("layer"), F.col("record_count").alias("row_count"))
     silver = spark.read.json(f"{root}/silver/_metrics").select(F.lit("silver metrics").alias("layer"), F.col("total_clean_count").alias("row_count"))
     gold_ = spark.read.json(f"{root}/gold/_metrics").select(F.lit("gold metrics").alias("layer"), F.col("student_total_count").alias("row_count"))
-    out = meta.unionByName(silver).unionByName(gold_)
-    for p in parts:
+    sidecar = spark.read.json(f"{root}/bronze/_meta/students").filter("quality_status = 'PASSED_7_POINT_GATE'")
+    listed = list_files(spark, f"{root}/bronze/students").agg(F.count("*").alias("file_count"), F.sum("file_size").alias("total_size_bytes"))
+    same = rows("sidecar equal to the listing", sidecar.join(listed, ["file_count", "total_size_bytes"]))
+    sums = [rows(f"{layer} with checksum", read_partition(spark, f"{root}/{layer}", "_partition_key", DAY_RUN_DS).filter(
+        F.col("_checksum").rlike("^[0-9a-f]{8}$"))) for layer in ("bronze/students", "silver/students")]
+    out = meta.unionByName(silver).unionByName(gold_).unionByName(same)
+    for p in [*parts, *sums]:
         out = out.unionByName(p)
     return out
 

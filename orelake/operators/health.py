@@ -47,6 +47,16 @@ def list_files(spark: SparkSession, path: str, pattern: str = "part-*") -> DataF
     return files.select(F.col("path").alias("file_path"), F.col("length").alias("file_size"))
 
 
+def listed_partitions(spark: SparkSession, path: str, col: str) -> DataFrame:
+    """One row per partition value of ``col`` that has files, as text, with its files and bytes.
+
+    Told from the listing alone; a column of months of days costs no row group.
+    """
+    value = F.url_decode(F.regexp_extract("file_path", f"/{col}=([^/]*)/", 1))
+    files = list_files(spark, path).withColumn(col, value).filter(F.col(col) != "")
+    return files.groupBy(col).agg(F.count(F.lit(1)).alias("file_count"), F.sum("file_size").alias("total_size_bytes"))
+
+
 def file_stats(spark: SparkSession, path: str, collection: str) -> DataFrame:
     """One row per data file of a written table: collection, path, size."""
     return list_files(spark, path).select(F.lit(collection).alias("collection"), "file_path", "file_size")

@@ -45,6 +45,16 @@ FROM (SELECT *, CASE WHEN total_students = 0 THEN 0
 SELECT d.date_value, m.region_name, m.course_name, m.enrolled_students_count
 FROM mv_course m JOIN dim_date d ON d.date_key = m.date_key
 ORDER BY d.date_value, m.enrolled_students_count DESC"""),
+    "kpi_course_reach_quarter": q("""
+SELECT CAST(d.year AS INTEGER) AS year, CAST(ceil(d.month / 3.0) AS INTEGER) AS quarter,
+       coalesce(c.region_name, 'UNKNOWN') AS region_name, e.course_key, CAST(count(DISTINCT e.student_id) AS BIGINT) AS students_count
+FROM enrol e JOIN dim_date d ON d.date_key = e.date_key LEFT JOIN dim_city c ON c.city_key = e.city_key
+GROUP BY 1, 2, 3, 4"""),
+    "kpi_course_reach_year": q("""
+SELECT CAST(d.year AS INTEGER) AS year, e.course_key, coalesce(c.course_name, 'UNKNOWN') AS course_name,
+       CAST(count(DISTINCT e.student_id) AS BIGINT) AS students_count
+FROM enrol e JOIN dim_date d ON d.date_key = e.date_key LEFT JOIN dim_course c ON c.course_key = e.course_key
+GROUP BY 1, 2, 3"""),
     "kpi_top_courses_latest": q("""
 SELECT d.date_value, m.region_name, m.course_key, m.course_name, m.enrolled_students_count
 FROM mv_course m JOIN dim_date d ON d.date_key = m.date_key
@@ -216,6 +226,12 @@ SELECT * FROM d UNION ALL SELECT doc_seq, _batch_id, 'Changed' FROM d WHERE doc_
 , present AS (SELECT DISTINCT CAST(ingested_ts AS DATE) AS ds FROM doc WHERE ingested_ts IS NOT NULL)
 SELECT CAST(g.ds AS DATE) AS ds
 FROM (SELECT unnest(generate_series(min(ds), max(ds), INTERVAL 1 DAY)) AS ds FROM present) g
+WHERE CAST(g.ds AS DATE) NOT IN (SELECT ds FROM present)"""),
+    "missing_partitions_listed": q("""
+, present AS (SELECT DISTINCT ds FROM (SELECT CAST(ts AS DATE) AS ds FROM events UNION SELECT DATE '2023-12-31')
+                 WHERE day(ds) % 5 > 0)
+SELECT CAST(g.ds AS DATE) AS ds
+FROM (SELECT unnest(generate_series(min(ds), max(ds), INTERVAL 1 DAY)) AS ds FROM present) g
 WHERE CAST(g.ds AS DATE) NOT IN (SELECT ds FROM present)"""),
     "retention_tier": q("""
 , parts AS (
@@ -277,7 +293,8 @@ SELECT unnest(['students', 'courses']) AS collection, true AS all_judged, true A
     "bronze_drain": q(f"""
 SELECT o_orderkey AS doc_seq, {_ENTITY} AS _id,
        CASE WHEN o_orderkey % 29 = 0 THEN '' WHEN o_orderkey % 37 = 0 THEN {_ISO0.format(x="date_trunc('second', upd_raw)")}
-            ELSE {_ISO3.format(x="upd_raw")} END AS updatedAt, DATE '2024-03-01' AS _partition_key
+            ELSE {_ISO3.format(x="upd_raw")} END AS updatedAt,
+       CASE WHEN o_orderkey % 29 = 0 AND o_orderkey % 2 = 1 THEN DATE '2024-03-02' ELSE DATE '2024-03-01' END AS _partition_key
 FROM doc"""),
     "course_publish": q("""
 SELECT md5(lpad(lower(hex(p_partkey)), 24, '0') || '|' || '2024-02-01 00:00:00') AS event_id,
@@ -286,10 +303,10 @@ FROM part"""),
     "stream_upsert_courses_other_cut": ORACLE["stream_upsert_courses"],
     "day_run": q("""
 , good AS (SELECT DISTINCT entity_id, place FROM std WHERE NOT missing_pk)
-SELECT 'bronze/students' AS layer, count(*) AS row_count FROM doc
-UNION ALL SELECT 'sidecar', count(*) FROM doc
+SELECT unnest(['bronze/students', 'bronze/students with checksum', 'sidecar']) AS layer, count(*) AS row_count FROM doc
+UNION ALL SELECT 'sidecar equal to the listing', 1
 UNION ALL SELECT 'silver/quarantine', count(*) FROM std WHERE missing_pk
-UNION ALL SELECT unnest(['silver/students', 'gold/dim_student', 'gold metrics']), count(*) FROM good
+UNION ALL SELECT unnest(['silver/students', 'silver/students with checksum', 'gold/dim_student', 'gold metrics']), count(*) FROM good
 UNION ALL SELECT 'silver metrics', (SELECT count(*) FROM good) + (SELECT count(*) FROM silver_courses WHERE ingest_ds = '2024-01-05')
 UNION ALL SELECT unnest(['silver/courses', 'gold/dim_course']), count(*) FROM silver_courses WHERE ingest_ds = '2024-01-05'
 UNION ALL SELECT unnest(['gold/dim_city', 'gold/fact_student_daily', 'gold/mv_paid_students_daily']), count(DISTINCT place) FROM good

@@ -6,7 +6,9 @@ the latest-day filter, sort and top-k stay inside the plan.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orelake.functions import percent_text, region_key
@@ -56,6 +58,20 @@ def course_enrollment(mart: DataFrame, dates: DataFrame) -> DataFrame:
         F.col("date_value"), F.col("enrolled_students_count").desc())
 
 
+def course_reach(bitmaps: DataFrame, dates: DataFrame, period: Sequence[Column], by: Sequence[str] = ("course_key", "course_name"),
+                 ) -> DataFrame:
+    """Distinct students per period (expressions over the date columns) and ``by``, from the daily bitmaps.
+
+    Bitmaps of the same numbers are merged by a bitwise or with partial
+    aggregation (4 KB a group and task), then their bits are counted; equal to
+    ``count(distinct)`` over the enrolments of the whole period.
+    """
+    j = bitmaps.join(dates, "date_key")
+    names = [f"period_{i}" for i in range(len(period))]
+    merged = j.groupBy(*[p.alias(n) for p, n in zip(period, names)], *by, "bucket").agg(F.bitmap_or_agg("students").alias("students"))
+    return merged.groupBy(*names, *by).agg(F.sum(F.bitmap_count("students")).cast("long").alias("students_count"))
+
+
 def access_mix(enrol: DataFrame) -> DataFrame:
     """KPI-4: enrolments and distinct students per access type (NULL -> UNKNOWN)."""
     return enrol.groupBy(F.coalesce("access_type", F.lit("UNKNOWN")).alias("access_type")).agg(
@@ -63,26 +79,30 @@ def access_mix(enrol: DataFrame) -> DataFrame:
         F.countDistinct("student_id").alias("students_count")).orderBy(F.col("events_count").desc())
 
 
-def newest_day(rows: DataFrame, dates: DataFrame) -> DataFrame:
+def newest_day(rows: DataFrame, dates: DataFrame, days: Sequence[int] | None = None) -> DataFrame:
     """Rows of the newest ``date_key`` that ``dates`` knows.
 
-    The day is found first, from the key column alone (one number comes back),
-    and the rows are filtered by it as a constant before anything is
-    aggregated: of a stored table only that partition is read.
+    The day is found first (one number comes back), and the rows are filtered
+    by it as a constant before anything is aggregated: of a stored table only
+    that partition is read.  It is found from the key column alone, or, where
+    ``days`` lists the partitions of a stored table, without reading ``rows``.
     """
+    if days is not None:
+        listed = dates.filter(F.col("date_key").isin(list(days))).agg(F.max("date_key")).first()[0]
+        return rows.filter(F.col("date_key") == F.lit(listed).cast("int"))
     day = rows.join(dates.select("date_key"), "date_key", "left_semi").agg(F.max("date_key")).first()[0]
     return rows.filter(F.col("date_key") == F.lit(day).cast("int"))
 
 
-def latest_tiles(fact: DataFrame, dates: DataFrame) -> DataFrame:
+def latest_tiles(fact: DataFrame, dates: DataFrame, days: Sequence[int] | None = None) -> DataFrame:
     """KPI-5: the latest day's totals, with the paid rate also as ``12.34%`` text."""
-    last = daily_paid(newest_day(fact, dates), dates)
+    last = daily_paid(newest_day(fact, dates, days), dates)
     return last.withColumn("paid_rate_text", percent_text(F.col("paid_students"), F.col("total_students")))
 
 
-def region_rank_latest(fact: DataFrame, dates: DataFrame, cities: DataFrame) -> DataFrame:
+def region_rank_latest(fact: DataFrame, dates: DataFrame, cities: DataFrame, days: Sequence[int] | None = None) -> DataFrame:
     """KPI-6: regions of the latest day, best paid rate first."""
-    last = region_daily_paid(newest_day(fact, dates), dates, cities)
+    last = region_daily_paid(newest_day(fact, dates, days), dates, cities)
     return last.orderBy(F.col("paid_rate_pct").desc(), F.col("region_name"))
 
 
@@ -113,21 +133,15 @@ def region_map(fact: DataFrame, dates: DataFrame, cities: DataFrame, collections
                       "paid_students", "paid_rate_pct", F.col("shape_name").isNotNull().alias("has_boundary"))
 
 
-def top_courses_latest(mart: DataFrame, dates: DataFrame, k: int = 12) -> DataFrame:
+def top_courses_latest(mart: DataFrame, dates: DataFrame, k: int = 12, days: Sequence[int] | None = None) -> DataFrame:
     """KPI-8: the ``k`` largest (region, course) enrolments of the latest day.
 
-    One pass: sorted by day (newest first), count, course name, region and
-    course key, the first ``k`` rows hold the latest day's top-k first;
-    ``orderBy().limit(k)`` plans as a per-task top-k.  The rows of earlier
-    days that fill the remaining places are dropped with a window over the
-    ``k`` result rows (bounded by ``k``, not by the data).
+    Only the latest day's rows are joined and ranked (see :func:`newest_day`);
+    ``orderBy().limit(k)`` plans as a per-task top-k.
     """
-    j = mart.join(dates.select("date_key", "date_value"), "date_key")
-    top = j.orderBy(F.col("date_value").desc(), F.col("enrolled_students_count").desc(), "course_name",
-                    "region_name", "course_key").limit(k)
-    newest = F.max("date_value").over(Window.partitionBy())
-    return top.withColumn("__newest", newest).filter(F.col("date_value") == F.col("__newest")) \
-        .select("date_value", "region_name", "course_key", "course_name", "enrolled_students_count")
+    j = newest_day(mart, dates, days).join(dates.select("date_key", "date_value"), "date_key")
+    top = j.orderBy(F.col("enrolled_students_count").desc(), "course_name", "region_name", "course_key").limit(k)
+    return top.select("date_value", "region_name", "course_key", "course_name", "enrolled_students_count")
 
 
 def region_table(fact: DataFrame, dates: DataFrame, cities: DataFrame) -> DataFrame:

@@ -126,6 +126,15 @@ class Lake:
         return G.mv_course_enrollment_region_daily(enrol, self.dim_city, self.dim_course, RUN_TS)
 
 
+def course_students(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(daily course bitmaps, date dimension) over every day slice; the bitmaps are written once, as the daily run does."""
+    g = Lake(spark, sf_dir)
+    enrol = G.fact_course_enrollment_event(g.silver_core, AS_OF, RUN_TS, dedupe=False)
+    numbers = G.student_numbers(g.silver_core.select(F.col("entity_id").alias("student_id")))
+    bitmaps = G.mv_course_students_bitmap(enrol, numbers, g.dim_city, g.dim_course)
+    return materialize(bitmaps, "course_students"), g.dim_date
+
+
 def gold(spark: SparkSession, sf_dir: str, shared: bool = True) -> Lake:
     """Lazily built gold tables over every day slice (attribute per table)."""
     return Lake(spark, sf_dir, shared)

@@ -25,6 +25,9 @@ DDL = {
                                      "access_type STRING, end_at TIMESTAMP_NTZ, load_ts TIMESTAMP_NTZ, is_active BOOLEAN"),
     "mv_course_enrollment_region_daily": ("date_key INT, region_name STRING, course_key STRING, course_name STRING, "
                                           "enrolled_students_count BIGINT, refreshed_at TIMESTAMP_NTZ"),
+    "student_number": "student_id STRING, number BIGINT",
+    "mv_course_students_bitmap": ("date_key INT, region_name STRING, course_key STRING, course_name STRING, bucket BIGINT, "
+                                  "students BINARY"),
     "silver_courses": "course_id STRING, course_name STRING, created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ",
     "quarantine": ("raw_payload STRING, quarantine_reason STRING, source_table STRING, bronze_file_path STRING, "
                    "quarantined_at TIMESTAMP_NTZ"),
@@ -36,6 +39,8 @@ KEYS = {
     "fact_student_daily": ["date_key", "city_key"], "mv_paid_students_daily": ["date_key", "city_key"],
     "fact_course_enrollment_event": ["date_key", "event_id"],
     "mv_course_enrollment_region_daily": ["date_key", "region_name", "course_key"],
+    "student_number": ["student_id"],
+    "mv_course_students_bitmap": ["date_key", "region_name", "course_key", "bucket"],
 }
 
 

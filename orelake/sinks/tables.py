@@ -285,7 +285,7 @@ class Commit:
         self._stage(table, df, {"all": path}, whole=True, exclusive=exclusive)
 
     def replace(self, df: DataFrame, column: str, values: Sequence, table: str = "", keys: Sequence[str] = (),
-                required: Sequence[str] = ()) -> None:
+                required: Sequence[str] = (), exclusive: bool = False) -> None:
         """Delete-then-insert of the partitions ``values`` of ``column``; those without rows are cleared.
 
         Rows per partition and nulls in ``required`` and key columns are
@@ -306,11 +306,11 @@ class Commit:
         if sum(n) != seen.get["rows"]:
             raise ValueError(f"{table or self.root}: rows outside of the partitions {list(values)}")
         parts = {str(v): f"{table}/{column}={v}/{VERSION}={version}".lstrip("/") if n[i] else None for i, v in enumerate(values)}
-        self._stage(table, df, parts, by=column)
+        self._stage(table, df, parts, by=column, exclusive=exclusive)
         _check(table or self.root, self.read(table, parts=values) if keys else None, keys, seen.get)
 
     def upsert(self, updates: DataFrame, keys: Sequence[str], order: Sequence[Column | str] = (), buckets: int = 32,
-               table: str = "", required: Sequence[str] = (), newest: Sequence[str] = ()) -> None:
+               table: str = "", required: Sequence[str] = (), newest: Sequence[str] = (), exclusive: bool = False) -> None:
         """Keyed upsert into a table split into ``buckets`` by the hash of its keys.
 
         Only buckets with an update are read and rewritten.  The touched
@@ -339,7 +339,7 @@ class Commit:
         if entry and not touched:
             return
         parts = self._merge(table, entry, upd, keys, touched, buckets)
-        self._stage(table, upd.drop(BUCKET), parts, buckets=buckets)
+        self._stage(table, upd.drop(BUCKET), parts, buckets=buckets, exclusive=exclusive)
         self.redo[table] = (upd, keys, touched, buckets, newest)
 
     def _winners(self, entry: dict, upd: DataFrame, keys: Sequence[str], newest: Sequence[str]) -> DataFrame:

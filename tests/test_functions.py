@@ -94,3 +94,38 @@ def test_date_key_and_week(spark):
     rows = {r.date_key: r for r in dim_date(df).collect()}
     assert rows[20270101].week_of_year == 53 and rows[20270101].day_of_week == 5
     assert rows[20240204].day_of_week == 0
+
+
+def test_student_numbers_are_dense_and_stable(spark):
+    from orelake.plans.gold import student_numbers
+    ids = spark.createDataFrame([(f"s{i % 300}",) for i in range(900)] + [(None,)], "student_id string")
+    first = student_numbers(ids, buckets=16)
+    got = {r.student_id: r.number for r in first.collect()}
+    assert sorted(got.values()) == list(range(1, 301)) and got == {r.student_id: r.number for r in student_numbers(ids.repartition(5), buckets=16).collect()}
+    more = student_numbers(ids.unionByName(spark.createDataFrame([("new1",), ("new2",)], "student_id string")), first, 301, buckets=16)
+    assert sorted(r.number for r in more.collect()) == [301, 302] and {r.student_id for r in more.collect()} == {"new1", "new2"}
+
+
+def test_bitmaps_count_distinct_students_of_any_range(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from orelake.plans import gold, kpi
+    rng = random.Random(3)
+    rows = [(20240101 + rng.randrange(5), f"k{rng.randrange(3)}", f"c{rng.randrange(4)}", f"s{rng.randrange(70_000)}") for _ in range(4000)]
+    enrol = spark.createDataFrame(rows, "date_key int, city_key string, course_key string, student_id string")
+    numbers = spark.range(70_000).selectExpr("concat('s', id) student_id", "id + 1 number")
+    cities = spark.createDataFrame([("k0", "R0"), ("k1", "R1")], "city_key string, region_name string")
+    courses = spark.createDataFrame([("c0", "C0")], "course_key string, course_name string")
+    dates = spark.createDataFrame([(20240101 + i, i // 2) for i in range(5)], "date_key int, week int")
+    bitmaps = gold.mv_course_students_bitmap(enrol, numbers, cities, courses)
+    assert bitmaps.select("bucket").distinct().count() == 3
+    region = {"k0": "R0", "k1": "R1", "k2": "UNKNOWN"}
+    want = {}
+    for d, k, c, s in rows:
+        want.setdefault(((d - 20240101) // 2, region[k], c), set()).add(s)
+    got = kpi.course_reach(bitmaps, dates, [F.col("week")], ["region_name", "course_key"]).collect()
+    assert {(r.period_0, r.region_name, r.course_key): r.students_count for r in got} == {k: len(v) for k, v in want.items()}
+    every = kpi.course_reach(bitmaps.filter("date_key < 20240104"), dates, [], ["course_key"]).collect()
+    assert {r.course_key: r.students_count for r in every} == {c: len({s for d, _, x, s in rows if x == c and d < 20240104}) for c in ("c0", "c1", "c2", "c3")}

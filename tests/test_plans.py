@@ -84,3 +84,38 @@ def test_a_hot_customer_is_split(spark, tmp_root):
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "skew=true" in plan, plan
+
+
+def test_the_latest_day_of_a_stored_mart_is_one_partition(spark, tmp_root):
+    """Found from the commit's partition list, or from the key column; then a constant partition filter."""
+    from orelake.plans import kpi
+    from orelake.plans.daily import read_gold, stored_days
+    from orelake.schemas import conform
+    from orelake.sinks import Commit
+    name = "mv_course_enrollment_region_daily"
+    rows = spark.range(60).selectExpr("cast(20240101 + id % 3 as int) date_key", "'r' region_name", "concat('k', id) course_key",
+                                      "concat('c', id) course_name", "id enrolled_students_count")
+    dates = spark.createDataFrame([(20240101 + i,) for i in range(3)], "date_key int").selectExpr("date_key", "to_date(cast(date_key as string), 'yyyyMMdd') date_value")
+    with Commit(spark, f"{tmp_root}/gold") as c:
+        c.replace(conform(rows, name), "date_key", [20240101, 20240102, 20240103], table=name)
+    mart = read_gold(spark, tmp_root)[name]
+    assert stored_days(spark, tmp_root, name) == [20240101, 20240102, 20240103]
+    for days in (None, stored_days(spark, tmp_root, name)):
+        top = kpi.top_courses_latest(mart, dates, k=4, days=days)
+        assert [r.enrolled_students_count for r in top.collect()] == [59, 56, 53, 50]
+        plan = plan_of(top)
+        assert "(date_key#" in plan and "= 20240103)" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_listed_partitions_read_no_file(spark, tmp_root):
+    import os
+
+    from orelake.operators.health import listed_partitions, missing_partitions
+    for day in ("2024-01-01", "2024-01-04"):
+        os.makedirs(f"{tmp_root}/t/ds={day}")
+        for i in range(2):
+            with open(f"{tmp_root}/t/ds={day}/part-{i}.parquet", "w") as fh:
+                fh.write("no parquet")
+    days = listed_partitions(spark, f"{tmp_root}/t", "ds")
+    assert sorted(map(tuple, days.collect())) == [("2024-01-01", 2, 20), ("2024-01-04", 2, 20)]
+    assert sorted(str(r.ds) for r in missing_partitions(days, "ds").collect()) == ["2024-01-02", "2024-01-03"]

@@ -121,3 +121,46 @@ def test_processing_time_trigger_tails_new_files(spark, tmp_root):
         q.stop()
     got = sorted(r.event_id for r in spark.read.schema(BRONZE_EVENT_SCHEMA + ", ingest_date string").json(out).collect())
     assert got == ["e1", "e2"]
+
+
+def test_dedupe_cost_follows_the_batch(spark, tmp_root):
+    """A micro-batch looks up and adds its own keys only, and reads nothing of the output."""
+    src, out, ckpt = f"{tmp_root}/src", f"{tmp_root}/out", f"{tmp_root}/ckpt"
+    _land(src, "a.json", [json.dumps(_event(i, f"c{i}", "A", "2024-01-01T10:00:00Z", i)) for i in range(500)])
+    dedupe_stream(spark, src, out, ckpt, partitions=2).awaitTermination()
+    _land(src, "b.json", [json.dumps(_event(i, f"c{i}", "A", "2024-01-01T10:00:00Z", i)) for i in range(498, 503)])
+    q = dedupe_stream(spark, src, out, ckpt)
+    q.awaitTermination()
+    state = q.lastProgress["stateOperators"][0]
+    assert state["numRowsTotal"] == 503 and state["numRowsUpdated"] == 3 and state["numShufflePartitions"] == 2
+    assert any("rocksdb" in k for k in state["customMetrics"])
+    assert spark.read.parquet(out).count() == 503
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", "").endswith("RocksDBStateStoreProvider") is False
+
+
+def test_a_replay_and_late_events_rewrite_no_bucket(spark, tmp_root):
+    bronze, table = f"{tmp_root}/bronze", f"{tmp_root}/table"
+    at = lambda i, c, n, t: json.dumps(dict(_event(i, c, n, t, i), _ingested_at=t))
+    _land(f"{bronze}/ingest_date=2024-01-02", "a.json", [at(1, "c1", "New", "2024-01-02T10:00:00Z"), at(2, "c2", "B", "2024-01-02T10:00:00Z")])
+    upsert_stream(spark, bronze, table, f"{tmp_root}/ckpt", partitions=2, keep_s=0).awaitTermination()
+    pointers = sorted(os.listdir(f"{table}/_pointers"))
+    _land(f"{bronze}/ingest_date=2024-01-01", "late.json", [at(0, "c1", "Old", "2024-01-01T10:00:00Z")])
+    upsert_stream(spark, bronze, table, f"{tmp_root}/ckpt", keep_s=0).awaitTermination()            # late
+    upsert_stream(spark, bronze, table, f"{tmp_root}/other", partitions=2, keep_s=0).awaitTermination()  # all again
+    assert sorted(os.listdir(f"{table}/_pointers")) == pointers
+    assert sorted((r.course_id, r.course_name) for r in read_current(spark, table).collect()) == [("c1", "New"), ("c2", "B")]
+
+
+def test_many_micro_batches_leave_a_constant_number_of_folders(spark, tmp_root):
+    from orelake.session import hadoop_path, scratch_path
+    bronze, table = f"{tmp_root}/bronze", f"{tmp_root}/table"
+    for i in range(10):
+        t = f"2024-01-02T10:00:{i:02d}Z"
+        _land(f"{bronze}/ingest_date=2024-01-02", f"{i}.json", [json.dumps(dict(_event(i, f"c{i % 2}", f"N{i}", t, i), _ingested_at=t))])
+    scratch = os.path.dirname(hadoop_path(spark, scratch_path(spark, "x"))[1].toUri().getPath())
+    before = set(os.listdir(scratch)) if os.path.exists(scratch) else set()
+    upsert_stream(spark, bronze, table, f"{tmp_root}/ckpt", options={"maxFilesPerTrigger": 1}, partitions=2, keep_s=0).awaitTermination()
+    assert len(os.listdir(f"{table}/_pointers")) <= 2
+    assert len([n for n in os.listdir(table) if n.startswith("v-")]) <= 4
+    assert (set(os.listdir(scratch)) if os.path.exists(scratch) else set()) <= before
+    assert sorted((r.course_id, r.course_name) for r in read_current(spark, table).collect()) == [("c0", "N8"), ("c1", "N9")]
