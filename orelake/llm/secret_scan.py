@@ -27,12 +27,25 @@ _CODE = {c: i + 1 for i, c in enumerate(SYMBOLS)}  # 0 stands for the start of a
 _SIZE = len(SYMBOLS) + 1
 
 
+# Alphabets that keys are drawn from.
+ALPHABETS = {"alphanumeric": SYMBOLS[:62], "base64": SYMBOLS[:64], "base64url": SYMBOLS[:62] + "_-", "upper": SYMBOLS[:26] + SYMBOLS[52:62],
+             "lower": SYMBOLS[26:62], "hex": "0123456789abcdef", "HEX": "0123456789ABCDEF"}
+_PIECE = re.compile(r"[A-Za-z0-9]+|[+/_.=-]+")
+
+
+def random_strings(count: int, seed: int = 5, lengths: tuple[int, int] = (16, 44)) -> list[str]:
+    """``count`` seeded random strings of each of :data:`ALPHABETS`, of even lengths in ``lengths``: labelled examples of keys."""
+    rng = np.random.default_rng(seed)
+    sizes = rng.integers(lengths[0], lengths[1] + 1, size=(len(ALPHABETS), count))
+    return ["".join(np.array(list(a))[rng.integers(0, len(a), size=n)]) for a, row in zip(ALPHABETS.values(), sizes) for n in row]
+
+
 @dataclass(frozen=True)
 class MarkovPair:
     """Log-likelihood ratio (random : ordinary) of each character after its predecessor, natural logarithm.
 
-    ``margin`` is the least mean ratio per character, ``least`` the shortest
-    candidate (both are parameters of :func:`train`).
+    ``margin`` is the least mean ratio per character of a finding, ``least``
+    its least length (both are parameters of :func:`train`).
     """
 
     ratio: tuple[float, ...]
@@ -48,6 +61,47 @@ class MarkovPair:
             before = code
         return total / len(run)
 
+    def segments(self, run: str) -> list[tuple[int, int]]:
+        """The parts of a run that are taken for random strings, from left to right.
+
+        A run is cut at its separators.  Of all stretches of neighbouring
+        pieces that start and end with letters or digits, the one whose ratios
+        lie furthest above the margin in sum is taken if it is long enough;
+        then what is left of it and right of it is searched likewise.  So a
+        key is found behind a name, in a path or beside another one, and a key
+        with separators inside stays whole.
+        """
+        pieces, total, before = [], 0.0, 0
+        for m in _PIECE.finditer(run):
+            gain = 0.0
+            for c in m[0]:
+                code = _CODE[c]
+                gain += self.ratio[before * _SIZE + code] - self.margin
+                before = code
+            pieces.append((m.start(), m.end(), gain, m[0][0].isalnum()))
+            total = max(total, gain)
+        return self._best(pieces) if total > 0 else []
+
+    def _best(self, pieces: list[tuple[int, int, float, bool]]) -> list[tuple[int, int]]:
+        if not pieces or pieces[-1][1] - pieces[0][0] < self.least:
+            return []
+        best, where, before, between, first = 0.0, None, float("-inf"), 0.0, 0
+        for i, (_, _, gain, word) in enumerate(pieces):
+            if not word:
+                between = gain
+                continue
+            if before + between <= 0:
+                before, between, first = 0.0, 0.0, i
+            before += between + gain
+            between = 0.0
+            if before > best:
+                best, where = before, (first, i)
+        if where is None:
+            return []
+        a, b = where
+        found = [(pieces[a][0], pieces[b][1])] if pieces[b][1] - pieces[a][0] >= self.least else []
+        return self._best(pieces[:a]) + found + self._best(pieces[b + 1:])
+
 
 def base_spans(text: str) -> list[tuple[int, str, int]]:
     """(start, kind, end) of the base matches, in code points."""
@@ -65,15 +119,20 @@ def _candidate(least: int) -> re.Pattern:
 
 
 def scan(text: str | None, model: MarkovPair | None) -> list[tuple[int, str, int]]:
-    """Base spans and, with a model, the further runs it takes for random strings, by start and kind."""
+    """Base spans and, with a model, the further stretches it takes for random strings, by start and kind.
+
+    A run that a base span covers in part is searched beside it.
+    """
     text = text or ""
     found = base_spans(text)
     if model is not None:
-        taken = [(s, e) for s, _, e in found]
+        taken = sorted((s, e) for s, _, e in found)
         for m in _candidate(model.least).finditer(text):
-            inside = any(s < m.end() and m.start() < e for s, e in taken)
-            if not inside and model.score(m[0]) > model.margin:
-                found.append((m.start(), "markov", m.end()))
+            at, end = m.span()
+            for s, e in [t for t in taken if t[0] < end and at < t[1]] + [(end, end)]:
+                if s - at >= model.least:
+                    found += [(at + x, "markov", at + y) for x, y in model.segments(text[at:s])]
+                at = max(at, e)
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[1])))
 
 
@@ -117,30 +176,54 @@ def labelled_samples(docs: DataFrame, least: int = 12, bound: int = 20_000, seed
     return parts[0].unionByName(parts[1]).select("run", "random")
 
 
-def train(samples: DataFrame, least: int = 16, margin: float = 0.35, smooth: float = 0.5, prior: float = 60.0) -> MarkovPair:
-    """Fit both first-order models from (run, random) rows.
-
-    Counts of (class, previous character, character) are made by Spark; at
-    most 2 x 69 x 68 of them reach the driver.  A transition's estimate leans
-    on its character's add-``smooth`` frequency with the weight of ``prior``
-    observations, so rare and unseen ones stay sound; without samples of a
-    class its model is flat.
-    """
-    step = F.expr("transform(sequence(1, length(run)), i -> "
-                  "struct(if(i = 1, '', substring(run, i - 1, 1)) AS before, substring(run, i, 1) AS now))")
-    counts = (samples.filter("length(run) > 0").select("random", F.inline(step))
-              .groupBy("random", "before", "now").count().collect())
-    table = np.zeros((2, _SIZE, _SIZE))
-    for r in counts:
-        if r["now"] in _CODE:
-            table[int(r["random"]), _CODE.get(r["before"], 0), _CODE[r["now"]]] += r["count"]
+def _ratio(table: np.ndarray, smooth: float, prior: float) -> tuple[float, ...]:
+    """Log ratios from transition counts (class, predecessor, character)."""
     table = table[:, :, 1:]
     single = table.sum(axis=1, keepdims=True) + smooth
     table = table + prior * single / single.sum(axis=2, keepdims=True)
     logs = np.log(table) - np.log(table.sum(axis=2, keepdims=True))
     ratio = np.zeros((_SIZE, _SIZE))
     ratio[:, 1:] = logs[1] - logs[0]
-    return MarkovPair(tuple(float(x) for x in ratio.ravel()), least, margin)
+    return tuple(float(x) for x in ratio.ravel())
+
+
+def train(samples: DataFrame, least: int = 16, margin: float | None = None, smooth: float = 0.5, prior: float = 60.0,
+          keys: int = 1000, held: int = 5000, false_alarms: float = 0.001) -> MarkovPair:
+    """Fit both first-order models from (run, random) rows and ``keys`` seeded random strings per alphabet.
+
+    Counts of (half, class, previous character, character) are made by Spark;
+    at most 4 x 69 x 68 of them reach the driver.  A transition's estimate
+    leans on its character's add-``smooth`` frequency with the weight of
+    ``prior`` observations, so rare and unseen ones stay sound.  Without a
+    ``margin`` it is the least one, to a hundredth and from 0.1 to 2, at which
+    models fitted on one half of the runs find anything in at most
+    ``false_alarms`` of the ordinary runs of the other half (the first
+    ``held`` by hash, of those with ``least`` characters; 0.35 where there
+    are fewer than 100).
+    """
+    half = samples.filter("length(run) > 0").withColumn("half", F.pmod(F.xxhash64("run"), F.lit(2)).cast("int"))
+    step = F.expr("transform(sequence(1, length(run)), i -> "
+                  "struct(if(i = 1, '', substring(run, i - 1, 1)) AS before, substring(run, i, 1) AS now))")
+    counts = half.select("half", "random", F.inline(step)).groupBy("half", "random", "before", "now").count().collect()
+    table = np.zeros((2, 2, _SIZE, _SIZE))
+    for r in counts:
+        if r["now"] in _CODE:
+            table[r["half"], int(r["random"]), _CODE.get(r["before"], 0), _CODE[r["now"]]] += r["count"]
+    for i, run in enumerate(random_strings(keys)):
+        before = 0
+        for c in run:
+            table[i % 2, 1, before, _CODE[c]] += 1
+            before = _CODE[c]
+    if margin is None:
+        rows = half.filter(f"half = 1 AND NOT random AND length(run) >= {int(least)}").orderBy(F.xxhash64("run"), "run").limit(held)
+        runs, own = [r["run"] for r in rows.select("run").collect()], _ratio(table[0], smooth, prior)
+        low, high = (10, 200) if len(runs) >= 100 else (35, 35)
+        while low < high:
+            at = (low + high) // 2
+            pair = MarkovPair(own, least, at / 100)
+            low, high = (low, at) if sum(bool(pair.segments(r)) for r in runs) <= false_alarms * len(runs) else (at + 1, high)
+        margin = low / 100
+    return MarkovPair(_ratio(table.sum(axis=0), smooth, prior), least, margin)
 
 
 def _scan_udf(model: MarkovPair | None):
