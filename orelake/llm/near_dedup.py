@@ -1,4 +1,4 @@
-"""Near-duplicates by Order MinHash, verified by banded alignment of five-word shingles."""
+"""Near-duplicates by Order MinHash over five-word shingles, verified by banded alignment of words."""
 
 from __future__ import annotations
 
@@ -25,18 +25,20 @@ class OrderMinHash:
     """Parameters.
 
     ``sketches`` values a text, each the ``minima`` smallest occurrence-labelled
-    shingles of one hash order, retained in text order; ``rows`` values make a
-    band.  Texts that share a band and ``agree`` values or more are compared.
-    At a similarity of 0.8 a value agrees with probability 0.64, so a pair is
-    missed with probability below 4e-5 (20 bands of 2, 12 of 40 values).
+    shingles of one hash order, retained in text order.  Texts that share one
+    of the first ``bands`` values and agree in ``agree`` of all are compared.
+    Two texts that agree in words at 0.8, edits spread evenly, have about 0.4
+    of their shingles in common, so a value agrees with probability 0.16 and a
+    pair is missed with probability below 0.01; edits close together leave
+    more shingles whole.  (Texts of some ten words may have no shingle left.)
     """
 
-    sketches: int = 40
-    rows: int = 2
+    sketches: int = 80
+    bands: int = 40
     minima: int = 2
-    agree: int = 12
+    agree: int = 5
     similarity: float = 0.8
-    together: int = 1000  # members of a group compared in one task; larger groups are dealt as pairs of parts
+    together: int = 1000  # members of a group compared in one task; larger groups are split or dealt as pairs of parts
     seed: int = 1
 
     def orders(self) -> tuple[np.ndarray, np.ndarray]:
@@ -66,6 +68,9 @@ def shingles(h: np.ndarray) -> np.ndarray:
 
 def sketch(x: np.ndarray, conf: OrderMinHash, orders: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """One 32-bit value per hash order."""
+    part = max(1, (1 << 22) // len(x))  # a bounded table, however long the text
+    if len(orders[0]) > part:
+        return np.concatenate([sketch(x, conf, (orders[0][i:i + part], orders[1][i:i + part])) for i in range(0, len(orders[0]), part)])
     with np.errstate(over="ignore"):
         v = x[None, :] * orders[0][:, None] + orders[1][:, None]
         at = np.empty((conf.minima, len(v)), dtype=np.int64)
@@ -93,7 +98,7 @@ def _sign(conf: OrderMinHash):
     """Per text: digest of its words and, for the first of equal ones in a task, its bands and sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         orders, seen = conf.orders(), set()
-        n = conf.sketches // conf.rows
+        band = np.arange(conf.bands, dtype=np.uint64) * np.uint64(0x100000001B3)
         for batch in batches:
             for part in slices(batch, 1):
                 digest, bands, own = [], [], []
@@ -107,11 +112,9 @@ def _sign(conf: OrderMinHash):
                         continue
                     seen.add(d)
                     s = sketch(shingles(h), conf, orders)
-                    b = np.arange(n, dtype=np.uint64)
-                    for j in range(conf.rows):
-                        b = mix(b * np.uint64(0x100000001B3) + s[j::conf.rows][:n], 8 + j)
-                    bands.append(b.tobytes())
-                    own.append(s.astype("<u2").tobytes())
+                    s = s.astype("<u2")
+                    bands.append(mix(band + s[:conf.bands], 8).tobytes())
+                    own.append(s.tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(2), part.column(0), *[pa.array(c, pa.binary()) for c in (digest, bands, own)]],
                     names=["row", "doc_id", "digest", "bands", "sketch"])
@@ -128,6 +131,19 @@ def _explode_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 names=["key", "rep"])
 
 
+def _split_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members of a large bucket, once for each of their sketch values beside the bucket's key."""
+    for batch in batches:
+        s = [np.frombuffer(x, dtype="<u2") for x in batch.column(2).to_pylist()]
+        if s:
+            n = len(s[0])
+            own = np.repeat(batch.column(0).to_numpy().view(np.uint64), n)
+            with np.errstate(over="ignore"):
+                key = mix(own + np.tile(np.arange(n, dtype=np.uint64), len(s)) * np.uint64(0x100000001B3) + np.concatenate(s), 9)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.repeat(batch.column(1).to_numpy(), n))],
+                                             names=["key", "rep"])
+
+
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
     """Runs of rows whose first three columns agree; the remaining columns as tuples."""
     now, rows = None, []
@@ -174,30 +190,94 @@ def _forest(agree: int):
     return run
 
 
-def aligned(x: np.ndarray, y: np.ndarray, similarity: float) -> float:
-    """Shingles matched in order / shingles of either text, by the longest in-order chain inside a band.
-
-    The band is the shift beyond which the similarity cannot be reached.
+def _common(x: list[int], y: list[int], band: int) -> int:
+    """Words of ``x`` and ``y`` that match in order, at most ``band`` places apart: all rows of the table as bits of one number."""
+    full, reach = (1 << len(y)) - 1, (1 << (2 * band + 1)) - 1
+    place: dict[int, int] = {}
+    for j, w in enumerate(y):
+        place[w] = place.get(w, 0) | 1 << j
+    open_ = full
+    for i, w in enumerate(x):
+        hit = place.get(w, 0)
+        if hit:
+            hit &= open_ & (reach << (i - band) if i > band else reach >> (band - i))
+            open_ = ((open_ + hit) | (open_ - hit)) & full
+    return len(y) - open_.bit_count()
+
+
+def aligned(x: np.ndarray, y: np.ndarray, similarity: float, whole: int = 40_000) -> float:
+    """Words matched in order / words of either text, by alignment inside a band.
+
+    The band is the shift beyond which the similarity cannot be reached, so
+    nothing is lost for texts that reach it.  Texts of more than ``whole``
+    words together are aligned at the shingles they have in common, in order,
+    and by the band in the gaps between.
     """
     total = len(x) + len(y)
+    if not total:
+        return 1.0
     need = similarity * total / (1 + similarity)
-    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-    order = np.argsort(i)
-    i, j = i[order], j[order]
-    j = j[np.abs(i - j) <= total - 2 * need + 1e-9]
-    if len(j) and (np.diff(j) <= 0).any():
-        tails: list[int] = []
-        for p in j.tolist():
-            at = bisect_left(tails, p)
-            tails[at:at + 1] = [p]
-        matched = len(tails)
+    band = int(total - 2 * need + 1e-9)
+    n = min(len(x), len(y))
+    if n < need - 1e-9:
+        return n / (total - n)
+    differ = np.flatnonzero(x[:n] != y[:n])
+    head = int(differ[0]) if len(differ) else n
+    x, y = x[head:], y[head:]
+    n = min(len(x), len(y))
+    differ = np.flatnonzero(x[len(x) - n:][::-1] != y[len(y) - n:][::-1])
+    tail = int(differ[0]) if len(differ) else n
+    x, y = x[:len(x) - tail], y[:len(y) - tail]
+    matched = head + tail
+    if total <= whole:
+        matched += _common(x.tolist(), y.tolist(), band)
     else:
-        matched = len(j)
+        matched += _anchored(x, y, band)
     return matched / (total - matched)
 
 
+def _anchored(x: np.ndarray, y: np.ndarray, band: int) -> int:
+    """Words that match in order, at the longest in-order chain of common shingles and within the gaps."""
+    _, i, j = np.intersect1d(shingles(x), shingles(y), assume_unique=True, return_indices=True)
+    near = np.abs(i - j) <= band
+    i, j = i[near], j[near]
+    order = np.argsort(i)
+    i, j = i[order], j[order]
+    ends: list[int] = []
+    back, tip = np.full(len(j), -1), []
+    for at, p in enumerate(j.tolist()):
+        k = bisect_left(ends, p)
+        ends[k:k + 1], tip[k:k + 1] = [p], [at]
+        back[at] = tip[k - 1] if k else -1
+    chain, at = [], tip[-1] if tip else -1
+    while at >= 0:
+        chain.append((int(i[at]), int(j[at])))
+        at = back[at]
+    done, a, b = 0, 0, 0
+    for p, q in [*chain[::-1], (len(x), len(y))]:
+        if p < a or q < b:  # overlaps the match before: its last words are the same
+            continue
+        if p > a and q > b:
+            done += _common(x[a:p].tolist(), y[b:q].tolist(), band)
+        size = 1 if p < len(x) else 0
+        done, a, b = done + size, p + size, q + size
+    return done
+
+
+def _numbered(h: np.ndarray) -> np.ndarray:
+    """Words told apart by how often they were there before."""
+    order = np.argsort(h, kind="stable")
+    s = h[order]
+    new = np.concatenate(([True], s[1:] != s[:-1])) if len(s) else np.empty(0, dtype=bool)
+    at = np.arange(len(s))
+    label = np.empty(len(s), dtype=np.uint64)
+    label[order] = at - np.maximum.accumulate(np.where(new, at, 0)) if len(s) else at
+    with np.errstate(over="ignore"):
+        return np.where(label > 0, mix(h + label * np.uint64(0xD6E8FEB86659FD93), 5), h)
+
+
 def _shared(x: list[np.ndarray]) -> np.ndarray:
-    """Number of common shingles of all pairs of texts."""
+    """Number of common elements of all pairs of texts."""
     if len(x) == 2:
         n = len(x[0]) + len(x[1]) - len(np.unique(np.concatenate(x)))
         return np.array([[len(x[0]), n], [n, len(x[1])]])
@@ -223,13 +303,14 @@ def _verify(similarity: float):
         unzip, out = zstandard.ZstdDecompressor(), []
         for rows in _groups(batches):
             rows.sort()
-            x = [shingles(_words(unzip.decompress(r[1]))[1]) for r in rows]
+            x = [_words(unzip.decompress(r[1]))[1] for r in rows]
             size = np.array([len(a) for a in x])
-            shared = _shared(x)
+            shared = _shared([_numbered(a) for a in x])  # no alignment matches more
             like = shared / np.maximum(size[:, None] + size[None, :] - shared, 1)
             a, b = np.nonzero(np.triu(like >= similarity - 1e-9, 1))
             label = np.arange(len(x))
-            for i, j in zip(a.tolist(), b.tolist()):
+            for at in np.argsort(-like[a, b], kind="stable").tolist():
+                i, j = a[at], b[at]
                 if label[i] != label[j] and aligned(x[i], x[j], similarity) >= similarity - 1e-9:
                     lo, hi = sorted((label[i], label[j]))
                     label[label == hi] = lo
@@ -258,7 +339,14 @@ def _classes(rows: DataFrame, conf: OrderMinHash) -> DataFrame:
                                                F.max("sketch").alias("sketch")), "texts")
     keys = reps.select("rep", "bands").mapInArrow(_explode_bands, "key long, rep long")
     several = keys.groupBy("key").agg(F.count("rep").alias("size")).filter("size > 1")
-    buckets = keys.join(several, "key").join(reps.select("rep", "sketch"), "rep")
+    found = stored(keys.join(several, "key"), "buckets")
+    sketches = reps.select("rep", "sketch")
+    small = found.filter(F.col("size") <= conf.together).join(sketches, "rep")
+    # Pairs to compare agree in several values, so they meet again when a large bucket is split by each other value.
+    parts = (found.filter(F.col("size") > conf.together).join(sketches, "rep").select("key", "rep", "sketch")
+             .mapInArrow(_split_keys, "key long, rep long"))
+    more = parts.groupBy("key").agg(F.count("rep").alias("size")).filter("size > 1")
+    buckets = small.unionByName(parts.join(more, "key").join(sketches, "rep"))
     forest = _dealt(buckets, "key", "size", conf.together, "sketch").mapInArrow(_forest(conf.agree), "a long, b long")
     family = components(forest)
     sizes = family.groupBy("label").agg(F.count("node").alias("size"))
@@ -279,12 +367,16 @@ def near_duplicates(docs: DataFrame, conf: OrderMinHash = OrderMinHash()) -> Dat
     """One row per document: doc_id, class_id, kept.
 
     1. Texts with the same words are one text from here on.
-    2. Order MinHash sketches put texts into buckets; within a bucket, chains
-       of texts whose sketches agree become star links, and these the
-       families: every pair to compare lies inside one family.
-    3. In each family the common shingles of all pairs are counted; pairs at
-       0.8 or more are verified by banded alignment unless already joined.
-    4. Verified links make classes, exact copies join their text's class.
+    2. Order MinHash sketches put texts into buckets; a bucket above
+       ``together`` texts (a passage that many share) is split by every
+       further value.  Within a bucket, chains of texts whose sketches agree
+       become star links, and these the families: every pair to compare lies
+       inside one family.
+    3. In each family the common words of all pairs are counted, which no
+       alignment can exceed; pairs at 0.8 or more are aligned in order, word
+       by word in a band, unless already joined.
+    4. Pairs with 0.8 of their words matched make classes, exact copies join
+       their text's class.
 
     ``class_id`` is the class's smallest doc_id; the class's first row with it
     is ``kept``.  Buckets and families above ``together`` members are dealt to

@@ -69,26 +69,6 @@ FROM (SELECT *, least(CAST(before AS BIGINT) // 32768, n - 1) AS own FROM place
 JOIN block ON block.no = x.no AND block.b = own JOIN run ON run.no = x.no AND run.b = own
 """
 
-OP6 = rf"""
-WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
-shingle AS (
-  SELECT doc_id, i, CASE WHEN len(ws) < 5 THEN array_to_string(ws, ' ') ELSE array_to_string(ws[i:i + 4], ' ') END AS g
-  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w)),
-labelled AS (SELECT doc_id, g, row_number() OVER (PARTITION BY doc_id, g ORDER BY i) AS k FROM shingle),
-size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
-shared AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
-  FROM labelled a JOIN labelled b ON a.g = b.g AND a.k = b.k AND a.doc_id < b.doc_id GROUP BY ALL),
-link AS (
-  SELECT a, b FROM shared JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
-  WHERE 10 * shared.n >= 8 * (x.n + y.n - shared.n)),
-ways AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
-reach AS (
-  SELECT doc_id, doc_id AS other FROM documents
-  UNION SELECT reach.doc_id, ways.b FROM reach JOIN ways ON ways.a = reach.other)
-SELECT doc_id, min(other) AS class_id, doc_id = min(other) AS kept FROM reach GROUP BY doc_id
-"""
-
 _NEAREST = """(
   SELECT r, arg_min(k, d * 64 + k) AS k, min(d) AS d
   FROM (SELECT v.r, m.k, list_inner_product(v.c, v.c) - 2 * list_inner_product(v.c, m.c) + list_inner_product(m.c, m.c) AS d
@@ -145,6 +125,6 @@ SELECT doc_id, n_features, weight, score, CAST(drawn.rank AS BIGINT) AS rank
 FROM scored LEFT JOIN drawn ON drawn.r = scored.r AND drawn.rank <= 10 * total // 100
 """
 
-ORACLE: dict[str, str] = {"op4_pfair_mix": OP4, "op6_order_minhash": OP6,
+ORACLE: dict[str, str] = {"op4_pfair_mix": OP4,
                            "op1_voronoi_knn": OP1, "op9_superkmer_dedup": OP9,
                            "op12_threshold_clusters": OP12, "op13_ranked_resample": OP13}

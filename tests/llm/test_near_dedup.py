@@ -5,24 +5,32 @@ import random
 import numpy as np
 
 from orelake.llm.components import components
-from orelake.llm.near_dedup import OrderMinHash, aligned, near_duplicates, one_of_each, shingles
+from orelake.llm.near_dedup import OrderMinHash, _common, _numbered, aligned, near_duplicates, one_of_each, shingles
 from tests.llm.helpers import empty, make, nasty, text
 
 
-def labelled(t):
-    w = (t or "").encode().split()
-    k = min(5, len(w))
-    c = collections.Counter(tuple(w[j:j + k]) for j in range(max(1, len(w) - k + 1)))
-    return frozenset((g, n) for g, m in c.items() for n in range(m))
+def in_order(a, b):
+    """Words matched in order, by the plain table."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = 0
+        for j, y in enumerate(b):
+            before, row[j + 1] = row[j + 1], before + 1 if x == y else max(row[j + 1], row[j])
+    return row[-1]
 
 
 def plain(rows):
-    """Class of each row by all pairs at 0.8 of five-word shingles (in-place edits keep their order)."""
-    s = [labelled(t) for _, t in rows]
+    """Class of each row by all pairs with 0.8 of their words matched in order."""
+    w = [(t or "").encode().split() for _, t in rows]
+    bags = [collections.Counter(x) for x in w]
     label = list(range(len(rows)))
     for a, b in itertools.combinations(range(len(rows)), 2):
-        n = len(s[a] & s[b])
-        if label[a] != label[b] and n >= 0.8 * (len(s[a]) + len(s[b]) - n) - 1e-9:
+        total = len(w[a]) + len(w[b])
+        most = sum((bags[a] & bags[b]).values())
+        if label[a] == label[b] or most < 0.8 * (total - most) - 1e-9:
+            continue
+        n = most if w[a] == w[b] else in_order(w[a], w[b])
+        if n >= 0.8 * (total - n) - 1e-9:
             lo, hi = sorted((label[a], label[b]))
             label = [lo if x == hi else x for x in label]
     ids = collections.defaultdict(list)
@@ -42,14 +50,21 @@ def edited(t, seed, n):
 def sample():
     rows = [(i, text(i, 220, 3000)) for i in range(60)]
     for i in range(30):
-        rows += [(100 + 10 * i + j, edited(rows[i][1], 10 * i + j, j)) for j in range(6)]
+        rows += [(100 + 10 * i + j, edited(rows[i][1], 10 * i + j, 4 * j)) for j in range(6)]  # up to 0.83 of the words
     passage = text(7777, 60, 3000)
     rows += [(1000 + i, text(3000 + i, 100, 3000) + " " + passage) for i in range(40)]
     return rows
 
 
+def rows_moved():
+    """A text, the same with its halves swapped (another text), and with its last tenth moved to the front (still alike)."""
+    w = text(4242, 300, 3000).split()
+    return [(9000, " ".join(w)), (9001, " ".join(w[150:] + w[:150])), (9002, " ".join(w[270:] + w[:270]))]
+
+
 def test_classes_equal_all_pairs(spark):
-    rows = sample() + [(d if d is None else 5000 + d, t) for d, t in nasty() if d != 6]
+    moved = rows_moved()
+    rows = sample() + [(d if d is None else 5000 + d, t) for d, t in nasty()] + moved
     got = near_duplicates(make(spark, rows)).collect()
     assert sorted((str(r.doc_id), str(r.class_id)) for r in got) == plain(rows)
     kept = collections.Counter(str(r.class_id) for r in got if r.kept)
@@ -58,7 +73,7 @@ def test_classes_equal_all_pairs(spark):
 
 def test_large_groups_are_dealt_to_several_tasks(spark):
     base = text(5, 300, 3000)
-    rows = [(i, edited(base, i, i % 9)) for i in range(150)]
+    rows = [(i, edited(base, i, i % 25)) for i in range(150)]
     whole = sorted(map(tuple, near_duplicates(make(spark, rows)).collect()))
     dealt = sorted(map(tuple, near_duplicates(make(spark, rows), OrderMinHash(together=20)).collect()))
     assert whole == dealt
@@ -67,12 +82,41 @@ def test_large_groups_are_dealt_to_several_tasks(spark):
 
 def test_alignment_is_in_order_and_banded():
     h = np.arange(1, 101, dtype=np.uint64) * np.uint64(7919)
-    x = shingles(h)
-    assert aligned(x, x, 0.8) == 1.0
-    moved = shingles(np.concatenate((h[50:], h[:50])))
-    assert aligned(x, moved, 0.8) < 0.5
+    assert aligned(h, h, 0.8) == 1.0
+    moved = np.concatenate((h[50:], h[:50]))
+    assert aligned(h, moved, 0.8) < 0.5
     repeated = shingles(np.tile(h[:6], 5))
     assert len(np.unique(repeated)) == len(repeated) == 26
+    assert len(np.unique(_numbered(np.tile(h[:6], 5)))) == 30
+
+
+def test_alignment_equals_the_plain_table():
+    rng = np.random.default_rng(3)
+    for n in range(150):
+        x = rng.integers(1, 40, rng.integers(0, 120)).astype(np.uint64)
+        y = np.array([v if rng.random() > 0.1 else 99 for v in x if rng.random() > 0.05], dtype=np.uint64)
+        total, m = len(x) + len(y), in_order(x.tolist(), y.tolist())
+        want = m / (total - m) if total else 1.0
+        got = aligned(x, y, 0.8)
+        assert got == want if want >= 0.8 else got < 0.8
+
+
+def test_long_texts_are_aligned_at_common_shingles():
+    rng = np.random.default_rng(5)
+    x = rng.integers(1, 3000, 60_000).astype(np.uint64)
+    y = np.array([v if rng.random() > 0.05 else 5000 for v in x if rng.random() > 0.01], dtype=np.uint64)
+    got = aligned(x, y, 0.8)
+    m = _common(x[:6000].tolist(), y[:5940].tolist(), 600)
+    assert abs(got - m / (11_940 - m)) < 0.02 and aligned(x, rng.permutation(y), 0.8) < 0.3
+
+
+def test_a_shared_passage_splits_large_buckets(spark):
+    """Many texts share half of their words; two pairs of them are alike.  The bucket of the passage is split, no link is lost."""
+    passage = text(1, 120, 3000)
+    rows = [(i, passage + " " + text(100 + i, 100, 3000)) for i in range(250)]
+    rows += [(900 + i, edited(rows[i][1], i, 12)) for i in range(2)]
+    got = near_duplicates(make(spark, rows), OrderMinHash(together=15)).collect()
+    assert sorted((str(r.doc_id), str(r.class_id)) for r in got) == plain(rows)
 
 
 def test_one_of_each_and_odd_tables(spark):
