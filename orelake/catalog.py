@@ -495,19 +495,43 @@ def _rows_of(spark, path, collection):
                      F.sum("size").cast("long").alias("bytes_read")).withColumn("collection", F.lit(collection))
 
 
+def _sized_layers(spark, sf_dir):
+    """Files of known sizes: every course event and student document as a padded line, one file per day or slice.
+
+    Lines have 64 bytes, those of the course bootstrap and of every 30th
+    slice 1,024, so these files stand out.
+    """
+    from orelake.operators.health import file_stats
+    from orelake.session import scratch_path
+    from orelake.sources import course_events, student_documents
+    events = course_events(spark, sf_dir).select("ingest_ds", F.col("event_id").alias("line"), F.col("event_id").startswith("boot-").alias("wide"))
+    month = F.months_between(F.to_date("ingest_ds"), F.lit("1992-01-01").cast("date"), False)
+    docs = student_documents(spark, sf_dir).select("ingest_ds", F.col("doc_seq").cast("string").alias("line"),
+                                                   (month.cast("int") % 30 == 0).alias("wide"))
+    out = None
+    for name, rows in (("courses", events), ("students", docs)):
+        path = scratch_path(spark, f"sized_{name}")
+        text = F.rpad("line", F.when(F.col("wide"), 1023).otherwise(63), ".")
+        rows.select(text.alias("value"), "ingest_ds").repartition("ingest_ds").write.partitionBy("ingest_ds").text(path)
+        files = file_stats(spark, path, name)
+        out = files if out is None else out.unionByName(files)
+    return out.withColumn("ds", F.regexp_extract("file_path", "/ingest_ds=([^/]*)/", 1))
+
+
 @register("file_size_anomaly")
 def q_file_size_anomaly(spark, sf_dir):
-    """Every listed file is judged; the flags follow the two limits, told from the extremes of each collection."""
-    from orelake.operators.health import LARGE_FILE_BYTES, LARGE_FILE_FACTOR, file_size_anomalies, file_stats
-    students, courses = _written_layers(spark, sf_dir)
-    files = file_stats(spark, students, "students").unionByName(file_stats(spark, courses, "courses"))
-    judged = file_size_anomalies(files).groupBy("collection").agg(
-        F.count("file_path").alias("judged"), F.max("is_anomaly").alias("any"),
-        F.max("file_size").alias("largest"), F.avg("file_size").alias("mean"))
-    n = files.groupBy("collection").agg(F.count("file_path").alias("listed"))
-    rule = (F.col("largest") > LARGE_FILE_BYTES) | (F.col("largest") > LARGE_FILE_FACTOR * F.col("mean"))
-    return judged.join(n, "collection").select("collection", (F.col("judged") == F.col("listed")).alias("all_judged"),
-                                               (F.col("any") == rule).alias("flags_follow_limits"))
+    """Every file of two collections of known sizes, with its collection's mean and the alert flag."""
+    from orelake.operators.health import file_size_anomalies
+    files = _sized_layers(spark, sf_dir)
+    judged = file_size_anomalies(files).join(files.select("file_path", "ds"), "file_path")
+    return judged.select("collection", "ds", "file_size", F.round("avg_file_size", 6).alias("avg_file_size"), "is_anomaly")
+
+
+@register("file_sizes_known")
+def q_file_sizes_known(spark, sf_dir):
+    """Files and bytes per collection from the listing of files of known sizes."""
+    from orelake.operators.health import file_counts
+    return file_counts(_sized_layers(spark, sf_dir))
 
 
 @register("retention_tier")

@@ -193,6 +193,15 @@ SELECT 'students' AS collection, strftime(date_trunc('month', o_orderdate), '%Y-
 FROM doc GROUP BY 2"""),
 })
 
+# One file per day or slice: 64 bytes a line, 1,024 for the course bootstrap and every 30th slice.
+_SIZED = """
+, sized AS (
+  SELECT 'courses' AS collection, strftime(ts, '%Y-%m-%d') AS ds, CAST(64 * count(*) AS BIGINT) AS file_size FROM events GROUP BY 2
+  UNION ALL SELECT 'courses', '2023-12-31', CAST(1024 * count(*) AS BIGINT) FROM part
+  UNION ALL
+  SELECT 'students', strftime(date_trunc('month', o_orderdate), '%Y-%m-%d'),
+         CAST(count(*) * CASE WHEN ((any_value(year(o_orderdate)) - 1992) * 12 + any_value(month(o_orderdate)) - 1) % 30 = 0 THEN 1024 ELSE 64 END AS BIGINT)
+  FROM doc GROUP BY 2)"""
 _EVENTS = f"""
 , ev_all AS (
   SELECT 'boot-' || p_partkey AS event_id, CAST(p_partkey AS VARCHAR) AS course_id, p_name AS course_name,
@@ -288,8 +297,13 @@ FROM doc GROUP BY 1"""),
     "file_counts": q("""
 SELECT 'students' AS collection, CAST(count(*) AS BIGINT) AS record_count, true AS files_match, true AS bytes_match FROM doc
 UNION ALL SELECT 'courses', CAST((SELECT count(*) FROM part) + (SELECT count(*) FROM events) AS BIGINT), true, true"""),
-    "file_size_anomaly": """
-SELECT unnest(['students', 'courses']) AS collection, true AS all_judged, true AS flags_follow_limits""",
+    "file_size_anomaly": q(_SIZED + """
+SELECT collection, ds, file_size, round(avg_file_size, 6) AS avg_file_size,
+       file_size > 1073741824 OR file_size > 10 * avg_file_size AS is_anomaly
+FROM (SELECT *, avg(file_size) OVER (PARTITION BY collection) AS avg_file_size FROM sized)"""),
+    "file_sizes_known": q(_SIZED + """
+SELECT collection, CAST(count(*) AS BIGINT) AS file_count, CAST(sum(file_size) AS BIGINT) AS total_size_bytes
+FROM sized GROUP BY collection"""),
     "bronze_drain": q(f"""
 SELECT o_orderkey AS doc_seq, {_ENTITY} AS _id,
        CASE WHEN o_orderkey % 29 = 0 THEN '' WHEN o_orderkey % 37 = 0 THEN {_ISO0.format(x="date_trunc('second', upd_raw)")}
