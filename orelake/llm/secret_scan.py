@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orelake.llm.common import fresh, texts
+from orelake.llm.common import fresh, stored, texts
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
@@ -189,7 +189,7 @@ def _ratio(table: np.ndarray, smooth: float, prior: float) -> tuple[float, ...]:
 
 def train(samples: DataFrame, least: int = 16, margin: float | None = None, smooth: float = 0.5, prior: float = 60.0,
           keys: int = 1000, held: int = 5000, false_alarms: float = 0.001) -> MarkovPair:
-    """Fit both first-order models from (run, random) rows and ``keys`` seeded random strings per alphabet.
+    """Fit both first-order models from (run, random) rows, read twice, and ``keys`` seeded random strings per alphabet.
 
     Counts of (half, class, previous character, character) are made by Spark;
     at most 4 x 69 x 68 of them reach the driver.  A transition's estimate
@@ -253,7 +253,7 @@ def secret_scan(docs: DataFrame, model: MarkovPair | None = None) -> DataFrame:
     Null and empty texts have no spans (digest of the empty string).  Every
     text is scanned whole and alone; repeated rows give repeated results.
     """
-    model = model or train(labelled_samples(docs))
+    model = model or train(stored(labelled_samples(docs), "samples"))
     return texts(docs).withColumn("s", _scan_udf(model)(F.col("text"))).select("doc_id", "s.*")
 
 
@@ -279,7 +279,7 @@ def redact(text: Column, model: MarkovPair, mark: str = "[secret]") -> Column:
 
 def without_secrets(docs: DataFrame, model: MarkovPair | None = None) -> DataFrame:
     """All documents with all columns; secrets in ``text`` replaced, ``n_chars`` (if there) counted anew."""
-    model = model or train(labelled_samples(docs))
+    model = model or train(stored(labelled_samples(docs), "samples"))
     tmp = fresh(docs, "clean__")
     out = docs.withColumn(tmp, redact(F.col("text").cast("string"), model))
     cols = {"text": F.col(tmp)}
