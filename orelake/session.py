@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def prepare_session(spark: SparkSession) -> SparkSession:
@@ -52,6 +53,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{own}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_SCHEMAS: dict[tuple[str, int], StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one provided Parquet table, as it is now."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one provided Parquet table, as it is now.
+
+    Files are listed at every call.  The schema is told from a footer (a job
+    of its own) only where the file or folder has changed since it last was;
+    stores that keep no time of change are asked each time.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    fs, p = hadoop_path(spark, path)
+    changed = fs.getFileStatus(p).getModificationTime() if fs.exists(p) else 0
+    known = _SCHEMAS.get((path, changed))
+    if known is not None:
+        return spark.read.schema(known).parquet(path)
+    df = spark.read.parquet(path)
+    if changed > 0:
+        _SCHEMAS[path, changed] = df.schema
+    return df

@@ -215,3 +215,12 @@ def test_extended_json_array_files(spark, tmp_root):
     with open(f"{tmp_root}/lines/a.jsonl", "w", encoding="utf-8") as fh:
         fh.write('{"a": 1}\n\n{"a": \n   \n{"a": 2}\n')
     assert sorted(r.a for r in read_jsonl_tolerant(spark, f"{tmp_root}/lines", "a int").collect()) == [1, 2]
+
+
+def test_a_rewritten_table_has_its_own_schema(spark, tmp_root):
+    from orelake.session import table
+    path = f"{tmp_root}/t.parquet"
+    spark.range(3).write.parquet(path)
+    assert table(spark, tmp_root, "t").columns == ["id"] and table(spark, tmp_root, "t").count() == 3
+    spark.range(4).selectExpr("id AS k", "'x' AS v").write.mode("overwrite").parquet(path)
+    assert table(spark, tmp_root, "t").columns == ["k", "v"] and table(spark, tmp_root, "t").count() == 4
