@@ -1,4 +1,4 @@
-"""Near-duplicates by Order MinHash over five-word shingles, verified by banded alignment of words."""
+"""Near-duplicates by Order MinHash over three-word shingles, verified by banded alignment of words."""
 
 from __future__ import annotations
 
@@ -17,7 +17,7 @@ from orelake.llm.common import fresh, mix, slices, stored, texts, word_hashes
 from orelake.llm.components import components
 from orelake.llm.substring_dedup import zipped
 
-SHINGLE = 5
+SHINGLE = 3
 
 
 @dataclass(frozen=True)
@@ -25,20 +25,23 @@ class OrderMinHash:
     """Parameters.
 
     ``sketches`` values a text, each the ``minima`` smallest occurrence-labelled
-    shingles of one hash order, retained in text order.  Texts that share one
-    of the first ``bands`` values and agree in ``agree`` of all are compared.
-    Two texts that agree in words at 0.8, edits spread evenly, have about 0.4
-    of their shingles in common, so a value agrees with probability 0.16 and a
-    pair is missed with probability below 0.01; edits close together leave
-    more shingles whole.  (Texts of some ten words may have no shingle left.)
+    shingles of one hash order, retained in text order; ``rows`` values make a
+    band.  Texts that share a band and ``agree`` values or more are compared.
+    Two texts that agree in words at 0.8, edits spread evenly, have about 0.57
+    of their shingles in common, so a value agrees with probability 0.33 and a
+    pair is missed with probability about 0.01; edits close together, or
+    fewer, leave more shingles whole.  A value of two shingles inside a
+    passage that many texts share is common, a band of two such values rare,
+    so such passages make no large buckets.  (Texts of some ten words may
+    have no shingle left.)
     """
 
     sketches: int = 80
-    bands: int = 40
+    rows: int = 2
     minima: int = 2
-    agree: int = 5
+    agree: int = 12
     similarity: float = 0.8
-    together: int = 1000  # members of a group compared in one task; larger groups are split or dealt as pairs of parts
+    together: int = 1000  # members of a group compared in one task; larger groups are dealt as pairs of parts
     seed: int = 1
 
     def orders(self) -> tuple[np.ndarray, np.ndarray]:
@@ -48,7 +51,7 @@ class OrderMinHash:
 
 
 def shingles(h: np.ndarray) -> np.ndarray:
-    """Occurrence-labelled five-word shingles of a text's word hashes, in text order; a shorter text is one shingle."""
+    """Occurrence-labelled three-word shingles of a text's word hashes, in text order; a shorter text is one shingle."""
     with np.errstate(over="ignore"):
         k = min(SHINGLE, len(h))
         g = np.full(max(1, len(h) - k + 1), np.uint64(k))
@@ -98,7 +101,7 @@ def _sign(conf: OrderMinHash):
     """Per text: digest of its words and, for the first of equal ones in a task, its bands and sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         orders, seen = conf.orders(), set()
-        band = np.arange(conf.bands, dtype=np.uint64) * np.uint64(0x100000001B3)
+        n = conf.sketches // conf.rows
         for batch in batches:
             for part in slices(batch, 1):
                 digest, bands, own = [], [], []
@@ -112,9 +115,11 @@ def _sign(conf: OrderMinHash):
                         continue
                     seen.add(d)
                     s = sketch(shingles(h), conf, orders)
-                    s = s.astype("<u2")
-                    bands.append(mix(band + s[:conf.bands], 8).tobytes())
-                    own.append(s.tobytes())
+                    b = np.arange(n, dtype=np.uint64)
+                    for j in range(conf.rows):
+                        b = mix(b * np.uint64(0x100000001B3) + s[j::conf.rows][:n], 8 + j)
+                    bands.append(b.tobytes())
+                    own.append(s.astype("<u2").tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(2), part.column(0), *[pa.array(c, pa.binary()) for c in (digest, bands, own)]],
                     names=["row", "doc_id", "digest", "bands", "sketch"])
@@ -131,19 +136,6 @@ def _explode_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 names=["key", "rep"])
 
 
-def _split_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members of a large bucket, once for each of their sketch values beside the bucket's key."""
-    for batch in batches:
-        s = [np.frombuffer(x, dtype="<u2") for x in batch.column(2).to_pylist()]
-        if s:
-            n = len(s[0])
-            own = np.repeat(batch.column(0).to_numpy().view(np.uint64), n)
-            with np.errstate(over="ignore"):
-                key = mix(own + np.tile(np.arange(n, dtype=np.uint64), len(s)) * np.uint64(0x100000001B3) + np.concatenate(s), 9)
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.repeat(batch.column(1).to_numpy(), n))],
-                                             names=["key", "rep"])
-
-
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
     """Runs of rows whose first three columns agree; the remaining columns as tuples."""
     now, rows = None, []
@@ -332,6 +324,18 @@ def _dealt(df: DataFrame, key: str, size: str, together: int, value: str) -> Dat
     return spread.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j")
 
 
+def _contracted(links: DataFrame) -> DataFrame:
+    """Links (a, b) with the same components and about one per ``b``: its first ``a``, which is linked to b's other ones.
+
+    A text is linked to one text in each of its buckets; of a large group
+    these are the same few for all members, so their links to each other
+    are soon all there.  The list of a ``b`` is as long as it has buckets.
+    """
+    own = links.groupBy("b").agg(F.array_sort(F.collect_set("a")).alias("r"))
+    others = F.concat(F.array("b"), F.expr("slice(r, 2, size(r))"))
+    return own.select(F.get("r", F.lit(0)).alias("a"), F.explode(others).alias("b"))
+
+
 def _classes(rows: DataFrame, conf: OrderMinHash) -> DataFrame:
     """(row, doc_id, text) -> (row, doc_id, class_row, class_id): the first row and id of each row's class."""
     signed = stored(rows.select("doc_id", "text", "row").mapInArrow(_sign(conf), _SIGNED), "signed")
@@ -339,15 +343,8 @@ def _classes(rows: DataFrame, conf: OrderMinHash) -> DataFrame:
                                                F.max("sketch").alias("sketch")), "texts")
     keys = reps.select("rep", "bands").mapInArrow(_explode_bands, "key long, rep long")
     several = keys.groupBy("key").agg(F.count("rep").alias("size")).filter("size > 1")
-    found = stored(keys.join(several, "key"), "buckets")
-    sketches = reps.select("rep", "sketch")
-    small = found.filter(F.col("size") <= conf.together).join(sketches, "rep")
-    # Pairs to compare agree in several values, so they meet again when a large bucket is split by each other value.
-    parts = (found.filter(F.col("size") > conf.together).join(sketches, "rep").select("key", "rep", "sketch")
-             .mapInArrow(_split_keys, "key long, rep long"))
-    more = parts.groupBy("key").agg(F.count("rep").alias("size")).filter("size > 1")
-    buckets = small.unionByName(parts.join(more, "key").join(sketches, "rep"))
-    forest = _dealt(buckets, "key", "size", conf.together, "sketch").mapInArrow(_forest(conf.agree), "a long, b long")
+    buckets = keys.join(several, "key").join(reps.select("rep", "sketch"), "rep")
+    forest = _contracted(_dealt(buckets, "key", "size", conf.together, "sketch").mapInArrow(_forest(conf.agree), "a long, b long"))
     family = components(forest)
     sizes = family.groupBy("label").agg(F.count("node").alias("size"))
     # Texts are always dealt by row for this join, whatever the number of members: shuffles then follow the input.
@@ -367,11 +364,9 @@ def near_duplicates(docs: DataFrame, conf: OrderMinHash = OrderMinHash()) -> Dat
     """One row per document: doc_id, class_id, kept.
 
     1. Texts with the same words are one text from here on.
-    2. Order MinHash sketches put texts into buckets; a bucket above
-       ``together`` texts (a passage that many share) is split by every
-       further value.  Within a bucket, chains of texts whose sketches agree
-       become star links, and these the families: every pair to compare lies
-       inside one family.
+    2. Order MinHash sketches put texts into buckets; within a bucket, chains
+       of texts whose sketches agree become star links, and these the
+       families: every pair to compare lies inside one family.
     3. In each family the common words of all pairs are counted, which no
        alignment can exceed; pairs at 0.8 or more are aligned in order, word
        by word in a band, unless already joined.

@@ -5,7 +5,7 @@ import random
 import numpy as np
 
 from orelake.llm.components import components
-from orelake.llm.near_dedup import OrderMinHash, _common, _numbered, aligned, near_duplicates, one_of_each, shingles
+from orelake.llm.near_dedup import OrderMinHash, _common, _contracted, _numbered, aligned, near_duplicates, one_of_each, shingles
 from tests.llm.helpers import empty, make, nasty, text
 
 
@@ -86,7 +86,7 @@ def test_alignment_is_in_order_and_banded():
     moved = np.concatenate((h[50:], h[:50]))
     assert aligned(h, moved, 0.8) < 0.5
     repeated = shingles(np.tile(h[:6], 5))
-    assert len(np.unique(repeated)) == len(repeated) == 26
+    assert len(np.unique(repeated)) == len(repeated) == 28
     assert len(np.unique(_numbered(np.tile(h[:6], 5)))) == 30
 
 
@@ -110,8 +110,8 @@ def test_long_texts_are_aligned_at_common_shingles():
     assert abs(got - m / (11_940 - m)) < 0.02 and aligned(x, rng.permutation(y), 0.8) < 0.3
 
 
-def test_a_shared_passage_splits_large_buckets(spark):
-    """Many texts share half of their words; two pairs of them are alike.  The bucket of the passage is split, no link is lost."""
+def test_a_shared_passage_makes_no_link(spark):
+    """Many texts share half of their words; two pairs of them are alike.  Groups are dealt to several tasks, no link is lost."""
     passage = text(1, 120, 3000)
     rows = [(i, passage + " " + text(100 + i, 100, 3000)) for i in range(250)]
     rows += [(900 + i, edited(rows[i][1], i, 12)) for i in range(2)]
@@ -126,6 +126,15 @@ def test_one_of_each_and_odd_tables(spark):
     assert near_duplicates(empty(spark)).count() == 0 and one_of_each(empty(spark)).count() == 0
 
 
+def test_contracted_links_have_the_same_components(spark):
+    rng = random.Random(8)
+    links = [(min(p), max(p)) for p in ((rng.randrange(400), rng.randrange(400)) for _ in range(330)) if p[0] != p[1]]
+    links += [(1000 + i % 7, 2000 + j) for j in range(200) for i in range(7)]
+    df = spark.createDataFrame(links, "a long, b long")
+    assert {r.node: r.label for r in components(_contracted(df)).collect()} == {r.node: r.label for r in components(df).collect()}
+    assert _contracted(df).filter("a >= 1000").distinct().count() == 200 + 6
+
+
 def test_components_of_chains_stars_and_nulls(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (None, 3), (200, 201), (201, 200)]
     got = {r.node: r.label for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
