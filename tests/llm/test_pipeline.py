@@ -63,7 +63,7 @@ def test_odd_and_empty_tables_pass_every_stage(spark):
 
 def test_registry():
     names = list(registry.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
     assert set(names) <= set(entry.queries()) and set(registry.oracle_sql()) <= set(names)
 
 
