@@ -2,27 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orelake.llm.common import fresh, running_total
 
-# One slot after the other: of the sources whose next block is released, the one with the earliest deadline
-# (then the lowest number) goes next.  A row has at most ``parts`` + number of sources slots.
-_EDF = """
+# What all sources have had when each has had ``v`` times its weight, or ended: the slot of the ideal fluid mix.
+_FLUID = "aggregate(s, 0D, (t, y) -> t + least(CAST(y.n AS DOUBLE), y.w * ({v})))"
+
+# One slot after the other: of the sources whose next block is released, the one with the earliest deadline (then the
+# lowest number) goes next.  Slots are gathered by ``parts``, so that no long list is copied for each of them.
+_STEP = """
+element_at(transform(
+  array(array_min(transform(q, (x, k) -> IF(state.done[k] < size(x.jobs), named_struct(
+    'early', x.jobs[state.done[k]].release > t, 'deadline', x.jobs[state.done[k]].deadline, 'no', k), NULL)))),
+  next -> named_struct(
+    'done', transform(state.done, (d, k) -> IF(k = next.no, d + 1L, d)),
+    'out', concat(state.out, array(named_struct('slot', t, 'no', next.no, 'block', state.done[next.no]))))), 1)
+"""
+_EDF = f"""
 aggregate(
-  sequence(0L, total - 1L),
-  named_struct('done', transform(counts, c -> 0L),
-               'out', CAST(array() AS ARRAY<STRUCT<slot: BIGINT, source_no: INT, i: BIGINT>>)),
-  (state, t) -> element_at(transform(
-    array(array_min(filter(
-      transform(counts, (c, s) -> IF(state.done[s] < c AND state.done[s] * total DIV nullif(c, 0L) <= t,
-        named_struct('deadline', ((state.done[s] + 1L) * total + c - 1L) DIV nullif(c, 0L), 'source_no', s), NULL)),
-      x -> x IS NOT NULL))),
-    next -> named_struct(
-      'done', transform(state.done, (d, s) -> IF(s = next.source_no, d + 1L, d)),
-      'out', concat(state.out, array(named_struct('slot', t, 'source_no', next.source_no,
-                                                  'i', state.done[next.source_no]))))), 1)).out
+  sequence(0L, (total - 1L) DIV {{parts}}L),
+  named_struct('done', transform(q, x -> 0L), 'out', CAST(array() AS ARRAY<ARRAY<STRUCT<slot: BIGINT, no: INT, block: BIGINT>>>)),
+  (all, p) -> element_at(transform(
+    array(aggregate(
+      sequence(p * {{parts}}L, least((p + 1L) * {{parts}}L, total) - 1L),
+      named_struct('done', all.done, 'out', CAST(array() AS ARRAY<STRUCT<slot: BIGINT, no: INT, block: BIGINT>>)),
+      (state, t) -> {_STEP})),
+    part -> named_struct('done', part.done, 'out', concat(all.out, array(part.out)))), 1)).out
 """
 
 
@@ -36,72 +43,44 @@ def _weight(weights: dict[str, float] | None) -> Column:
     return F.coalesce(F.element_at(table, F.col("key__")), F.lit(float(min(weights.values()))))
 
 
-# Blocks of source ``x`` in the first ``p`` periods, ``x.a`` being its true slots a period.  Sources of a slot or more
-# take whole steps of their running sum, which add up to the period; smaller ones are rounded at staggered phases.
-_DONE = """least(x.n, CAST(IF(x.phase IS NULL, floor({p} * (x.low + x.a) + 1e-6D) - floor({p} * x.low + 1e-6D),
-                          floor({p} * x.a + x.phase)) AS BIGINT))"""
-
-# The sources with their true slots a period, running sums and phases; arrays of one element bind a value computed once.
-_SHARES = """
-get(transform(transform(transform(array(aggregate(s, 0D, (t, x) -> t + x.w)), all_w -> transform(s, x -> x.w / all_w)),
-  w -> transform(array(coalesce(get(filter(sequence({n}L, {to}L), t -> forall(w, x -> abs(t * x - round(t * x)) < 1e-9D)), 0),
-                                {n}L)), parts -> transform(w, x -> parts * x))[0]),
-  a -> transform(s, (x, no) -> named_struct('key__', x.key__, 'n', x.n, 'a', a[no],
-    'low', aggregate(slice(a, 1, no), 0D, (t, y) -> t + IF(y < 1.001D, 0D, y)),
-    'phase', IF(a[no] < 1.001D, (size(filter(slice(a, 1, no), y -> y < 1.001D)) + 0.5D) / size(filter(a, y -> y < 1.001D)),
-                NULL)))), 0)
-"""
-
-
 def schedule(blocks: DataFrame, weights: dict[str, float] | None = None, parts: int = 1000) -> DataFrame:
-    """(key__, n) rows -> one row per block: key__, block, period, slot, release, deadline.
-
-    A period has the least number of slots, from ``parts`` to twice that, that
-    gives every source a whole share, or ``parts`` where there is none.  What
-    a share leaves over is carried on: after p periods a source has had p
-    times its true share, give or take less than one block, so nothing adds
-    up however long the input.  The i-th of a source's c blocks in a period
-    of C slots is released at floor(i C / c) and due by ceil((i + 1) C / c).
-    These windows are those of an ideal fluid mix, so earliest deadline first
-    keeps every source less than one block from its line between the period's
-    ends.  While all sources last, a source is thus less than one block from
-    its true share at every slot where the shares are whole, and less than
-    two otherwise; m sources of less than one slot a period are rounded one
-    by one, which may move the others by at most m blocks times their share.
-    A source that runs out is spread over its last period; the others share
-    the later periods in the same proportion, so every block is placed once.
+    """(key__, n) rows -> one row per block: key__, block, period (slot DIV ``parts``), slot, release, deadline.
+
+    Pfair windows over all blocks: in the ideal fluid mix every source has a
+    share of each slot in proportion to its weight until it ends, and those
+    that last share what it leaves in the same proportion.  A block is
+    released in the slot in which the fluid mix begins it and due by the end
+    of the one in which it is done.  The fluid mix meets all windows, so
+    earliest deadline first does, too: at every slot each source is less than
+    one block from its true share, however many sources or slots, and every
+    block is placed once.  (Windows are told from doubles, a millionth of a
+    slot is forgiven.)
+
+    The order is one fold over all blocks in one row, so its length is bounded
+    by the caller (see :func:`mix_sources`); a slot costs a step per source,
+    which is meant for up to some hundred sources.
     """
     weighted = blocks.withColumn("w", _weight(weights))
-    whole = (weighted.agg(F.array_sort(F.collect_list(F.struct("key__", "n", "w"))).alias("s")).filter("size(s) > 0")
-             .select(F.expr(_SHARES.format(n=int(parts), to=2 * int(parts) - 1)).alias("s")))
-    # The periods in which any source has a block; next to a rounded one its neighbours too, whose empty ones fall out.
-    each = (whole.select(F.explode("s").alias("x"))
-            .select("x", F.explode(F.expr("""IF(x.phase IS NULL, sequence(0L, CAST(ceil((x.n + 1) / x.a) AS BIGINT)),
-                transform(sequence(0L, x.n - 1L), i -> CAST(ceil((i + 1 - x.phase) / x.a) AS BIGINT) - 1L))""")).alias("at"))
-            .select(F.explode(F.expr("IF(x.phase IS NULL, array(at), array(at - 1L, at, at + 1L))")).alias("period"))
-            .filter("period >= 0").distinct())
-    made = (each.crossJoin(F.broadcast(whole)).withColumn("had", F.expr(f"transform(s, x -> {_DONE.format(p='period')})"))
-            .withColumn("counts", F.expr(f"transform(s, x -> {_DONE.format(p='(period + 1L)')} - {_DONE.format(p='period')})"))
-            .withColumn("total", F.expr("aggregate(counts, 0L, (a, c) -> a + c)")).filter("total > 0")
-            .withColumn("before", F.expr("aggregate(had, 0L, (a, c) -> a + c)")).repartition("period"))
-    # Outer, as no filter on the table is then made ahead of the exchange, where one task would work them all out.
-    placed = (made.select("s", "had", "counts", "total", "before", "period", F.expr(_EDF).alias("order"))
-              .select("s", "had", "counts", "total", "before", "period", F.inline_outer("order"))
-              .withColumn("c", F.expr("counts[source_no]")))
-    return placed.select(
-        F.expr("s[source_no].key__").alias("key__"), F.expr("had[source_no] + i").alias("block"), "period",
-        (F.col("before") + F.col("slot")).alias("slot"),
-        F.expr("before + i * total DIV c").alias("release"),
-        F.expr("before + ((i + 1L) * total + c - 1L) DIV c").alias("deadline"))
+    whole = weighted.agg(F.array_sort(F.collect_list(F.struct("key__", "n", "w"))).alias("s")).filter("size(s) > 0")
+    release = f"CAST(floor({_FLUID.format(v='i / x.w')} + 1e-6D) AS BIGINT)"
+    deadline = f"CAST(ceil({_FLUID.format(v='(i + 1L) / x.w')} - 1e-6D) AS BIGINT)"
+    jobs = f"transform(sequence(0L, x.n - 1L), i -> named_struct('release', {release}, 'deadline', {deadline}))"
+    table = whole.select(F.expr(f"transform(s, x -> named_struct('key__', x.key__, 'jobs', {jobs}))").alias("q"),
+                         F.expr("aggregate(s, 0L, (t, x) -> t + x.n)").alias("total"))
+    placed = table.select("q", F.explode(F.expr(_EDF.format(parts=int(parts)))).alias("part"))
+    return placed.select("q", F.inline("part")).select(
+        F.expr("q[no].key__").alias("key__"), "block", F.expr(f"slot DIV {int(parts)}").alias("period"), "slot",
+        F.expr("q[no].jobs[block].release").alias("release"), F.expr("q[no].jobs[block].deadline").alias("deadline"))
 
 
 def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, block_chars: int = 32_768,
-                parts: int = 1000) -> DataFrame:
+                parts: int = 1000, most_blocks: int = 200_000) -> DataFrame:
     """One row per document: doc_id, source, n_chars, block, period, slot, release, deadline.
 
     A source's documents, in the order of a hash of their ids, form blocks of
-    ``block_chars`` code points; a document longer than a block also takes up
-    the blocks it covers.  Without ``weights`` a source weighs the square root
+    ``block_chars`` code points, or of as many as make ``most_blocks`` of all
+    texts if that is more; a document longer than a block also takes up the
+    blocks it covers.  Without ``weights`` a source weighs the square root
     of its size; with them, a source not named weighs as much as the least
     one.  A null source is a source of its own, null and empty texts are 0
     long, repeated rows are documents of their own; equal ids are in any
@@ -109,23 +88,26 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, block_
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                        F.coalesce(F.length(F.col("text").cast("string")), F.lit(0)).cast("long").alias("n_chars"))
-    return _placed(rows, weights, block_chars, parts)
+    return _placed(rows, weights, block_chars, parts, most_blocks)
 
 
-def _placed(rows: DataFrame, weights: dict[str, float] | None, block_chars: int, parts: int) -> DataFrame:
+def _placed(rows: DataFrame, weights: dict[str, float] | None, block_chars: int, parts: int, most_blocks: int) -> DataFrame:
     keyed = rows.withColumn("key__", F.when(F.col("source").isNull(), F.lit("null")).otherwise(F.concat(F.lit("s:"), "source")))
+    # One row per source: the window over all of them gives the size of a block.
+    every = F.sum("chars").over(Window.partitionBy())
     size = (keyed.groupBy("key__").agg(F.sum("n_chars").alias("chars"))
-            .select("key__", F.greatest(F.lit(1), F.ceil(F.col("chars") / F.lit(block_chars))).cast("long").alias("n")))
+            .withColumn("room", F.greatest(F.lit(int(block_chars)), F.ceil(every / F.lit(int(most_blocks)))).cast("long"))
+            .select("key__", "room", F.greatest(F.lit(1), F.ceil(F.col("chars") / F.col("room"))).cast("long").alias("n")))
     run = running_total(keyed, ["key__"], ["doc_id"], F.col("n_chars"), "before__")
     located = (run.join(size, "key__")
-               .withColumn("block", F.least(F.expr(f"before__ DIV {int(block_chars)}"), F.col("n") - 1)))
-    plan = schedule(size, weights, parts)
-    out = located.drop("n").join(plan, ["key__", "block"])
+               .withColumn("block", F.least(F.expr("before__ DIV room"), F.col("n") - 1)))
+    plan = schedule(size.select("key__", "n"), weights, parts)
+    out = located.drop("n", "room").join(plan, ["key__", "block"])
     return out.select(*rows.columns, "block", "period", "slot", "release", "deadline")
 
 
 def mixed_documents(docs: DataFrame, weights: dict[str, float] | None = None, block_chars: int = 32_768,
-                    parts: int = 1000) -> DataFrame:
+                    parts: int = 1000, most_blocks: int = 200_000) -> DataFrame:
     """All documents with all their columns, in the order of the mix (sorted over the written files)."""
     row = fresh(docs, "row__")
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
@@ -133,6 +115,6 @@ def mixed_documents(docs: DataFrame, weights: dict[str, float] | None = None, bl
                            F.col("source").cast("string").alias("source"),
                            F.coalesce(F.length(F.col("text").cast("string")), F.lit(0)).cast("long").alias("n_chars"))
     slot = fresh(docs, "slot__")
-    plan = _placed(rows, weights, block_chars, parts).select(F.col("mix_row__").alias(row), F.col("slot").alias(slot))
+    plan = _placed(rows, weights, block_chars, parts, most_blocks).select(F.col("mix_row__").alias(row), F.col("slot").alias(slot))
     order = [slot, row]
     return numbered.join(plan, row).repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)

@@ -35,7 +35,7 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n.n, 0) AS BI
 FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
-# The same windows, but earliest deadline first runs over all slots at once instead of by period tables.
+# The windows of the fluid mix, then earliest deadline first, slot by slot.
 OP4 = """
 WITH RECURSIVE d AS (
   SELECT doc_id, source, CAST(length(coalesce(text, '')) AS BIGINT) AS n_chars, coalesce('s:' || source, 'null') AS key,
@@ -43,17 +43,16 @@ WITH RECURSIVE d AS (
 place AS (
   SELECT *, coalesce(sum(n_chars) OVER (PARTITION BY key ORDER BY bucket, doc_id
                                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d),
-size AS (SELECT key, CAST(greatest(1, ceil(sum(n_chars) / 32768)) AS BIGINT) AS n FROM d GROUP BY key),
+room AS (SELECT CAST(greatest(32768, ceil(sum(n_chars) / 200000)) AS BIGINT) AS room FROM d),
 src AS (
-  SELECT key, n, row_number() OVER (ORDER BY key) - 1 AS no,
-         CAST(greatest(1, round(1000 * sqrt(n) / sum(sqrt(n)) OVER ())) AS BIGINT) AS a FROM size),
-period AS (
-  SELECT p, sum(least(a, greatest(0, n - p * a))) AS total, sum(least(n, p * a)) AS start
-  FROM src, (SELECT unnest(range((SELECT max(n // a) + 1 FROM src))) AS p) GROUP BY p),
+  SELECT key, n, room, row_number() OVER (ORDER BY key) - 1 AS no, sqrt(n) AS w
+  FROM (SELECT key, any_value(room) AS room, CAST(greatest(1, ceil(sum(n_chars) / any_value(room))) AS BIGINT) AS n
+        FROM d, room GROUP BY key)),
 block AS (
-  SELECT key, no, b, p, CAST(start + (b % a) * total // least(a, n - p * a) AS BIGINT) AS release,
-         CAST(start + ((b % a + 1) * total + least(a, n - p * a) - 1) // least(a, n - p * a) AS BIGINT) AS deadline
-  FROM (SELECT *, unnest(range(n)) AS b FROM src) s JOIN period ON p = s.b // s.a),
+  SELECT s.key, s.no, s.b,
+         CAST(floor(sum(least(CAST(j.n AS DOUBLE), j.w * (s.b / s.w))) + 1e-6) AS BIGINT) AS release,
+         CAST(ceil(sum(least(CAST(j.n AS DOUBLE), j.w * ((s.b + 1) / s.w))) - 1e-6) AS BIGINT) AS deadline
+  FROM (SELECT *, unnest(range(n)) AS b FROM src) s, src j GROUP BY s.key, s.no, s.b),
 job AS (
   SELECT list(r ORDER BY no) AS r, list(d ORDER BY no) AS d, CAST(sum(len(r)) AS BIGINT) AS slots
   FROM (SELECT no, list(release ORDER BY b) AS r, list(deadline ORDER BY b) AS d FROM block GROUP BY no)),
@@ -64,8 +63,8 @@ run AS (
   FROM (SELECT t, done, list_min([d[s + 1][done[s + 1] + 1] * 100000 + s FOR s IN range(len(done))
                                   IF done[s + 1] < len(r[s + 1]) AND r[s + 1][done[s + 1] + 1] <= t + 1]) % 100000 AS pick
         FROM run, job WHERE t + 1 < slots))
-SELECT doc_id, source, n_chars, block.b AS block, p AS period, t AS slot, release, deadline
-FROM (SELECT *, least(CAST(before AS BIGINT) // 32768, n - 1) AS own FROM place JOIN src USING (key)) x
+SELECT doc_id, source, n_chars, block.b AS block, t // 1000 AS period, t AS slot, release, deadline
+FROM (SELECT *, least(CAST(before AS BIGINT) // room, n - 1) AS own FROM place JOIN src USING (key)) x
 JOIN block ON block.no = x.no AND block.b = own JOIN run ON run.no = x.no AND run.b = own
 """
 

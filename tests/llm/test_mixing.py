@@ -81,25 +81,38 @@ def test_mixed_documents_keep_rows_and_come_in_order(spark):
     assert first["s0"] > first["s1"] and mixed_documents(empty(spark)).count() == 0
 
 
-@pytest.mark.parametrize("weights,parts,below", [
-    ({"a": 2, "b": 1}, 100, 1), ({"a": 2 ** 0.5, "b": 1, "c": 3 ** 0.5}, 10, 2),
-    ({"a": 1, "b": 0.3, "c": 0.0007}, 100, 2), ({f"s{i:03}": 1 for i in range(60)}, 25, 2)])
-def test_deviation_from_true_weights_over_many_periods(spark, weights, parts, below):
-    """Against the unrounded weights, up to the period in which the first source ends."""
+def fluid(n, w, v):
+    return sum(min(n[k], w[k] * v) for k in n)
+
+
+@pytest.mark.parametrize("weights,parts", [
+    ({"a": 2, "b": 1}, 100), ({"a": 2 ** 0.5, "b": 1, "c": 3 ** 0.5}, 10), ({"a": 1, "b": 0.3, "c": 0.0007}, 100),
+    ({f"s{i:03}": 1 for i in range(60)}, 25), ({f"s{i:03}": 1.37 ** (i % 20) for i in range(40)}, 1000)])
+def test_deviation_from_true_weights_below_one_block(spark, weights, parts):
+    """At every slot, against the unrounded weights while all sources last, then against the fluid mix of the rest."""
     total = sum(weights.values())
-    sizes = spark.createDataFrame([(f"s:{k}", max(1, int(6000 * w / total))) for k, w in weights.items()], "key__ string, n long")
+    n = {k: max(1, int(6000 * w / total * (1 + i % 3 / 4))) for i, (k, w) in enumerate(weights.items())}
+    sizes = spark.createDataFrame([(f"s:{k}", x) for k, x in n.items()], "key__ string, n long")
     rows = sorted(schedule(sizes, weights, parts).collect(), key=lambda r: r.slot)
-    assert [r.slot for r in rows] == list(range(sizes.groupBy().sum("n").first()[0]))
-    count, done = collections.Counter(r.key__ for r in rows), collections.Counter()
-    last = {k: max(r.period for r in rows if r.key__ == k) for k in count}
-    end, most = min(last.values()), 0
-    assert end >= 20
+    assert [r.slot for r in rows] == list(range(sum(n.values()))) and all(r.period == r.slot // parts for r in rows)
+    done, v, most = collections.Counter(), 0.0, 0
+    first = fluid(n, weights, min(n[k] / weights[k] for k in n))
     for at, r in enumerate(rows):
         assert r.block == done[r.key__] and r.release <= r.slot < r.deadline
         done[r.key__] += 1
-        if r.period < end:
+        lo, hi = v, v + 2 * max(n[k] / weights[k] for k in n)
+        for _ in range(60):                      # the virtual time at which the fluid mix has given at + 1 slots
+            v = (lo + hi) / 2
+            lo, hi = (v, hi) if fluid(n, weights, v) < at + 1 else (lo, v)
+        most = max([most] + [abs(done[f"s:{k}"] - min(n[k], weights[k] * v)) for k in n])
+        if at + 1 <= first:
             most = max([most] + [abs(done[f"s:{k}"] - (at + 1) * w / total) for k, w in weights.items()])
-    assert done == count and 0 < most < below
+    assert done == {f"s:{k}": x for k, x in n.items()} and 0 < most < 1 + 1e-5
+
+
+def test_the_number_of_blocks_is_bounded(spark):
+    rows = mix_sources(docs(spark, {"a": 300, "b": 100}), block_chars=10, parts=8, most_blocks=40).collect()
+    assert len(rows) == 400 and sorted({r.slot for r in rows}) == list(range(40))
 
 
 def test_a_minute_weight_makes_no_empty_periods(spark):
