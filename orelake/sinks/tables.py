@@ -486,8 +486,9 @@ def remove_orphans(spark: SparkSession, root: str, older_than_s: float = 86_400)
     Such folders are left by writers that were killed; nobody reads them.
     """
     base = root.rstrip("/")
-    used = {f"{base}/{p}" for n in _pointers(spark, base) for e in _manifest(spark, base, n)["tables"].values() for p in e["parts"].values()}
     fs, p = hadoop_path(spark, base)
+    own = fs.makeQualified(p).toUri().getPath()  # a listing gives paths without the scheme that ``root`` may have
+    used = {f"{own}/{x}" for n in _pointers(spark, base) for e in _manifest(spark, base, n)["tables"].values() for x in e["parts"].values()}
     found, gone = [p], 0
     for _ in range(3):  # table, partition, version
         inner = [s for q in found for s in fs.listStatus(q) if s.isDirectory() and s.getPath().getName() != "_pointers"]

@@ -166,8 +166,9 @@ def test_commits_leave_a_constant_number_of_files(spark, tmp_root):
     assert len(os.listdir(f"{root}/_pointers")) == 2 + 4
 
 
-def test_orphans_go_and_nothing_else(spark, tmp_root):
-    root = f"{tmp_root}/g"
+@pytest.mark.parametrize("scheme", ["", "file://"])
+def test_orphans_go_and_nothing_else(spark, tmp_root, scheme):
+    root = f"{scheme}{tmp_root}/g"
     with Commit(spark, root) as c:
         c.upsert(frame(spark, [(1, "a")]), ["k"], table="dim")
         c.replace(spark.range(4).selectExpr("1 day", "id k"), "day", [1], table="fact")
