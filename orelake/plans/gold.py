@@ -213,12 +213,37 @@ def mv_course_students_bitmap(enrol: DataFrame, numbers: DataFrame, cities: Data
 
     Bitmaps of any days, regions or courses merge exactly (bitwise or), which
     distinct counts do not, so wider counts need neither the events nor a
-    second pass over the students.
+    second pass over the students.  A bitmap holds only its words that have
+    bits (see :func:`bitmap_words`): most have one student, and a plain one
+    would take 4 KB for it in every task, shuffle and sort.
     """
     e = enrol.select("date_key", "city_key", "course_key", "student_id").join(numbers, "student_id")
     j = (e.join(cities.select("city_key", "region_name"), "city_key", "left")
           .join(courses.select("course_key", "course_name"), "course_key", "left"))
-    return j.groupBy("date_key", F.coalesce("region_name", F.lit("UNKNOWN")).alias("region_name"), "course_key",
-                     F.coalesce("course_name", F.lit("UNKNOWN")).alias("course_name"),
-                     F.bitmap_bucket_number("number").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("students"))
+    at = F.bitmap_bit_position("number").cast("int")
+    keys = ["date_key", "region_name", "course_key", "course_name", "bucket"]
+    bits = j.select("date_key", F.coalesce("region_name", F.lit("UNKNOWN")).alias("region_name"), "course_key",
+                    F.coalesce("course_name", F.lit("UNKNOWN")).alias("course_name"),
+                    F.bitmap_bucket_number("number").alias("bucket"), F.shiftright(at, 6).alias("word"),
+                    F.expr("shiftleft(1L, 56 - 8 * (CAST(bitmap_bit_position(number) AS INT) % 64 DIV 8)"
+                           " + CAST(bitmap_bit_position(number) AS INT) % 8)").alias("bits"))
+    words = bits.groupBy(*keys, "word").agg(F.bit_or("bits").alias("bits"))
+    text = F.concat(F.lpad(F.hex("word"), 4, "0"), F.lpad(F.hex("bits"), 16, "0"))
+    return words.groupBy(*keys).agg(F.unhex(F.array_join(F.array_sort(F.collect_list(text)), "")).alias("students"))
+
+
+def bitmap_words(bitmaps: DataFrame, *columns: Column | str) -> DataFrame:
+    """One row per word with bits of each bitmap ``students``: ``columns``, then word, bits.
+
+    A bitmap is a run of ten bytes a word: its number in two, then the eight
+    bytes of the plain bitmap (as ``bitmap_construct_agg`` makes them).  One of
+    4,096 bytes is plain; earlier versions stored these.
+    """
+    def number(at: str, size: int) -> str:
+        return f"CAST(conv(hex(substring(students, {at}, {size})), 16, -10) AS BIGINT)"
+    plain = "octet_length(students) = 4096"
+    at = F.explode(F.expr(f"sequence(0, IF({plain}, 512, octet_length(students) DIV 10) - 1)"))
+    parts = bitmaps.select(*columns, "students", at.alias("at"))
+    names = [c for c in parts.columns if c not in ("students", "at")]
+    return parts.select(*names, F.expr(f"IF({plain}, at, {number('10 * at + 1', 2)})").alias("word"),
+                        F.expr(f"IF({plain}, {number('8 * at + 1', 8)}, {number('10 * at + 3', 8)})").alias("bits")).filter("bits != 0")

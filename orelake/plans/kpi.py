@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orelake.functions import percent_text, region_key
+from orelake.plans.gold import bitmap_words
 
 
 def _pct(num: Column, den: Column) -> Column:
@@ -62,14 +63,14 @@ def course_reach(bitmaps: DataFrame, dates: DataFrame, period: Sequence[Column],
                  ) -> DataFrame:
     """Distinct students per period (expressions over the date columns) and ``by``, from the daily bitmaps.
 
-    Bitmaps of the same numbers are merged by a bitwise or with partial
-    aggregation (4 KB a group and task), then their bits are counted; equal to
-    ``count(distinct)`` over the enrolments of the whole period.
+    Bitmaps of the same numbers are merged by a bitwise or of their words with
+    partial aggregation (8 bytes a word that has bits), then the bits are
+    counted; equal to ``count(distinct)`` over the enrolments of the whole period.
     """
-    j = bitmaps.join(dates, "date_key")
     names = [f"period_{i}" for i in range(len(period))]
-    merged = j.groupBy(*[p.alias(n) for p, n in zip(period, names)], *by, "bucket").agg(F.bitmap_or_agg("students").alias("students"))
-    return merged.groupBy(*names, *by).agg(F.sum(F.bitmap_count("students")).cast("long").alias("students_count"))
+    j = bitmap_words(bitmaps.join(dates, "date_key"), *[p.alias(n) for p, n in zip(period, names)], *by, "bucket")
+    merged = j.groupBy(*names, *by, "bucket", "word").agg(F.bit_or("bits").alias("bits"))
+    return merged.groupBy(*names, *by).agg(F.sum(F.bit_count("bits")).cast("long").alias("students_count"))
 
 
 def access_mix(enrol: DataFrame) -> DataFrame:

@@ -129,3 +129,24 @@ def test_bitmaps_count_distinct_students_of_any_range(spark):
     assert {(r.period_0, r.region_name, r.course_key): r.students_count for r in got} == {k: len(v) for k, v in want.items()}
     every = kpi.course_reach(bitmaps.filter("date_key < 20240104"), dates, [], ["course_key"]).collect()
     assert {r.course_key: r.students_count for r in every} == {c: len({s for d, _, x, s in rows if x == c and d < 20240104}) for c in ("c0", "c1", "c2", "c3")}
+
+
+def test_bitmaps_hold_only_words_with_bits_and_merge_with_plain_ones(spark):
+    from pyspark.sql import functions as F
+
+    from orelake.plans import gold, kpi
+    ids = [*range(1, 66), 70, 4000, 32767, 32768, 32769, 65536]
+    rows = [(20240101, "k", f"c{i % 2}", f"s{i}") for i in ids] + [(20240101, "k", "one", "s40000")]
+    enrol = spark.createDataFrame(rows, "date_key int, city_key string, course_key string, student_id string")
+    numbers = spark.range(70_000).selectExpr("concat('s', id) student_id", "id number")
+    cities = spark.createDataFrame([("k", "R")], "city_key string, region_name string")
+    courses = spark.createDataFrame([("c0", "C0")], "course_key string, course_name string")
+    dates = spark.createDataFrame([(20240101, 1), (20240102, 1)], "date_key int, week int")
+    bitmaps = gold.mv_course_students_bitmap(enrol, numbers, cities, courses)
+    assert [len(r.students) for r in bitmaps.filter("course_key = 'one'").collect()] == [10]
+    plain = spark.range(50, 300).selectExpr("id number").groupBy(F.bitmap_bucket_number("number").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("students"))
+    plain = plain.selectExpr("20240102 date_key", "'R' region_name", "'c0' course_key", "'C0' course_name", "bucket", "students")
+    got = kpi.course_reach(bitmaps.unionByName(plain), dates, [F.col("week")], ["course_key"]).collect()
+    assert {r.course_key: r.students_count for r in got} == {
+        "c0": len({i for i in ids if i % 2 == 0} | set(range(50, 300))), "c1": sum(i % 2 for i in ids), "one": 1}
