@@ -5,9 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orelake.session import hadoop_path, scratch_path
+
+TOP_K = 10_000  # rows up to which a batch is a per-task top-k, gathered by one task
+
 
 class Cursor(NamedTuple):
     """Where a scan stands: the last ``(watermark, tie)`` read, and the last tie among rows without a watermark.
@@ -45,7 +49,8 @@ def incremental_scan(src: DataFrame, wm_col: str, wm=None, tie: str = "_id", lim
 
     Filter first, then ``orderBy().limit()`` -> ``TakeOrderedAndProject``: each
     task keeps only its ``limit`` best rows, so the batch limit never sorts
-    the whole source.
+    the whole source.  One task gathers them all, so a batch above ``TOP_K``
+    rows is a filter by its last key instead (see :func:`_first_rows`).
     """
     out, c, t = src, F.col(wm_col), F.col(tie)
     newer = F.lit(True) if wm is None else c > _typed(wm, src, wm_col)
@@ -62,9 +67,53 @@ def incremental_scan(src: DataFrame, wm_col: str, wm=None, tie: str = "_id", lim
     if limit is None:
         # a full drain needs no order: sorting everything would only cost a range shuffle
         return out
+    if limit > TOP_K:
+        return _first_rows(out, wm_col, tie, limit)
     return out.orderBy(c.asc_nulls_first(), t.asc_nulls_first()).limit(limit)
 
 
+def _first_rows(src: DataFrame, wm_col: str, tie: str, limit: int) -> DataFrame:
+    """The ``limit`` first rows in ``(wm_col, tie)`` order, nulls first, without one task that sees them all.
+
+    The distinct keys with their numbers of rows are written once in ranges;
+    the rows of each range (one number each) tell the range the batch ends
+    in, and that range alone is added up to the last key.  The batch is then
+    a filter.  Only where more rows share the last key than there is room for
+    are they cut by a limit, as any of them will do.
+    """
+    spark, path = src.sparkSession, scratch_path(src.sparkSession, "cursor_keys")
+    order = [F.col("c").asc_nulls_first(), F.col("t").asc_nulls_first()]
+    keys = src.groupBy(F.col(wm_col).alias("c"), F.col(tie).alias("t")).agg(F.count(F.lit(1)).alias("n"))
+    ranged = keys.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
+    ranged.write.parquet(path)
+    try:
+        ranged = spark.read.schema(ranged.schema).parquet(path)
+        before, last = 0, None
+        for r in sorted(ranged.groupBy("part").agg(F.sum("n").alias("n")).collect()):
+            if before + r["n"] >= limit:
+                last = r["part"]
+                break
+            before += r["n"]
+        if last is None:
+            return src
+        inside = ranged.filter(F.col("part") == last).withColumn("upto", F.sum("n").over(Window.partitionBy("part").orderBy(*order)))
+        end = inside.filter(F.col("upto") >= limit - before).orderBy("upto").select(
+            F.col("c").cast("string").alias("c"), F.col("t").cast("string").alias("t"), "n", "upto").first()
+    finally:
+        fs, p = hadoop_path(spark, path)
+        fs.delete(p, True)
+    c, t = F.col(wm_col), F.col(tie)
+    end_c, end_t = _typed(end["c"], src, wm_col), _typed(end["t"], src, tie)
+    same = c.eqNullSafe(end_c)
+    earlier = F.lit(False) if end["c"] is None else F.coalesce(c < end_c, F.lit(True))
+    smaller = F.lit(False) if end["t"] is None else F.coalesce(t < end_t, F.lit(True))
+    less, tied = earlier | (same & smaller), same & t.eqNullSafe(end_t)
+    room = end["n"] - (end["upto"] - (limit - before))
+    if room == end["n"]:
+        return src.filter(less | tied)
+    return src.filter(less).unionByName(src.filter(tied).limit(room))
+
+
 def next_watermark(batch: DataFrame, wm_col: str, old=None, tie: str = "_id") -> DataFrame:
     """One-row cursor after a batch: the largest ``(wm_col, tie)`` seen.
 

@@ -224,3 +224,25 @@ def test_a_rewritten_table_has_its_own_schema(spark, tmp_root):
     assert table(spark, tmp_root, "t").columns == ["id"] and table(spark, tmp_root, "t").count() == 3
     spark.range(4).selectExpr("id AS k", "'x' AS v").write.mode("overwrite").parquet(path)
     assert table(spark, tmp_root, "t").columns == ["k", "v"] and table(spark, tmp_root, "t").count() == 4
+
+
+def test_a_large_batch_is_the_first_rows_without_one_task_that_gathers_them(spark, monkeypatch):
+    import random
+
+    from orelake.operators import incremental_scan, watermark
+    rng = random.Random(5)
+    rows = [(rng.choice([None, *range(30)]), rng.choice([None, *"abcdefgh"]), i) for i in range(600)]
+    src = spark.createDataFrame([(f"2024-01-{1 + d:02d} 00:00:00.5" if d is not None else None, t, i) for d, t, i in rows],
+                                "wm string, tie string, i int").withColumn("wm", F.col("wm").cast("timestamp_ntz"))
+    low = lambda r: (r[0] is not None, str(r[0]), r[1] is not None, r[1] or "")
+    want = sorted(((r.wm, r.tie) for r in src.collect()), key=low)
+    monkeypatch.setattr(watermark, "TOP_K", 5)
+    for limit in (6, 37, 300, 599, 600, 900):
+        batch = incremental_scan(src, "wm", None, tie="tie", limit=limit)
+        assert sorted(((r.wm, r.tie) for r in batch.collect()), key=low) == want[:limit]
+        assert "TakeOrdered" not in batch._jdf.queryExecution().executedPlan().toString()
+    whole = src.filter("tie IS NOT NULL").dropDuplicates(["wm", "tie"])
+    assert "Limit" not in incremental_scan(whole, "wm", None, tie="tie", limit=50)._jdf.queryExecution().executedPlan().toString()
+    after = incremental_scan(src, "wm", "2024-01-10 00:00:00.5", tie="tie", limit=40, tie_wm="d")
+    assert sorted(((r.wm, r.tie) for r in after.collect()), key=low) == [
+        x for x in want if x[0] is not None and (x[0].day > 10 or x[0].day == 10 and x[1] is not None and x[1] > "d")][:40]
