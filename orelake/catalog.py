@@ -497,6 +497,16 @@ def _rows_of(spark, path, collection):
                      F.sum("size").cast("long").alias("bytes_read")).withColumn("collection", F.lit(collection))
 
 
+def _padded(rows):
+    """(value, ingest_ds) of (line, wide, ingest_ds) rows, dealt and sorted by day before the lines are padded.
+
+    A task holds a whole day's file, so it sorts short rows and pads as it
+    writes.  The day is a date: the writer would sort a text once more.
+    """
+    days = rows.withColumn("ingest_ds", F.to_date("ingest_ds")).repartition("ingest_ds").sortWithinPartitions("ingest_ds")
+    return days.select(F.rpad("line", F.when(F.col("wide"), 1023).otherwise(63), ".").alias("value"), "ingest_ds")
+
+
 def _sized_layers(spark, sf_dir):
     """Files of known sizes: every course event and student document as a padded line, one file per day or slice.
 
@@ -513,8 +523,7 @@ def _sized_layers(spark, sf_dir):
     out = None
     for name, rows in (("courses", events), ("students", docs)):
         path = scratch_path(spark, f"sized_{name}")
-        text = F.rpad("line", F.when(F.col("wide"), 1023).otherwise(63), ".")
-        rows.select(text.alias("value"), "ingest_ds").repartition("ingest_ds").write.partitionBy("ingest_ds").text(path)
+        _padded(rows).write.partitionBy("ingest_ds").text(path)
         files = file_stats(spark, path, name)
         out = files if out is None else out.unionByName(files)
     return out.withColumn("ds", F.regexp_extract("file_path", "/ingest_ds=([^/]*)/", 1))

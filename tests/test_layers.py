@@ -124,3 +124,16 @@ def test_carry_email_option(spark):
         assert ("email" in clean.columns) == carry
         got = {r.student_id: r.email for r in G.dim_student(clean, "2024-02-01 00:00:00").collect()}
         assert got == expected
+
+
+def test_sized_files_are_sorted_before_their_lines_are_padded(spark, tmp_root):
+    from pyspark.sql import functions as F
+
+    from orelake import catalog
+    rows = spark.createDataFrame([(f"e{i}", i % 2 == 0, f"2024-01-0{1 + i % 2}") for i in range(100)], "line string, wide boolean, ingest_ds string")
+    days = catalog._padded(rows)
+    plan = days._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.index("rpad") < plan.index("Sort")
+    days.write.partitionBy("ingest_ds").text(f"{tmp_root}/t")
+    got = spark.read.text(f"{tmp_root}/t").groupBy(F.col("ingest_ds").cast("string").alias("d"), F.length("value").alias("n")).count().collect()
+    assert {tuple(r) for r in got} == {("2024-01-01", 1023, 50), ("2024-01-02", 63, 50)}
