@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orelake.llm.common import slices
-from orelake.llm.packing import _PART, _tokenizer, _word_ids, default_vocabulary
+from orelake.llm.packing import _PART, _tokenizer, _word_ids, default_vocabulary, free_words
 
 SHARD = 1 << 20  # ids under one grammar at most
 SHARDS = ("file int, shard int, whole boolean, base long, n_tokens long, first_start long, doc_ids array<long>, "
@@ -179,7 +179,8 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str | None = None, end_
     doc_id, and a doc_id with more rows than a file takes is dealt over
     several files (null ids come first).  A file is cut into shards of whole
     documents with a grammar each; a document longer than a shard has shards
-    of its own (``whole`` is false there).  A task holds one shard at a time.
+    of its own (``whole`` is false there).  A task holds one shard at a time,
+    and no more the words remembered for encoding.
     Null texts are empty; a document is its ids and ``end_id``.  ``docs``
     must be a scan or a written table, whose rows a retried task reads in
     the same order.
@@ -208,6 +209,7 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str | None = None, end_
                                                   part.column(0), part.column(2), own], names=["file", "doc_id", "row", "ids"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_words()
         held: list[tuple[int | None, np.ndarray]] = []
         file, number, base, waiting = None, 0, 0, 0
 

@@ -184,6 +184,12 @@ def _word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
+def free_words() -> None:
+    """Give back the remembered words of this Python worker; Spark uses workers again for later steps that need none."""
+    _word_ids.cache_clear()
+    pa.default_memory_pool().release_unused()
+
+
 def tokenize_pieces(docs: DataFrame, capacity: int = 2048, vocabulary: str | None = None, end_id: int = 0,
                     keep_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32 (and the ids with ``keep_ids``).

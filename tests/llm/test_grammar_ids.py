@@ -106,3 +106,20 @@ def test_no_pair_is_left_that_is_frequent():
 @given(st.binary(max_size=90), st.binary(max_size=90))
 def test_joined_checksums(a, b):
     assert joined_crc(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
+
+
+def test_workers_forget_the_words_before_they_build_grammars(spark, tmp_root, monkeypatch):
+    from orelake.llm import grammar_ids
+    from orelake.llm.packing import _word_ids
+    build = grammar_ids._shard_row
+
+    def watched(*values):
+        assert _word_ids.cache_info().currsize == 0
+        return build(*values)
+
+    monkeypatch.setattr(grammar_ids, "_shard_row", watched)
+    docs = make(spark, [(i, f"some words {i}") for i in range(400)])
+    stored_at = f"{tmp_root}/docs"
+    docs.repartition(8).write.parquet(stored_at)
+    grammar_ids.write_shards(spark.read.parquet(stored_at), f"{tmp_root}/ids", files=8)
+    assert grammar_ids.read_documents(spark, f"{tmp_root}/ids").count() == 400
