@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from orelake.llm.common import stored, table
 from orelake.llm.mixing import mixed_documents
 from orelake.llm.near_dedup import one_of_each
-from orelake.llm.packing import pack_documents
+from orelake.llm.packing import pack_in_order
 from orelake.llm.quality_rules import keep_good
 from orelake.llm.secret_scan import without_secrets
 
@@ -28,13 +28,14 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in the order of the mix; any first part of the files follows the target weights."""
+    """All documents in the order of the mix; any first part of the files follows the target weights,
+    and so do the sequences that packing makes of it."""
     return mixed_documents(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their places in the training sequences."""
-    return pack_documents(docs)
+    """The pieces of all documents with their places in the training sequences, which follow the order of the mix."""
+    return pack_in_order(docs)
 
 
 STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup), ("secret_scans", secret_scans),

@@ -10,10 +10,11 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orelake.llm.common import mix, powers, running_total, slices, stored, texts
+from orelake.llm.common import fresh, mix, powers, running_total, slices, stored, texts
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 # Characters on which lower case, white space, normal form and the classes below are plain; texts with others go
@@ -191,8 +192,8 @@ def free_words() -> None:
 
 
 def tokenize_pieces(docs: DataFrame, capacity: int = 2048, vocabulary: str | None = None, end_id: int = 0,
-                    keep_ids: bool = False) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32 (and the ids with ``keep_ids``).
+                    keep_ids: bool = False, keep: str = "") -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32 (the ids with ``keep_ids``, then columns ``keep`` of ``docs``, as DDL).
 
     A document is its ids and ``end_id``; null and empty texts are the end id
     alone.  Only documents longer than ``capacity`` are cut.  Repeated rows
@@ -200,16 +201,17 @@ def tokenize_pieces(docs: DataFrame, capacity: int = 2048, vocabulary: str | Non
     """
     path = vocabulary or default_vocabulary()
     end = np.array([end_id], dtype="<u4").tobytes()
-    schema = PIECES + (", ids array<int>" if keep_ids else "")
+    schema = PIECES + (", ids array<int>" if keep_ids else "") + (f", {keep}" if keep else "")
+    kept = [c.split()[0] for c in keep.split(", ")] if keep else []
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _word_ids(path)
         for batch in batches:
             for part in slices(batch, 1, _PART):
-                doc, piece, start, length, crc, own = [], [], [], [], [], []
+                doc, piece, start, length, crc, own, of = [], [], [], [], [], [], []
                 flat, count = ids.encode_column(part.column(1))
                 flat, to = flat.astype("<u4").tobytes(), (4 * np.cumsum(count)).tolist()
-                for d, a, b in zip(part.column(0).to_pylist(), [0, *to[:-1]], to):
+                for n, (d, a, b) in enumerate(zip(part.column(0).to_pylist(), [0, *to[:-1]], to)):
                     raw = flat[a:b] + end
                     for i, at in enumerate(range(0, len(raw), 4 * capacity)):
                         chunk = raw[at:at + 4 * capacity]
@@ -218,15 +220,17 @@ def tokenize_pieces(docs: DataFrame, capacity: int = 2048, vocabulary: str | Non
                         start.append(at // 4)
                         length.append(len(chunk) // 4)
                         crc.append(zlib.crc32(chunk))
+                        of.append(n)
                         if keep_ids:
                             own.append(np.frombuffer(chunk, dtype="<i4"))
                 cols = [pa.array(doc, pa.int64()), pa.array(piece, pa.int32()),
                         *[pa.array(x, pa.int64()) for x in (start, length, crc)]]
                 if keep_ids:
                     cols.append(pa.array(own, pa.list_(pa.int32())))
+                cols += [part.column(2 + i).take(pa.array(of, pa.int64())) for i in range(len(kept))]
                 yield pa.RecordBatch.from_arrays(cols, names=[f.split()[0] for f in schema.split(", ")])
 
-    return texts(docs).mapInArrow(cut, schema)
+    return texts(docs, *kept).mapInArrow(cut, schema)
 
 
 class Plan:
@@ -314,7 +318,27 @@ class Plan:
         return self.bin[at] + step // self.per[at], self.offset[at] + step % self.per[at] * length
 
 
-def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
+class Plans:
+    """A :class:`Plan` per group of pieces, by ascending number: the sequences of a group follow all of the groups before."""
+
+    def __init__(self, counts: dict[int, dict[int, int]], capacity: int):
+        self.step, self.bins, keys, cols = capacity + 1, 0, [], []
+        for group in sorted(counts):
+            plan = Plan(counts[group], capacity)
+            keys.append(plan.key + (group * self.step << 40))
+            cols.append(np.stack((plan.first, plan.bin + self.bins, plan.offset, plan.per)))
+            self.bins += plan.bins
+        self.key = np.concatenate([np.empty(0, dtype=np.int64), *keys])
+        self.first, self.bin, self.offset, self.per = np.concatenate([np.empty((4, 0), dtype=np.int64), *cols], axis=1)
+
+    def place(self, group: np.ndarray, length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(sequence, offset) of the pieces with these groups, lengths and ranks."""
+        at = np.searchsorted(self.key, (group * self.step + length << 40) | rank, side="right") - 1
+        step = rank - self.first[at]
+        return self.bin[at] + step // self.per[at], self.offset[at] + step % self.per[at] * length
+
+
+def pack(pieces: DataFrame, capacity: int = 2048, group: str | None = None) -> DataFrame:
     """``pieces`` (doc_id, piece, length, ...) with sequence_id and offset.
 
     The number of pieces of each length (``capacity`` numbers at most) is all
@@ -324,18 +348,25 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     so a length that holds a third of all pieces is dealt over many tasks.
     Equal pieces may swap places; each gets a place of its own.  Pass
     ``pieces`` from a scan or a written table, as it is read twice.
+
+    With ``group``, a column of a few dozen small numbers, each group has
+    sequences of its own, numbered after those of the groups before.
     """
-    counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
-    plan = Plan(counts, capacity)
-    ranked = running_total(pieces, ["length"], ["doc_id", "piece"], F.lit(1), "rank__")
+    own = fresh(pieces, "group__")
+    rows = pieces.withColumn(own, F.lit(0).cast("long") if group is None else F.col(group).cast("long"))
+    counts: dict[int, dict[int, int]] = {}
+    for g, length, n in rows.groupBy(own, "length").count().collect():
+        counts.setdefault(g, {})[length] = n
+    plans = Plans(counts, capacity)
+    ranked = running_total(rows, [own, "length"], ["doc_id", "piece"], F.lit(1), "rank__")
 
     @F.arrow_udf("struct<sequence_id: long, offset: long>")
-    def place(length: pa.Array, rank: pa.Array) -> pa.Array:
-        seq, offset = plan.place(length.to_numpy(zero_copy_only=False), rank.to_numpy(zero_copy_only=False))
+    def place(group_: pa.Array, length: pa.Array, rank: pa.Array) -> pa.Array:
+        seq, offset = plans.place(*[x.to_numpy(zero_copy_only=False) for x in (group_, length, rank)])
         return pa.StructArray.from_arrays([pa.array(seq, pa.int64()), pa.array(offset, pa.int64())],
                                           names=["sequence_id", "offset"])
 
-    return ranked.withColumn("place__", place("length", "rank__")).select(*pieces.columns, "place__.*")
+    return ranked.withColumn("place__", place(own, "length", "rank__")).select(*pieces.columns, "place__.*")
 
 
 def pack_documents(docs: DataFrame, capacity: int = 2048, vocabulary: str | None = None) -> DataFrame:
@@ -347,6 +378,47 @@ def pack_documents(docs: DataFrame, capacity: int = 2048, vocabulary: str | None
     return pack(stored(tokenize_pieces(docs, capacity, vocabulary), "pieces"), capacity)
 
 
+def _in_order(docs: DataFrame) -> DataFrame:
+    """``docs`` with file__, row__, which sort rows as they are stored (of a table that is not read from files: as they come)."""
+    try:
+        return docs.withColumns({"file__": F.col("_metadata.file_path"), "row__": F.col("_metadata.row_index")})
+    except AnalysisException:
+        return docs.withColumns({"file__": F.lpad(F.spark_partition_id().cast("string"), 9, "0"),
+                                 "row__": F.monotonically_increasing_id()})
+
+
+def _windows(pieces: DataFrame, most: int, least: int, rows: int = 16) -> DataFrame:
+    """``pieces`` with window__: the stretch of the stored order they lie in, one of ``most`` with ``least`` tokens or more.
+
+    Lengths are added up for every ``rows`` rows, then by file; one task sees
+    a number per file.
+    """
+    chunks = (pieces.groupBy("file__", F.expr(f"row__ DIV {int(rows)}").alias("chunk__"))
+              .agg(F.sum("length").alias("n__")))
+    start = Window.orderBy("file__").rowsBetween(Window.unboundedPreceding, -1)
+    files = (chunks.groupBy("file__").agg(F.sum("n__").alias("n__"))
+             .withColumn("size__", F.greatest(F.lit(int(least)), F.ceil(F.sum("n__").over(Window.partitionBy()) / int(most))))
+             .select("file__", "size__", F.coalesce(F.sum("n__").over(start), F.lit(0)).alias("before__")))
+    inside = Window.partitionBy("file__").orderBy("chunk__").rowsBetween(Window.unboundedPreceding, -1)
+    at = (chunks.withColumn("within__", F.coalesce(F.sum("n__").over(inside), F.lit(0))).join(files, "file__")
+          .select("file__", "chunk__", F.expr("CAST((before__ + within__) DIV size__ AS BIGINT)").alias("window__")))
+    own = [c for c in pieces.columns if c not in ("file__", "row__")]
+    return pieces.withColumn("chunk__", F.expr(f"row__ DIV {int(rows)}")).join(at, ["file__", "chunk__"]).select(*own, "window__")
+
+
+def pack_in_order(docs: DataFrame, capacity: int = 2048, vocabulary: str | None = None, windows: int = 64) -> DataFrame:
+    """Like :func:`pack_documents`, but the sequences follow the stored order of ``docs``, stretch by stretch.
+
+    The order is cut into ``windows`` stretches of about as many tokens (fewer
+    where that would be less than 16 sequences), each packed by itself: any
+    first sequences hold the first documents, to a stretch.  A stretch has a
+    few sequences that are not full.
+    """
+    pieces = stored(tokenize_pieces(_in_order(docs), capacity, vocabulary, keep="file__ string, row__ long"), "pieces")
+    placed = stored(_windows(pieces, windows, 16 * capacity), "windows")
+    return pack(placed, capacity, "window__").drop("window__")
+
+
 def sequences(placed: DataFrame) -> DataFrame:
     """sequence_id, ids: the token ids of each packed sequence, from placed pieces with their ids."""
     parts = placed.groupBy("sequence_id").agg(F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("parts"))

@@ -6,6 +6,7 @@ import sys
 
 import corpus_pipeline
 import __spark_entry__ as entry
+from pyspark.sql import functions as F
 from orelake.llm import registry
 from orelake.llm.common import stored
 from orelake.llm.secret_scan import labelled_samples, scan, train
@@ -76,3 +77,20 @@ def test_the_rest_works_without_this_subpackage(tmp_path):
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 40 and 'pipeline' not in q and set(e.oracle_sql()) <= set(q)"
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     assert subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, timeout=120).returncode == 0
+
+
+def test_sequences_follow_the_mix(spark):
+    from tests.llm.helpers import text
+    d = make(spark, [(i, text(i, 90, 5000), "big" if i % 4 else "small") for i in range(600)])
+    mixed = stored(corpus_pipeline.source_mixing(spark, d, ""), "t")
+    parts = {r.file: r.rows for r in mixed.selectExpr("doc_id", "_metadata.file_path file", "_metadata.row_index at").groupBy("file").agg(
+        F.array_sort(F.collect_list(F.struct("at", "doc_id"))).alias("rows")).collect()}
+    order = {x.doc_id: i for i, x in enumerate(x for f in sorted(parts) for x in parts[f])}
+    packed = corpus_pipeline.packing(spark, mixed, "").collect()
+    n = placed_ok(packed, 2048)
+    assert sum(r.length for r in packed) / 2048 / n > 0.9
+    place = {r.doc_id: r.sequence_id for r in packed if r.piece == 0}
+    first = sorted(place, key=place.get)[:len(place) // 2]
+    assert sum(order[x] < len(order) // 2 for x in first) > 0.9 * len(first)
+    other = stored(mixed.orderBy(F.desc("doc_id")), "t")
+    assert {(r.doc_id, r.sequence_id) for r in corpus_pipeline.packing(spark, other, "").collect()} != {(r.doc_id, r.sequence_id) for r in packed}
